@@ -47,13 +47,19 @@ def round_ratio(num, den, digits: int = 2) -> Column:
 
 
 def fx_amount(amount, rate) -> Column:
-    """ROUND(amount * COALESCE(rate, 1.0), 2)."""
-    return F.round(_col(amount) * F.coalesce(_col(rate), F.lit(1.0)), 2)
+    """ROUND(amount * COALESCE(rate, 1.0), 2) as a double.
+
+    Computed in decimal: amount (up to 6 decimals) x rate (up to 6 decimals) is
+    exact, so the half-cent rounding is exact too and does not depend on how a
+    binary double happens to represent the product."""
+    r = F.coalesce(_col(rate).cast("decimal(12,6)"), F.lit(1).cast("decimal(12,6)"))
+    return F.round(_col(amount).cast("decimal(20,6)") * r, 2).cast("double")
 
 
 def micros_to_dollars(c) -> Column:
-    """ROUND(micros / 1e6, 2)."""
-    return F.round(_col(c).cast("double") / F.lit(1_000_000.0), 2)
+    """ROUND(micros / 1e6, 2) as a double, exact (decimal) arithmetic."""
+    return F.round(_col(c).cast("decimal(20,0)") * F.lit(0.000001).cast("decimal(7,6)"),
+                   2).cast("double")
 
 
 def currency_note(currency, missing) -> Column:

@@ -126,7 +126,8 @@ def _campaign_period_spend(fact: DataFrame, dim: DataFrame, period_cols, extra=(
     return pre.join(dim.select("campaign_id", "region"), "campaign_id")
 
 
-def spend_vs_visits(fact: DataFrame, dim: DataFrame, visits: DataFrame) -> DataFrame:
+def spend_vs_visits(fact: DataFrame, dim: DataFrame, visits: DataFrame,
+                    rounded: bool = True) -> DataFrame:
     """Weekly spend, actual visits and cost per visit by campaign region."""
     totals = (visits.filter(F.col("is_zero_filled") == 0)
               .groupBy(D.week_label("date").alias("week"), "mapped_region")
@@ -138,7 +139,8 @@ def spend_vs_visits(fact: DataFrame, dim: DataFrame, visits: DataFrame) -> DataF
              .agg(F.sum("spend_usd").alias("s")))
     j = spend.join(by_region, ["week", "campaign_region"], "left")
     return j.select("week", "week_start", "campaign_region",
-                    M.round_money("s").alias("total_spend_usd"),
+                    (M.round_money("s") if rounded else F.col("s")).alias(
+                        "total_spend_usd" if rounded else "s"),
                     F.col("total_store_visits").cast("bigint").alias("total_store_visits"),
                     M.round_ratio("s", "total_store_visits").alias("cost_per_visit")
                     ).orderBy("week", "campaign_region", "week_start")
@@ -344,10 +346,9 @@ def kpi_overview(fact: DataFrame, dim: DataFrame) -> DataFrame:
 
 def platform_share(fact: DataFrame) -> DataFrame:
     g = fact.groupBy("platform").agg(*_sums(fact, "spend_usd"))
-    w = Window.partitionBy()  # one row per platform: a handful of rows
+    total = g.select(F.sum("spend_usd").cast("double")).scalar()
     return g.select("platform", M.round_money("spend_usd").alias("spend_usd"),
-                    F.round(F.col("spend_usd").cast("double")
-                            / F.sum("spend_usd").over(w).cast("double") * 100, 1)
+                    F.round(F.col("spend_usd").cast("double") / total * 100, 1)
                     .alias("share_pct")).orderBy(F.desc("spend_usd"), "platform")
 
 
@@ -363,19 +364,20 @@ def top_campaigns(fact: DataFrame, dim: DataFrame, n: int = 3) -> DataFrame:
 
 # ---------------------------------------------------------------- RPT-7/8/9
 def visit_summary(fact: DataFrame, dim: DataFrame, visits: DataFrame) -> DataFrame:
-    """Per campaign region: spend, actual visits, overall cost per visit and
-    the cheapest / dearest week."""
-    weekly = spend_vs_visits(fact, dim, visits)
-    w = weekly.filter(F.col("cost_per_visit").isNotNull())
+    """RPT-7 per campaign region: total spend, actual visits in weeks with
+    spend, spend per visit, and the cheapest / dearest week by cost per
+    visit (ties -> earlier / later week)."""
+    weekly = spend_vs_visits(fact, dim, visits, rounded=False)
     g = weekly.groupBy("campaign_region").agg(
-        F.sum("total_spend_usd").alias("s"), F.sum("total_store_visits").alias("v"))
-    best = w.groupBy("campaign_region").agg(
+        F.sum("s").alias("s"), F.sum("total_store_visits").alias("v"))
+    w = weekly.filter(F.col("cost_per_visit").isNotNull())
+    ext = w.groupBy("campaign_region").agg(
         F.min_by("week", F.struct("cost_per_visit", "week")).alias("best_week"),
         F.min("cost_per_visit").alias("best_cost_per_visit"),
-        F.max_by("week", F.struct("cost_per_visit", F.col("week"))).alias("worst_week"),
+        F.max_by("week", F.struct("cost_per_visit", "week")).alias("worst_week"),
         F.max("cost_per_visit").alias("worst_cost_per_visit"))
-    return g.join(best, "campaign_region", "left").select(
-        "campaign_region", F.round("s", 2).alias("total_spend_usd"),
+    return g.join(ext, "campaign_region", "left").select(
+        "campaign_region", M.round_money("s").alias("total_spend_usd"),
         F.col("v").cast("bigint").alias("total_store_visits"),
         M.round_ratio("s", "v").alias("spend_per_visit"),
         "best_week", "best_cost_per_visit", "worst_week", "worst_cost_per_visit"
@@ -385,17 +387,32 @@ def visit_summary(fact: DataFrame, dim: DataFrame, visits: DataFrame) -> DataFra
 def budget_status_counts(fact: DataFrame, dim: DataFrame, metadata: DataFrame) -> DataFrame:
     bc = budget_compliance(fact, dim, metadata)
     g = bc.groupBy("budget_status").agg(F.count(F.lit(1)).alias("campaigns"))
-    w = Window.partitionBy()  # two rows at most
+    total = g.select(F.sum("campaigns").cast("double")).scalar()
     return g.select("budget_status", "campaigns",
-                    F.round(F.col("campaigns") / F.sum("campaigns").over(w) * 100, 1)
+                    F.round(F.col("campaigns").cast("double") / total * 100, 1)
                     .alias("pct")).orderBy("budget_status")
 
 
 def product_line_share(fact: DataFrame, dim: DataFrame) -> DataFrame:
-    """RPT-9: spend share against ROI per product line, and campaign CPA
-    against the blended average."""
-    roi = roi_by_product_line(fact, dim)
-    w = Window.partitionBy()  # one row per product line
-    return roi.select("product_line", "total_spend", "roi",
-                      F.round(F.col("total_spend") / F.sum("total_spend").over(w) * 100, 1)
-                      .alias("spend_share_pct")).orderBy(F.desc("roi"), "product_line")
+    """RPT-9: spend share of each product line next to its ROI."""
+    j = _campaign_totals(fact).join(dim.select("campaign_id", "product_line"), "campaign_id")
+    g = j.groupBy("product_line").agg(
+        *[F.sum(c).alias(c) for c in ("spend_usd", "conversion_value_usd")])
+    total = g.select(F.sum("spend_usd").cast("double")).scalar()
+    return g.select("product_line", M.round_money("spend_usd").alias("total_spend"),
+                    M.round_ratio("conversion_value_usd", "spend_usd").alias("roi"),
+                    F.round(F.col("spend_usd").cast("double") / total * 100, 1)
+                    .alias("spend_share_pct")).orderBy(F.desc("roi"), "product_line")
+
+
+def campaign_cpa_vs_average(fact: DataFrame, dim: DataFrame) -> DataFrame:
+    """RPT-9: each campaign's CPA against the blended CPA of all campaigns."""
+    per = _campaign_totals(fact).join(dim.select("campaign_id", "campaign_name_standardized"),
+                                      "campaign_id")
+    avg_cpa = per.select(M.ratio(F.sum("spend_usd"), F.sum("conversions"))).scalar()
+    cpa = M.ratio("spend_usd", "conversions")
+    return per.select("campaign_id", "campaign_name_standardized",
+                      F.round(cpa, 2).alias("cpa"),
+                      F.round(avg_cpa, 2).alias("average_cpa"),
+                      F.round(cpa - avg_cpa, 2).alias("cpa_gap")
+                      ).orderBy("cpa_gap", "campaign_id")
