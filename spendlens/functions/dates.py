@@ -50,33 +50,26 @@ def is_weekend(c) -> Column:
     return day_of_week_sunday0(c).isin(0, 6).cast("int")
 
 
-def shift_fixed_hours(c, hours: int = 8) -> Column:
-    """Parse a local wall-clock string/timestamp and add a fixed offset.
+def parse_wall_clock(c) -> Column:
+    """Text ``YYYY-MM-DD[ T]HH:MM:SS[.fff][Z]`` (or a date) -> timestamp_ntz.
+
+    A cast to timestamp_ntz does not involve the session time zone, and
+    ``try_cast`` gives NULL for anything unparseable instead of failing."""
+    s = F.regexp_replace(_col(c).cast("string"), "Z$", "")
+    return s.try_cast("timestamp_ntz")
 
-    Bad or empty input gives NULL.  The fixed offset ignores daylight saving,
-    which is what the source system does (Pacific -> UTC as +8 h).
-    """
-    col = _col(c)
-    ts = F.coalesce(
-        F.try_to_timestamp(col.cast("string"), F.lit("yyyy-MM-dd HH:mm:ss")),
-        F.try_to_timestamp(col.cast("string"), F.lit("yyyy-MM-dd'T'HH:mm:ss")),
-        F.try_to_timestamp(col.cast("string"), F.lit("yyyy-MM-dd")),
-    ).cast("timestamp_ntz")
-    return ts + F.expr(f"INTERVAL {int(hours)} HOURS")
+
+def shift_fixed_hours(c, hours: int = 8) -> Column:
+    """Local wall clock + a fixed offset (Pacific -> UTC as +8 h, ignoring
+    daylight saving, which is what the source system does).  Bad or empty
+    input gives NULL."""
+    return parse_wall_clock(c) + F.expr(f"INTERVAL {int(hours)} HOURS")
 
 
 def shift_zone_to_utc(c, zone: str = "America/Los_Angeles") -> Column:
     """Zone-aware alternative to :func:`shift_fixed_hours` (honours DST)."""
-    col = _col(c)
-    ts = F.try_to_timestamp(col.cast("string"), F.lit("yyyy-MM-dd HH:mm:ss"))
-    return F.to_utc_timestamp(ts, zone).cast("timestamp_ntz")
+    return F.to_utc_timestamp(parse_wall_clock(c), zone).cast("timestamp_ntz")
 
 
-def parse_iso_timestamp(c) -> Column:
-    """Parse ``YYYY-MM-DD HH:MM:SS`` or ISO ``YYYY-MM-DDTHH:MM:SS[Z]`` into
-    timestamp_ntz; anything else gives NULL."""
-    s = F.regexp_replace(_col(c).cast("string"), "Z$", "")
-    return F.coalesce(
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss")),
-    ).cast("timestamp_ntz")
+def format_wall_clock(c) -> Column:
+    return F.date_format(_col(c), "yyyy-MM-dd HH:mm:ss")

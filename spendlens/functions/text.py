@@ -36,12 +36,11 @@ def to_long(c) -> Column:
     """Integer text -> bigint. ``'6.0'`` is accepted and truncated like
     ``int(float(x))``; anything else that is non-empty gives NULL."""
     s = empty_to_null(c)
-    return F.coalesce(F.try_cast(s, "bigint"),
-                      F.try_cast(F.try_cast(s, "decimal(38,6)"), "bigint"))
+    return F.coalesce(s.try_cast("bigint"), s.try_cast("decimal(38,6)").try_cast("bigint"))
 
 
 def to_double(c) -> Column:
-    return F.try_cast(empty_to_null(c), "double")
+    return empty_to_null(c).try_cast("double")
 
 
 def to_double_or_zero(c) -> Column:

@@ -21,7 +21,7 @@ def insert_ignore(existing: DataFrame | None, batch: DataFrame, keys: Sequence[s
                   ordinal: str | None = None) -> DataFrame:
     """Rows of ``batch`` whose key is neither in ``existing`` nor earlier in
     the batch.  ``existing`` only needs the key columns."""
-    first = first_per_key(batch, keys, ordinal=ordinal, drop_ordinal=True)
+    first = first_per_key(batch, keys, ordinal=ordinal)
     if existing is None:
         return first
     return first.join(existing.select(*keys).distinct(), list(keys), "left_anti")

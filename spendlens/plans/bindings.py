@@ -165,7 +165,7 @@ def stg_store_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STG_STORE_VISITS_SQL = RAW_STORE_VISITS_SQL + """,
-dma_list AS (SELECT DISTINCT dma_code, dma_name FROM raw_store_visits),
+dma_list AS (SELECT dma_code, max(dma_name) AS dma_name FROM raw_store_visits GROUP BY dma_code),
 grid AS (
   SELECT CAST(d AS DATE) AS date, dma_code, dma_name
   FROM dma_list,

@@ -110,3 +110,24 @@ def calendar_spanning(bounds: DataFrame, lo: str = "lo", hi: str = "hi") -> Data
     days = bounds.select(F.explode(F.sequence(F.col(lo).cast("date"), F.col(hi).cast("date"),
                                               F.expr("INTERVAL 1 DAY"))).alias("d"))
     return days.select(*calendar_columns(F.col("d")))
+
+
+def exchange_rates_for_years(years: DataFrame, col: str = "year") -> DataFrame:
+    """The monthly rate pattern above, repeated for every year in ``years``
+    (used when data outside 2026 must be converted).  Built with explode, no
+    join: 18 rows per year."""
+    cells = [F.struct(F.lit(m + 1).alias("month"), F.lit(cur).alias("from_currency"),
+                      F.lit(rate).alias("rate"))
+             for cur, rates in FX_RATES_2026.items() for m, rate in enumerate(rates)]
+    x = years.select(F.col(col).cast("int").alias("year"), F.explode(F.array(*cells)).alias("r"))
+    return x.select("year", F.col("r.month").alias("month"),
+                    F.col("r.from_currency").alias("from_currency"),
+                    F.lit("USD").alias("to_currency"), F.col("r.rate").alias("rate"),
+                    F.lit("simulation").alias("source"))
+
+
+def fx_rates_values_sql() -> str:
+    """The same 18 (month, currency, rate) cells as a SQL VALUES list."""
+    rows = [f"({m + 1}, '{cur}', {rate})"
+            for cur, rates in FX_RATES_2026.items() for m, rate in enumerate(rates)]
+    return "VALUES " + ", ".join(rows)
