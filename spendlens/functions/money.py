@@ -42,6 +42,17 @@ def ratio(num, den) -> Column:
     return F.try_divide(_col(num).cast("double"), _col(den).cast("double"))
 
 
+def round_half_up(c, digits: int = 2) -> Column:
+    """floor(x * 10^d + 0.5) / 10^d on a double.
+
+    For values that come out of a division (averages, forecasts) a binary
+    double can sit exactly on a decimal tie; ``round`` then depends on how an
+    engine converts the double to decimal.  These three IEEE operations give
+    the same answer on every engine."""
+    scale = float(10 ** digits)
+    return (F.floor(_col(c) * scale + 0.5) / scale).cast("double")
+
+
 def round_ratio(num, den, digits: int = 2) -> Column:
     return F.round(ratio(num, den), digits)
 
