@@ -9,7 +9,8 @@ the shuffle and a hot key costs one partial row per input partition.
 
 Ordering conventions
 --------------------
-``ordinal``: numeric input position, lower = earlier.  When a rule says
+``ordinal``: numeric input position (one column or several, compared in
+order), lower = earlier.  When a rule says
 "earlier wins" on ties we maximise ``-ordinal``.  The whole row is the final
 tie-break, so the result is deterministic even without an ordinal.
 """
@@ -27,8 +28,19 @@ def _payload(df: DataFrame) -> Column:
     return F.struct(*[F.col(c) for c in df.columns])
 
 
-def _neg(c: str | None) -> list[Column]:
-    return [(-F.col(c)).alias("_neg_ord")] if c else []
+def _neg(c: str | Sequence[str] | None) -> list[Column]:
+    """Negated numeric ordinal column(s): maximising them picks the earliest."""
+    if not c:
+        return []
+    cols = [c] if isinstance(c, str) else list(c)
+    return [(-F.col(x)).alias(f"_neg_{i}") for i, x in enumerate(cols)]
+
+
+def _drop(df: DataFrame, ordinal, drop: bool) -> list[str]:
+    if not (drop and ordinal):
+        return list(df.columns)
+    gone = {ordinal} if isinstance(ordinal, str) else set(ordinal)
+    return [c for c in df.columns if c not in gone]
 
 
 def _lowest(df: DataFrame, ts: str) -> Column:
@@ -39,7 +51,8 @@ def _lowest(df: DataFrame, ts: str) -> Column:
 
 
 def best_record(df: DataFrame, keys: Sequence[str], ts: str, size: str,
-                ordinal: str | None = None, drop_ordinal: bool = True) -> DataFrame:
+                ordinal: str | Sequence[str] | None = None,
+                drop_ordinal: bool = True) -> DataFrame:
     """One row per key (AGG-11).
 
     * more than one distinct timestamp in the group -> newest timestamp wins;
@@ -58,21 +71,22 @@ def best_record(df: DataFrame, keys: Sequence[str], ts: str, size: str,
         F.min(ts_key).alias("_ts_lo"), F.max(ts_key).alias("_ts_hi"),
         by_ts.alias("_by_ts"), by_size.alias("_by_size"))
     best = F.when(F.col("_ts_lo") != F.col("_ts_hi"), F.col("_by_ts")).otherwise(F.col("_by_size"))
-    out_cols = [c for c in df.columns if not (drop_ordinal and c == ordinal)]
+    out_cols = _drop(df, ordinal, drop_ordinal)
     return g.select(best.alias("_best"), "_n").select(
         *[F.col("_best")[c].alias(c) for c in out_cols],
         (F.col("_n") > 1).cast("int").alias("duplicate_combined"),
         F.col("_n").cast("int").alias("duplicate_count"))
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], ordinal: str | None = None,
+def first_per_key(df: DataFrame, keys: Sequence[str],
+                  ordinal: str | Sequence[str] | None = None,
                   drop_ordinal: bool = False) -> DataFrame:
     """Earliest row per key (insert-or-ignore inside one batch)."""
     row = _payload(df)
     # with an ordinal the earliest row wins; without one the smallest row
     pick = F.max_by(row, F.struct(*_neg(ordinal), row)) if ordinal else F.min(row)
     g = df.groupBy(*keys).agg(pick.alias("_r"))
-    out_cols = [c for c in df.columns if not (drop_ordinal and c == ordinal)]
+    out_cols = _drop(df, ordinal, drop_ordinal)
     return g.select(*[F.col("_r")[c].alias(c) for c in out_cols])
 
 

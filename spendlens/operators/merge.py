@@ -18,7 +18,7 @@ from spendlens.operators.dedup import first_per_key, last_per_key
 
 
 def insert_ignore(existing: DataFrame | None, batch: DataFrame, keys: Sequence[str],
-                  ordinal: str | None = None) -> DataFrame:
+                  ordinal: str | Sequence[str] | None = None) -> DataFrame:
     """Rows of ``batch`` whose key is neither in ``existing`` nor earlier in
     the batch.  ``existing`` only needs the key columns."""
     first = first_per_key(batch, keys, ordinal=ordinal)

@@ -7,6 +7,7 @@ upserts are applied by the pipeline around them.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -62,18 +63,21 @@ def convert_currency(df: DataFrame, rates: DataFrame, *, amount_cols: dict[str,
     return out.drop("_y", "_m", "_cur", "_fx_year", "_fx_month", "_fx_cur", "_fx_rate")
 
 
-def build_stg_meta(raw_meta: DataFrame, rates: DataFrame, staged_ts: _dt.datetime) -> DataFrame:
-    """TAB-10."""
+def build_stg_meta(raw_meta: DataFrame, rates: DataFrame, staged_ts: _dt.datetime,
+                   extra: Sequence[str] = ()) -> DataFrame:
+    """TAB-10.  ``extra`` columns (e.g. input order) are carried through."""
     conv = convert_currency(raw_meta, rates, amount_cols={
         "spend_usd": "spend_amount", "conversion_value_usd": "conversion_value_amount"})
     return conv.select(
         "date", "timestamp_utc", "campaign_id", "campaign_name", "adset_id", "ad_id",
         "objective", "placement", "impressions", "clicks", "spend_usd", "currency_used",
         "currency_conversion_note", "conversions", "conversion_value_usd", "platform",
-        "_load_timestamp", F.lit(staged_ts).cast("timestamp_ntz").alias("_staged_timestamp"))
+        "_load_timestamp", F.lit(staged_ts).cast("timestamp_ntz").alias("_staged_timestamp"),
+        *extra)
 
 
-def build_stg_google(raw_google: DataFrame, staged_ts: _dt.datetime) -> DataFrame:
+def build_stg_google(raw_google: DataFrame, staged_ts: _dt.datetime,
+                     extra: Sequence[str] = ()) -> DataFrame:
     """TAB-11: micros -> dollars; always USD."""
     return raw_google.select(
         "date", "timestamp_utc", "campaign_id", "campaign_name", "advertising_channel_type",
@@ -84,10 +88,10 @@ def build_stg_google(raw_google: DataFrame, staged_ts: _dt.datetime) -> DataFram
         "conversions",
         M.micros_to_dollars("conversions_value_micros").alias("conversion_value_usd"),
         "platform", "duplicate_combined", "duplicate_count", "_load_timestamp",
-        F.lit(staged_ts).cast("timestamp_ntz").alias("_staged_timestamp"))
+        F.lit(staged_ts).cast("timestamp_ntz").alias("_staged_timestamp"), *extra)
 
 
-def google_as_performance(stg_google: DataFrame) -> DataFrame:
+def google_as_performance(stg_google: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """PRJ-14: Google rows in the unified shape (no ad-level ids; channel
     type re-used as placement)."""
     return stg_google.select(
@@ -96,7 +100,7 @@ def google_as_performance(stg_google: DataFrame) -> DataFrame:
         F.col("advertising_channel_type").alias("placement"),
         "impressions", "clicks", "spend_usd", "currency_used", "currency_conversion_note",
         "conversions", "conversion_value_usd", "platform", "_load_timestamp",
-        "_staged_timestamp")
+        "_staged_timestamp", *extra)
 
 
 def build_stg_daily_performance(stg_meta: DataFrame, stg_google: DataFrame,
