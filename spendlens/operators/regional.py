@@ -31,9 +31,13 @@ def match_regions(campaign_regions: DataFrame, totals: DataFrame, *, keys: Seque
     regional = (regions.filter(F.col(out_region) != NATIONAL)
                 .join(totals, F.col(out_region) == totals[mapped])
                 .groupBy(*keys, out_region).agg(F.sum(value).alias(value)))
+    # "is there a National campaign region?" is one scalar, evaluated once as
+    # a subquery (a semi join on the constant would plan as a nested loop)
+    has_national = regions.filter(F.col(out_region) == NATIONAL) \
+        .select(F.count(F.lit(1))).scalar() > 0
     national = (totals.groupBy(*keys).agg(F.sum(value).alias(value))
-                .withColumn(out_region, F.lit(NATIONAL))
-                .join(regions, out_region, "left_semi"))
+                .filter(has_national)
+                .withColumn(out_region, F.lit(NATIONAL)))
     return regional.unionByName(national.select(*keys, out_region, value))
 
 

@@ -117,8 +117,8 @@ a AS (
   SELECT *, CAST(SUM(row_count) OVER w AS DOUBLE) / COUNT(row_count) OVER w AS avg7
   FROM daily
   WINDOW w AS (PARTITION BY source ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)),
-b AS (SELECT *, ROUND((row_count - avg7) / avg7 * 100, 1) AS deviation_pct FROM a)
-SELECT source, date, row_count, ROUND(avg7, 2) AS avg_prev_7d, deviation_pct,
+b AS (SELECT *, DROUND((row_count - avg7) / avg7 * 100, 1) AS deviation_pct FROM a)
+SELECT source, date, row_count, DROUND(avg7, 2) AS avg_prev_7d, deviation_pct,
        CASE WHEN deviation_pct IS NULL THEN 'no_history'
             WHEN abs(deviation_pct) > 50 THEN 'critical'
             WHEN abs(deviation_pct) > 20 THEN 'warning' ELSE 'ok' END AS severity
@@ -136,8 +136,8 @@ ds AS (SELECT ship_date, CAST(SUM(duplicate_count) AS BIGINT) AS records,
               CAST(SUM(duplicate_count - 1) AS BIGINT) AS duplicates
        FROM deduped GROUP BY ship_date)
 SELECT ship_date, records, duplicates,
-       ROUND(CAST(duplicates AS DOUBLE) / NULLIF(CAST(records AS DOUBLE), 0) * 100, 2) AS share_pct,
-       CASE WHEN ROUND(CAST(duplicates AS DOUBLE) / NULLIF(CAST(records AS DOUBLE), 0) * 100, 2) > 5
+       DROUND(CAST(duplicates AS DOUBLE) / NULLIF(CAST(records AS DOUBLE), 0) * 100, 2) AS share_pct,
+       CASE WHEN DROUND(CAST(duplicates AS DOUBLE) / NULLIF(CAST(records AS DOUBLE), 0) * 100, 2) > 5
             THEN 1 ELSE 0 END AS alert
 FROM ds""")
 def q_duplicate_share(spark, d):
@@ -150,8 +150,8 @@ g AS (SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) A
              COUNT(*) AS records, COUNT(*) FILTER (WHERE currency_used != 'USD') AS non_usd_records
       FROM converted GROUP BY 1, 2)
 SELECT year, month, records, non_usd_records,
-       ROUND(CAST(non_usd_records AS DOUBLE) / CAST(records AS DOUBLE) * 100, 2) AS share_pct,
-       CASE WHEN ROUND(CAST(non_usd_records AS DOUBLE) / CAST(records AS DOUBLE) * 100, 2) > 10
+       DROUND(CAST(non_usd_records AS DOUBLE) / CAST(records AS DOUBLE) * 100, 2) AS share_pct,
+       CASE WHEN DROUND(CAST(non_usd_records AS DOUBLE) / CAST(records AS DOUBLE) * 100, 2) > 10
             THEN 1 ELSE 0 END AS alert
 FROM g""")
 def q_non_usd_share(spark, d):
@@ -207,8 +207,8 @@ def q_unacceptable_conditions(spark, d):
 @register("cpa_alerts", with_ctes(B.ADS_FACT_SQL) + """,
 g AS (SELECT date, SUM(spend_usd) AS s, SUM(conversions) AS c FROM ads_fact GROUP BY date)
 SELECT date, CAST(ROUND(s, 2) AS DOUBLE) AS spend_usd, CAST(ROUND(c, 2) AS DOUBLE) AS conversions,
-       ROUND(CAST(s AS DOUBLE) / NULLIF(CAST(c AS DOUBLE), 0), 2) AS cpa
-FROM g WHERE ROUND(CAST(s AS DOUBLE) / NULLIF(CAST(c AS DOUBLE), 0), 2) > 60""")
+       DROUND(CAST(s AS DOUBLE) / NULLIF(CAST(c AS DOUBLE), 0), 2) AS cpa
+FROM g WHERE DROUND(CAST(s AS DOUBLE) / NULLIF(CAST(c AS DOUBLE), 0), 2) > 60""")
 def q_cpa_alerts(spark, d):
     return Q.cpa_alerts(B.ads_fact(spark, d))
 
@@ -220,7 +220,7 @@ weekly AS (SELECT mapped_region, strftime(date, '%Y-W%W') AS week,
 l AS (SELECT *, LAG(visits) OVER (PARTITION BY mapped_region ORDER BY week) AS prev_visits
       FROM weekly),
 x AS (SELECT *, CASE WHEN prev_visits > 0 THEN
-                  ROUND(CAST(prev_visits - visits AS DOUBLE) / prev_visits * 100, 1) END AS drop_pct
+                  DROUND(CAST(prev_visits - visits AS DOUBLE) / prev_visits * 100, 1) END AS drop_pct
       FROM l)
 SELECT mapped_region, week, visits, prev_visits, drop_pct FROM x WHERE drop_pct > 30""")
 def q_visit_drop_alerts(spark, d):
@@ -248,9 +248,9 @@ g AS (SELECT objective AS platform, SUM(CAST(spend_usd AS DECIMAL(20,4))) AS gs,
              SUM(CAST(conversions AS DECIMAL(20,4))) AS gc
       FROM unified WHERE platform = 'meta' GROUP BY objective),
 j AS (SELECT b.platform, bs, gs, bc, gc,
-             ROUND(CAST(bs - COALESCE(gs, 0) AS DOUBLE) / NULLIF(CAST(bs AS DOUBLE), 0) * 100, 3) + 0.0
+             DROUND(CAST(bs - COALESCE(gs, 0) AS DOUBLE) / NULLIF(CAST(bs AS DOUBLE), 0) * 100, 3) + 0.0
                AS sl,
-             ROUND(CAST(bc - COALESCE(gc, 0) AS DOUBLE) / NULLIF(CAST(bc AS DOUBLE), 0) * 100, 3) + 0.0
+             DROUND(CAST(bc - COALESCE(gc, 0) AS DOUBLE) / NULLIF(CAST(bc AS DOUBLE), 0) * 100, 3) + 0.0
                AS cl
       FROM b LEFT JOIN g ON b.platform = g.platform)
 SELECT platform, CAST(ROUND(bs, 2) AS DOUBLE) AS bronze_spend, CAST(ROUND(gs, 2) AS DOUBLE) AS gold_spend,
@@ -279,7 +279,7 @@ UNION ALL SELECT 'duplicate records', CAST(SUM(duplicate_count - 1) AS BIGINT),
 UNION ALL SELECT 'zero-filled store visits', COUNT(*) FILTER (WHERE is_zero_filled = 1), COUNT(*)
   FROM stg_store_visits
 UNION ALL SELECT 'missing budgets', COUNT(*) FILTER (WHERE budget_usd IS NULL), COUNT(*)
-  FROM campaign_metadata""".replace("SELECT 'currency conversion'", "SELECT *, ROUND(CAST(records_affected AS DOUBLE) / NULLIF(CAST(total_records AS DOUBLE), 0) * 100, 1) AS pct FROM (SELECT 'currency conversion'") + ")")
+  FROM campaign_metadata""".replace("SELECT 'currency conversion'", "SELECT *, DROUND(CAST(records_affected AS DOUBLE) / NULLIF(CAST(total_records AS DOUBLE), 0) * 100, 1) AS pct FROM (SELECT 'currency conversion'") + ")")
 def q_quality_issue_summary(spark, d):
     conv = fx_converted(spark, d)
     dd = dedup_lineitem(spark, d)

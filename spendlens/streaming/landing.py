@@ -42,16 +42,17 @@ def _stream(spark: SparkSession, landing_dir: str, source: str) -> DataFrame:
         cols, _, _, _, glob = _CLEANERS[source]
         df = (spark.readStream.schema(SRC.string_schema(cols)).option("header", True)
               .option("pathGlobFilter", glob).csv(landing_dir))
-    # input order inside a micro-batch: file name, split start, row in split
+    # input order: file name and split start here; the row inside the split
+    # is numbered per micro-batch (not allowed on the streaming plan itself)
     return df.select("*", F.col("_metadata.file_path").alias("_source_file"),
-                     F.col("_metadata.file_block_start").alias("_block"),
-                     F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-                     .alias("_row"))
+                     F.col("_metadata.file_block_start").alias("_block"))
 
 
 def _batch_writer(store: TableStore, source: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
         run_ts = now_utc()
+        batch = batch.withColumn("_row", F.monotonically_increasing_id().bitwiseAND(
+            F.lit((1 << 33) - 1)))
         files = batch.select("_source_file").distinct()
         # one row per file of the micro-batch
         ranked = files.withColumn(
