@@ -3,9 +3,12 @@
 A window ``row_number() OVER (PARTITION BY key ...)`` sends every row of a key
 to one task and sorts it there; with one key holding a third of the data that
 task would hold a third of the data.  The functions here instead pick the
-winning row with ``max_by`` over an ordering struct.  ``max_by`` is a
+winning row as ``max(struct(ordering..., row))`` per key.  ``max`` is a
 declarative aggregate, so Spark combines map-side (partial aggregation) before
-the shuffle and a hot key costs one partial row per input partition.
+the shuffle and a hot key costs one partial row per input partition.  (A
+struct buffer makes Spark use sort-based aggregation; the struct holds the
+non-key columns once, and keys are returned from the grouping columns so
+filters on keys are pushed below the aggregate.)
 
 Ordering conventions
 --------------------
@@ -24,8 +27,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
-def _payload(df: DataFrame) -> Column:
-    return F.struct(*[F.col(c) for c in df.columns])
+def _payload(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Non-key columns as one struct (keys come back from the grouping
+    columns, which lets Catalyst push filters on keys below the aggregate)."""
+    return F.struct(*[F.col(c) for c in df.columns if c not in set(keys)])
+
+
+def _out(df: DataFrame, keys: Sequence[str], struct_col: str, cols: Sequence[str]):
+    keyset = set(keys)
+    return [F.col(c) if c in keyset else F.col(struct_col)[c].alias(c) for c in cols]
 
 
 def _neg(c: str | Sequence[str] | None) -> list[Column]:
@@ -62,18 +72,21 @@ def best_record(df: DataFrame, keys: Sequence[str], ts: str, size: str,
     Adds ``duplicate_combined`` (1 when the group had > 1 row) and
     ``duplicate_count``.
     """
-    row = _payload(df)
+    row = _payload(df, keys)
     ts_key = _lowest(df, ts)
-    by_ts = F.max_by(row, F.struct(ts_key, *_neg(ordinal), row))
-    by_size = F.max_by(row, F.struct(F.col(size), *_neg(ordinal), row))
+    # max over one struct (ordering fields first, then the row as the final
+    # tie-break): the winning row travels once, not as value + ordering
+    by_ts = F.max(F.struct(ts_key.alias("_o1"), *_neg(ordinal), row.alias("_row")))
+    by_size = F.max(F.struct(F.col(size).alias("_o1"), *_neg(ordinal), row.alias("_row")))
     g = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.min(ts_key).alias("_ts_lo"), F.max(ts_key).alias("_ts_hi"),
         by_ts.alias("_by_ts"), by_size.alias("_by_size"))
-    best = F.when(F.col("_ts_lo") != F.col("_ts_hi"), F.col("_by_ts")).otherwise(F.col("_by_size"))
+    best = F.when(F.col("_ts_lo") != F.col("_ts_hi"), F.col("_by_ts._row")) \
+        .otherwise(F.col("_by_size._row"))
     out_cols = _drop(df, ordinal, drop_ordinal)
-    return g.select(best.alias("_best"), "_n").select(
-        *[F.col("_best")[c].alias(c) for c in out_cols],
+    return g.select(*keys, best.alias("_best"), "_n").select(
+        *_out(df, keys, "_best", out_cols),
         (F.col("_n") > 1).cast("int").alias("duplicate_combined"),
         F.col("_n").cast("int").alias("duplicate_count"))
 
@@ -82,17 +95,20 @@ def first_per_key(df: DataFrame, keys: Sequence[str],
                   ordinal: str | Sequence[str] | None = None,
                   drop_ordinal: bool = False) -> DataFrame:
     """Earliest row per key (insert-or-ignore inside one batch)."""
-    row = _payload(df)
+    row = _payload(df, keys)
     # with an ordinal the earliest row wins; without one the smallest row
-    pick = F.max_by(row, F.struct(*_neg(ordinal), row)) if ordinal else F.min(row)
+    pick = (F.max(F.struct(*_neg(ordinal), row.alias("_row")))["_row"] if ordinal
+            else F.min(row))
     g = df.groupBy(*keys).agg(pick.alias("_r"))
     out_cols = _drop(df, ordinal, drop_ordinal)
-    return g.select(*[F.col("_r")[c].alias(c) for c in out_cols])
+    return g.select(*_out(df, keys, "_r", out_cols))
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Latest row per key by the ``order`` columns (last write wins); the
     whole row breaks remaining ties."""
-    row = _payload(df)
-    g = df.groupBy(*keys).agg(F.max_by(row, F.struct(*[F.col(c) for c in order], row)).alias("_r"))
-    return g.select(*[F.col("_r")[c].alias(c) for c in df.columns])
+    row = _payload(df, keys)
+    last = F.max(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+                          row.alias("_row")))["_row"]
+    g = df.groupBy(*keys).agg(last.alias("_r"))
+    return g.select(*_out(df, keys, "_r", df.columns))

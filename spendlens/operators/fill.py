@@ -23,16 +23,15 @@ def zero_fill(visits: DataFrame, *, date_col: str = "date", key: str = "dma_code
     on filled rows they take ``run_ts`` when given (so that fills created by a
     later run pass later watermarks) or NULL.
     """
-    # The two bounds are one aggregate row; bringing two scalars to the driver
-    # keeps the grid generation free of joins.
-    b = visits.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
+    # The global bounds are two scalar subqueries, planned once with the query
+    # (no separate action when the plan is built); the grid is then generated
+    # per key with explode(sequence), no join.
+    lo = visits.select(F.min(date_col)).scalar()
+    hi = visits.select(F.max(date_col)).scalar()
     keys = visits.groupBy(key).agg(F.max(name).alias(name))
-    if b is None or b["lo"] is None:
-        grid = keys.select(F.lit(None).cast("date").alias(date_col), key, name).limit(0)
-    else:
-        grid = keys.select(
-            F.explode(F.sequence(F.lit(b["lo"]).cast("date"), F.lit(b["hi"]).cast("date"),
-                                 F.expr("INTERVAL 1 DAY"))).alias(date_col), key, name)
+    grid = keys.select(
+        F.explode(F.sequence(lo.cast("date"), hi.cast("date"),
+                             F.expr("INTERVAL 1 DAY"))).alias(date_col), key, name)
     actual = visits.select(date_col, key, *measures, *carry,
                            F.lit(1).alias("_present"))
     j = grid.join(actual, [date_col, key], "left")
