@@ -55,48 +55,62 @@ BRONZE = {
 }
 
 
-def _read_clean(spark: SparkSession, source: str, path: str, run_ts):
+def _read_clean(spark: SparkSession, source: str, paths: list[str], run_ts):
     if source == "meta_ads":
-        return BR.clean_meta(SRC.read_csv_strings(spark, path, SRC.META_COLUMNS), run_ts)
+        return BR.clean_meta(SRC.read_csv_strings(spark, paths, SRC.META_COLUMNS), run_ts)
     if source == "google_ads":
-        raw = SRC.flatten_google(SRC.read_json_lines(spark, path))
+        raw = SRC.flatten_google(SRC.read_json_lines(spark, paths))
         good, bad = BR.clean_google(raw, run_ts)
         return BR.dedup_google(good), bad
     if source == "store_visits":
-        return BR.clean_store_visits(SRC.read_csv_strings(spark, path, SRC.VISITS_COLUMNS), run_ts)
-    return BR.clean_campaign_metadata(SRC.read_csv_strings(spark, path, SRC.METADATA_COLUMNS),
+        return BR.clean_store_visits(SRC.read_csv_strings(spark, paths, SRC.VISITS_COLUMNS),
+                                     run_ts)
+    return BR.clean_campaign_metadata(SRC.read_csv_strings(spark, paths, SRC.METADATA_COLUMNS),
                                       run_ts)
 
 
 def load_bronze(spark: SparkSession, store: TableStore, raw_dir: str, run_ts,
                 result: RunResult) -> None:
-    """Extract + transform + keyed load of the landing files that changed."""
-    listing = SRC.list_files(spark, raw_dir)
-    changed = {r["file_name"]: r for r in changed_files(listing, store.last_success()).collect()}
-    present = {r["file_name"] for r in listing.select("file_name").collect()}
+    """Extract + transform + keyed load of the landing files that changed.
+
+    All changed files of a source are read in one job.  The listing and the
+    per-file counters are the only rows that reach the driver (one per
+    landing file)."""
+    listing = SRC.list_files(spark, raw_dir).filter(F.col("source").isNotNull())
+    files = listing.collect()
+    changed = {r["path"] for r in changed_files(listing, store.last_success())
+               .select("path").collect()}
     log_rows = []
-    for source, file_name in SRC.SOURCE_FILES.items():
+    for source in SRC.SOURCE_PREFIXES:
         table, keys = BRONZE[source]
-        if file_name not in present:
+        mine = [r for r in files if r["source"] == source]
+        todo = [r for r in mine if r["path"] in changed]
+        if not mine:
             result.loads[source] = {"status": "missing"}
             continue
-        if file_name not in changed:
+        if not todo:
             result.loads[source] = {"status": "unchanged", "inserted": 0}
             continue
-        meta = changed[file_name]
-        good, bad = _read_clean(spark, source, meta["path"], run_ts)
+        good, bad = _read_clean(spark, source, [r["path"] for r in todo], run_ts)
         bad = bad.withColumn("_load_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
         store.append(QUARANTINE, bad)
         existing = store.read(table)
-        new = insert_ignore(existing, good.drop("_source_file"), keys, ordinal=SRC.ORDER_COLS)
+        new = insert_ignore(existing, good, keys, ordinal=SRC.ORDER_COLS)
         new = new.checkpoint(eager=True)
-        inserted = new.count()
-        total = good.count()
+        per_file_new = {r["_source_file"]: r["n"] for r in
+                        new.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n")).collect()}
+        per_file_all = {r["_source_file"]: r["n"] for r in
+                        good.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n")).collect()}
         store.append(table, new)
+        inserted = sum(per_file_new.values())
+        total = sum(per_file_all.values())
         result.loads[source] = {"status": "success", "inserted": inserted,
-                                "skipped": total - inserted}
-        log_rows.append((file_name, run_ts, meta["file_size_bytes"], meta["file_modified_time"],
-                         inserted, total - inserted, "success"))
+                                "skipped": total - inserted, "files": len(todo)}
+        for r in todo:
+            n_new = per_file_new.get(r["path"], 0)
+            n_all = per_file_all.get(r["path"], 0)
+            log_rows.append((r["path"], run_ts, r["file_size_bytes"], r["file_modified_time"],
+                             n_new, n_all - n_new, "success"))
     store.log_ingestion(log_rows)
 
 

@@ -189,12 +189,14 @@ def cpa_alerts(fact: DataFrame, limit: float = CPA_LIMIT) -> DataFrame:
 
 
 def conversion_rate_alerts(fact: DataFrame, min_pct: float = CONVERSION_RATE_MIN_PCT) -> DataFrame:
-    """Days whose conversions / clicks is below ``min_pct`` percent."""
+    """Daily conversions / clicks in percent, flagged below ``min_pct``."""
     g = fact.groupBy("date").agg(M.exact_sum(fact, "conversions").alias("c"),
                                  F.sum("clicks").alias("clicks"))
     rate = _pct("c", "clicks", 2)
-    return g.select("date", M.round_money("c").alias("conversions"), "clicks",
-                    rate.alias("conversion_rate_pct")).filter(F.col("conversion_rate_pct") < min_pct)
+    return g.select("date", M.round_money("c").alias("conversions"),
+                    F.col("clicks").cast("bigint").alias("clicks"),
+                    rate.alias("conversion_rate_pct"),
+                    F.coalesce(rate < min_pct, F.lit(False)).cast("int").alias("alert"))
 
 
 def visit_drop_alerts(visits: DataFrame, drop_pct: float = VISIT_DROP_PCT) -> DataFrame:
@@ -263,6 +265,35 @@ def source_freshness(last_seen: DataFrame, *, as_of=None, max_lag_days: int = 1)
                             (lag > max_lag_days).cast("int").alias("stale"))
 
 
+def pipeline_health(tracking: DataFrame, log: DataFrame, listing: DataFrame,
+                    expected_files: list[str], *, as_of, stall_hours: float = 1.0,
+                    max_log_gap_days: int = 1) -> DataFrame:
+    """DQ-17 on the pipeline's own state: rule, subject, detail.
+
+    * ``file_missing``: an expected landing file is not present;
+    * ``tracking_stalled``: a watermark older than ``stall_hours`` before
+      ``as_of``;
+    * ``ingestion_gap``: an expected file without a successful ingestion in
+      the last ``max_log_gap_days`` days."""
+    spark = tracking.sparkSession
+    expected = spark.createDataFrame([(f,) for f in expected_files], "file_name string")
+    missing = expected.join(listing.select("file_name"), "file_name", "left_anti").select(
+        F.lit("file_missing").alias("rule"), F.col("file_name").alias("subject"),
+        F.lit(None).cast("string").alias("detail"))
+    limit = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(stall_hours * 60)} MINUTES")
+    stalled = tracking.filter(F.col("last_processed_load_timestamp") < limit).select(
+        F.lit("tracking_stalled").alias("rule"), F.col("table_name").alias("subject"),
+        F.col("last_processed_load_timestamp").cast("string").alias("detail"))
+    last_ok = log.filter(F.col("status") == "success").groupBy("source_file").agg(
+        F.max("ingested_at").alias("last_ok"))
+    since = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(max_log_gap_days)} DAYS")
+    gaps = (expected.join(last_ok, expected.file_name == last_ok.source_file, "left")
+            .filter(F.col("last_ok").isNull() | (F.col("last_ok") < since))
+            .select(F.lit("ingestion_gap").alias("rule"), F.col("file_name").alias("subject"),
+                    F.col("last_ok").cast("string").alias("detail")))
+    return missing.unionByName(stalled).unionByName(gaps)
+
+
 # ---------------------------------------------------------------- RPT-10
 def issue_summary(issues: Mapping[str, tuple[DataFrame, Column, Column]]) -> DataFrame:
     """issue -> (table, aggregate counting affected records, aggregate

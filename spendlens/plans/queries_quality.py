@@ -227,6 +227,25 @@ def q_visit_drop_alerts(spark, d):
     return Q.visit_drop_alerts(B.fact_store_visits(spark, d))
 
 
+@register("conversion_rate_alerts", """
+WITH g AS (
+  SELECT CAST(ts AS DATE) AS date,
+         SUM(CAST(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS DECIMAL(20,4))) AS c,
+         SUM(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS clicks
+  FROM events GROUP BY 1)
+SELECT date, CAST(ROUND(c, 2) AS DOUBLE) AS conversions, CAST(clicks AS BIGINT) AS clicks,
+       DROUND(CAST(c AS DOUBLE) / NULLIF(CAST(clicks AS DOUBLE), 0) * 100, 2) AS conversion_rate_pct,
+       CASE WHEN DROUND(CAST(c AS DOUBLE) / NULLIF(CAST(clicks AS DOUBLE), 0) * 100, 2) < 1
+            THEN 1 ELSE 0 END AS alert
+FROM g""")
+def q_conversion_rate_alerts(spark, d):
+    e = B.table(spark, d, "events")
+    rows = e.select(F.col("ts").cast("date").alias("date"),
+                    (F.col("event_type") == "purchase").cast("int").alias("conversions"),
+                    (F.col("event_type") == "click").cast("int").alias("clicks"))
+    return Q.conversion_rate_alerts(rows)
+
+
 # ------------------------------------------------------------------ DQ-14
 @register("spend_vs_forecast", with_ctes(B.ADS_FACT_SQL) + """,
 daily AS (SELECT platform, date, SUM(spend_usd) AS s FROM ads_fact GROUP BY platform, date),

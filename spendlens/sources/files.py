@@ -42,7 +42,16 @@ GOOGLE_SCHEMA = T.StructType([
     T.StructField("_corrupt", T.StringType()),
 ])
 
-# Default landing file names (one per source).
+# Landing layout: every file (or folder of part files) directly under the
+# landing folder whose name starts with a source's prefix belongs to that
+# source, e.g. meta_ads_daily.csv, meta_ads_2026-01-05.csv, meta_ads_daily.csv/part-0.csv.
+SOURCE_PREFIXES = {
+    "meta_ads": "meta_ads",
+    "google_ads": "google_ads",
+    "store_visits": "store_visits",
+    "campaign_metadata": "campaign_metadata",
+}
+# The single-file names of the source system (used for "expected file" checks).
 SOURCE_FILES = {
     "meta_ads": "meta_ads_daily.csv",
     "google_ads": "google_ads_daily.json",
@@ -70,15 +79,15 @@ def with_input_order(df: DataFrame) -> DataFrame:
     return x.join(files, "_source_file")
 
 
-def read_csv_strings(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """SRC-1/4/5: header CSV, UTF-8, every value a string."""
+def read_csv_strings(spark: SparkSession, path: str | list[str], columns: list[str]) -> DataFrame:
+    """SRC-1/4/5: header CSV, UTF-8, every value a string (one path or many)."""
     df = (spark.read.schema(string_schema(columns)).option("header", True)
           .option("encoding", "UTF-8").option("mode", "PERMISSIVE").csv(path))
     return with_input_order(df)
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: T.StructType = GOOGLE_SCHEMA
-                    ) -> DataFrame:
+def read_json_lines(spark: SparkSession, path: str | list[str],
+                    schema: T.StructType = GOOGLE_SCHEMA) -> DataFrame:
     """SRC-2: newline JSON with a corrupt-record column (not DROPMALFORMED,
     which would also drop valid JSON with one mistyped field)."""
     df = (spark.read.schema(schema).option("mode", "PERMISSIVE")
@@ -114,19 +123,34 @@ def read_or_empty(reader, spark: SparkSession, path: str, *args) -> DataFrame |
         raise
 
 
-def list_files(spark: SparkSession, directory: str, glob: str = "*") -> DataFrame:
-    """SNK-4 listing: path, size and modification time of landing files.
-    The ``binaryFile`` source only reads file contents when the ``content``
-    column is selected, so this is a metadata listing."""
+def list_files(spark: SparkSession, directory: str) -> DataFrame:
+    """SNK-4 listing of the landing folder, recursively: ``path``,
+    ``file_name`` (path relative to the folder), ``entry`` (its first
+    component: the file itself or the folder holding part files), ``source``,
+    size and modification time.  The ``binaryFile`` source reads file contents
+    only when the ``content`` column is selected, so this is a metadata scan;
+    marker files (``_SUCCESS``, ``.crc``) are skipped."""
+    import re
+    base = re.sub(r"^file:", "", directory.rstrip("/"))
+    schema = ("path string, file_name string, entry string, source string, "
+              "file_size_bytes bigint, file_modified_time timestamp_ntz")
     try:
-        return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-                .load(directory)
-                .select(F.col("path"), F.element_at(F.split("path", "/"), -1).alias("file_name"),
-                        F.col("length").alias("file_size_bytes"),
-                        F.col("modificationTime").cast("timestamp_ntz").alias("file_modified_time")))
+        df = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+              .load(directory).select("path", "length", "modificationTime"))
     except AnalysisException:
-        schema = "path string, file_name string, file_size_bytes bigint, file_modified_time timestamp_ntz"
         return spark.createDataFrame([], schema)
+    rel = F.regexp_replace("path", "^.*?" + re.escape(base) + "/", "")
+    leaf = F.element_at(F.split(rel, "/"), -1)
+    entry = F.element_at(F.split(rel, "/"), 1)
+    source = F.lit(None).cast("string")
+    for src, prefix in reversed(list(SOURCE_PREFIXES.items())):
+        source = F.when(entry.startswith(prefix), F.lit(src)).otherwise(source)
+    out = df.select("path", rel.alias("file_name"), entry.alias("entry"),
+                    source.alias("source"), F.col("length").alias("file_size_bytes"),
+                    F.col("modificationTime").cast("timestamp_ntz").alias("file_modified_time"),
+                    leaf.alias("_leaf"))
+    return out.filter(~F.col("_leaf").startswith("_") & ~F.col("_leaf").startswith(".")) \
+        .drop("_leaf")
 
 
 def row_counts(datasets: dict[str, DataFrame | None]) -> DataFrame:

@@ -132,8 +132,9 @@ class TableStore:
 
 def changed_files(listing: DataFrame, last_success: DataFrame) -> DataFrame:
     """SNK-4: files whose size or modification time differ from their last
-    successful ingestion (or that were never ingested)."""
-    same = (listing.join(last_success, (listing.file_name == last_success.source_file)
+    successful ingestion (or that were never ingested).  Files are identified
+    by their full path."""
+    same = (listing.join(last_success, (listing.path == last_success.source_file)
                          & (listing.file_size_bytes == last_success.file_size_bytes)
                          & (listing.file_modified_time == last_success.file_modified_time),
                          "left_semi"))

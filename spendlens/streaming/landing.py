@@ -66,7 +66,7 @@ def _batch_writer(store: TableStore, source: str):
             good, bad = clean(batch, run_ts)
         store.append(QUARANTINE, bad.withColumn("_load_timestamp",
                                                 F.lit(run_ts).cast("timestamp_ntz")))
-        new = insert_ignore(store.read(table), good.drop("_source_file"), keys,
+        new = insert_ignore(store.read(table), good, keys,
                             ordinal=SRC.ORDER_COLS).checkpoint(eager=True)
         store.append(table, new)
     return write

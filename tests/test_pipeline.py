@@ -150,3 +150,24 @@ def test_changed_file_same_keys_and_late_visits(first_run, spark):
     r = fsv.filter("date = DATE'2026-01-04' AND dma_code = '501'").first()
     assert r["attributed_visits"] == 130 and r["is_zero_filled"] == 0
     assert fsv.count() == 10
+
+
+def test_pipeline_health(first_run, spark):
+    from spendlens.plans import quality as Q
+    from spendlens.sources import files as SRC
+    from spendlens.sources.store import INGESTION_LOG, LOG_SCHEMA, TRACKING, TRACKING_SCHEMA
+    _, raw, tables, _ = first_run
+    st = TableStore(spark, tables)
+    listing = SRC.list_files(spark, raw)
+    expected = list(SRC.SOURCE_FILES.values()) + ["extra_source.csv"]
+    log = st.read_or_empty(INGESTION_LOG, LOG_SCHEMA)
+    log = log.withColumn("source_file", F.element_at(F.split("source_file", "/"), -1))
+    h = Q.pipeline_health(st.read_or_empty(TRACKING, TRACKING_SCHEMA), log, listing, expected,
+                          as_of=dt.datetime(2026, 8, 10))
+    got = rows(h, "rule", "subject")
+    assert ("file_missing", "extra_source.csv") in got
+    assert ("ingestion_gap", "extra_source.csv") in got
+    assert any(r == "tracking_stalled" for r, _ in got)
+    fresh = Q.pipeline_health(st.read_or_empty(TRACKING, TRACKING_SCHEMA), log, listing,
+                              list(SRC.SOURCE_FILES.values()), as_of=RUN3)
+    assert [r for r in rows(fresh, "rule", "subject") if r[0] == "file_missing"] == []
