@@ -19,6 +19,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +32,8 @@ from spendlens.plans import quality as Q
 from spendlens.plans import silver as S
 from spendlens.sources import files as SRC
 from spendlens.sources import reference as REF
-from spendlens.sources.store import QUARANTINE, TableStore, changed_files, now_utc
+from spendlens.sources.store import (QUARANTINE, TRACKING, TableStore,
+                                     changed_files, now_utc)
 
 MONTH = "month"
 
@@ -56,17 +58,27 @@ BRONZE = {
 
 
 def _read_clean(spark: SparkSession, source: str, paths: list[str], run_ts):
+    """Parse + type once.  The typed rows feed three consumers (quarantine,
+    keyed insert, per-file counts), so they are persisted; if an executor is
+    lost its blocks are recomputed from the landing files, which are
+    immutable inputs."""
     if source == "meta_ads":
-        return BR.clean_meta(SRC.read_csv_strings(spark, paths, SRC.META_COLUMNS), run_ts)
-    if source == "google_ads":
+        raw = SRC.read_csv_strings(spark, paths, SRC.META_COLUMNS)
+        clean = BR.clean_meta
+    elif source == "google_ads":
         raw = SRC.flatten_google(SRC.read_json_lines(spark, paths))
-        good, bad = BR.clean_google(raw, run_ts)
-        return BR.dedup_google(good), bad
-    if source == "store_visits":
-        return BR.clean_store_visits(SRC.read_csv_strings(spark, paths, SRC.VISITS_COLUMNS),
-                                     run_ts)
-    return BR.clean_campaign_metadata(SRC.read_csv_strings(spark, paths, SRC.METADATA_COLUMNS),
-                                      run_ts)
+        clean = BR.clean_google
+    elif source == "store_visits":
+        raw = SRC.read_csv_strings(spark, paths, SRC.VISITS_COLUMNS)
+        clean = BR.clean_store_visits
+    else:
+        raw = SRC.read_csv_strings(spark, paths, SRC.METADATA_COLUMNS)
+        clean = BR.clean_campaign_metadata
+    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
+    good, bad = clean(raw, run_ts)
+    if source == "google_ads":
+        good = BR.dedup_google(good)
+    return raw, good, bad
 
 
 def load_bronze(spark: SparkSession, store: TableStore, raw_dir: str, run_ts,
@@ -91,7 +103,7 @@ def load_bronze(spark: SparkSession, store: TableStore, raw_dir: str, run_ts,
         if not todo:
             result.loads[source] = {"status": "unchanged", "inserted": 0}
             continue
-        good, bad = _read_clean(spark, source, [r["path"] for r in todo], run_ts)
+        raw, good, bad = _read_clean(spark, source, [r["path"] for r in todo], run_ts)
         bad = bad.withColumn("_load_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
         store.append(QUARANTINE, bad)
         existing = store.read(table)
@@ -102,6 +114,7 @@ def load_bronze(spark: SparkSession, store: TableStore, raw_dir: str, run_ts,
         per_file_all = {r["_source_file"]: r["n"] for r in
                         good.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n")).collect()}
         store.append(table, new)
+        raw.unpersist()
         inserted = sum(per_file_new.values())
         total = sum(per_file_all.values())
         result.loads[source] = {"status": "success", "inserted": inserted,
@@ -114,66 +127,107 @@ def load_bronze(spark: SparkSession, store: TableStore, raw_dir: str, run_ts,
     store.log_ingestion(log_rows)
 
 
-def _since(store: TableStore, source: str, target: str, inclusive: bool) -> DataFrame | None:
+class Watermarks:
+    """The run's view of ``_pipeline_tracking``: read once, updated in
+    memory, persisted at the end of each layer.  Persisting late only means a
+    crashed run re-processes a batch, which the keyed upserts absorb."""
+
+    def __init__(self, store: TableStore):
+        self.store = store
+        t = store.read(TRACKING)
+        # one row per tracked table
+        self.values = {} if t is None else {
+            r["table_name"]: r["last_processed_load_timestamp"] for r in t.collect()}
+        self.dirty: dict = {}
+
+    def get(self, table: str):
+        return self.values.get(table)
+
+    def advance(self, table: str, value) -> None:
+        if value is None:
+            return
+        prev = self.values.get(table)
+        if prev is None or value > prev:
+            self.values[table] = value
+            self.dirty[table] = value
+
+    def persist(self) -> None:
+        if self.dirty:
+            self.store.write_watermarks(self.values)
+            self.dirty = {}
+
+
+def _batch(store: TableStore, wm: Watermarks, source: str, target: str, inclusive: bool):
+    """Rows of ``source`` past ``target``'s watermark and the largest load
+    time among them (one aggregate over the pushed-down filter).  ``None``
+    when nothing is newer than the watermark (an inclusive filter alone would
+    re-read the last batch)."""
     df = store.read(source)
     if df is None:
         return None
-    return WM.since(df, store.watermark(target), "_load_timestamp", inclusive=inclusive)
+    mark = wm.get(target)
+    batch = WM.since(df, mark, "_load_timestamp", inclusive=inclusive)
+    hi = batch.agg(F.max("_load_timestamp")).first()[0]
+    if hi is None or (mark is not None and hi <= mark):
+        return None
+    return batch, hi
 
 
-def _advance(store: TableStore, target: str, source: str) -> None:
-    df = store.read(source)
-    if df is not None:
-        store.set_watermark(target, WM.advanced(df, store.watermark(target)))
+def _write_once(store: TableStore, name: str, df: DataFrame) -> None:
+    """Fixed reference tables are written when absent."""
+    if store.read(name) is None:
+        store.overwrite(name, df)
 
 
-def build_silver(spark: SparkSession, store: TableStore, run_ts) -> None:
-    store.overwrite("ref_calendar", REF.calendar(spark))
-    store.overwrite("ref_exchange_rates", REF.exchange_rates(spark))
-    store.overwrite("ref_dma_region_map", REF.dma_region_map(spark))
+def build_silver(spark: SparkSession, store: TableStore, run_ts, wm: Watermarks) -> None:
+    _write_once(store, "ref_calendar", REF.calendar(spark))
+    _write_once(store, "ref_exchange_rates", REF.exchange_rates(spark))
+    _write_once(store, "ref_dma_region_map", REF.dma_region_map(spark))
     rates = store.read("ref_exchange_rates")
     order = ["_load_timestamp", *SRC.ORDER_COLS]
 
-    batch = _since(store, "raw_meta_ads", "stg_meta_ads", inclusive=True)
-    if batch is not None:
+    step = _batch(store, wm, "raw_meta_ads", "stg_meta_ads", inclusive=True)
+    if step:
+        batch, hi = step
         stg = S.build_stg_meta(batch, rates, run_ts, extra=SRC.ORDER_COLS)
         store.upsert("stg_meta_ads", _with_month(stg), S.META_KEY, order, MONTH)
-        _advance(store, "stg_meta_ads", "raw_meta_ads")
+        wm.advance("stg_meta_ads", hi)
 
-    batch = _since(store, "raw_google_ads", "stg_google_ads", inclusive=True)
-    if batch is not None:
+    step = _batch(store, wm, "raw_google_ads", "stg_google_ads", inclusive=True)
+    if step:
+        batch, hi = step
         stg = S.build_stg_google(batch, run_ts, extra=SRC.ORDER_COLS)
         store.upsert("stg_google_ads", _with_month(stg), S.GOOGLE_KEY, order, MONTH)
-        _advance(store, "stg_google_ads", "raw_google_ads")
+        wm.advance("stg_google_ads", hi)
 
-    meta = _since(store, "stg_meta_ads", "stg_daily_performance", inclusive=False)
-    google = _since(store, "stg_google_ads", "stg_daily_performance", inclusive=False)
-    if meta is not None or google is not None:
-        perf = _unified_batch(meta, google, run_ts)
+    meta = _batch(store, wm, "stg_meta_ads", "stg_daily_performance", inclusive=False)
+    google = _batch(store, wm, "stg_google_ads", "stg_daily_performance", inclusive=False)
+    if meta or google:
+        perf = _unified_batch(meta[0] if meta else None, google[0] if google else None, run_ts)
         store.upsert("stg_daily_performance", _with_month(perf), S.PERF_KEY,
                      ["_platform_order", *order], MONTH)
-        new_wm = store.watermark("stg_daily_performance")
-        for d in (store.read("stg_meta_ads"), store.read("stg_google_ads")):
-            if d is not None:
-                new_wm = WM.advanced(d, new_wm)
-        store.set_watermark("stg_daily_performance", new_wm)
-
-    raw_visits = store.read("raw_store_visits")
-    if raw_visits is not None:
-        store.overwrite("stg_store_visits",
-                        S.build_stg_store_visits(raw_visits.drop(*SRC.ORDER_COLS), run_ts))
-        changed = _since(store, "raw_store_visits", "ref_dma_list", inclusive=False)
-        store.upsert("ref_dma_list", S.build_ref_dma_list(changed), ["dma_code"])
-        _advance(store, "ref_dma_list", "raw_store_visits")
-
-    changed = _since(store, "raw_campaign_metadata", "ref_campaign_list", inclusive=False)
-    if changed is not None:
-        store.upsert("ref_campaign_list", S.build_ref_campaign_list(changed), ["campaign_id"])
-        _advance(store, "ref_campaign_list", "raw_campaign_metadata")
-
-    perf = store.read("stg_daily_performance")
-    if perf is not None:
-        store.overwrite("log_campaign_name_changes", name_change_log(perf))
+        for st in (meta, google):
+            if st:
+                wm.advance("stg_daily_performance", st[1])
+        perf_all = store.read("stg_daily_performance")
+        store.overwrite("log_campaign_name_changes", name_change_log(perf_all))
+
+    step = _batch(store, wm, "raw_store_visits", "ref_dma_list", inclusive=False)
+    if step:
+        batch, hi = step
+        # the grid depends on the whole date range: full refresh of the
+        # staged visits, only when new raw rows arrived
+        raw_visits = store.read("raw_store_visits").drop(*SRC.ORDER_COLS, "_source_file")
+        store.overwrite("stg_store_visits", S.build_stg_store_visits(raw_visits, run_ts))
+        store.upsert("ref_dma_list", S.build_ref_dma_list(batch), ["dma_code"])
+        wm.advance("ref_dma_list", hi)
+
+    step = _batch(store, wm, "raw_campaign_metadata", "ref_campaign_list", inclusive=False)
+    if step:
+        batch, hi = step
+        store.upsert("ref_campaign_list", S.build_ref_campaign_list(batch), ["campaign_id"])
+        wm.advance("ref_campaign_list", hi)
+    wm.persist()
 
 
 def _unified_batch(meta, google, run_ts) -> DataFrame:
@@ -194,33 +248,38 @@ def _unified_batch(meta, google, run_ts) -> DataFrame:
     return out
 
 
-def build_gold(spark: SparkSession, store: TableStore, run_ts) -> None:
+def build_gold(spark: SparkSession, store: TableStore, run_ts, wm: Watermarks) -> None:
+    step = _batch(store, wm, "raw_campaign_metadata", "dim_campaign", inclusive=False)
     cl = store.read("ref_campaign_list")
-    changed = _since(store, "raw_campaign_metadata", "dim_campaign", inclusive=False)
-    if cl is not None and changed is not None:
-        scoped = cl.join(changed.select("campaign_id").distinct(), "campaign_id", "left_semi")
+    if step and cl is not None:
+        batch, hi = step
+        scoped = cl.join(batch.select("campaign_id").distinct(), "campaign_id", "left_semi")
         store.upsert("dim_campaign", G.build_dim_campaign(scoped), ["campaign_id"])
-        _advance(store, "dim_campaign", "raw_campaign_metadata")
+        wm.advance("dim_campaign", hi)
 
+    step = _batch(store, wm, "raw_store_visits", "dim_dma", inclusive=False)
     dl = store.read("ref_dma_list")
-    changed = _since(store, "raw_store_visits", "dim_dma", inclusive=False)
-    if dl is not None and changed is not None:
-        store.upsert("dim_dma", G.build_dim_dma(dl, changed), ["dma_code"])
-        _advance(store, "dim_dma", "raw_store_visits")
+    if step and dl is not None:
+        batch, hi = step
+        store.upsert("dim_dma", G.build_dim_dma(dl, batch), ["dma_code"])
+        wm.advance("dim_dma", hi)
 
-    store.overwrite("dim_date", store.read("ref_calendar"))
+    _write_once(store, "dim_date", store.read("ref_calendar"))
 
-    batch = _since(store, "stg_daily_performance", "fact_daily_performance", inclusive=False)
-    if batch is not None:
+    step = _batch(store, wm, "stg_daily_performance", "fact_daily_performance", inclusive=False)
+    if step:
+        batch, hi = step
         fact = _with_month(G.build_fact_daily_performance(batch))
         store.upsert("fact_daily_performance", fact, G.FACT_PERF_KEY, (), MONTH)
-        _advance(store, "fact_daily_performance", "stg_daily_performance")
+        wm.advance("fact_daily_performance", hi)
 
-    batch = _since(store, "stg_store_visits", "fact_store_visits", inclusive=False)
-    if batch is not None:
+    step = _batch(store, wm, "stg_store_visits", "fact_store_visits", inclusive=False)
+    if step:
+        batch, hi = step
         fsv = G.build_fact_store_visits(batch, store.read("ref_dma_region_map"))
         store.upsert("fact_store_visits", _with_month(fsv), G.FACT_VISITS_KEY, (), MONTH)
-        _advance(store, "fact_store_visits", "stg_store_visits")
+        wm.advance("fact_store_visits", hi)
+    wm.persist()
 
 
 def validate(store: TableStore) -> dict:
@@ -247,7 +306,8 @@ def run(spark: SparkSession, raw_dir: str, table_dir: str,
     store = TableStore(spark, table_dir)
     result = RunResult(run_ts)
     load_bronze(spark, store, raw_dir, run_ts, result)
-    build_silver(spark, store, run_ts)
-    build_gold(spark, store, run_ts)
+    wm = Watermarks(store)
+    build_silver(spark, store, run_ts, wm)
+    build_gold(spark, store, run_ts, wm)
     result.checks = validate(store)
     return result

@@ -87,7 +87,12 @@ class TableStore:
         partitions are read and rewritten."""
         current = self.read(name)
         if current is None:
-            merged = merge_upsert(None, batch, keys, order)
+            # first write: nothing is read from the target, no staging needed
+            w = merge_upsert(None, batch, keys, order).write.mode("overwrite")
+            if partition_by:
+                w = w.partitionBy(partition_by)
+            w.parquet(self.path(name))
+            return
         else:
             if partition_by:
                 touched = batch.select(partition_by).distinct()
@@ -109,6 +114,12 @@ class TableStore:
             F.max("last_processed_load_timestamp").alias("w")).first()
         return row["w"] if row else None
 
+    def write_watermarks(self, values: dict) -> None:
+        """Replace the tracking table with the full set of watermarks (a
+        handful of rows built on the driver; nothing is read from it)."""
+        rows = self.spark.createDataFrame(sorted(values.items()), TRACKING_SCHEMA)
+        rows.coalesce(1).write.mode("overwrite").parquet(self.path(TRACKING))
+
     def set_watermark(self, table: str, value) -> None:
         if value is None:
             return  # never move a watermark to NULL
