@@ -9,7 +9,7 @@ the number of fact rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,15 +23,22 @@ def zero_fill(visits: DataFrame, *, date_col: str = "date", key: str = "dma_code
     on filled rows they take ``run_ts`` when given (so that fills created by a
     later run pass later watermarks) or NULL.
     """
-    # The global bounds are two scalar subqueries, planned once with the query
-    # (no separate action when the plan is built); the grid is then generated
-    # per key with explode(sequence), no join.
-    lo = visits.select(F.min(date_col)).scalar()
-    hi = visits.select(F.max(date_col)).scalar()
-    keys = visits.groupBy(key).agg(F.max(name).alias(name))
-    grid = keys.select(
-        F.explode(F.sequence(lo.cast("date"), hi.cast("date"),
-                             F.expr("INTERVAL 1 DAY"))).alias(date_col), key, name)
+    # One aggregation gives the key list with per-key first/last dates; the
+    # global range is then taken over that key list (one row per key, so the
+    # unpartitioned window holds #keys rows), and the grid is generated per
+    # key with explode(sequence) -- no join, and the input is read once here
+    # and once for the join below.
+    # (grouping by the name too keeps the buffers fixed-width, so this is a
+    # hash aggregate; picking one name per key then runs on the tiny result)
+    per_name = visits.groupBy(key, name).agg(F.min(date_col).alias("_lo"),
+                                             F.max(date_col).alias("_hi"))
+    keys = per_name.groupBy(key).agg(F.max(name).alias(name), F.min("_lo").alias("_lo"),
+                                     F.max("_hi").alias("_hi"))
+    everything = Window.partitionBy()
+    ranged = keys.select(key, name, F.min("_lo").over(everything).cast("date").alias("_lo"),
+                         F.max("_hi").over(everything).cast("date").alias("_hi"))
+    grid = ranged.select(F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 DAY")))
+                         .alias(date_col), key, name)
     actual = visits.select(date_col, key, *measures, *carry,
                            F.lit(1).alias("_present"))
     j = grid.join(actual, [date_col, key], "left")

@@ -153,8 +153,9 @@ def unmapped_keys(rows: DataFrame, mapping: DataFrame, key: str = "dma_code",
                   name: str = "dma_name", value: str = "attributed_visits") -> DataFrame:
     """Keys that the inner join to the mapping would drop, with their volume."""
     lost = rows.join(mapping.select(key), key, "left_anti")
-    return lost.groupBy(key).agg(F.max(name).alias(name), _count().alias("rows"),
-                                 F.sum(value).alias(value))
+    per_name = lost.groupBy(key, name).agg(_count().alias("rows"), F.sum(value).alias(value))
+    return per_name.groupBy(key).agg(F.max(name).alias(name), F.sum("rows").alias("rows"),
+                                     F.sum(value).alias(value))
 
 
 def unacceptable_conditions(*, converted: DataFrame, keyed: DataFrame, keys: list[str],

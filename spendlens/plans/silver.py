@@ -124,8 +124,11 @@ def build_stg_store_visits(raw_visits: DataFrame, run_ts: _dt.datetime) -> DataF
 
 
 def build_ref_dma_list(raw_visits: DataFrame) -> DataFrame:
-    """TAB-7: one name per DMA code (the largest, deterministically)."""
-    return raw_visits.groupBy("dma_code").agg(F.max("dma_name").alias("dma_name"))
+    """TAB-7: one name per DMA code (the largest, deterministically).  The
+    distinct (code, name) pairs come first (hash aggregate), the choice of name
+    runs on those few rows."""
+    pairs = raw_visits.groupBy("dma_code", "dma_name").agg(F.count(F.lit(1)).alias("_n"))
+    return pairs.groupBy("dma_code").agg(F.max("dma_name").alias("dma_name"))
 
 
 def build_ref_campaign_list(raw_metadata: DataFrame) -> DataFrame:
