@@ -466,3 +466,82 @@ def q_shift_to_utc(spark, d):
     t = e.select("event_id", txt.alias("timestamp_pst"))
     return t.select("event_id", "timestamp_pst",
                     D.shift_fixed_hours("timestamp_pst").alias("timestamp_utc"))
+
+
+# ------------------------------------------------------------------ SRC-2/3 + TAB-2 + AGG-11
+def google_export_lines(spark, d):
+    """One Google-style nested JSON line per order (campaign = customer,
+    channel = order status, month as the report date; the timestamp is
+    present for finished orders only), with the order key as input
+    position."""
+    o = B.table(spark, d, "orders")
+    month = F.date_trunc("month", "o_orderdate").cast("date").cast("string")
+    ts = F.when(F.col("o_orderstatus") == "F",
+                F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit("T00:00:00Z")))
+    cost = (B._dec("o_totalprice", 14, 2) * F.lit(1000000)).cast("bigint")
+    rec = F.struct(
+        month.alias("date"), ts.alias("timestamp_utc"),
+        F.struct(F.col("o_custkey").alias("id"),
+                 F.concat(F.lit("G_"), F.col("o_custkey").cast("string")).alias("name"),
+                 F.col("o_orderstatus").alias("advertising_channel_type")).alias("campaign"),
+        F.struct(F.col("o_totalprice").cast("bigint").alias("impressions"),
+                 F.lit(1).alias("clicks"), cost.alias("cost_micros"),
+                 F.round(F.col("o_totalprice") / 1000, 2).alias("conversions"),
+                 (cost * 2).alias("conversions_value_micros")).alias("metrics"))
+    return o.select(F.to_json(rec).alias("line"), F.col("o_orderkey").alias("_row"))
+
+
+@register("google_json_dedup", """
+WITH lines AS (
+  SELECT o_orderkey AS ord,
+         json_object(
+           'date', CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR),
+           'timestamp_utc', CASE WHEN o_orderstatus = 'F'
+                                 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || 'T00:00:00Z' END,
+           'campaign', json_object('id', o_custkey, 'name', 'G_' || CAST(o_custkey AS VARCHAR),
+                                   'advertising_channel_type', o_orderstatus),
+           'metrics', json_object(
+              'impressions', CAST(trunc(o_totalprice) AS BIGINT), 'clicks', 1,
+              'cost_micros', CAST(CAST(o_totalprice AS DECIMAL(14,2)) * 1000000 AS BIGINT),
+              'conversions', DROUND(o_totalprice / 1000, 2),
+              'conversions_value_micros',
+                 CAST(CAST(o_totalprice AS DECIMAL(14,2)) * 1000000 AS BIGINT) * 2)) AS line
+  FROM orders),
+flat AS (
+  SELECT ord,
+         CAST(json_extract_string(line, '$.date') AS DATE) AS date,
+         COALESCE(json_extract_string(line, '$.timestamp_utc'), '') AS timestamp_utc,
+         json_extract_string(line, '$.campaign.id') AS campaign_id,
+         json_extract_string(line, '$.campaign.name') AS campaign_name,
+         json_extract_string(line, '$.campaign.advertising_channel_type') AS advertising_channel_type,
+         CAST(json_extract_string(line, '$.metrics.impressions') AS BIGINT) AS impressions,
+         CAST(json_extract_string(line, '$.metrics.cost_micros') AS BIGINT) AS cost_micros,
+         CAST(json_extract_string(line, '$.metrics.conversions') AS DOUBLE) AS conversions
+  FROM lines),
+g AS (
+  SELECT *, COUNT(*) OVER k AS n, MIN(timestamp_utc) OVER k AS lo, MAX(timestamp_utc) OVER k AS hi
+  FROM flat WINDOW k AS (PARTITION BY date, campaign_id, campaign_name, advertising_channel_type)),
+r AS (
+  SELECT *, row_number() OVER (
+      PARTITION BY date, campaign_id, campaign_name, advertising_channel_type
+      ORDER BY CASE WHEN lo <> hi THEN timestamp_utc END DESC NULLS LAST,
+               CASE WHEN lo = hi THEN impressions END DESC NULLS LAST, ord ASC) AS rn
+  FROM g)
+SELECT date, campaign_id, campaign_name, advertising_channel_type, timestamp_utc, impressions,
+       cost_micros, conversions,
+       CAST(CASE WHEN n > 1 THEN 1 ELSE 0 END AS INTEGER) AS duplicate_combined,
+       CAST(n AS INTEGER) AS duplicate_count
+FROM r WHERE rn = 1""")
+def q_google_json_dedup(spark, d):
+    from spendlens.plans import bronze as BR
+    from spendlens.sources import files as SRC
+    lines = google_export_lines(spark, d)
+    parsed = lines.select(F.from_json("line", SRC.GOOGLE_SCHEMA).alias("j"), "_row")
+    recs = parsed.select("j.*", F.lit("orders").alias("_source_file"),
+                         F.lit(0).cast("bigint").alias("_file_idx"),
+                         F.lit(0).cast("bigint").alias("_block"), "_row")
+    good, _bad = BR.clean_google(SRC.flatten_google(recs))
+    best = BR.dedup_google(good)
+    return best.select("date", "campaign_id", "campaign_name", "advertising_channel_type",
+                       "timestamp_utc", "impressions", "cost_micros", "conversions",
+                       "duplicate_combined", "duplicate_count")
