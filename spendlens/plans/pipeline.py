@@ -173,6 +173,21 @@ def _batch(store: TableStore, wm: Watermarks, source: str, target: str, inclusiv
     return batch, hi
 
 
+def _refresh_name_log(store: TableStore, batch: DataFrame) -> None:
+    """TAB-19 for the campaigns in this batch only: their history is rebuilt
+    from the unified table (a pushed-down semi join on the touched campaign
+    ids) and replaces their previous rows; other campaigns' rows are kept.
+    The log holds one row per campaign/name/platform, so rewriting it is
+    small next to the fact."""
+    touched = batch.select("campaign_id").distinct()
+    perf = store.read("stg_daily_performance")
+    fresh = name_change_log(perf.join(touched, "campaign_id", "left_semi"))
+    old = store.read("log_campaign_name_changes")
+    if old is not None:
+        fresh = old.join(touched, "campaign_id", "left_anti").unionByName(fresh)
+    store.overwrite("log_campaign_name_changes", fresh)
+
+
 def _write_once(store: TableStore, name: str, df: DataFrame) -> None:
     """Fixed reference tables are written when absent."""
     if store.read(name) is None:
@@ -209,8 +224,7 @@ def build_silver(spark: SparkSession, store: TableStore, run_ts, wm: Watermarks)
         for st in (meta, google):
             if st:
                 wm.advance("stg_daily_performance", st[1])
-        perf_all = store.read("stg_daily_performance")
-        store.overwrite("log_campaign_name_changes", name_change_log(perf_all))
+        _refresh_name_log(store, perf)
 
     step = _batch(store, wm, "raw_store_visits", "ref_dma_list", inclusive=False)
     if step:
