@@ -35,20 +35,29 @@ def test_every_query_has_an_oracle():
     assert len(q) >= 60
 
 
-@pytest.mark.parametrize("name", ["blended_cpa", "wow_growth_top10", "spend_vs_visits",
-                                  "budget_compliance", "dedup_best_record", "upsert_last_wins",
-                                  "fx_convert", "zero_fill_visits", "name_change_log",
-                                  "spend_vs_visits_region_fanout", "quality_issue_summary"])
-def test_query_matches_oracle(spark, name):
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.fixture(scope="module")
+def duck():
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
     cols = sorted(sdf.columns)
     got = sorted((tuple(_norm(r[c]) for c in cols) for r in sdf.collect()), key=repr)
-    cur = con.execute(E.oracle_sql()[name])
+    cur = duck.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     assert sorted(ocols) == cols
+    otypes = {d[0]: str(d[1]) for d in cur.description}
+    for f in sdf.schema.fields:
+        assert SPARK_TO_DUCK.get(f.dataType.simpleString()) == otypes[f.name], f.name
     idx = sorted(range(len(ocols)), key=lambda i: ocols[i])
     ref = sorted((tuple(_norm(r[i]) for i in idx) for r in cur.fetchall()), key=repr)
     assert got == ref
