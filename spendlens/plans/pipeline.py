@@ -81,6 +81,31 @@ def _read_clean(spark: SparkSession, source: str, paths: list[str], run_ts):
     return raw, good, bad
 
 
+def _load_source(spark, store, source, table, keys, todo, run_ts, result) -> list[tuple]:
+    """Type, quarantine and insert-or-ignore the changed files of one source;
+    returns its ingestion-log rows."""
+    raw, good, bad = _read_clean(spark, source, [r["path"] for r in todo], run_ts)
+    bad = bad.withColumn("_load_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
+    store.append(QUARANTINE, bad)
+    existing = store.read(table)
+    new = insert_ignore(existing, good, keys, ordinal=SRC.ORDER_COLS)
+    new = new.checkpoint(eager=True)
+    per_file_new = {r["_source_file"]: r["n"] for r in
+                    new.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n")).collect()}
+    per_file_all = {r["_source_file"]: r["n"] for r in
+                    good.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n")).collect()}
+    store.append(table, new)
+    raw.unpersist()
+    inserted = sum(per_file_new.values())
+    total = sum(per_file_all.values())
+    result.loads[source] = {"status": "success", "inserted": inserted,
+                            "skipped": total - inserted, "files": len(todo)}
+    return [(r["path"], run_ts, r["file_size_bytes"], r["file_modified_time"],
+             per_file_new.get(r["path"], 0),
+             per_file_all.get(r["path"], 0) - per_file_new.get(r["path"], 0), "success")
+            for r in todo]
+
+
 def load_bronze(spark: SparkSession, store: TableStore, raw_dir: str, run_ts,
                 result: RunResult) -> None:
     """Extract + transform + keyed load of the landing files that changed.
@@ -103,27 +128,12 @@ def load_bronze(spark: SparkSession, store: TableStore, raw_dir: str, run_ts,
         if not todo:
             result.loads[source] = {"status": "unchanged", "inserted": 0}
             continue
-        raw, good, bad = _read_clean(spark, source, [r["path"] for r in todo], run_ts)
-        bad = bad.withColumn("_load_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
-        store.append(QUARANTINE, bad)
-        existing = store.read(table)
-        new = insert_ignore(existing, good, keys, ordinal=SRC.ORDER_COLS)
-        new = new.checkpoint(eager=True)
-        per_file_new = {r["_source_file"]: r["n"] for r in
-                        new.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n")).collect()}
-        per_file_all = {r["_source_file"]: r["n"] for r in
-                        good.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n")).collect()}
-        store.append(table, new)
-        raw.unpersist()
-        inserted = sum(per_file_new.values())
-        total = sum(per_file_all.values())
-        result.loads[source] = {"status": "success", "inserted": inserted,
-                                "skipped": total - inserted, "files": len(todo)}
-        for r in todo:
-            n_new = per_file_new.get(r["path"], 0)
-            n_all = per_file_all.get(r["path"], 0)
-            log_rows.append((r["path"], run_ts, r["file_size_bytes"], r["file_modified_time"],
-                             n_new, n_all - n_new, "success"))
+        try:
+            log_rows.extend(_load_source(spark, store, source, table, keys, todo, run_ts, result))
+        except Exception as e:  # noqa: BLE001 -- SRC-6: one failing source does not stop the rest
+            result.loads[source] = {"status": "failed", "error": f"{type(e).__name__}: {e}"[:500]}
+            log_rows.extend((r["path"], run_ts, r["file_size_bytes"], r["file_modified_time"],
+                             0, 0, "failed") for r in todo)
     store.log_ingestion(log_rows)
 
 

@@ -149,6 +149,15 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(_count().alias("rows")).filter(F.col("rows") > 1)
 
 
+def key_collisions(df: DataFrame, narrow_key: list[str], dropped: str) -> DataFrame:
+    """Groups of the narrower key that hold more than one value of the
+    column the key leaves out (rows that a keyed write on ``narrow_key``
+    collapses, quirk D2)."""
+    per = df.groupBy(*narrow_key, dropped).agg(_count().alias("_n"))
+    g = per.groupBy(*narrow_key).agg(F.sum("_n").alias("rows"), _count().alias("names"))
+    return g.filter(F.col("names") > 1)
+
+
 def unmapped_keys(rows: DataFrame, mapping: DataFrame, key: str = "dma_code",
                   name: str = "dma_name", value: str = "attributed_visits") -> DataFrame:
     """Keys that the inner join to the mapping would drop, with their volume."""
@@ -256,6 +265,22 @@ def reconcile(bronze: DataFrame, gold: DataFrame, *, by: str = "platform",
                     (F.abs(sl) > mismatch_pct).cast("int").alias("spend_mismatch_alert"))
 
 
+def reconcile_visits(raw_visits: DataFrame, fact_visits: DataFrame, *,
+                     loss_pct: float = LOSS_VISITS_PCT) -> DataFrame:
+    """DQ-15 for store visits: actual visits in the raw input against the
+    fact (unmapped DMAs drop out there)."""
+    zero = F.lit(0).cast("bigint")
+    raw = raw_visits.select(F.col("attributed_visits").cast("bigint").alias("r"), zero.alias("f"))
+    fact = (fact_visits.filter(F.col("is_zero_filled") == 0)
+            .select(zero.alias("r"), F.col("attributed_visits").cast("bigint").alias("f")))
+    j = raw.unionByName(fact).agg(F.sum("r").alias("raw_visits"), F.sum("f").alias("fact_visits"))
+    lost = F.round(M.ratio(F.col("raw_visits") - F.col("fact_visits"), "raw_visits") * 100, 3)
+    return j.select(F.col("raw_visits").cast("bigint").alias("raw_visits"),
+                    F.col("fact_visits").cast("bigint").alias("fact_visits"),
+                    lost.alias("visit_loss_pct"),
+                    F.coalesce(lost > loss_pct, F.lit(False)).cast("int").alias("alert"))
+
+
 # ---------------------------------------------------------------- DQ-17
 def source_freshness(last_seen: DataFrame, *, as_of=None, max_lag_days: int = 1) -> DataFrame:
     """last_seen: source, last_date.  Lag against ``as_of`` (default: the

@@ -285,6 +285,35 @@ def q_reconcile_loss(spark, d):
     return Q.reconcile(B.ads_fact(spark, d), gold)
 
 
+@register("visit_loss", with_ctes(B.FACT_STORE_VISITS_SQL) + """,
+t AS (SELECT (SELECT SUM(attributed_visits) FROM raw_store_visits) AS raw_visits,
+             (SELECT SUM(attributed_visits) FROM fact_store_visits WHERE is_zero_filled = 0)
+               AS fact_visits)
+SELECT CAST(raw_visits AS BIGINT) AS raw_visits, CAST(fact_visits AS BIGINT) AS fact_visits,
+       DROUND(CAST(raw_visits - fact_visits AS DOUBLE) / NULLIF(CAST(raw_visits AS DOUBLE), 0) * 100, 3)
+         AS visit_loss_pct,
+       CASE WHEN DROUND(CAST(raw_visits - fact_visits AS DOUBLE)
+                        / NULLIF(CAST(raw_visits AS DOUBLE), 0) * 100, 3) > 5 THEN 1 ELSE 0 END AS alert
+FROM t""")
+def q_visit_loss(spark, d):
+    return Q.reconcile_visits(B.raw_store_visits(spark, d), B.fact_store_visits(spark, d))
+
+
+@register("silver_key_collisions", """
+SELECT CAST(l_shipdate AS DATE) AS date, l_suppkey AS campaign_id, COUNT(*) AS rows,
+       COUNT(DISTINCT l_partkey) AS names
+FROM lineitem
+GROUP BY 1, 2 HAVING COUNT(DISTINCT l_partkey) > 1""")
+def q_silver_key_collisions(spark, d):
+    """DQ-12 / quirk D2: rows whose narrower key (which leaves out a column
+    of the wider key -- here the part, as the silver key leaves out the
+    campaign name) collides although the wider key differs."""
+    li = B.table(spark, d, "lineitem").select(
+        F.col("l_shipdate").cast("date").alias("date"), F.col("l_suppkey").alias("campaign_id"),
+        F.col("l_partkey").alias("name"))
+    return Q.key_collisions(li, ["date", "campaign_id"], "name")
+
+
 # ------------------------------------------------------------------ RPT-10
 @register("quality_issue_summary", _FX_SQL + ",\n" + _DEDUP_BEST_SQL[len("WITH "):] + ",\n"
           + B.STG_STORE_VISITS_SQL + ",\n" + B.CAMPAIGN_METADATA_SQL + """

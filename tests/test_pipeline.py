@@ -171,3 +171,28 @@ def test_pipeline_health(first_run, spark):
     fresh = Q.pipeline_health(st.read_or_empty(TRACKING, TRACKING_SCHEMA), log, listing,
                               list(SRC.SOURCE_FILES.values()), as_of=RUN3)
     assert [r for r in rows(fresh, "rule", "subject") if r[0] == "file_missing"] == []
+
+
+def test_failing_source_does_not_stop_the_run(spark, tmp_path, monkeypatch):
+    raw = write_landing(str(tmp_path / "landing"))
+    tables = str(tmp_path / "tables")
+    real = pipeline._read_clean
+
+    def flaky(spark_, source, paths, run_ts):
+        if source == "store_visits":
+            raise OSError("simulated read failure")
+        return real(spark_, source, paths, run_ts)
+
+    monkeypatch.setattr(pipeline, "_read_clean", flaky)
+    res = pipeline.run(spark, raw, tables, RUN1)
+    assert res.loads["store_visits"]["status"] == "failed"
+    assert res.loads["meta_ads"]["status"] == "success"
+    st = TableStore(spark, tables)
+    log = st.read("_ingestion_log")
+    assert log.filter("status = 'failed'").count() == 1
+    assert st.read("fact_daily_performance").count() > 0
+    # the failed file is retried by the next run
+    monkeypatch.setattr(pipeline, "_read_clean", real)
+    res2 = pipeline.run(spark, raw, tables, RUN2)
+    assert res2.loads["store_visits"]["status"] == "success"
+    assert st.read("fact_store_visits").count() == 10
