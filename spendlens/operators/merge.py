@@ -24,7 +24,8 @@ def insert_ignore(existing: DataFrame | None, batch: DataFrame, keys: Sequence[s
     first = first_per_key(batch, keys, ordinal=ordinal)
     if existing is None:
         return first
-    return first.join(existing.select(*keys).distinct(), list(keys), "left_anti")
+    # an anti join needs no distinct on the existing keys
+    return first.join(existing.select(*keys), list(keys), "left_anti")
 
 
 def upsert(current: DataFrame | None, batch: DataFrame, keys: Sequence[str],

@@ -33,7 +33,7 @@ from spendlens.plans import silver as S
 from spendlens.sources import files as SRC
 from spendlens.sources import reference as REF
 from spendlens.sources.store import (QUARANTINE, TRACKING, TableStore,
-                                     changed_files, now_utc)
+                                     changed_files, now_utc, touched_values)
 
 MONTH = "month"
 
@@ -88,13 +88,20 @@ def _load_source(spark, store, source, table, keys, todo, run_ts, result) -> lis
     bad = bad.withColumn("_load_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
     store.append(QUARANTINE, bad)
     existing = store.read(table)
+    dated = "date" in keys
+    if dated:
+        good = _with_month(good)
+        if existing is not None:
+            # only the months this batch touches can hold its keys; filtering
+            # the partition column on them prunes the scan to those directories
+            existing = existing.filter(F.col(MONTH).isin(touched_values(good, MONTH)))
     new = insert_ignore(existing, good, keys, ordinal=SRC.ORDER_COLS)
     new = new.checkpoint(eager=True)
     per_file_new = {r["_source_file"]: r["n"] for r in
                     new.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n")).collect()}
     per_file_all = {r["_source_file"]: r["n"] for r in
                     good.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n")).collect()}
-    store.append(table, new)
+    store.append(table, new, partition_by=[MONTH] if dated else ())
     raw.unpersist()
     inserted = sum(per_file_new.values())
     total = sum(per_file_all.values())

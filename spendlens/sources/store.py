@@ -95,9 +95,8 @@ class TableStore:
             return
         else:
             if partition_by:
-                touched = batch.select(partition_by).distinct()
-                # one row per touched partition value (e.g. month): small
-                current = current.join(F.broadcast(touched), partition_by, "left_semi")
+                current = current.filter(F.col(partition_by).isin(
+                    touched_values(batch, partition_by)))
             merged = merge_upsert(current.select(*batch.columns), batch, keys, order)
         staged = merged.checkpoint(eager=True)
         w = staged.write.mode("overwrite")
@@ -141,6 +140,13 @@ class TableStore:
                              F.col("l.file_modified_time").alias("file_modified_time"))
 
 
+def touched_values(df: DataFrame, col: str) -> list:
+    """Distinct values of a partition column in a batch (e.g. its months: a
+    handful, bounded by the calendar).  Filtering the target with ``isin`` on
+    them prunes the scan to those partition directories."""
+    return [r[0] for r in df.select(col).distinct().collect()]
+
+
 def changed_files(listing: DataFrame, last_success: DataFrame) -> DataFrame:
     """SNK-4: files whose size or modification time differ from their last
     successful ingestion (or that were never ingested).  Files are identified

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from spendlens.operators.merge import insert_ignore
 from spendlens.plans import bronze as BR
 from spendlens.sources import files as SRC
-from spendlens.sources.store import QUARANTINE, TableStore, now_utc
+from spendlens.sources.store import QUARANTINE, TableStore, now_utc, touched_values
 
 _CLEANERS = {
     "meta_ads": (SRC.META_COLUMNS, BR.clean_meta, "raw_meta_ads", BR.META_KEY, "*.csv"),
@@ -66,9 +66,14 @@ def _batch_writer(store: TableStore, source: str):
             good, bad = clean(batch, run_ts)
         store.append(QUARANTINE, bad.withColumn("_load_timestamp",
                                                 F.lit(run_ts).cast("timestamp_ntz")))
-        new = insert_ignore(store.read(table), good, keys,
-                            ordinal=SRC.ORDER_COLS).checkpoint(eager=True)
-        store.append(table, new)
+        existing = store.read(table)
+        dated = "date" in keys
+        if dated:
+            good = good.withColumn("month", F.date_trunc("month", "date").cast("date"))
+            if existing is not None:
+                existing = existing.filter(F.col("month").isin(touched_values(good, "month")))
+        new = insert_ignore(existing, good, keys, ordinal=SRC.ORDER_COLS).checkpoint(eager=True)
+        store.append(table, new, partition_by=["month"] if dated else ())
     return write
 
 
