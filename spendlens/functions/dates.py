@@ -13,6 +13,16 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ntz_lit(value) -> Column:
+    """A Python datetime as a wall-clock ``timestamp_ntz`` literal.
+    ``F.lit(datetime)`` would make a zone-dependent TIMESTAMP (interpreted in
+    the Python process's zone, then shown in the session's); going through the
+    text form keeps the wall clock whatever the zones are."""
+    if value is None:
+        return F.lit(None).cast("timestamp_ntz")
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def as_date(c) -> Column:
     """timestamp / timestamp_ntz / ISO string -> date."""
     return _col(c).cast("date")

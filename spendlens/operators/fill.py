@@ -46,7 +46,12 @@ def zero_fill(visits: DataFrame, *, date_col: str = "date", key: str = "dma_code
               for m in measures]
     carried = []
     for c in carry:
-        fill_value = F.lit(run_ts) if run_ts is not None else F.lit(None)
+        if run_ts is None:
+            fill_value = F.lit(None)
+        elif hasattr(run_ts, "isoformat"):      # wall-clock literal, zone-independent
+            fill_value = F.lit(run_ts.isoformat(sep=" "))
+        else:
+            fill_value = F.lit(run_ts)
         carried.append(F.coalesce(F.col(c), fill_value.cast(visits.schema[c].dataType)).alias(c))
     return j.select(date_col, key, name, *filled,
                     F.col("_present").isNull().cast("int").alias("is_zero_filled"), *carried)

@@ -21,8 +21,15 @@ def since(df: DataFrame, watermark, col: str = "_load_timestamp",
     """Rows past the watermark: strict ``>`` (FIL-1) or inclusive ``>=``
     (FIL-2, re-processes the last batch; harmless behind an upsert).
     ``watermark`` may be a Python value or a scalar Column (subquery)."""
-    wm: Column = watermark if isinstance(watermark, Column) else F.lit(watermark)
-    wm = F.coalesce(wm, F.lit(SEED).cast(df.schema[col].dataType))
+    dtype = df.schema[col].dataType
+    if isinstance(watermark, Column):
+        wm = watermark
+    elif isinstance(watermark, _dt.datetime):
+        # wall-clock text -> the column's type: no session/process zone involved
+        wm = F.lit(watermark.isoformat(sep=" ")).cast(dtype)
+    else:
+        wm = F.lit(watermark)
+    wm = F.coalesce(wm, F.lit(SEED.isoformat(sep=" ")).cast(dtype))
     c = F.col(col)
     return df.filter(c >= wm if inclusive else c > wm)
 

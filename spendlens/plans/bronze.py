@@ -65,7 +65,7 @@ def clean_meta(raw: DataFrame, load_ts: _dt.datetime | None = None) -> tuple[Dat
         T.to_double_or_zero("conversions").alias("conversions"),
         T.to_double_or_zero("conversion_value_usd").alias("conversion_value_amount"),
         F.lit("meta").alias("platform"),
-        F.lit(load_ts).cast("timestamp_ntz").alias("_load_timestamp"),
+        D.ntz_lit(load_ts).alias("_load_timestamp"),
         # raw values kept for the checks and the quarantine record
         *[F.col(c).alias(f"_raw_{c}") for c in ("date", "impressions", "clicks", "spend_usd",
                                                 "conversions", "conversion_value_usd",
@@ -101,7 +101,7 @@ def clean_google(raw: DataFrame, load_ts: _dt.datetime | None = None
         T.to_double("conversions").alias("conversions"),
         T.to_long("conversions_value_micros").alias("conversions_value_micros"),
         F.lit("google").alias("platform"),
-        F.lit(load_ts).cast("timestamp_ntz").alias("_load_timestamp"),
+        D.ntz_lit(load_ts).alias("_load_timestamp"),
         F.col("_corrupt"), F.col("date").alias("_raw_date"),
         "_source_file", *ORDER_COLS)
     checks = [
@@ -133,7 +133,7 @@ def clean_store_visits(raw: DataFrame, load_ts: _dt.datetime | None = None
         T.strip_all("dma_name").alias("dma_name"),
         T.to_long("attributed_visits").alias("attributed_visits"),
         T.to_long("attribution_window_days").alias("attribution_window_days"),
-        F.lit(load_ts).cast("timestamp_ntz").alias("_load_timestamp"),
+        D.ntz_lit(load_ts).alias("_load_timestamp"),
         F.col("date").alias("_raw_date"), F.col("attributed_visits").alias("_raw_visits"),
         "_source_file", *ORDER_COLS)
     checks = [("bad date", F.col("date").isNull()),
@@ -157,7 +157,7 @@ def clean_campaign_metadata(raw: DataFrame, load_ts: _dt.datetime | None = None
         _date("campaign_end_date").alias("campaign_end_date"),
         budget.alias("budget_usd"),
         budget.isNotNull().cast("int").alias("budget_available"),
-        F.lit(load_ts).cast("timestamp_ntz").alias("_load_timestamp"),
+        D.ntz_lit(load_ts).alias("_load_timestamp"),
         F.col("budget_usd").alias("_raw_budget"),
         "_source_file", *ORDER_COLS)
     checks = [("missing campaign_id", F.col("campaign_id").isNull() | (F.col("campaign_id") == "")),

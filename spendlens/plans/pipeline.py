@@ -23,6 +23,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendlens.functions import dates as D
+
 from spendlens.operators import watermark as WM
 from spendlens.operators.merge import insert_ignore
 from spendlens.operators.names import name_change_log
@@ -85,7 +87,7 @@ def _load_source(spark, store, source, table, keys, todo, run_ts, result) -> lis
     """Type, quarantine and insert-or-ignore the changed files of one source;
     returns its ingestion-log rows."""
     raw, good, bad = _read_clean(spark, source, [r["path"] for r in todo], run_ts)
-    bad = bad.withColumn("_load_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
+    bad = bad.withColumn("_load_timestamp", D.ntz_lit(run_ts))
     store.append(QUARANTINE, bad)
     existing = store.read(table)
     dated = "date" in keys
@@ -264,7 +266,7 @@ def build_silver(spark: SparkSession, store: TableStore, run_ts, wm: Watermarks)
 def _unified_batch(meta, google, run_ts) -> DataFrame:
     """Meta rows then Google rows in the unified shape (SET-2)."""
     keep = [*S.PERF_COLS, *SRC.ORDER_COLS, "_platform_order"]
-    staged = F.lit(run_ts).cast("timestamp_ntz")
+    staged = D.ntz_lit(run_ts)
     parts = []
     if meta is not None:
         parts.append(meta.withColumn("_staged_timestamp", staged)

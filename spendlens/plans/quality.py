@@ -306,13 +306,13 @@ def pipeline_health(tracking: DataFrame, log: DataFrame, listing: DataFrame,
     missing = expected.join(listing.select("file_name"), "file_name", "left_anti").select(
         F.lit("file_missing").alias("rule"), F.col("file_name").alias("subject"),
         F.lit(None).cast("string").alias("detail"))
-    limit = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(stall_hours * 60)} MINUTES")
+    limit = D.ntz_lit(as_of) - F.expr(f"INTERVAL {int(stall_hours * 60)} MINUTES")
     stalled = tracking.filter(F.col("last_processed_load_timestamp") < limit).select(
         F.lit("tracking_stalled").alias("rule"), F.col("table_name").alias("subject"),
         F.col("last_processed_load_timestamp").cast("string").alias("detail"))
     last_ok = log.filter(F.col("status") == "success").groupBy("source_file").agg(
         F.max("ingested_at").alias("last_ok"))
-    since = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(max_log_gap_days)} DAYS")
+    since = D.ntz_lit(as_of) - F.expr(f"INTERVAL {int(max_log_gap_days)} DAYS")
     gaps = (expected.join(last_ok, expected.file_name == last_ok.source_file, "left")
             .filter(F.col("last_ok").isNull() | (F.col("last_ok") < since))
             .select(F.lit("ingestion_gap").alias("rule"), F.col("file_name").alias("subject"),

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendlens.functions import dates as D
+
 from spendlens.functions import money as M
 from spendlens.operators.dedup import last_per_key
 from spendlens.operators.fill import zero_fill
@@ -72,7 +74,7 @@ def build_stg_meta(raw_meta: DataFrame, rates: DataFrame, staged_ts: _dt.datetim
         "date", "timestamp_utc", "campaign_id", "campaign_name", "adset_id", "ad_id",
         "objective", "placement", "impressions", "clicks", "spend_usd", "currency_used",
         "currency_conversion_note", "conversions", "conversion_value_usd", "platform",
-        "_load_timestamp", F.lit(staged_ts).cast("timestamp_ntz").alias("_staged_timestamp"),
+        "_load_timestamp", D.ntz_lit(staged_ts).alias("_staged_timestamp"),
         *extra)
 
 
@@ -88,7 +90,7 @@ def build_stg_google(raw_google: DataFrame, staged_ts: _dt.datetime,
         "conversions",
         M.micros_to_dollars("conversions_value_micros").alias("conversion_value_usd"),
         "platform", "duplicate_combined", "duplicate_count", "_load_timestamp",
-        F.lit(staged_ts).cast("timestamp_ntz").alias("_staged_timestamp"), *extra)
+        D.ntz_lit(staged_ts).alias("_staged_timestamp"), *extra)
 
 
 def google_as_performance(stg_google: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
@@ -107,10 +109,10 @@ def build_stg_daily_performance(stg_meta: DataFrame, stg_google: DataFrame,
                                 staged_ts: _dt.datetime) -> DataFrame:
     """TAB-12 (SET-2): one table for both platforms; the pipeline upserts it
     on ``PERF_KEY`` (Meta first, then Google, last write wins)."""
-    ts = F.lit(staged_ts).cast("timestamp_ntz").alias("_staged_timestamp")
+    ts = D.ntz_lit(staged_ts).alias("_staged_timestamp")
     meta = stg_meta.select(*[c for c in PERF_COLS if c != "_staged_timestamp"], ts)
     google = google_as_performance(stg_google).drop("_staged_timestamp").withColumn(
-        "_staged_timestamp", F.lit(staged_ts).cast("timestamp_ntz"))
+        "_staged_timestamp", D.ntz_lit(staged_ts))
     return (meta.withColumn("_platform_order", F.lit(0))
             .unionByName(google.withColumn("_platform_order", F.lit(1))))
 
@@ -120,7 +122,7 @@ def build_stg_store_visits(raw_visits: DataFrame, run_ts: _dt.datetime) -> DataF
     Filled rows carry the run timestamp as load time, so facts built
     incrementally from a load-time watermark pick them up (quirk D3 fixed)."""
     filled = zero_fill(raw_visits, carry=("_load_timestamp",), run_ts=run_ts)
-    return filled.withColumn("_staged_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
+    return filled.withColumn("_staged_timestamp", D.ntz_lit(run_ts))
 
 
 def build_ref_dma_list(raw_visits: DataFrame) -> DataFrame:

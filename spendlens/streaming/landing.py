@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+
+from spendlens.functions import dates as D
 from pyspark.sql.streaming import StreamingQuery
 
 from spendlens.operators.merge import insert_ignore
@@ -65,7 +67,7 @@ def _batch_writer(store: TableStore, source: str):
             _, clean, table, keys, _ = _CLEANERS[source]
             good, bad = clean(batch, run_ts)
         store.append(QUARANTINE, bad.withColumn("_load_timestamp",
-                                                F.lit(run_ts).cast("timestamp_ntz")))
+                                                D.ntz_lit(run_ts)))
         existing = store.read(table)
         dated = "date" in keys
         if dated:

@@ -196,3 +196,21 @@ def test_failing_source_does_not_stop_the_run(spark, tmp_path, monkeypatch):
     res2 = pipeline.run(spark, raw, tables, RUN2)
     assert res2.loads["store_visits"]["status"] == "success"
     assert st.read("fact_store_visits").count() == 10
+
+
+def test_pipeline_is_zone_independent(spark, tmp_path):
+    raw = write_landing(str(tmp_path / "landing"))
+    tables = str(tmp_path / "tables")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        pipeline.run(spark, raw, tables, RUN1)
+        st = TableStore(spark, tables)
+        m = {r["ad_id"]: r for r in st.read("raw_meta_ads").collect()}
+        assert m["ad7"]["timestamp_utc"] == dt.datetime(2026, 6, 1, 20, 0, 0)
+        assert m["ad7"]["_load_timestamp"] == RUN1
+        assert st.read("fact_store_visits").count() == 10
+        res = pipeline.run(spark, raw, tables, RUN2)
+        assert all(v["status"] == "unchanged" for v in res.loads.values())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
