@@ -26,19 +26,24 @@ from spendlens.plans import bronze as BR
 from spendlens.sources import files as SRC
 from spendlens.sources.store import QUARANTINE, TableStore, now_utc, touched_values
 
+# Each stream watches the landing folder for files named with its source's
+# prefix (flat files, e.g. meta_ads_2026-06-01.csv).
 _CLEANERS = {
-    "meta_ads": (SRC.META_COLUMNS, BR.clean_meta, "raw_meta_ads", BR.META_KEY, "*.csv"),
+    "meta_ads": (SRC.META_COLUMNS, BR.clean_meta, "raw_meta_ads", BR.META_KEY,
+                 SRC.SOURCE_PREFIXES["meta_ads"] + "*"),
     "store_visits": (SRC.VISITS_COLUMNS, BR.clean_store_visits, "raw_store_visits",
-                     BR.VISITS_KEY, "*.csv"),
+                     BR.VISITS_KEY, SRC.SOURCE_PREFIXES["store_visits"] + "*"),
     "campaign_metadata": (SRC.METADATA_COLUMNS, BR.clean_campaign_metadata,
-                          "raw_campaign_metadata", BR.METADATA_KEY, "*.csv"),
+                          "raw_campaign_metadata", BR.METADATA_KEY,
+                          SRC.SOURCE_PREFIXES["campaign_metadata"] + "*"),
 }
 
 
 def _stream(spark: SparkSession, landing_dir: str, source: str) -> DataFrame:
     if source == "google_ads":
         df = (spark.readStream.schema(SRC.GOOGLE_SCHEMA).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", "_corrupt").option("pathGlobFilter", "*.json")
+              .option("columnNameOfCorruptRecord", "_corrupt")
+              .option("pathGlobFilter", SRC.SOURCE_PREFIXES["google_ads"] + "*")
               .json(landing_dir))
     else:
         cols, _, _, _, glob = _CLEANERS[source]
@@ -90,3 +95,21 @@ def ingest_available(spark: SparkSession, landing_dir: str, store: TableStore,
          .start())
     q.awaitTermination()
     return q
+
+
+def ingest_and_build(spark: SparkSession, landing_dir: str, table_dir: str) -> dict:
+    """Streaming counterpart of ``pipeline.run``: each source's new landing
+    files are ingested by its stream (availableNow), then the silver and gold
+    tables are advanced from their watermarks exactly as in the batch run."""
+    from spendlens.plans import pipeline
+
+    store = TableStore(spark, table_dir)
+    progress = {}
+    for source in ("meta_ads", "google_ads", "store_visits", "campaign_metadata"):
+        q = ingest_available(spark, landing_dir, store, source)
+        progress[source] = (q.lastProgress or {}).get("numInputRows", 0)
+    run_ts = now_utc()
+    wm = pipeline.Watermarks(store)
+    pipeline.build_silver(spark, store, run_ts, wm)
+    pipeline.build_gold(spark, store, run_ts, wm)
+    return progress
