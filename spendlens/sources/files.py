@@ -66,24 +66,32 @@ def string_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def with_input_order(df: DataFrame) -> DataFrame:
+def with_input_order(df: DataFrame, paths: list[str] | None = None) -> DataFrame:
     """Add ``_source_file`` and the numeric order columns ``_file_idx``,
     ``_block``, ``_row``: file (by name), split start offset, row inside the
-    split.  Files are ranked over the distinct file names only (one row per
-    file), so no step sees all rows at once."""
+    split.
+
+    When the caller knows the file list (the pipeline does, from its
+    listing), the file's rank is a lookup in a literal array -- no join.
+    Otherwise the distinct file names are ranked (one row per file) and that
+    small table is broadcast: joining it without a broadcast could shuffle
+    every raw row by file, i.e. a whole file into one task."""
     x = df.select("*", F.col("_metadata.file_path").alias("_source_file"),
                   F.col("_metadata.file_block_start").alias("_block"),
                   F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_row"))
+    if paths:
+        ordered = F.array(*[F.lit(p) for p in sorted(set(paths))])
+        return x.withColumn("_file_idx", F.array_position(ordered, F.col("_source_file")))
     files = x.select("_source_file").distinct().withColumn(
         "_file_idx", F.dense_rank().over(Window.orderBy("_source_file")).cast("bigint"))
-    return x.join(files, "_source_file")
+    return x.join(F.broadcast(files), "_source_file")
 
 
 def read_csv_strings(spark: SparkSession, path: str | list[str], columns: list[str]) -> DataFrame:
     """SRC-1/4/5: header CSV, UTF-8, every value a string (one path or many)."""
     df = (spark.read.schema(string_schema(columns)).option("header", True)
           .option("encoding", "UTF-8").option("mode", "PERMISSIVE").csv(path))
-    return with_input_order(df)
+    return with_input_order(df, path if isinstance(path, list) else None)
 
 
 def read_json_lines(spark: SparkSession, path: str | list[str],
@@ -92,7 +100,7 @@ def read_json_lines(spark: SparkSession, path: str | list[str],
     which would also drop valid JSON with one mistyped field)."""
     df = (spark.read.schema(schema).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt").json(path))
-    return with_input_order(df)
+    return with_input_order(df, path if isinstance(path, list) else None)
 
 
 def flatten_google(df: DataFrame) -> DataFrame:

@@ -64,7 +64,7 @@ def _batch_writer(store: TableStore, source: str):
         # one row per file of the micro-batch
         ranked = files.withColumn(
             "_file_idx", F.dense_rank().over(Window.orderBy("_source_file")).cast("bigint"))
-        batch = batch.join(ranked, "_source_file")
+        batch = batch.join(F.broadcast(ranked), "_source_file")   # one row per file
         if source == "google_ads":
             good, bad = BR.clean_google(SRC.flatten_google(batch), run_ts)
             good, table, keys = BR.dedup_google(good), "raw_google_ads", BR.GOOGLE_KEY
