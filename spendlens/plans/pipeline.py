@@ -27,7 +27,7 @@ from spendlens.functions import dates as D
 
 from spendlens.operators import watermark as WM
 from spendlens.operators.merge import insert_ignore
-from spendlens.operators.names import name_change_log
+from spendlens.operators.names import name_log_from_months, name_month_summary
 from spendlens.plans import bronze as BR
 from spendlens.plans import gold as G
 from spendlens.plans import quality as Q
@@ -193,18 +193,18 @@ def _batch(store: TableStore, wm: Watermarks, source: str, target: str, inclusiv
 
 
 def _refresh_name_log(store: TableStore, batch: DataFrame) -> None:
-    """TAB-19 for the campaigns in this batch only: their history is rebuilt
-    from the unified table (a pushed-down semi join on the touched campaign
-    ids) and replaces their previous rows; other campaigns' rows are kept.
-    The log holds one row per campaign/name/platform, so rewriting it is
-    small next to the fact."""
-    touched = batch.select("campaign_id").distinct()
-    perf = store.read("stg_daily_performance")
-    fresh = name_change_log(perf.join(touched, "campaign_id", "left_semi"))
-    old = store.read("log_campaign_name_changes")
-    if old is not None:
-        fresh = old.join(touched, "campaign_id", "left_anti").unionByName(fresh)
-    store.overwrite("log_campaign_name_changes", fresh)
+    """TAB-19, incrementally: the monthly name summaries of the months this
+    batch touched are recomputed from those partitions of the unified table
+    (partition-pruned scan) and replace those month partitions; the log is
+    then folded from the summaries (one row per campaign/name/platform/month,
+    far smaller than the fact)."""
+    months = touched_values(_with_month(batch), MONTH)
+    perf = store.read("stg_daily_performance").filter(F.col(MONTH).isin(months))
+    (name_month_summary(perf).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH)
+     .parquet(store.path("log_name_months")))
+    store.overwrite("log_campaign_name_changes",
+                    name_log_from_months(store.read("log_name_months")))
 
 
 def _write_once(store: TableStore, name: str, df: DataFrame) -> None:

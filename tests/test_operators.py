@@ -121,3 +121,19 @@ def test_name_log_and_watermark(spark):
     assert WM.since(t, None).count() == 3
     assert WM.advanced(t.limit(0), ts(2026, 1, 2)) == ts(2026, 1, 2)
     assert WM.advanced(t, None) == ts(2026, 1, 3)
+
+
+def test_name_log_from_monthly_summaries_equals_full(spark):
+    from spendlens.operators.names import name_log_from_months, name_month_summary
+    rnd = random.Random(9)
+    base = dt.date(2026, 1, 1)
+    rows = [(base + dt.timedelta(days=rnd.randint(0, 150)), str(rnd.randint(1, 20)),
+             rnd.choice(["a", "b", "c", ""]), rnd.choice(["meta", "google"])) for _ in range(3000)]
+    perf = spark.createDataFrame(rows, "date date, campaign_id string, campaign_name string, "
+                                       "platform string") \
+        .withColumn("month", F.date_trunc("month", "date").cast("date"))
+    cols = ["campaign_id", "campaign_name", "platform", "first_seen_date", "last_seen_date",
+            "days_active", "is_current"]
+    a = name_log_from_months(name_month_summary(perf)).select(*cols).collect()
+    b = name_change_log(perf).select(*cols).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))

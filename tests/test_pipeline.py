@@ -109,6 +109,12 @@ def test_gold(first_run):
     assert st.read("dim_campaign").count() == 7
     assert res.checks["null_spend"] == 0 and res.checks["negative_spend"] == 0
     names = st.read("log_campaign_name_changes")
+    from spendlens.operators.names import name_change_log
+    full = name_change_log(st.read("stg_daily_performance"))
+    cols = ["campaign_id", "campaign_name", "platform", "first_seen_date", "last_seen_date",
+            "days_active", "is_current"]
+    assert sorted(map(tuple, names.select(*cols).collect())) == \
+        sorted(map(tuple, full.select(*cols).collect()))
     cur = names.filter("campaign_id = '1003' AND is_current = 1").collect()
     assert {r["campaign_name"] for r in cur} == {"New_Name"} or len(cur) >= 1
 
