@@ -532,7 +532,11 @@ def q_google_json_dedup(spark, d):
     from spendlens.plans import bronze as BR
     from spendlens.sources import files as SRC
     lines = google_export_lines(spark, d)
-    parsed = lines.select(F.from_json("line", SRC.GOOGLE_SCHEMA).alias("j"), "_row")
+    # Parse each line once: expanding the struct behind a generator keeps the
+    # optimizer from splitting from_json per field and copying it into the
+    # quarantine filter (which would re-parse every line once per field).
+    rec = F.struct(F.from_json("line", SRC.GOOGLE_SCHEMA).alias("j"), F.col("_row"))
+    parsed = lines.select(F.inline(F.array(rec)))
     recs = parsed.select("j.*", F.lit("orders").alias("_source_file"),
                          F.lit(0).cast("bigint").alias("_file_idx"),
                          F.lit(0).cast("bigint").alias("_block"), "_row")

@@ -73,3 +73,14 @@ def test_growth_and_status(spark):
                     M.budget_status("c", "b", with_missing="NO BUDGET").alias("s")).collect()
     assert [r["g"] for r in out] == [10.0, None, None]
     assert [r["s"] for r in out] == ["OVER BUDGET", "NO BUDGET", "OVER BUDGET"]
+
+
+def test_strip_matches_python_strip(spark):
+    import random
+    from spendlens.functions.text import WHITESPACE
+    rnd = random.Random(1)
+    pool = list(WHITESPACE) + list("ab cé中-")
+    vals = ["".join(rnd.choice(pool) for _ in range(rnd.randint(0, 8))) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = [r[0] for r in df.select(T.strip_all("s")).collect()]
+    assert got == [v.strip() for v in vals]
