@@ -11,7 +11,9 @@ system's pipeline.  It is incremental:
   partitions present in the batch.
 
 Rows never travel to the driver: only the file listing (one row per landing
-file), watermarks (one scalar per table) and counters do.
+file), watermarks (one scalar per table), the months a batch touches (used as
+partition filters) and per-file counters do.  A source that fails is logged
+as ``failed`` and retried by the next run; the other sources proceed.
 """
 
 from __future__ import annotations
