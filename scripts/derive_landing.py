@@ -57,7 +57,7 @@ def meta_rows(spark, d) -> DataFrame:
                  F.lpad(F.col("l_linenumber").cast("string"), 2, "0"), F.lit(":00:00"))
         .alias("timestamp_pst"),
         F.col("l_suppkey").cast("string").alias("campaign_id"),
-        F.concat(F.lit("HB_"), F.col("l_suppkey").cast("string")).alias("campaign_name"),
+        F.concat(F.lit("NW_"), F.col("l_suppkey").cast("string")).alias("campaign_name"),
         F.col("l_partkey").cast("string").alias("adset_id"),
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
         .alias("ad_id"),
@@ -115,7 +115,7 @@ def metadata_rows(spark, d) -> DataFrame:
     j = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
     lines = F.array(*[F.lit(x) for x in PRODUCT_LINES])
     return j.select(
-        F.col("s_suppkey").cast("string").alias("campaign_id"), F.lit("HomeBase").alias("brand"),
+        F.col("s_suppkey").cast("string").alias("campaign_id"), F.lit("Northwind").alias("brand"),
         F.element_at(lines, (F.col("s_nationkey") % len(PRODUCT_LINES)) + 1).alias("product_line"),
         _region(F.col("n_regionkey")).alias("region"),
         F.lit(START).alias("campaign_start_date"), F.lit("2026-06-30").alias("campaign_end_date"),

@@ -13,36 +13,36 @@ META_HEADER = ["date", "timestamp_pst", "campaign_id", "campaign_name", "adset_i
 
 META_ROWS = [
     # USD
-    ["2026-01-05", "2026-01-05 10:00:00", "1001", "HB_App_East", "as1", "ad1", "conv", "feed",
+    ["2026-01-05", "2026-01-05 10:00:00", "1001", "NW_App_East", "as1", "ad1", "conv", "feed",
      "1000", "50", "100.00", "USD", "5", "300"],
     # lower-case padded CAD, January rate 0.74
-    ["2026-01-05", "2026-01-05 11:00:00", "1002", "HB_Fur_East", "as1", "ad2", "conv", "feed",
+    ["2026-01-05", "2026-01-05 11:00:00", "1002", "NW_Fur_East", "as1", "ad2", "conv", "feed",
      "2000", "80", "200.00", " cad ", "4", "250"],
     # GBP, February rate 1.27: 300.50 * 1.27 = 381.635 -> 381.64
-    ["2026-02-10", "2026-02-10 09:30:00", "1003", "HB_Out_West", "as2", "ad3", "conv", "story",
+    ["2026-02-10", "2026-02-10 09:30:00", "1003", "NW_Out_West", "as2", "ad3", "conv", "story",
      "1500", "30", "300.50", "GBP", "3", "400"],
     # missing currency -> assumed USD
-    ["2026-03-01", "2026-03-01 08:00:00", "1004", "HB_Sea_Nat", "as3", "ad4", "reach", "feed",
+    ["2026-03-01", "2026-03-01 08:00:00", "1004", "NW_Sea_Nat", "as3", "ad4", "reach", "feed",
      "900", "10", "50.00", "", "1", "90"],
     # EUR has no rate -> factor 1.0, note still says converted
-    ["2026-03-02", "2026-03-02 08:00:00", "1005", "HB_Sea_Nat", "as3", "ad5", "reach", "feed",
+    ["2026-03-02", "2026-03-02 08:00:00", "1005", "NW_Sea_Nat", "as3", "ad5", "reach", "feed",
      "800", "12", "70.00", "EUR", "2", "80"],
     # CAD in July: no rate
-    ["2026-07-15", "2026-07-15 08:00:00", "1006", "HB_App_Nat", "as4", "ad6", "conv", "feed",
+    ["2026-07-15", "2026-07-15 08:00:00", "1006", "NW_App_Nat", "as4", "ad6", "conv", "feed",
      "700", "7", "80.00", "CAD", "1", "70"],
     # summer timestamp: fixed +8 h, empty conversions -> 0.0
-    ["2026-06-01", "2026-06-01 12:00:00", "1001", "HB_App_East", "as1", "ad7", "conv", "feed",
+    ["2026-06-01", "2026-06-01 12:00:00", "1001", "NW_App_East", "as1", "ad7", "conv", "feed",
      "600", "6", "60.00", "USD", "", ""],
     # bad timestamp -> NULL; tab / non-breaking-space padding in the name
-    ["2026-06-02", "not a time", "1001", "\tHB_App_East ", "as1", "ad8", "conv", "feed",
+    ["2026-06-02", "not a time", "1001", "\tNW_App_East ", "as1", "ad8", "conv", "feed",
      "500", "5", "50.00", "USD", "1", "10"],
     # non-numeric impressions -> quarantine
-    ["2026-06-03", "2026-06-03 12:00:00", "1001", "HB_App_East", "as1", "ad9", "conv", "feed",
+    ["2026-06-03", "2026-06-03 12:00:00", "1001", "NW_App_East", "as1", "ad9", "conv", "feed",
      "12x", "5", "50.00", "USD", "1", "10"],
     # exact key duplicate in one file: first wins (spend 11.00 kept)
-    ["2026-04-01", "2026-04-01 10:00:00", "1002", "HB_Fur_East", "as9", "ad9", "conv", "feed",
+    ["2026-04-01", "2026-04-01 10:00:00", "1002", "NW_Fur_East", "as9", "ad9", "conv", "feed",
      "100", "1", "11.00", "USD", "1", "10"],
-    ["2026-04-01", "2026-04-01 10:00:00", "1002", "HB_Fur_East", "as9", "ad9", "conv", "feed",
+    ["2026-04-01", "2026-04-01 10:00:00", "1002", "NW_Fur_East", "as9", "ad9", "conv", "feed",
      "100", "1", "99.00", "USD", "1", "10"],
     # two names for one silver key-day (D2): both in bronze, one in silver
     ["2026-04-02", "2026-04-02 10:00:00", "1003", "Old_Name", "as2", "ad3", "conv", "story",
@@ -108,14 +108,14 @@ VISITS_ROWS = [
 METADATA_HEADER = ["campaign_id", "brand", "product_line", "region", "campaign_start_date",
                    "campaign_end_date", "budget_usd"]
 METADATA_ROWS = [
-    ["1001", "HomeBase", "Appliances", "East", "2026-01-01", "2026-06-30", "500"],
-    ["1002", "HomeBase", "Appliances", "East", "2026-01-01", "2026-04-30", ""],   # peer: 1001
-    ["1003", "HomeBase", "Outdoor", "West", "2026-02-01", "2026-04-30", "0"],      # zero budget
-    ["1004", "HomeBase", "Seasonal", "National", "2026-03-01", "2026-03-31", "40"],
-    ["1005", "HomeBase", "Seasonal", "National", "2026-03-01", "2026-03-31", ""],
-    ["1006", "HomeBase", "Furniture", "National", "2026-07-01", "2026-07-31", ""],  # no peer
-    ["1007", "HomeBase", "Furniture", "East", "2026-01-01", "2026-01-31", "100"],   # no spend
-    ["1008", "HomeBase", "Furniture", "East", "2026-01-01", "2026-01-31", "abc"],   # bad budget
+    ["1001", "Northwind", "Appliances", "East", "2026-01-01", "2026-06-30", "500"],
+    ["1002", "Northwind", "Appliances", "East", "2026-01-01", "2026-04-30", ""],   # peer: 1001
+    ["1003", "Northwind", "Outdoor", "West", "2026-02-01", "2026-04-30", "0"],      # zero budget
+    ["1004", "Northwind", "Seasonal", "National", "2026-03-01", "2026-03-31", "40"],
+    ["1005", "Northwind", "Seasonal", "National", "2026-03-01", "2026-03-31", ""],
+    ["1006", "Northwind", "Furniture", "National", "2026-07-01", "2026-07-31", ""],  # no peer
+    ["1007", "Northwind", "Furniture", "East", "2026-01-01", "2026-01-31", "100"],   # no spend
+    ["1008", "Northwind", "Furniture", "East", "2026-01-01", "2026-01-31", "abc"],   # bad budget
 ]
 
 

@@ -52,7 +52,7 @@ def test_meta_cleaning(first_run):
     assert by_ad["ad7"]["timestamp_utc"] == dt.datetime(2026, 6, 1, 20, 0, 0)
     assert by_ad["ad7"]["conversions"] == 0.0
     assert by_ad["ad8"]["timestamp_utc"] is None
-    assert by_ad["ad8"]["campaign_name"] == "HB_App_East"
+    assert by_ad["ad8"]["campaign_name"] == "NW_App_East"
     assert {r["_file_idx"] for r in m.select("_file_idx").distinct().collect()} == {1}
     dup = [r for r in m.collect() if r["adset_id"] == "as9"]
     assert len(dup) == 1 and dup[0]["spend_amount"] == 11.0
