@@ -171,8 +171,9 @@ def spend_vs_visits_region_fanout(fact: DataFrame, dim: DataFrame,
                                             F.sum("m").alias("m")))
     vis_r = visits.groupBy("date", "mapped_region").agg(
         F.sum("attributed_visits").alias("V"), F.count(F.lit(1)).alias("n"))
-    vis_t = visits.groupBy("date").agg(F.sum("attributed_visits").alias("V"),
-                                       F.count(F.lit(1)).alias("n"))
+    # per-date totals folded from the per-region sums (the visits input is
+    # aggregated once, not twice)
+    vis_t = vis_r.groupBy("date").agg(F.sum("V").alias("V"), F.sum("n").alias("n"))
     regional = (spend.filter(F.col("region") != NATIONAL)
                 .join(vis_r, (spend.date == vis_r.date) & (spend.region == vis_r.mapped_region))
                 .select(spend.date, spend.region, "S", "m", "V", "n"))
