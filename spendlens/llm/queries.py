@@ -3,9 +3,11 @@ parameters, to its whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from spendlens.llm.common import table
+from spendlens.llm.packing import pack_documents
 from spendlens.llm.registry import register
 from spendlens.llm.simhash import simhash_components
 
@@ -13,3 +15,9 @@ from spendlens.llm.simhash import simhash_components
 @register("op2_simhash_near_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
+@register("op1_best_fit_packing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"),
+                          public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
