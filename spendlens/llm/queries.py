@@ -7,6 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from spendlens.llm.common import table
+from spendlens.llm.embeddings import near_vectors
 from spendlens.llm.packing import pack_documents
 from spendlens.llm.registry import register
 from spendlens.llm.simhash import simhash_components
@@ -21,3 +22,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"),
                           public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+
+
+@register("op8_embedding_near_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
