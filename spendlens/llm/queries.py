@@ -6,6 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from spendlens.llm import pii
 from spendlens.llm.common import table
 from spendlens.llm.embeddings import near_vectors
 from spendlens.llm.packing import pack_documents
@@ -27,3 +28,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_embedding_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+@register("op7_pii")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
