@@ -44,20 +44,29 @@ WORD_SPLIT = r"[^\p{L}\p{N}]+"
 SPAN = "array<struct<s:int,e:int,m:string>>"
 
 
-def match_spans(text: Column, pattern: Column) -> Column:
-    """Leftmost non-overlapping matches as (start, end, match), in code points."""
-    steps = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0)),
-                       lambda p, m: F.struct(F.char_length(p).alias("n"), m.alias("m")))
+def match_spans(text: Column, pattern: Column, window: int = 0) -> Column:
+    """Leftmost non-overlapping matches as (s, e, m): start, end (exclusive), in code
+    points, and match.  With a ``window``, also ``l`` and ``r``: what stands before
+    and after, up to ``window`` characters or the next match."""
+    parts = F.split(text, pattern, -1)
+    around = F.zip_with(parts, F.slice(parts, 2, 1 << 30), lambda p, q: F.struct(
+        F.char_length(p).alias("n"),
+        (F.right(p, F.lit(window)) if window else F.lit("")).alias("l"),
+        (F.left(q, F.lit(window)) if window else F.lit("")).alias("r")))
+    steps = F.zip_with(around, F.regexp_extract_all(text, pattern, F.lit(0)),
+                       lambda p, m: F.struct(p.alias("p"), m.alias("m")))
+    extra = ", l:string, r:string" if window else ""
 
     def step(acc: Column, x: Column) -> Column:
-        s = acc["pos"] + x["n"]
+        s = acc["pos"] + x["p"]["n"]
         e = s + F.char_length(x["m"])
+        span = [s.alias("s"), e.alias("e"), x["m"].alias("m")]
+        span += [x["p"][c].alias(c) for c in "lr"] if window else []
         return F.when(x["m"].isNull(), acc).otherwise(F.struct(
-            e.alias("pos"),
-            F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"),
-                                                  x["m"].alias("m")))).alias("out")))
+            e.alias("pos"), F.concat(acc["out"], F.array(F.struct(*span))).alias("out")))
 
-    none = F.struct(F.lit(0).alias("pos"), F.array().cast(SPAN).alias("out"))
+    none = F.struct(F.lit(0).alias("pos"),
+                    F.array().cast(f"array<struct<s:int,e:int,m:string{extra}>>").alias("out"))
     return F.aggregate(steps, none, step, lambda acc: acc["out"])
 
 
@@ -83,18 +92,19 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def base_spans(text: Column, kind: str) -> Column:
-    """Valid spans of a kind; an empty array for a null text."""
+def base_spans(text: Column, kind: str, window: int = 0) -> Column:
+    """Valid spans of a kind (see ``match_spans``); an empty array for a null text."""
     pattern = PATTERNS[kind]
     there = F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else text.rlike(pattern)
-    found = F.filter(match_spans(text, F.lit(pattern)), lambda x: _valid(kind, x["m"]))
-    return F.when(there, found).otherwise(F.array().cast(SPAN))
+    found = F.filter(match_spans(text, F.lit(pattern), window), lambda x: _valid(kind, x["m"]))
+    none = F.filter(match_spans(F.lit(""), F.lit(pattern), window), lambda x: F.lit(False))
+    return F.when(there, found).otherwise(none)
 
 
-def with_base_spans(docs: DataFrame, text_col: str = "text", prefix: str = "_") -> DataFrame:
-    """Adds ``_email``, ``_ip``, ``_card``, ``_phone``: arrays of (s, e, m)."""
+def with_base_spans(docs: DataFrame, text_col: str = "text", window: int = 0) -> DataFrame:
+    """Adds ``_email``, ``_ip``, ``_card``, ``_phone``: arrays of spans."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.withColumns({f"{prefix}{k}": base_spans(text, k) for k in KINDS})
+    return docs.withColumns({f"_{k}": base_spans(text, k, window) for k in KINDS})
 
 
 def _entity(kind: str, m: Column) -> Column:
@@ -105,7 +115,7 @@ def _entity(kind: str, m: Column) -> Column:
 
 def _entities(kind: str) -> Column:
     return F.transform(f"_{kind}", lambda x: F.struct(
-        _entity(kind, x["m"]).alias("entity"), x["s"].alias("s"), x["e"].alias("e")))
+        _entity(kind, x["m"]).alias("entity"), x["l"].alias("l"), x["r"].alias("r")))
 
 
 def _key(text: Column) -> list[Column]:
@@ -118,23 +128,18 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", window: int = 80,
     """``(flags, mentions)``: terms per entity, (entity, term, share, action), and the
     entities of each text, (k1, k2, entity), keyed by a 128-bit hash of the text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    found = (with_base_spans(docs.select(text.alias("t")), "t")
+    found = (with_base_spans(docs.select(text.alias("t")), "t", window)
              .withColumn("x", F.concat(*map(_entities, KINDS)))
-             .where(F.size("x") > 0)
-             .select("t", *_key(F.col("t")), F.xxhash64(F.substring("t", 1, 40)).alias("opening"),
+             .select(*_key(F.col("t")), F.xxhash64(F.substring("t", 1, 40)).alias("opening"),
                      F.explode("x").alias("x"))
-             .select("t", "k1", "k2", "opening", "x.*"))
+             .select("k1", "k2", "opening", "x.*"))
     # whole words only: a word that the window cuts is left out
-    left = F.substr(F.col("t"), F.greatest(F.col("s") - window, F.lit(0)) + 1,
-                    F.least(F.col("s"), F.lit(window)))
-    left = F.when(F.col("s") > window, F.regexp_replace(left, r"^[\p{L}\p{N}]+", "")).otherwise(left)
-    right = F.substr(F.col("t"), F.col("e") + 1, F.lit(window))
-    right = F.when(F.char_length(right) == window,
-                   F.regexp_replace(right, r"[\p{L}\p{N}]+$", "")).otherwise(right)
+    left, right = (F.when(F.char_length(c) == window, F.regexp_replace(c, cut, "")).otherwise(F.col(c))
+                   for c, cut in (("l", r"^[\p{L}\p{N}]+"), ("r", r"[\p{L}\p{N}]+$")))
     near = materialise(
-        found.withColumn("words", F.array_remove(
-            F.split(F.lower(F.concat(left, F.lit("\n"), right)), WORD_SPLIT), ""))
-        .drop("t", "s", "e"), "pii-near")
+        found.select("k1", "k2", "opening", "entity", F.array_remove(
+            F.split(F.lower(F.concat(left, F.lit("\n"), right)), WORD_SPLIT), "").alias("words")),
+        "pii-near")
     mentions = near.select("k1", "k2", "entity").distinct()
     pairs = (near.select("entity", "opening", F.explode("words").alias("term"))
              .groupBy("entity", "term", "opening").agg(F.count("*").alias("n")))
