@@ -16,7 +16,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,46 +75,51 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
     text, then ``end_id``, cut into pieces of ``capacity`` at most.  ``keep_ids``
     adds the ids themselves.  A null text counts as empty: one piece of one id.
     Null and repeated ids are kept as they are."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for doc_id, text in zip(batch["doc_id"].tolist(), batch["text"]):
+            doc_ids, out = batch.column("doc_id"), []
+            for row, text in enumerate(batch.column("text").to_pylist()):
                 ids = np.append(encode_ids(tokenizer, text), np.uint32(end_id)).astype("<u4")
                 for k, (s, n) in enumerate(cut(len(ids), capacity)):
                     part = ids[s:s + n]
-                    out.append((doc_id, k, s, n, zlib.crc32(part.tobytes()))
-                               + ((part.astype(np.int32),) if keep_ids else ()))
-            frame = pd.DataFrame(out, columns=names)
-            yield frame.astype({"doc_id": "Int64"})
+                    out.append((row, k, s, n, zlib.crc32(part.tobytes()),
+                                part if keep_ids else None))
+            if out:
+                row, *cols, parts = zip(*out)
+                kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                arrays = [doc_ids.take(pa.array(row))] + [pa.array(c, k) for c, k in zip(cols, kinds)]
+                arrays += [pa.array(parts, pa.list_(pa.int32()))] if keep_ids else []
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
     schema += ", ids array<int>" if keep_ids else ""
     names = [c.split()[0] for c in schema.split(", ")]
     return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-            .mapInPandas(run, schema))
+            .mapInArrow(run, schema))
 
 
 def _pack_buckets(rows: DataFrame, capacity: int, open_bins: int) -> DataFrame:
     """Adds ``_bin``, ``_offset``; rows have ``_bucket``, ``_order`` and ``length``."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, fit = None, None
         for batch in batches:
             bins, offsets = [], []
-            for b, n in zip(batch["_bucket"].tolist(), batch["length"].tolist()):
+            for b, n in zip(batch.column("_bucket").to_pylist(), batch.column("length").to_pylist()):
                 if b != bucket:
                     bucket, fit = b, BestFit(capacity, open_bins)
                 k, at = fit.place(n)
                 bins.append(bucket << 32 | k)
                 offsets.append(at)
-            yield batch.assign(_bin=np.array(bins, np.int64),
-                               _offset=np.array(offsets, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(bins, pa.int64()), pa.array(offsets, pa.int64())],
+                names=[*batch.schema.names, "_bin", "_offset"])
 
     spread = (rows.repartition("_bucket")
               .sortWithinPartitions("_bucket", "_order", *[c for c in rows.columns if c[0] != "_"
                                                            and c != "ids"]))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return spread.mapInPandas(run, schema + ", _bin bigint, _offset bigint")
+    return spread.mapInArrow(run, schema + ", _bin bigint, _offset bigint")
 
 
 def pack(parts: DataFrame, capacity: int = 2048, open_bins: int = OPEN_BINS,

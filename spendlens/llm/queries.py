@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spendlens.llm import pii
+from spendlens.llm import pii, quality
 from spendlens.llm.common import table
 from spendlens.llm.embeddings import near_vectors
 from spendlens.llm.packing import pack_documents
@@ -33,3 +33,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_pii")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
+
+
+@register("op10_quality_classifier")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,15 +59,16 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = 3) -> DataFrame:
     """``(doc_id, fp)``: one row per input row, ``fp`` the signed 64-bit fingerprint."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t, shingle) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"],
-                                "fp": np.array(fps, np.uint64).view(np.int64)})
+            fps = [fingerprint(t, shingle) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64))],
+                names=["doc_id", "fp"])
 
     return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                         F.col(text_col).alias("text"))
-            .mapInPandas(run, "doc_id bigint, fp bigint"))
+            .mapInArrow(run, "doc_id bigint, fp bigint"))
 
 
 def _signature(fp: Column, blocks: int) -> list[Column]:
