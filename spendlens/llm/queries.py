@@ -12,6 +12,7 @@ from spendlens.llm.embeddings import near_vectors
 from spendlens.llm.packing import pack_documents
 from spendlens.llm.registry import register
 from spendlens.llm.simhash import simhash_components
+from spendlens.llm.token_counts import count_tokens
 
 
 @register("op2_simhash_near_dedup")
@@ -38,3 +39,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_quality_classifier")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op9_token_counts")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"),
+                        public_tokenizers.path("word_bpe_49k.json"), limit=2048)

@@ -64,3 +64,100 @@ def encode_ids(path: str, text: str) -> np.ndarray:
             if "stack" not in str(e).lower() and "backtrack" not in str(e).lower():
                 raise
     return np.array(hf_tokenizer(path).encode(text, add_special_tokens=False).ids, "<u4")
+
+
+def is_word_local(spec: dict) -> bool:
+    """Whether the normaliser maps white space runs to one space and lower-cases, and
+    the pre-tokeniser drops all between words: then white space, and ASCII case,
+    outside special strings do not change a text's tokens."""
+    norm = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+    pres = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    first = pres[0] if pres else {}
+    return (spec["model"]["type"] == "BPE" and norm == ["NFC", "Replace", "Lowercase"]
+            and spec["normalizer"]["normalizers"][1].get("pattern") == {"Regex": r"\s+"}
+            and spec["normalizer"]["normalizers"][1].get("content") == " "
+            and first.get("type") == "Split" and first.get("behavior") == "Removed"
+            and first.get("invert") is True
+            and all(p["type"] == "ByteLevel" and not p["use_regex"] and not p["add_prefix_space"]
+                    for p in pres[1:])
+            and spec.get("post_processor") is None
+            and all(not t["normalized"] for t in spec["added_tokens"]))
+
+
+class TokenCounter:
+    """Token counts of whole texts as the library gives them, without begin, end or
+    added special tokens.  ``path``: ``.json`` for tokenizers, ``.model`` for
+    sentencepiece.
+
+    Where words are tokenised one by one (``is_word_local``), the words of plain
+    Latin-1 texts are counted once and remembered, at most ``REMEMBER`` of them
+    at a time; all other texts go to the library whole.
+    """
+
+    REMEMBER = 500_000
+    CHARS = 1_000_000  # texts are handed on in groups of about so many characters
+
+    def __init__(self, path: str):
+        self.memo: dict[str, int] = {}
+        self.split = None
+        if path.endswith(".model"):
+            import sentencepiece
+
+            self.sp, self.hf = sentencepiece.SentencePieceProcessor(model_file=path), None
+            return
+        import regex
+
+        self.hf = hf_tokenizer(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        if is_word_local(spec):
+            self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+            self.marks = [t["content"][:2] for t in spec["added_tokens"]]
+            # no control characters, no soft hyphen: every engine reads these alike
+            self.plain = regex.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-\xff]*+")
+
+    def __call__(self, texts: list[str]) -> list[int]:
+        out: list[int] = []
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (size < self.CHARS or end == at):
+                size += len(texts[end])
+                end += 1
+            out += self._count(texts[at:end])
+            at = end
+        return out
+
+    def _count(self, texts: list[str]) -> list[int]:
+        if self.hf is None:
+            return [len(ids) for ids in self.sp.encode(texts, num_threads=1)]
+        if self.split is None:
+            return self._whole(texts)
+        out, words, rest = [0] * len(texts), {}, []
+        for i, t in enumerate(texts):
+            if self.plain.fullmatch(t) and not any(m in t for m in self.marks):
+                words[i] = self.split.findall(t.lower())
+            else:
+                rest.append(i)
+        new = set().union(*words.values()).difference(self.memo)
+        if len(self.memo) + len(new) > self.REMEMBER:
+            self.memo.clear()
+            new = set().union(*words.values())
+        new = list(new)
+        self.memo.update(zip(new, self._whole(new)))
+        for i, w in words.items():
+            out[i] = sum(map(self.memo.__getitem__, w))
+        for i, n in zip(rest, self._whole([texts[i] for i in rest])):
+            out[i] = n
+        return out
+
+    def _whole(self, texts: list[str]) -> list[int]:
+        return [len(e.ids) for e in self.hf.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+@functools.lru_cache(maxsize=2)
+def token_counter(path: str) -> TokenCounter:
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
+    return TokenCounter(path)
