@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spendlens.llm import pii, quality
 from spendlens.llm.common import table
@@ -13,6 +14,8 @@ from spendlens.llm.packing import pack_documents
 from spendlens.llm.registry import register
 from spendlens.llm.simhash import simhash_components
 from spendlens.llm.token_counts import count_tokens
+from spendlens.llm.url_sql import URL_SQL
+from spendlens.llm.urls import Rule, judge_urls
 
 
 @register("op2_simhash_near_dedup")
@@ -45,3 +48,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"),
                         public_tokenizers.path("word_bpe_49k.json"), limit=2048)
+
+
+URL_RULES = [Rule("net/", "block"), Rule("example.net/en/", "allow"),
+             Rule("example.com/de/", "block"), Rule("org/fr/", "allow")]
+
+
+@register("op3_url_filters", URL_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's outcome is the label of the same id: bad if of low quality or toxic."""
+    outcomes = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"),
+        ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    return judge_urls(table(spark, sf_dir, "pages"), outcomes, URL_RULES).drop("bad_rate", "lower")
