@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlens.llm import pii, quality
-from spendlens.llm.common import table
+from spendlens.llm.common import shared_folder, table
 from spendlens.llm.embeddings import near_vectors
 from spendlens.llm.packing import pack_documents
 from spendlens.llm.registry import register
@@ -16,6 +16,7 @@ from spendlens.llm.simhash import simhash_components
 from spendlens.llm.token_counts import count_tokens
 from spendlens.llm.url_sql import URL_SQL
 from spendlens.llm.urls import Rule, judge_urls
+from spendlens.llm.warc import read_warc, write_warc
 
 
 @register("op2_simhash_near_dedup")
@@ -61,3 +62,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("page_id"),
         ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
     return judge_urls(table(spark, sf_dir, "pages"), outcomes, URL_RULES).drop("bad_rate", "lower")
+
+
+@register("op5_warc")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), folder, min_bytes=0)
+    return read_warc(spark, folder, payloads=False).drop("url", "payload")
