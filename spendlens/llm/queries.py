@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spendlens.llm import pii, quality
 from spendlens.llm.common import shared_folder, table
 from spendlens.llm.embeddings import near_vectors
+from spendlens.llm.iblt import fingerprint_edits
 from spendlens.llm.packing import pack_documents
 from spendlens.llm.registry import register
 from spendlens.llm.simhash import simhash_components
@@ -69,3 +70,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), folder, min_bytes=0)
     return read_warc(spark, folder, payloads=False).drop("url", "payload")
+
+
+@register("op4_document_fingerprints")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
