@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlens.llm import pii, quality
+from spendlens.llm import pieces, pii, quality
 from spendlens.llm.common import shared_folder, table
 from spendlens.llm.embeddings import near_vectors
 from spendlens.llm.iblt import fingerprint_edits
@@ -75,3 +75,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_document_fingerprints")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@register("op6_sentencepiece")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.summary(pieces.encode(table(spark, sf_dir, "documents"), model, bpe=True), model)
