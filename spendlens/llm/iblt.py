@@ -178,7 +178,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, rows_in_range: int =
 
     Rows are dealt into ranges of ids: between ``cuts`` quantiles, equal steps.  A range
     is one window; its last row takes the first text of the next range that has rows,
-    found by the same method over the ranges' first rows.
+    found by the same method over the ranges' first rows.  The texts are shuffled once.
     """
     count = docs.count()
     order = [F.col(id_col).asc_nulls_first(), F.col(text_col)]
@@ -206,11 +206,13 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, rows_in_range: int =
     after = materialise(with_next(firsts, "_key", "_text", rows_in_range, cuts)
                         .select(F.col("_key").alias("_match"), F.col("next").alias("_after")),
                         "iblt-next")
-    w = Window.partitionBy("_range").orderBy(*order)
-    ranged = ranged.withColumn("next", F.lead(text_col).over(w))
-    last = F.when(F.col("next").isNull(), F.col("_range"))
-    return (ranged.join(after, last == F.col("_match"), "left")
-            .withColumn("next", F.coalesce("next", "_after")).drop("_range", "_match", "_after"))
+    # it stands as an extra row at the end of the range, so that no join moves the texts again
+    ends = after.select(F.col("_match").alias("_range"), F.col("_after").alias(text_col),
+                        F.lit(1).alias("_end"))
+    rows = ranged.withColumn("_end", F.lit(0)).unionByName(ends, allowMissingColumns=True)
+    w = Window.partitionBy("_range").orderBy("_end", *order)
+    return (rows.withColumn("next", F.lead(text_col).over(w)).where("_end = 0")
+            .drop("_range", "_end"))
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,8 +236,6 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = rows.select("doc_id", "n", F.sha2("edited", 256).alias("edited_sha256"),
                        digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"),
                        digests(F.col("next")).alias("b"))
-    # the digests are small: kept, so that the texts are hashed once
-    rows = materialise(rows, "iblt-digests")
     a, e, b = F.col("a"), F.col("e"), F.col("b")
     rows = rows.withColumns({"to_edited": difference(a, e), "to_next": difference(a, b)})
     return rows.select(
