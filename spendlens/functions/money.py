@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-# Decimal used to sum amounts that arrive as doubles holding cents or a few
-# more digits (conversions such as 66.82).
-SUM_DECIMAL = "decimal(20,4)"
+# Decimal used to sum amounts that arrive as doubles: 16 digits before the point (more
+# than bronze lets in) and 10 after it, so that small conversions count too.
+SUM_DECIMAL = "decimal(26,10)"
 
 
 def _col(c) -> Column:
@@ -22,10 +22,10 @@ def _col(c) -> Column:
 
 
 def exact(df: DataFrame, name: str) -> Column:
-    """The column as a decimal that sums exactly (doubles -> decimal(20,4))."""
+    """The column as a decimal that sums exactly (doubles -> SUM_DECIMAL)."""
     if isinstance(df.schema[name].dataType, DecimalType):
         return F.col(name)
-    return F.col(name).cast(SUM_DECIMAL)
+    return F.col(name).try_cast(SUM_DECIMAL)
 
 
 def exact_sum(df: DataFrame, name: str) -> Column:
@@ -60,11 +60,11 @@ def round_ratio(num, den, digits: int = 2) -> Column:
 def fx_amount(amount, rate) -> Column:
     """ROUND(amount * COALESCE(rate, 1.0), 2) as a double.
 
-    Computed in decimal: amount (up to 6 decimals) x rate (up to 6 decimals) is
+    Computed in decimal: amount (up to 8 decimals) x rate (up to 6 decimals) is
     exact, so the half-cent rounding is exact too and does not depend on how a
     binary double happens to represent the product."""
     r = F.coalesce(_col(rate).cast("decimal(12,6)"), F.lit(1).cast("decimal(12,6)"))
-    return F.round(_col(amount).cast("decimal(20,6)") * r, 2).cast("double")
+    return F.round(_col(amount).try_cast("decimal(22,8)") * r, 2).cast("double")
 
 
 def micros_to_dollars(c) -> Column:

@@ -58,3 +58,14 @@ def bad_number(raw, parsed) -> Column:
 
 def upper_or_null(c) -> Column:
     return F.upper(empty_to_null(c))
+
+
+# What the silver and reporting decimals hold with room for sums; a larger amount,
+# NaN or an infinity is quarantined when it is read.
+LARGEST_AMOUNT = 1e13
+
+
+def out_of_range(c) -> Column:
+    """True for a number that is NaN, infinite or of ``LARGEST_AMOUNT`` or more."""
+    x = _col(c)
+    return F.coalesce(F.isnan(x) | (F.abs(x) >= LARGEST_AMOUNT), F.lit(False))

@@ -12,9 +12,9 @@ filters on keys are pushed below the aggregate.)
 
 Ordering conventions
 --------------------
-``ordinal``: numeric input position (one column or several, compared in
-order), lower = earlier.  When a rule says
-"earlier wins" on ties we maximise ``-ordinal``.  The whole row is the final
+``ordinal``: input position (one column or several, compared in order;
+numbers, or strings such as file names), lower = earlier.  When a rule says
+"earlier wins" on ties we maximise the negated number or the inverted string.  The whole row is the final
 tie-break, so the result is deterministic even without an ordinal.
 """
 
@@ -38,12 +38,23 @@ def _out(df: DataFrame, keys: Sequence[str], struct_col: str, cols: Sequence[str
     return [F.col(c) if c in keyset else F.col(struct_col)[c].alias(c) for c in cols]
 
 
-def _neg(c: str | Sequence[str] | None) -> list[Column]:
-    """Negated numeric ordinal column(s): maximising them picks the earliest."""
+_PRINTABLE = "".join(map(chr, range(0x20, 0x7f)))
+
+
+def _inverted(c: Column) -> Column:
+    """A string that sorts the other way round (file URIs are printable ASCII; a
+    terminator above all of it puts a prefix after its extensions)."""
+    return F.concat(F.translate(c, _PRINTABLE, _PRINTABLE[::-1]), F.lit("\x7f"))
+
+
+def _neg(df: DataFrame, c: str | Sequence[str] | None) -> list[Column]:
+    """Order-inverted ordinal column(s): maximising them picks the earliest."""
     if not c:
         return []
     cols = [c] if isinstance(c, str) else list(c)
-    return [(-F.col(x)).alias(f"_neg_{i}") for i, x in enumerate(cols)]
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    return [(_inverted(F.col(x)) if x in text else -F.col(x)).alias(f"_neg_{i}")
+            for i, x in enumerate(cols)]
 
 
 def _drop(df: DataFrame, ordinal, drop: bool) -> list[str]:
@@ -76,8 +87,8 @@ def best_record(df: DataFrame, keys: Sequence[str], ts: str, size: str,
     ts_key = _lowest(df, ts)
     # max over one struct (ordering fields first, then the row as the final
     # tie-break): the winning row travels once, not as value + ordering
-    by_ts = F.max(F.struct(ts_key.alias("_o1"), *_neg(ordinal), row.alias("_row")))
-    by_size = F.max(F.struct(F.col(size).alias("_o1"), *_neg(ordinal), row.alias("_row")))
+    by_ts = F.max(F.struct(ts_key.alias("_o1"), *_neg(df, ordinal), row.alias("_row")))
+    by_size = F.max(F.struct(F.col(size).alias("_o1"), *_neg(df, ordinal), row.alias("_row")))
     g = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.min(ts_key).alias("_ts_lo"), F.max(ts_key).alias("_ts_hi"),
@@ -97,7 +108,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str],
     """Earliest row per key (insert-or-ignore inside one batch)."""
     row = _payload(df, keys)
     # with an ordinal the earliest row wins; without one the smallest row
-    pick = (F.max(F.struct(*_neg(ordinal), row.alias("_row")))["_row"] if ordinal
+    pick = (F.max(F.struct(*_neg(df, ordinal), row.alias("_row")))["_row"] if ordinal
             else F.min(row))
     g = df.groupBy(*keys).agg(pick.alias("_r"))
     out_cols = _drop(df, ordinal, drop_ordinal)

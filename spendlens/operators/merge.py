@@ -24,8 +24,13 @@ def insert_ignore(existing: DataFrame | None, batch: DataFrame, keys: Sequence[s
     first = first_per_key(batch, keys, ordinal=ordinal)
     if existing is None:
         return first
-    # an anti join needs no distinct on the existing keys
-    return first.join(existing.select(*keys), list(keys), "left_anti")
+    # an anti join needs no distinct on the existing keys; NULL keys match NULL keys,
+    # as they do in the grouping above
+    known = existing.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_known_{k}"))
+    return first.join(known, same, "left_anti")
 
 
 def upsert(current: DataFrame | None, batch: DataFrame, keys: Sequence[str],

@@ -34,7 +34,7 @@ def multi_name_campaigns(log: DataFrame) -> DataFrame:
     return g.filter(F.col("name_count") > 1).orderBy(F.desc("name_count"), "campaign_id")
 
 
-def name_month_summary(perf: DataFrame, month: str = "month") -> DataFrame:
+def name_month_summary(perf: DataFrame, month: str = "_month") -> DataFrame:
     """Per (campaign, name, platform, month): first/last date and distinct
     active days.  A date lies in exactly one month, so these combine across
     months exactly (min, max, sum) -- months untouched by a batch never need

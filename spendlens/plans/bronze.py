@@ -23,7 +23,7 @@ GOOGLE_KEY = ["date", "campaign_id", "campaign_name", "advertising_channel_type"
 VISITS_KEY = ["date", "dma_code"]
 METADATA_KEY = ["campaign_id"]
 
-QUARANTINE_COLS = ["source", "reason", "_source_file", "record"]
+QUARANTINE_COLS = ["source", "reason", *ORDER_COLS, "record"]
 
 
 def _date(c) -> Column:
@@ -39,7 +39,7 @@ def _split(df: DataFrame, checks: list[tuple[str, Column]], source: str,
     tagged = df.withColumn("_reason", reason)
     good = tagged.filter(F.col("_reason").isNull()).drop("_reason")
     bad = tagged.filter(F.col("_reason").isNotNull()).select(
-        F.lit(source).alias("source"), F.col("_reason").alias("reason"), "_source_file",
+        F.lit(source).alias("source"), F.col("_reason").alias("reason"), *ORDER_COLS,
         F.to_json(F.struct(*[F.col(c) for c in raw_cols])).alias("record"))
     return good, bad
 
@@ -52,7 +52,7 @@ def clean_meta(raw: DataFrame, load_ts: _dt.datetime | None = None) -> tuple[Dat
         T.strip_all("timestamp_pst").alias("timestamp_pst"),
         D.shift_fixed_hours(T.strip_all("timestamp_pst")).alias("timestamp_utc"),
         T.strip_all("campaign_id").alias("campaign_id"),
-        T.strip_all("campaign_name").alias("campaign_name"),
+        T.missing_to_empty("campaign_name").alias("campaign_name"),
         T.missing_to_empty("adset_id").alias("adset_id"),
         T.missing_to_empty("ad_id").alias("ad_id"),
         T.missing_to_empty("objective").alias("objective"),
@@ -70,13 +70,15 @@ def clean_meta(raw: DataFrame, load_ts: _dt.datetime | None = None) -> tuple[Dat
         *[F.col(c).alias(f"_raw_{c}") for c in ("date", "impressions", "clicks", "spend_usd",
                                                 "conversions", "conversion_value_usd",
                                                 "campaign_id")],
-        "_source_file", *ORDER_COLS)
+        *ORDER_COLS)
     checks = [
         ("bad date", F.col("date").isNull()),
         ("missing campaign_id", F.col("campaign_id").isNull() | (F.col("campaign_id") == "")),
         ("bad impressions", F.col("impressions").isNull()),
         ("bad clicks", F.col("clicks").isNull()),
         ("bad spend", F.col("spend_amount").isNull()),
+        ("number out of range", T.out_of_range("spend_amount") | T.out_of_range("conversions")
+         | T.out_of_range("conversion_value_amount")),
         ("bad conversions", T.bad_number("_raw_conversions", T.to_double("_raw_conversions"))),
         ("bad conversion value", T.bad_number("_raw_conversion_value_usd",
                                               T.to_double("_raw_conversion_value_usd"))),
@@ -103,7 +105,7 @@ def clean_google(raw: DataFrame, load_ts: _dt.datetime | None = None
         F.lit("google").alias("platform"),
         D.ntz_lit(load_ts).alias("_load_timestamp"),
         F.col("_corrupt"), F.col("date").alias("_raw_date"),
-        "_source_file", *ORDER_COLS)
+        *ORDER_COLS)
     checks = [
         ("unparseable json", F.col("_corrupt").isNotNull()),
         ("bad date", F.col("date").isNull()),
@@ -111,6 +113,7 @@ def clean_google(raw: DataFrame, load_ts: _dt.datetime | None = None
         ("bad metrics", F.col("impressions").isNull() | F.col("clicks").isNull()
          | F.col("cost_micros").isNull() | F.col("conversions").isNull()
          | F.col("conversions_value_micros").isNull()),
+        ("number out of range", T.out_of_range("conversions")),
     ]
     good, bad = _split(typed, checks, "google_ads", ["_corrupt", "_raw_date", "campaign_id"])
     return good.drop("_corrupt", "_raw_date"), bad
@@ -135,7 +138,7 @@ def clean_store_visits(raw: DataFrame, load_ts: _dt.datetime | None = None
         T.to_long("attribution_window_days").alias("attribution_window_days"),
         D.ntz_lit(load_ts).alias("_load_timestamp"),
         F.col("date").alias("_raw_date"), F.col("attributed_visits").alias("_raw_visits"),
-        "_source_file", *ORDER_COLS)
+        *ORDER_COLS)
     checks = [("bad date", F.col("date").isNull()),
               ("missing dma_code", F.col("dma_code").isNull() | (F.col("dma_code") == "")),
               ("bad visits", F.col("attributed_visits").isNull()),
@@ -159,8 +162,9 @@ def clean_campaign_metadata(raw: DataFrame, load_ts: _dt.datetime | None = None
         budget.isNotNull().cast("int").alias("budget_available"),
         D.ntz_lit(load_ts).alias("_load_timestamp"),
         F.col("budget_usd").alias("_raw_budget"),
-        "_source_file", *ORDER_COLS)
+        *ORDER_COLS)
     checks = [("missing campaign_id", F.col("campaign_id").isNull() | (F.col("campaign_id") == "")),
-              ("bad budget", T.bad_number("_raw_budget", F.col("budget_usd")))]
+              ("bad budget", T.bad_number("_raw_budget", F.col("budget_usd"))),
+              ("number out of range", T.out_of_range("budget_usd"))]
     good, bad = _split(typed, checks, "campaign_metadata", ["campaign_id", "_raw_budget"])
     return good.drop("_raw_budget"), bad

@@ -10,10 +10,10 @@ system's pipeline.  It is incremental:
   upserts only rows past it (SNK-2, SNK-5), touching only the month
   partitions present in the batch.
 
-Rows never travel to the driver: only the file listing (one row per landing
-file), watermarks (one scalar per table), the months a batch touches (used as
-partition filters) and per-file counters do.  A source that fails is logged
-as ``failed`` and retried by the next run; the other sources proceed.
+Rows never travel to the driver: only watermarks (one scalar per table), the months a batch touches (used as
+partition filters) and the changed files' paths do.  A source that fails is logged
+as ``failed`` and retried by the next run; the other sources proceed, and the run
+raises ``SourceFailed`` at its end.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,10 +35,10 @@ from spendlens.plans import quality as Q
 from spendlens.plans import silver as S
 from spendlens.sources import files as SRC
 from spendlens.sources import reference as REF
-from spendlens.sources.store import (QUARANTINE, TRACKING, TableStore,
+from spendlens.sources.store import (INGESTION_LOG, QUARANTINE, TRACKING, TableStore,
                                      changed_files, now_utc, touched_values)
 
-MONTH = "month"
+MONTH = "_month"  # not "month": the calendar has one, and reports join it
 
 
 def _with_month(df: DataFrame) -> DataFrame:
@@ -50,6 +49,7 @@ def _with_month(df: DataFrame) -> DataFrame:
 class RunResult:
     run_ts: _dt.datetime
     loads: dict = field(default_factory=dict)        # source -> {inserted, skipped, status}
+    unmatched_files: int = 0                         # landing files that belong to no source
     checks: dict = field(default_factory=dict)
 
 
@@ -61,91 +61,112 @@ BRONZE = {
 }
 
 
-def _read_clean(spark: SparkSession, source: str, paths: list[str], run_ts):
-    """Parse + type once.  The typed rows feed three consumers (quarantine,
-    keyed insert, per-file counts), so they are persisted; if an executor is
-    lost its blocks are recomputed from the landing files, which are
-    immutable inputs."""
-    if source == "meta_ads":
-        raw = SRC.read_csv_strings(spark, paths, SRC.META_COLUMNS)
-        clean = BR.clean_meta
-    elif source == "google_ads":
-        raw = SRC.flatten_google(SRC.read_json_lines(spark, paths))
-        clean = BR.clean_google
-    elif source == "store_visits":
-        raw = SRC.read_csv_strings(spark, paths, SRC.VISITS_COLUMNS)
-        clean = BR.clean_store_visits
-    else:
-        raw = SRC.read_csv_strings(spark, paths, SRC.METADATA_COLUMNS)
-        clean = BR.clean_campaign_metadata
-    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
-    good, bad = clean(raw, run_ts)
-    if source == "google_ads":
-        good = BR.dedup_google(good)
-    return raw, good, bad
+class SourceFailed(RuntimeError):
+    """Raised at the end of a run in which sources failed; ``result`` has them all."""
 
+    def __init__(self, result: RunResult):
+        self.result = result
+        failed = {s: v["error"] for s, v in result.loads.items() if v.get("status") == "failed"}
+        super().__init__("; ".join(f"{s}: {e}" for s, e in failed.items()))
 
-def _load_source(spark, store, source, table, keys, todo, run_ts, result) -> list[tuple]:
-    """Type, quarantine and insert-or-ignore the changed files of one source;
-    returns its ingestion-log rows."""
-    raw, good, bad = _read_clean(spark, source, [r["path"] for r in todo], run_ts)
-    bad = bad.withColumn("_load_timestamp", D.ntz_lit(run_ts))
-    store.append(QUARANTINE, bad)
-    existing = store.read(table)
+
+def _read_clean(spark: SparkSession, source: str, paths: list[str], run_ts,
+                multiline: bool = False):
+    """Parse and type the changed files of a source: (good, quarantine)."""
+    if source == "google_ads":
+        raw = SRC.flatten_google(SRC.read_json_lines(spark, paths))
+        good, bad = BR.clean_google(raw, run_ts)
+        return BR.dedup_google(good), bad
+    columns, clean = {
+        "meta_ads": (SRC.META_COLUMNS, BR.clean_meta),
+        "store_visits": (SRC.VISITS_COLUMNS, BR.clean_store_visits),
+        "campaign_metadata": (SRC.METADATA_COLUMNS, BR.clean_campaign_metadata)}[source]
+    return clean(SRC.read_csv_strings(spark, paths, columns, multiline), run_ts)
+
+
+def _load_source(spark, store, source, table, keys, todo: DataFrame, run_ts, result,
+                 mode: str = "ignore", multiline: bool = False) -> DataFrame:
+    """Type, quarantine and insert-or-ignore the changed files of one source; returns its
+    ingestion-log rows, one per file.
+
+    ``mode='replace'`` lets a changed file's rows replace the stored ones of the same
+    keys (D8); the default keeps the first values."""
+    paths = [r["path"] for r in todo.select("path").collect()]  # of this run's changed files
+    good, bad = _read_clean(spark, source, paths, run_ts, multiline)
     dated = "date" in keys
     if dated:
         good = _with_month(good)
-        if existing is not None:
+    # typed once, as a table of the shared folder; read by the steps below
+    staged = good.checkpoint(eager=True)
+    existing = store.read(table)
+    per_file = staged.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n"))
+    if mode == "replace":
+        store.upsert(table, staged, keys, ["_load_timestamp", *SRC.ORDER_COLS],
+                     MONTH if dated else None)
+        stored = per_file.withColumnRenamed("n", "new")
+    else:
+        if dated and existing is not None:
             # only the months this batch touches can hold its keys; filtering
             # the partition column on them prunes the scan to those directories
-            existing = existing.filter(F.col(MONTH).isin(touched_values(good, MONTH)))
-    new = insert_ignore(existing, good, keys, ordinal=SRC.ORDER_COLS)
-    new = new.checkpoint(eager=True)
-    per_file_new = {r["_source_file"]: r["n"] for r in
-                    new.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n")).collect()}
-    per_file_all = {r["_source_file"]: r["n"] for r in
-                    good.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n")).collect()}
-    store.append(table, new, partition_by=[MONTH] if dated else ())
-    raw.unpersist()
-    inserted = sum(per_file_new.values())
-    total = sum(per_file_all.values())
-    result.loads[source] = {"status": "success", "inserted": inserted,
-                            "skipped": total - inserted, "files": len(todo)}
-    return [(r["path"], run_ts, r["file_size_bytes"], r["file_modified_time"],
-             per_file_new.get(r["path"], 0),
-             per_file_all.get(r["path"], 0) - per_file_new.get(r["path"], 0), "success")
-            for r in todo]
+            existing = existing.filter(F.col(MONTH).isin(touched_values(staged, MONTH)))
+        store.append(table, insert_ignore(existing, staged, keys, ordinal=SRC.ORDER_COLS),
+                     partition_by=[MONTH] if dated else ())
+        written = store.read(table).filter(F.col("_load_timestamp") == D.ntz_lit(run_ts))
+        stored = written.groupBy("_source_file").agg(F.count(F.lit(1)).alias("new"))
+    # after the load, and in place of what these files had there before
+    store.replace_files(QUARANTINE, bad.withColumn("_load_timestamp", D.ntz_lit(run_ts)), paths)
+    n = F.coalesce("n", F.lit(0)).cast("bigint")
+    new = F.coalesce("new", F.lit(0)).cast("bigint")
+    per_file, stored = (x.withColumn("path", SRC.listed_path(F.col("_source_file")))
+                        .drop("_source_file") for x in (per_file, stored))
+    counts = (todo.join(per_file, "path", "left").join(stored, "path", "left")
+              .select(F.col("path").alias("source_file"), D.ntz_lit(run_ts).alias("ingested_at"),
+                      "file_size_bytes", "file_modified_time", new.alias("records_loaded"),
+                      (n - new).alias("records_skipped"), F.lit("success").alias("status"),
+                      F.lit(None).cast("string").alias("error"))).checkpoint(eager=True)
+    sums = counts.agg(F.sum("records_loaded").alias("i"), F.sum("records_skipped").alias("s"),
+                      F.count(F.lit(1)).alias("f")).first()
+    result.loads[source] = {"status": "success", "inserted": sums["i"], "skipped": sums["s"],
+                            "files": sums["f"]}
+    return counts
 
 
 def load_bronze(spark: SparkSession, store: TableStore, raw_dir: str, run_ts,
-                result: RunResult) -> None:
+                result: RunResult, mode: str = "ignore", multiline: tuple[str, ...] = ()) -> None:
     """Extract + transform + keyed load of the landing files that changed.
 
-    All changed files of a source are read in one job.  The listing and the
-    per-file counters are the only rows that reach the driver (one per
-    landing file)."""
-    listing = SRC.list_files(spark, raw_dir).filter(F.col("source").isNotNull())
-    files = listing.collect()
-    changed = {r["path"] for r in changed_files(listing, store.last_success())
-               .select("path").collect()}
-    log_rows = []
-    for source in SRC.SOURCE_PREFIXES:
+    All changed files of a source are read in one job; the paths of the changed files
+    are the only rows that reach the driver, as Spark's readers take them from there."""
+    listing = SRC.list_files(spark, raw_dir).checkpoint(eager=True)
+    changed = changed_files(listing.filter(F.col("source").isNotNull()),
+                            store.last_success()).checkpoint(eager=True)
+    present = {r["source"]: r["n"] for r in
+               listing.groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()}
+    todo_of = {r["source"]: r["n"] for r in
+               changed.groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()}
+    result.unmatched_files = present.get(None, 0)
+    for source in SRC.SOURCE_SUFFIX:
         table, keys = BRONZE[source]
-        mine = [r for r in files if r["source"] == source]
-        todo = [r for r in mine if r["path"] in changed]
-        if not mine:
+        if source not in present:
             result.loads[source] = {"status": "missing"}
             continue
-        if not todo:
+        if source not in todo_of:
             result.loads[source] = {"status": "unchanged", "inserted": 0}
             continue
+        todo = changed.filter(F.col("source") == source)
         try:
-            log_rows.extend(_load_source(spark, store, source, table, keys, todo, run_ts, result))
-        except Exception as e:  # noqa: BLE001 -- SRC-6: one failing source does not stop the rest
-            result.loads[source] = {"status": "failed", "error": f"{type(e).__name__}: {e}"[:500]}
-            log_rows.extend((r["path"], run_ts, r["file_size_bytes"], r["file_modified_time"],
-                             0, 0, "failed") for r in todo)
-    store.log_ingestion(log_rows)
+            log = _load_source(spark, store, source, table, keys, todo, run_ts, result, mode,
+                               source in multiline)
+        except Exception as e:  # noqa: BLE001 -- SRC-6: the others go on; run() raises at the end
+            error = f"{type(e).__name__}: {e}"
+            result.loads[source] = {"status": "failed", "error": error}
+            zero = F.lit(0).cast("bigint")
+            log = todo.select(F.col("path").alias("source_file"),
+                              D.ntz_lit(run_ts).alias("ingested_at"), "file_size_bytes",
+                              "file_modified_time", zero.alias("records_loaded"),
+                              zero.alias("records_skipped"), F.lit("failed").alias("status"),
+                              F.lit(error).alias("error"))
+        store.append(INGESTION_LOG, log)
 
 
 class Watermarks:
@@ -195,16 +216,14 @@ def _batch(store: TableStore, wm: Watermarks, source: str, target: str, inclusiv
 
 
 def _refresh_name_log(store: TableStore, batch: DataFrame) -> None:
-    """TAB-19, incrementally: the monthly name summaries of the months this
-    batch touched are recomputed from those partitions of the unified table
-    (partition-pruned scan) and replace those month partitions; the log is
-    then folded from the summaries (one row per campaign/name/platform/month,
-    far smaller than the fact)."""
+    """TAB-19, incrementally: the name summaries of the months this batch touched are
+    recomputed from those partitions of the unified table and upserted by name, so that
+    a name that a later file overwrote keeps its history; the log is folded from the
+    summaries (one row per campaign/name/platform/month, far smaller than the fact)."""
     months = touched_values(_with_month(batch), MONTH)
     perf = store.read("stg_daily_performance").filter(F.col(MONTH).isin(months))
-    (name_month_summary(perf).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH)
-     .parquet(store.path("log_name_months")))
+    store.upsert("log_name_months", name_month_summary(perf, MONTH),
+                 ["campaign_id", "campaign_name", "platform", MONTH], (), MONTH)
     store.overwrite("log_campaign_name_changes",
                     name_log_from_months(store.read("log_name_months")))
 
@@ -215,8 +234,10 @@ def _write_once(store: TableStore, name: str, df: DataFrame) -> None:
         store.overwrite(name, df)
 
 
-def build_silver(spark: SparkSession, store: TableStore, run_ts, wm: Watermarks) -> None:
-    _write_once(store, "ref_calendar", REF.calendar(spark))
+def build_silver(spark: SparkSession, store: TableStore, run_ts, wm: Watermarks,
+                 calendar: tuple[_dt.date, _dt.date] = (REF.CALENDAR_START, REF.CALENDAR_END)
+                 ) -> None:
+    _write_once(store, "ref_calendar", REF.calendar(spark, *calendar))
     _write_once(store, "ref_exchange_rates", REF.exchange_rates(spark))
     _write_once(store, "ref_dma_region_map", REF.dma_region_map(spark))
     rates = store.read("ref_exchange_rates")
@@ -225,7 +246,7 @@ def build_silver(spark: SparkSession, store: TableStore, run_ts, wm: Watermarks)
     step = _batch(store, wm, "raw_meta_ads", "stg_meta_ads", inclusive=True)
     if step:
         batch, hi = step
-        stg = S.build_stg_meta(batch, rates, run_ts, extra=SRC.ORDER_COLS)
+        stg = S.build_stg_meta(batch, rates, run_ts, extra=SRC.ORDER_COLS, calendar=calendar)
         store.upsert("stg_meta_ads", _with_month(stg), S.META_KEY, order, MONTH)
         wm.advance("stg_meta_ads", hi)
 
@@ -252,7 +273,7 @@ def build_silver(spark: SparkSession, store: TableStore, run_ts, wm: Watermarks)
         batch, hi = step
         # the grid depends on the whole date range: full refresh of the
         # staged visits, only when new raw rows arrived
-        raw_visits = store.read("raw_store_visits").drop(*SRC.ORDER_COLS, "_source_file")
+        raw_visits = store.read("raw_store_visits").drop(*SRC.ORDER_COLS)
         store.overwrite("stg_store_visits", S.build_stg_store_visits(raw_visits, run_ts))
         store.upsert("ref_dma_list", S.build_ref_dma_list(batch), ["dma_code"])
         wm.advance("ref_dma_list", hi)
@@ -332,17 +353,46 @@ def validate(store: TableStore) -> dict:
         r = fact.agg(F.count_if(F.col("spend_usd").isNull()).alias("null_spend"),
                      F.count_if(F.col("spend_usd") < 0).alias("negative_spend")).first()
         out["null_spend"], out["negative_spend"] = r["null_spend"], r["negative_spend"]
+        if "dim_date" in present:
+            out["outside_calendar"] = Q.outside_calendar(fact, present["dim_date"]).first()[
+                "outside_calendar"]
+    tracking = store.read(TRACKING)
+    if tracking is not None:
+        out["watermarks"] = Q.watermark_summary(tracking).first().asDict()
     return out
 
 
 def run(spark: SparkSession, raw_dir: str, table_dir: str,
-        run_ts: _dt.datetime | None = None) -> RunResult:
+        run_ts: _dt.datetime | None = None, *, mode: str = "ignore",
+        multiline: tuple[str, ...] = (),
+        calendar: tuple[_dt.date, _dt.date] = (REF.CALENDAR_START, REF.CALENDAR_END),
+        strict_rates: bool = False, raise_on_failure: bool = True) -> RunResult:
+    """One incremental run.
+
+    ``mode``: 'ignore' keeps the first values of a bronze key, 'replace' the latest file's
+    (D8).  ``multiline``: CSV sources whose values may hold line ends.  ``calendar``:
+    first and last day of the calendar (of a new store) and of the rates' validity; fact
+    rows outside it are counted in ``checks['outside_calendar']``.  ``strict_rates``:
+    fail if a Meta row's currency has no rate for its month (D4).  Sources that fail do
+    not stop the others; ``SourceFailed`` is raised at the end unless told otherwise."""
+    if mode not in ("ignore", "replace"):
+        raise ValueError(f"unknown mode {mode!r}")
     run_ts = run_ts or now_utc()
     store = TableStore(spark, table_dir)
     result = RunResult(run_ts)
-    load_bronze(spark, store, raw_dir, run_ts, result)
+    load_bronze(spark, store, raw_dir, run_ts, result, mode, multiline)
+    meta = store.read("raw_meta_ads") if strict_rates else None
+    if meta is not None:
+        lacking = Q.missing_fx_rates(S.convert_currency(
+            meta, REF.exchange_rates(spark), amount_cols={"spend_usd": "spend_amount"},
+            calendar=calendar))
+        rows = lacking.limit(5).collect()  # for the message only
+        if rows:
+            raise ValueError(f"no exchange rate for {[tuple(r) for r in rows]}")
     wm = Watermarks(store)
-    build_silver(spark, store, run_ts, wm)
+    build_silver(spark, store, run_ts, wm, calendar)
     build_gold(spark, store, run_ts, wm)
     result.checks = validate(store)
+    if raise_on_failure and any(v["status"] == "failed" for v in result.loads.values()):
+        raise SourceFailed(result)
     return result

@@ -95,19 +95,32 @@ def watermark_summary(tracking: DataFrame) -> DataFrame:
                         F.max(ts).alias("newest_timestamp"))
 
 
+def outside_calendar(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Fact rows whose date the calendar lacks: reports by month leave them out."""
+    days = dim_date.select(F.col("date").alias("_day"))  # one row per day
+    return fact.join(days, F.col("date") == F.col("_day"), "left_anti").agg(
+        _count().alias("outside_calendar"))
+
+
 # ---------------------------------------------------------------- DQ-9
 def rowcount_vs_average(daily: DataFrame, *, source: str = "source", date: str = "date",
                         count: str = "row_count", days: int = 7,
                         warn_pct: float = ROWCOUNT_WARN_PCT,
                         critical_pct: float = ROWCOUNT_CRITICAL_PCT) -> DataFrame:
-    """Each day's row count against the average of the previous ``days``
-    days of the same source."""
+    """Each day's row count against the average per day over the previous ``days``
+    calendar days of the same source that lie in its date range; a day without rows
+    counts 0, and is reported."""
+    span = daily.groupBy(source).agg(F.min(date).alias("_a"), F.max(date).alias("_b"))
+    grid = span.select(source, F.explode(F.sequence("_a", "_b")).alias(date))
+    x = grid.join(daily.select(source, date, count), [source, date], "left").withColumn(
+        count, F.coalesce(count, F.lit(0).cast("bigint")))
+    # the grid has a row for every day: so many rows back are so many days back
     w = Window.partitionBy(source).orderBy(date).rowsBetween(-days, -1)
-    avg = F.sum(count).over(w).cast("double") / F.count(count).over(w)
-    x = daily.withColumn("_avg", avg)
-    dev = F.round((F.col(count) - F.col("_avg")) / F.col("_avg") * 100, 1)
+    x = x.withColumn("_avg", F.try_divide(F.sum(count).over(w).cast("double"), F.count(count).over(w)))
+    dev = F.round(F.try_divide(F.col(count) - F.col("_avg"), F.col("_avg")) * 100, 1)
     x = x.withColumn("deviation_pct", dev)
-    sev = (F.when(F.col("deviation_pct").isNull(), F.lit("no_history"))
+    sev = (F.when(F.col("_avg").isNull(), F.lit("no_history"))
+           .when(F.col("_avg") == 0, F.when(F.col(count) == 0, "ok").otherwise("critical"))
            .when(F.abs("deviation_pct") > critical_pct, F.lit("critical"))
            .when(F.abs("deviation_pct") > warn_pct, F.lit("warning"))
            .otherwise(F.lit("ok")))
@@ -228,12 +241,16 @@ def spend_vs_forecast(fact: DataFrame, forecast: DataFrame | None = None, *,
                       limit: float = FORECAST_DEVIATION_USD, days: int = 7) -> DataFrame:
     """Daily spend per platform against a forecast (``date, platform,
     forecast_spend``).  Without one, the forecast is the average of the
-    previous ``days`` days of the same platform."""
+    previous ``days`` calendar days of the same platform."""
     daily = fact.groupBy("platform", "date").agg(M.exact_sum(fact, "spend_usd").alias("s"))
     if forecast is None:
-        w = Window.partitionBy("platform").orderBy("date").rowsBetween(-days, -1)
-        fc = F.sum("s").over(w).cast("double") / F.count("s").over(w)
-        x = daily.withColumn("forecast_spend", fc)
+        day = F.datediff("date", F.lit("1970-01-01").cast("date"))
+        w = Window.partitionBy("platform").orderBy(day).rangeBetween(-days, -1)
+        # per calendar day since the platform's first: a day without spend counts 0
+        first = F.min(day).over(Window.partitionBy("platform"))
+        n = F.least(F.lit(days), day - first)
+        x = daily.withColumn("forecast_spend", F.try_divide(
+            F.coalesce(F.sum("s").over(w), F.lit(0)).cast("double"), F.nullif(n, F.lit(0))))
     else:
         x = daily.join(forecast, ["platform", "date"], "left")
     dev = F.col("s").cast("double") - F.col("forecast_spend")
@@ -303,17 +320,20 @@ def pipeline_health(tracking: DataFrame, log: DataFrame, listing: DataFrame,
       the last ``max_log_gap_days`` days."""
     spark = tracking.sparkSession
     expected = spark.createDataFrame([(f,) for f in expected_files], "file_name string")
-    missing = expected.join(listing.select("file_name"), "file_name", "left_anti").select(
+    missing = expected.join(listing.select(F.col("entry").alias("file_name")), "file_name", "left_anti").select(
         F.lit("file_missing").alias("rule"), F.col("file_name").alias("subject"),
         F.lit(None).cast("string").alias("detail"))
     limit = D.ntz_lit(as_of) - F.expr(f"INTERVAL {int(stall_hours * 60)} MINUTES")
     stalled = tracking.filter(F.col("last_processed_load_timestamp") < limit).select(
         F.lit("tracking_stalled").alias("rule"), F.col("table_name").alias("subject"),
         F.col("last_processed_load_timestamp").cast("string").alias("detail"))
-    last_ok = log.filter(F.col("status") == "success").groupBy("source_file").agg(
-        F.max("ingested_at").alias("last_ok"))
+    # a file is known by its landing entry, its own name or its folder's
+    paths = listing.select(F.col("path").alias("source_file"), F.col("entry").alias("file_name"))
+    last_ok = (log.filter(F.col("status") == "success").join(paths, "source_file")
+               .groupBy("file_name").agg(F.max("ingested_at").alias("last_ok"))
+               .withColumnRenamed("file_name", "_entry"))
     since = D.ntz_lit(as_of) - F.expr(f"INTERVAL {int(max_log_gap_days)} DAYS")
-    gaps = (expected.join(last_ok, expected.file_name == last_ok.source_file, "left")
+    gaps = (expected.join(last_ok, expected.file_name == last_ok._entry, "left")
             .filter(F.col("last_ok").isNull() | (F.col("last_ok") < since))
             .select(F.lit("ingestion_gap").alias("rule"), F.col("file_name").alias("subject"),
                     F.col("last_ok").cast("string").alias("detail")))

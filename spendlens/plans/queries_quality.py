@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from spendlens.plans import bindings as B
 from spendlens.plans import quality as Q
 from spendlens.plans.catalog import register, with_ctes
-from spendlens.plans.queries_ops import (_DEDUP_BEST_SQL, _FX_SQL, _UNIFY_SQL, dedup_lineitem,
+from spendlens.plans.queries_ops import (_DEDUP_BEST_CTES, _DEDUP_BEST_SQL, _FX_SQL, _UNIFY_SQL,
+                                         dedup_lineitem,
                                          fx_converted, unified)
 
 
@@ -110,16 +111,20 @@ def q_source_freshness(spark, d):
 
 # ------------------------------------------------------------------ DQ-9
 @register("rowcount_vs_7day", """
-WITH daily AS (
-  SELECT event_type AS source, CAST(ts AS DATE) AS date, COUNT(*) AS row_count
-  FROM events GROUP BY 1, 2),
+WITH days AS (
+  SELECT source, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS date
+  FROM (SELECT event_type AS source, MIN(CAST(ts AS DATE)) AS a, MAX(CAST(ts AS DATE)) AS b
+        FROM events GROUP BY 1)),
+daily AS (
+  SELECT source, date, COUNT(ts) AS row_count
+  FROM days LEFT JOIN events ON event_type = source AND CAST(ts AS DATE) = date GROUP BY 1, 2),
 a AS (
-  SELECT *, CAST(SUM(row_count) OVER w AS DOUBLE) / COUNT(row_count) OVER w AS avg7
-  FROM daily
-  WINDOW w AS (PARTITION BY source ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)),
-b AS (SELECT *, DROUND((row_count - avg7) / avg7 * 100, 1) AS deviation_pct FROM a)
+  SELECT *, AVG(row_count) OVER (PARTITION BY source ORDER BY date
+    RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND INTERVAL 1 DAY PRECEDING) AS avg7 FROM daily),
+b AS (SELECT *, DROUND((row_count - avg7) / NULLIF(avg7, 0) * 100, 1) AS deviation_pct FROM a)
 SELECT source, date, row_count, DROUND(avg7, 2) AS avg_prev_7d, deviation_pct,
-       CASE WHEN deviation_pct IS NULL THEN 'no_history'
+       CASE WHEN avg7 IS NULL THEN 'no_history'
+            WHEN avg7 = 0 THEN if(row_count = 0, 'ok', 'critical')
             WHEN abs(deviation_pct) > 50 THEN 'critical'
             WHEN abs(deviation_pct) > 20 THEN 'warning' ELSE 'ok' END AS severity
 FROM b""")
@@ -249,8 +254,10 @@ def q_conversion_rate_alerts(spark, d):
 # ------------------------------------------------------------------ DQ-14
 @register("spend_vs_forecast", with_ctes(B.ADS_FACT_SQL) + """,
 daily AS (SELECT platform, date, SUM(spend_usd) AS s FROM ads_fact GROUP BY platform, date),
-f AS (SELECT *, CAST(SUM(s) OVER w AS DOUBLE) / COUNT(s) OVER w AS fc FROM daily
-      WINDOW w AS (PARTITION BY platform ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
+f AS (SELECT *, CAST(COALESCE(SUM(s) OVER w, 0) AS DOUBLE)
+             / NULLIF(least(7, date - MIN(date) OVER (PARTITION BY platform)), 0) AS fc FROM daily
+      WINDOW w AS (PARTITION BY platform ORDER BY date
+                   RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND INTERVAL 1 DAY PRECEDING))
 SELECT platform, date, CAST(ROUND(s, 2) AS DOUBLE) AS spend_usd,
        FLOOR(fc * 100.0 + 0.5) / 100.0 AS forecast_spend,
        FLOOR((CAST(s AS DOUBLE) - fc) * 100.0 + 0.5) / 100.0 AS deviation,
@@ -315,19 +322,22 @@ def q_silver_key_collisions(spark, d):
 
 
 # ------------------------------------------------------------------ RPT-10
-@register("quality_issue_summary", _FX_SQL + ",\n" + _DEDUP_BEST_SQL[len("WITH "):] + ",\n"
-          + B.STG_STORE_VISITS_SQL + ",\n" + B.CAMPAIGN_METADATA_SQL + """
-SELECT 'currency conversion' AS issue,
-       COUNT(*) FILTER (WHERE currency_conversion_note LIKE 'Converted%') AS records_affected,
-       COUNT(*) AS total_records FROM converted
-UNION ALL SELECT 'missing currency', COUNT(*) FILTER (WHERE currency_missing = 1), COUNT(*)
-  FROM converted
-UNION ALL SELECT 'duplicate records', CAST(SUM(duplicate_count - 1) AS BIGINT),
-  CAST(SUM(duplicate_count) AS BIGINT) FROM deduped
-UNION ALL SELECT 'zero-filled store visits', COUNT(*) FILTER (WHERE is_zero_filled = 1), COUNT(*)
-  FROM stg_store_visits
-UNION ALL SELECT 'missing budgets', COUNT(*) FILTER (WHERE budget_usd IS NULL), COUNT(*)
-  FROM campaign_metadata""".replace("SELECT 'currency conversion'", "SELECT *, DROUND(CAST(records_affected AS DOUBLE) / NULLIF(CAST(total_records AS DOUBLE), 0) * 100, 1) AS pct FROM (SELECT 'currency conversion'") + ")")
+@register("quality_issue_summary", _FX_SQL + ",\n" + _DEDUP_BEST_CTES + ",\n"
+          + B.STG_STORE_VISITS_SQL + ",\n" + B.CAMPAIGN_METADATA_SQL + """,
+issues AS (
+  SELECT 'currency conversion' AS issue,
+         COUNT(*) FILTER (WHERE currency_conversion_note LIKE 'Converted%') AS records_affected,
+         COUNT(*) AS total_records FROM converted
+  UNION ALL SELECT 'missing currency', COUNT(*) FILTER (WHERE currency_missing = 1), COUNT(*)
+    FROM converted
+  UNION ALL SELECT 'duplicate records', CAST(SUM(duplicate_count - 1) AS BIGINT),
+    CAST(SUM(duplicate_count) AS BIGINT) FROM deduped
+  UNION ALL SELECT 'zero-filled store visits', COUNT(*) FILTER (WHERE is_zero_filled = 1), COUNT(*)
+    FROM stg_store_visits
+  UNION ALL SELECT 'missing budgets', COUNT(*) FILTER (WHERE budget_usd IS NULL), COUNT(*)
+    FROM campaign_metadata)
+SELECT *, DROUND(CAST(records_affected AS DOUBLE) / NULLIF(CAST(total_records AS DOUBLE), 0) * 100, 1)
+  AS pct FROM issues""")
 def q_quality_issue_summary(spark, d):
     conv = fx_converted(spark, d)
     dd = dedup_lineitem(spark, d)

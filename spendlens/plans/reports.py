@@ -25,6 +25,8 @@ number of days, are broadcast explicitly.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,8 +40,10 @@ def _sums(fact: DataFrame, *names: str):
 
 
 def _with_calendar(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    cal = dim_date.select("date", "year", "month", "month_name")
-    return fact.join(F.broadcast(cal), "date")
+    """The fact with the calendar's year, month and month name in place of its own."""
+    names = ("year", "month", "month_name")
+    cal = dim_date.select("date", *names)
+    return fact.drop(*names).join(F.broadcast(cal), "date")
 
 
 # ---------------------------------------------------------------- QRY-1
@@ -60,8 +64,11 @@ def blended_cpa(fact: DataFrame, dim: DataFrame, dim_date: DataFrame) -> DataFra
 # ---------------------------------------------------------------- RPT-1/2/5
 def cpa_by_month(fact: DataFrame, dim: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Blended CPA per calendar month (all years together, like the chart)."""
-    f = _with_calendar(fact, dim_date).join(dim.select("campaign_id"), "campaign_id", "left_semi")
-    g = f.groupBy("month", "month_name").agg(*_sums(fact, "spend_usd", "conversions"))
+    pre = _with_calendar(fact, dim_date).groupBy("campaign_id", "month", "month_name").agg(
+        *_sums(fact, "spend_usd", "conversions"))
+    g = (pre.join(dim.select("campaign_id"), "campaign_id", "left_semi")
+         .groupBy("month", "month_name").agg(F.sum("spend_usd").alias("spend_usd"),
+                                             F.sum("conversions").alias("conversions")))
     return g.select("month", "month_name",
                     M.round_ratio("spend_usd", "conversions").alias("blended_cpa")
                     ).orderBy("month")
@@ -98,8 +105,12 @@ def weekly_spend(fact: DataFrame) -> DataFrame:
 def wow_growth(fact: DataFrame, dim: DataFrame, *, days: int = 28, top: int | None = 10,
                sep: str = "-W") -> DataFrame:
     """Week-over-week spend growth over the last ``days`` days of data."""
-    last = fact.select(F.max("date")).scalar()
-    recent = fact.filter(F.col("date") >= F.date_sub(last, days))
+    # one value, as a literal: the scan is pruned by date and, on stored tables, by month
+    last = fact.agg(F.max("date")).first()[0]
+    since = last - datetime.timedelta(days=days) if last else datetime.date.max
+    recent = fact.filter(F.col("date") >= F.lit(since))
+    if "_month" in fact.columns:
+        recent = recent.filter(F.col("_month") >= F.lit(since.replace(day=1)))
     pre = recent.groupBy("campaign_id", D.week_label("date", sep).alias("week")).agg(
         F.min("date").alias("week_start"), F.max("date").alias("week_end"),
         M.exact_sum(recent, "spend_usd").cast("double").alias("weekly_spend"))
@@ -281,7 +292,7 @@ def budget_peer_average(fact: DataFrame, metadata: DataFrame) -> DataFrame:
             .agg(F.round(F.sum("budget_usd").cast("double") / F.count("budget_usd"), 2)
                  .alias("avg_budget")))
     cb = (metadata.join(avgs, ["product_line", "region"], "left")
-          .select("campaign_id", "product_line", "region",
+          .select("campaign_id", "brand", "product_line", "region",
                   F.coalesce(F.col("budget_usd").cast("double"), F.col("avg_budget"))
                   .alias("budget_usd"),
                   F.when(has_budget, F.lit("ACTUAL")).otherwise(F.lit("ESTIMATED"))
@@ -289,7 +300,7 @@ def budget_peer_average(fact: DataFrame, metadata: DataFrame) -> DataFrame:
     spend = fact.groupBy("campaign_id").agg(M.exact_sum(fact, "spend_usd").alias("total_spend"))
     j = cb.join(spend, "campaign_id", "left")
     total = F.col("total_spend").cast("double")
-    return j.select("campaign_id", "product_line", "region",
+    return j.select("campaign_id", "brand", "product_line", "region",
                     M.round_money("total_spend").alias("total_spend_usd"),
                     "budget_usd", "budget_source",
                     M.budget_status(total, F.col("budget_usd")).alias("budget_status"),

@@ -66,10 +66,12 @@ def convert_currency(df: DataFrame, rates: DataFrame, *, amount_cols: dict[str,
 
 
 def build_stg_meta(raw_meta: DataFrame, rates: DataFrame, staged_ts: _dt.datetime,
-                   extra: Sequence[str] = ()) -> DataFrame:
+                   extra: Sequence[str] = (), calendar=(CALENDAR_START, CALENDAR_END)
+                   ) -> DataFrame:
     """TAB-10.  ``extra`` columns (e.g. input order) are carried through."""
     conv = convert_currency(raw_meta, rates, amount_cols={
-        "spend_usd": "spend_amount", "conversion_value_usd": "conversion_value_amount"})
+        "spend_usd": "spend_amount", "conversion_value_usd": "conversion_value_amount"},
+        calendar=calendar)
     return conv.select(
         "date", "timestamp_utc", "campaign_id", "campaign_name", "adset_id", "ad_id",
         "objective", "placement", "impressions", "clicks", "spend_usd", "currency_used",
@@ -80,9 +82,11 @@ def build_stg_meta(raw_meta: DataFrame, rates: DataFrame, staged_ts: _dt.datetim
 
 def build_stg_google(raw_google: DataFrame, staged_ts: _dt.datetime,
                      extra: Sequence[str] = ()) -> DataFrame:
-    """TAB-11: micros -> dollars; always USD."""
+    """TAB-11: micros -> dollars; always USD.  The export's text timestamp becomes a
+    wall clock here, after the de-duplication that compares it as text; an absent one
+    becomes NULL."""
     return raw_google.select(
-        "date", "timestamp_utc", "campaign_id", "campaign_name", "advertising_channel_type",
+        "date", D.parse_wall_clock("timestamp_utc").alias("timestamp_utc"), "campaign_id", "campaign_name", "advertising_channel_type",
         "impressions", "clicks",
         M.micros_to_dollars("cost_micros").alias("spend_usd"),
         F.lit("USD").alias("currency_used"),
@@ -105,18 +109,6 @@ def google_as_performance(stg_google: DataFrame, extra: Sequence[str] = ()) -> D
         "_staged_timestamp", *extra)
 
 
-def build_stg_daily_performance(stg_meta: DataFrame, stg_google: DataFrame,
-                                staged_ts: _dt.datetime) -> DataFrame:
-    """TAB-12 (SET-2): one table for both platforms; the pipeline upserts it
-    on ``PERF_KEY`` (Meta first, then Google, last write wins)."""
-    ts = D.ntz_lit(staged_ts).alias("_staged_timestamp")
-    meta = stg_meta.select(*[c for c in PERF_COLS if c != "_staged_timestamp"], ts)
-    google = google_as_performance(stg_google).drop("_staged_timestamp").withColumn(
-        "_staged_timestamp", D.ntz_lit(staged_ts))
-    return (meta.withColumn("_platform_order", F.lit(0))
-            .unionByName(google.withColumn("_platform_order", F.lit(1))))
-
-
 def build_stg_store_visits(raw_visits: DataFrame, run_ts: _dt.datetime) -> DataFrame:
     """TAB-13: full refresh over the raw date range, gaps filled with zeros.
     Filled rows carry the run timestamp as load time, so facts built

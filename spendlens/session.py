@@ -9,15 +9,11 @@ setting is absent (local runs).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
 
-# Sizes used for the "is this side small enough to broadcast" check.  A side is
-# broadcast only when its size is bounded by construction (a calendar, a fixed
-# reference table) or when a measured count is under this many rows.
-BROADCAST_ROW_LIMIT = 1_000_000
-
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "spendlens") -> SparkSession:
@@ -33,6 +29,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("SPENDLENS_DRIVER_MEM", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -43,11 +40,14 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints / lineage cuts.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a shared file system). Only
-    when it is unset (tests, local bench) do we create a scratch folder.
+    On a cluster this is ``spark.checkpoint.dir`` (a shared file system) and must be
+    set.  Only a local master (tests, bench) gets a scratch folder where it is unset.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[[^-]*\])?$", master):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder (master {master})")
         current = tempfile.mkdtemp(prefix="spendlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

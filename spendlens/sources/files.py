@@ -12,8 +12,10 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,15 +44,19 @@ GOOGLE_SCHEMA = T.StructType([
     T.StructField("_corrupt", T.StringType()),
 ])
 
-# Landing layout: every file (or folder of part files) directly under the
-# landing folder whose name starts with a source's prefix belongs to that
-# source, e.g. meta_ads_daily.csv, meta_ads_2026-01-05.csv, meta_ads_daily.csv/part-0.csv.
-SOURCE_PREFIXES = {
-    "meta_ads": "meta_ads",
-    "google_ads": "google_ads",
-    "store_visits": "store_visits",
-    "campaign_metadata": "campaign_metadata",
-}
+# Landing layout: a file (or folder of part files) directly under the landing folder
+# belongs to a source when its whole name is the source's name, optionally followed by
+# "_daily" and by a date or number, then the suffix: meta_ads_daily.csv,
+# meta_ads_2026-01-05.csv, meta_ads_3.csv/part-0.csv.  Others are reported, not loaded.
+SOURCE_SUFFIX = {"meta_ads": "csv", "google_ads": "json", "store_visits": "csv",
+                 "campaign_metadata": "csv"}
+SOURCE_PREFIXES = {s: s for s in SOURCE_SUFFIX}
+
+
+def source_pattern(source: str) -> str:
+    return rf"^{source}(_daily)?([_-]?[0-9][0-9A-Za-z_-]*)?\.{SOURCE_SUFFIX[source]}$"
+
+
 # The single-file names of the source system (used for "expected file" checks).
 SOURCE_FILES = {
     "meta_ads": "meta_ads_daily.csv",
@@ -59,39 +65,64 @@ SOURCE_FILES = {
     "campaign_metadata": "campaign_metadata.csv",
 }
 
-ORDER_COLS = ["_file_idx", "_block", "_row"]
+ORDER_COLS = ["_source_file", "_block", "_row"]
 
 
 def string_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def with_input_order(df: DataFrame, paths: list[str] | None = None) -> DataFrame:
-    """Add ``_source_file`` and the numeric order columns ``_file_idx``,
-    ``_block``, ``_row``: file (by name), split start offset, row inside the
-    split.
-
-    When the caller knows the file list (the pipeline does, from its
-    listing), the file's rank is a lookup in a literal array -- no join.
-    Otherwise the distinct file names are ranked (one row per file) and that
-    small table is broadcast: joining it without a broadcast could shuffle
-    every raw row by file, i.e. a whole file into one task."""
-    x = df.select("*", F.col("_metadata.file_path").alias("_source_file"),
-                  F.col("_metadata.file_block_start").alias("_block"),
-                  F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_row"))
-    if paths:
-        ordered = F.array(*[F.lit(p) for p in sorted(set(paths))])
-        return x.withColumn("_file_idx", F.array_position(ordered, F.col("_source_file")))
-    files = x.select("_source_file").distinct().withColumn(
-        "_file_idx", F.dense_rank().over(Window.orderBy("_source_file")).cast("bigint"))
-    return x.join(F.broadcast(files), "_source_file")
-
-
-def read_csv_strings(spark: SparkSession, path: str | list[str], columns: list[str]) -> DataFrame:
-    """SRC-1/4/5: header CSV, UTF-8, every value a string (one path or many)."""
-    df = (spark.read.schema(string_schema(columns)).option("header", True)
-          .option("encoding", "UTF-8").option("mode", "PERMISSIVE").csv(path))
-    return with_input_order(df, path if isinstance(path, list) else None)
+def with_input_order(df: DataFrame) -> DataFrame:
+    """Add the input position: ``_source_file`` (its full URI), ``_block`` (split start
+    offset) and ``_row`` (row inside the split)."""
+    return df.select("*", F.col("_metadata.file_path").alias("_source_file"),
+                     F.col("_metadata.file_block_start").alias("_block"),
+                     F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_row"))
+
+
+def listed_path(source_file: Column) -> Column:
+    """``_source_file``, a percent-encoded URI, as the listing writes the path."""
+    return F.url_decode(F.replace(source_file, F.lit("+"), F.lit("%2B")))
+
+
+def header_of(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a CSV file, or of the first file of a folder."""
+    names = (spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"')
+             .csv(path).columns)
+    return [n.lstrip("\ufeff").strip() for n in names]
+
+
+def read_csv_strings(spark: SparkSession, path: str | list[str], columns: list[str],
+                     multiline: bool = False) -> DataFrame:
+    """SRC-1/4/5: header CSV, UTF-8, every value a string, bound by header name.
+
+    Quotes inside quoted values are doubled (``""``).  ``multiline``: values may hold
+    line ends; each file is then read by one task.  Columns the file lacks are NULL,
+    columns that are not asked for are ignored, order does not matter.  The files of
+    one folder share a header; a file whose header differs fails the read instead of
+    shifting its columns."""
+    paths = [path] if isinstance(path, str) else sorted(set(path))
+    # files of one landing folder share a header: one look per folder of part files
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    known: dict[str, tuple[str, ...]] = {}
+    for p in paths:
+        folder = p.rsplit("/", 1)[0]
+        key = folder if re.search(r"\.[A-Za-z]+$", folder.rsplit("/", 1)[-1]) else p
+        if key not in known:
+            known[key] = tuple(header_of(spark, p))
+        by_header.setdefault(known[key], []).append(p)
+    parts = []
+    for names, group in by_header.items():
+        df = (spark.read.schema(string_schema(list(names))).option("header", True)
+              .option("encoding", "UTF-8").option("mode", "PERMISSIVE").option("escape", '"')
+              .option("enforceSchema", False).option("multiLine", multiline).csv(group))
+        parts.append(with_input_order(df).select(
+            *[(F.col(f"`{c}`") if c in names else F.lit(None).cast("string")).alias(c)
+              for c in columns], *ORDER_COLS))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def read_json_lines(spark: SparkSession, path: str | list[str],
@@ -100,7 +131,7 @@ def read_json_lines(spark: SparkSession, path: str | list[str],
     which would also drop valid JSON with one mistyped field)."""
     df = (spark.read.schema(schema).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt").json(path))
-    return with_input_order(df, path if isinstance(path, list) else None)
+    return with_input_order(df)
 
 
 def flatten_google(df: DataFrame) -> DataFrame:
@@ -117,18 +148,7 @@ def flatten_google(df: DataFrame) -> DataFrame:
         F.col("metrics.cost_micros").alias("cost_micros"),
         F.col("metrics.conversions").alias("conversions"),
         F.col("metrics.conversions_value_micros").alias("conversions_value_micros"),
-        "_corrupt", "_source_file", *ORDER_COLS)
-
-
-def read_or_empty(reader, spark: SparkSession, path: str, *args) -> DataFrame | None:
-    """SRC-6: a missing source yields ``None`` (the run continues without
-    it); other errors propagate."""
-    try:
-        return reader(spark, path, *args)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return None
-        raise
+        "_corrupt", *ORDER_COLS)
 
 
 def list_files(spark: SparkSession, directory: str) -> DataFrame:
@@ -138,38 +158,25 @@ def list_files(spark: SparkSession, directory: str) -> DataFrame:
     size and modification time.  The ``binaryFile`` source reads file contents
     only when the ``content`` column is selected, so this is a metadata scan;
     marker files (``_SUCCESS``, ``.crc``) are skipped."""
-    import re
-    base = re.sub(r"^file:", "", directory.rstrip("/"))
+    base = re.sub(r"^file:/*", "/", directory.rstrip("/"))
     schema = ("path string, file_name string, entry string, source string, "
               "file_size_bytes bigint, file_modified_time timestamp_ntz")
     try:
         df = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
               .load(directory).select("path", "length", "modificationTime"))
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
     rel = F.regexp_replace("path", "^.*?" + re.escape(base) + "/", "")
     leaf = F.element_at(F.split(rel, "/"), -1)
     entry = F.element_at(F.split(rel, "/"), 1)
     source = F.lit(None).cast("string")
-    for src, prefix in reversed(list(SOURCE_PREFIXES.items())):
-        source = F.when(entry.startswith(prefix), F.lit(src)).otherwise(source)
+    for src in SOURCE_SUFFIX:
+        source = F.when(entry.rlike(source_pattern(src)), F.lit(src)).otherwise(source)
     out = df.select("path", rel.alias("file_name"), entry.alias("entry"),
                     source.alias("source"), F.col("length").alias("file_size_bytes"),
                     F.col("modificationTime").cast("timestamp_ntz").alias("file_modified_time"),
                     leaf.alias("_leaf"))
     return out.filter(~F.col("_leaf").startswith("_") & ~F.col("_leaf").startswith(".")) \
         .drop("_leaf")
-
-
-def row_counts(datasets: dict[str, DataFrame | None]) -> DataFrame:
-    """SRC-7: rows per dataset (missing datasets count 0)."""
-    parts = []
-    for name, df in datasets.items():
-        if df is None:
-            continue
-        parts.append(df.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("dataset"), "rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

@@ -1,8 +1,10 @@
 """Parquet table store: keyed upserts without MERGE, watermarks, audit log.
 
 Layout: ``<root>/<table>/`` is a Parquet directory, optionally partitioned
-(facts by ``month``).
+(facts by ``_month``).  A table keeps its column types: other types are refused.
 
+overwrite  The new table is written whole beside the old one, then swapped in by
+         renames; ``read`` mends a swap that was cut short.
 upsert   Only the partitions the batch touches are read, merged with the
          batch (last write wins per key, see ``operators.merge.upsert``) and
          rewritten with dynamic partition overwrite; untouched months are not
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 
 from spendlens.operators.merge import upsert as merge_upsert
 from spendlens.session import checkpoint_dir
+from spendlens.sources.files import listed_path
 
 TRACKING = "_pipeline_tracking"
 INGESTION_LOG = "_ingestion_log"
@@ -39,7 +42,7 @@ QUARANTINE = "_quarantine"
 TRACKING_SCHEMA = "table_name string, last_processed_load_timestamp timestamp_ntz"
 LOG_SCHEMA = ("source_file string, ingested_at timestamp_ntz, file_size_bytes bigint, "
               "file_modified_time timestamp_ntz, records_loaded bigint, records_skipped bigint, "
-              "status string")
+              "status string, error string")
 
 
 class TableStore:
@@ -56,8 +59,9 @@ class TableStore:
         try:
             return self.spark.read.parquet(self.path(name))
         except AnalysisException as e:
-            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e) \
-                    or "Path does not exist" in str(e):
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return self.spark.read.parquet(self.path(name)) if self._mend(name) else None
+            if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
                 return None
             raise
 
@@ -65,21 +69,63 @@ class TableStore:
         df = self.read(name)
         return df if df is not None else self.spark.createDataFrame([], schema)
 
+    def _check(self, name: str, current: DataFrame | None, df: DataFrame) -> None:
+        """A table keeps its column types: writing others is refused."""
+        if current is not None:
+            old = {f.name: f.dataType for f in current.schema.fields}
+            for f in df.schema.fields:
+                if f.name in old and old[f.name] != f.dataType:
+                    raise TypeError(f"{name}.{f.name} is {old[f.name].simpleString()}, not "
+                                    f"{f.dataType.simpleString()}")
+
     # ------------------------------------------------------------------ write
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
+        self._check(name, self.read(name), df)
         w = df.write.mode("append")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.path(name))
 
     def overwrite(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        """Full replace (small tables, full-refresh tables).  The input may
-        read this very table, so it is materialised first."""
-        staged = df.checkpoint(eager=True)
-        w = staged.write.mode("overwrite")
+        """Full replace (small tables, full-refresh tables).  The new table is written
+        whole beside the old one (which it may read), then the two are swapped by
+        renames; a run that dies in between is mended by the next ``read``."""
+        w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(self.path(name))
+        w.parquet(self._aside(name, "staged"))
+        self._swap(name)
+
+    def _aside(self, name: str, kind: str) -> str:
+        return f"{self.root}/_{kind}/{name}"
+
+    def _files(self):
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path
+        return path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _swap(self, name: str) -> None:
+        fs, path = self._files()
+        here, staged, old = (path(p) for p in (
+            self.path(name), self._aside(name, "staged"), self._aside(name, "replaced")))
+        fs.delete(old, True)
+        fs.mkdirs(old.getParent())
+        if fs.exists(here):
+            fs.rename(here, old)
+        fs.rename(staged, here)
+        fs.delete(old, True)
+
+    def _mend(self, name: str) -> bool:
+        """Finish or undo a swap that was cut short; False where there is nothing to mend."""
+        fs, path = self._files()
+        if fs.exists(path(self.path(name))):
+            return False
+        if fs.exists(path(self._aside(name, "staged") + "/_SUCCESS")):
+            self._swap(name)
+            return True
+        if fs.exists(path(self._aside(name, "replaced"))):
+            return fs.rename(path(self._aside(name, "replaced")), path(self.path(name)))
+        return False
 
     def upsert(self, name: str, batch: DataFrame, keys: Sequence[str],
                order: Sequence[str] = (), partition_by: str | None = None) -> None:
@@ -93,43 +139,41 @@ class TableStore:
                 w = w.partitionBy(partition_by)
             w.parquet(self.path(name))
             return
-        else:
-            if partition_by:
-                current = current.filter(F.col(partition_by).isin(
-                    touched_values(batch, partition_by)))
-            merged = merge_upsert(current.select(*batch.columns), batch, keys, order)
+        self._check(name, current, batch)
+        if partition_by:
+            # the batch feeds the partition list and the merge: worked out once
+            batch = batch.checkpoint(eager=True)
+            current = current.filter(F.col(partition_by).isin(
+                touched_values(batch, partition_by)))
+        merged = merge_upsert(current.select(*batch.columns), batch, keys, order)
+        if not partition_by:
+            self.overwrite(name, merged)
+            return
         staged = merged.checkpoint(eager=True)
         w = staged.write.mode("overwrite")
         if partition_by:
             w = w.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
         w.parquet(self.path(name))
 
-    # ------------------------------------------------------------------ watermarks
-    def watermark(self, table: str):
-        t = self.read(TRACKING)
-        if t is None:
-            return None
-        row = t.filter(F.col("table_name") == table).agg(
-            F.max("last_processed_load_timestamp").alias("w")).first()
-        return row["w"] if row else None
+    def replace_files(self, name: str, df: DataFrame, files: list[str]) -> None:
+        """Rows of ``name`` that came from ``files`` (listed paths) give way to ``df``; those
+        of other files stay.  Writing the same again changes nothing."""
+        current = self.read(name)
+        if current is not None:
+            gone = self.spark.createDataFrame([(f,) for f in files], "_gone string")
+            keep = current.join(gone, listed_path(F.col("_source_file")) == F.col("_gone"),
+                                "left_anti")
+            df = keep.select(*df.columns).unionByName(df)
+        self.overwrite(name, df)
 
+    # ------------------------------------------------------------------ watermarks
     def write_watermarks(self, values: dict) -> None:
         """Replace the tracking table with the full set of watermarks (a
         handful of rows built on the driver; nothing is read from it)."""
         rows = self.spark.createDataFrame(sorted(values.items()), TRACKING_SCHEMA)
-        rows.coalesce(1).write.mode("overwrite").parquet(self.path(TRACKING))
-
-    def set_watermark(self, table: str, value) -> None:
-        if value is None:
-            return  # never move a watermark to NULL
-        row = self.spark.createDataFrame([(table, value)], TRACKING_SCHEMA)
-        self.upsert(TRACKING, row, ["table_name"], ["last_processed_load_timestamp"])
+        self.overwrite(TRACKING, rows.coalesce(1))
 
     # ------------------------------------------------------------------ audit log
-    def log_ingestion(self, rows: list[tuple]) -> None:
-        if rows:
-            self.append(INGESTION_LOG, self.spark.createDataFrame(rows, LOG_SCHEMA))
-
     def last_success(self) -> DataFrame:
         """AGG-13: latest successful log row per file."""
         log = self.read_or_empty(INGESTION_LOG, LOG_SCHEMA)
@@ -159,4 +203,4 @@ def changed_files(listing: DataFrame, last_success: DataFrame) -> DataFrame:
 
 
 def now_utc() -> _dt.datetime:
-    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)

@@ -15,7 +15,7 @@ size/modification-time change detection).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlens.functions import dates as D
@@ -60,27 +60,23 @@ def _batch_writer(store: TableStore, source: str):
         run_ts = now_utc()
         batch = batch.withColumn("_row", F.monotonically_increasing_id().bitwiseAND(
             F.lit((1 << 33) - 1)))
-        files = batch.select("_source_file").distinct()
-        # one row per file of the micro-batch
-        ranked = files.withColumn(
-            "_file_idx", F.dense_rank().over(Window.orderBy("_source_file")).cast("bigint"))
-        batch = batch.join(F.broadcast(ranked), "_source_file")   # one row per file
         if source == "google_ads":
             good, bad = BR.clean_google(SRC.flatten_google(batch), run_ts)
             good, table, keys = BR.dedup_google(good), "raw_google_ads", BR.GOOGLE_KEY
         else:
             _, clean, table, keys, _ = _CLEANERS[source]
             good, bad = clean(batch, run_ts)
-        store.append(QUARANTINE, bad.withColumn("_load_timestamp",
-                                                D.ntz_lit(run_ts)))
         existing = store.read(table)
         dated = "date" in keys
         if dated:
-            good = good.withColumn("month", F.date_trunc("month", "date").cast("date"))
+            good = good.withColumn("_month", F.date_trunc("month", "date").cast("date"))
             if existing is not None:
-                existing = existing.filter(F.col("month").isin(touched_values(good, "month")))
+                existing = existing.filter(F.col("_month").isin(touched_values(good, "_month")))
         new = insert_ignore(existing, good, keys, ordinal=SRC.ORDER_COLS).checkpoint(eager=True)
-        store.append(table, new, partition_by=["month"] if dated else ())
+        store.append(table, new, partition_by=["_month"] if dated else ())
+        # by position: a replayed micro-batch adds nothing
+        store.upsert(QUARANTINE, bad.withColumn("_load_timestamp", D.ntz_lit(run_ts)),
+                     ["source", *SRC.ORDER_COLS], ["_load_timestamp"])
     return write
 
 
