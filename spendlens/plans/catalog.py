@@ -58,7 +58,8 @@ def with_ctes(*ctes: str) -> str:
 
 def _load_all() -> None:
     # importing the modules registers their queries
-    from spendlens.plans import queries_reports, queries_ops, queries_quality  # noqa: F401
+    from spendlens.plans import queries_media, queries_ops  # noqa: F401
+    from spendlens.plans import queries_quality, queries_reports  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
