@@ -4,11 +4,6 @@
 ``campaign_region = 'National' OR campaign_region = mapped_region`` (which
 Spark can only plan as a nested-loop join) by an equi-join for regional rows
 plus a per-week total for the national row.
-
-``fanout_totals`` reproduces what a many-to-many join on date followed by
-``SUM`` would give, without materialising the product: for one date the join
-yields ``m`` spend rows x ``n`` visit rows, so SUM(spend) = S * n and
-SUM(visits) = V * m.  Each side is aggregated to (sum, count) per date first.
 """
 
 from __future__ import annotations
@@ -39,14 +34,3 @@ def match_regions(campaign_regions: DataFrame, totals: DataFrame, *, keys: Seque
                 .filter(has_national)
                 .withColumn(out_region, F.lit(NATIONAL)))
     return regional.unionByName(national.select(*keys, out_region, value))
-
-
-def fanout_totals(left: DataFrame, right: DataFrame, *, on: Sequence[str],
-                  left_value: str, right_value: str) -> DataFrame:
-    """Per ``on`` key: (SUM(left_value), SUM(right_value)) as an inner join
-    of the two row sets on ``on`` would give them."""
-    lg = left.groupBy(*on).agg(F.sum(left_value).alias("_ls"), F.count(F.lit(1)).alias("_lm"))
-    rg = right.groupBy(*on).agg(F.sum(right_value).alias("_rs"), F.count(F.lit(1)).alias("_rn"))
-    j = lg.join(rg, list(on))
-    return j.select(*on, (F.col("_ls") * F.col("_rn")).alias(left_value),
-                    (F.col("_rs") * F.col("_lm")).alias(right_value))

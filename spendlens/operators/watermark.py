@@ -2,8 +2,7 @@
 
 A watermark is one scalar per target table: the largest load timestamp that
 has been processed.  Reading it is one small lookup; the filter built from it
-is a literal comparison, which Parquet scans push down (row-group statistics,
-and partition pruning when the table is partitioned by load date).
+is a literal comparison, which Parquet scans push down (row-group statistics).
 """
 
 from __future__ import annotations
@@ -32,15 +31,3 @@ def since(df: DataFrame, watermark, col: str = "_load_timestamp",
     wm = F.coalesce(wm, F.lit(SEED.isoformat(sep=" ")).cast(dtype))
     c = F.col(col)
     return df.filter(c >= wm if inclusive else c > wm)
-
-
-def advanced(processed: DataFrame, previous, col: str = "_load_timestamp"):
-    """New watermark = max of the batch actually processed; unchanged when the
-    batch is empty (never moves back, never becomes NULL)."""
-    row = processed.agg(F.max(col).alias("m")).first()
-    new = row["m"] if row is not None else None
-    if new is None:
-        return previous
-    if previous is None:
-        return new
-    return max(previous, new)
