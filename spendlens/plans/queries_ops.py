@@ -192,7 +192,9 @@ def fx_input(spark, d):
 
 def fx_converted(spark, d):
     rows = fx_input(spark, d)
-    years = rows.agg(F.min(F.year("date")).alias("lo"), F.max(F.year("date")).alias("hi")) \
+    # from the orders alone: the joins of `rows` are not run a second time for it
+    y = F.year("o_orderdate")
+    years = B.table(spark, d, "orders").agg(F.min(y).alias("lo"), F.max(y).alias("hi")) \
         .select(F.explode(F.sequence("lo", "hi")).alias("year"))
     rates = exchange_rates_for_years(years)
     return S.convert_currency(rows, rates, calendar=None, amount_cols={

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from spendlens.plans import bindings as B
 from spendlens.plans import reports as R
 from spendlens.plans.catalog import register, with_ctes
+from spendlens.sources import reference as REF
 
 _STAR = with_ctes(B.ADS_FACT_SQL, B.CAMPAIGN_DIM_SQL, B.date_dim_sql("ads_fact"))
 
 
 def _star(spark, d):
-    fact = B.ads_fact(spark, d)
-    return fact, B.campaign_dim(spark, d), B.date_dim(fact)
+    """The fact, its dimension, and a fixed calendar that holds all test dates."""
+    days = REF.calendar(spark, dt.date(1990, 1, 1), dt.date(2029, 12, 31))
+    return B.ads_fact(spark, d), B.campaign_dim(spark, d), days
 
 
 def _sum2(expr: str) -> str:
