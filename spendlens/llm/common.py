@@ -35,3 +35,19 @@ def text_or_empty(col: str = "text") -> Column:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def let(value: Column, kind: str, use) -> Column:
+    """``use(value)`` of type ``kind``, with the value worked out once."""
+    return F.aggregate(F.array(value), F.lit(None).cast(kind), lambda _, v: use(v))
+
+
+def running(values: Column, op) -> Column:
+    """Exclusive running totals of an int array under ``op`` (a sum or a maximum of
+    numbers that are not negative): what the elements before each one come to.
+
+    The accumulator is copied at each step, so it holds nothing but numbers."""
+    start = F.struct(F.lit(0).alias("now"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(values, start, lambda a, x: F.struct(
+        op(a["now"], x).alias("now"), F.concat(a["out"], F.array(a["now"])).alias("out")),
+        lambda a: a["out"])

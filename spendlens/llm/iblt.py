@@ -1,8 +1,9 @@
 """Document fingerprints as invertible Bloom lookup sketches.  DataFrame functions only.
 
-A text's *paragraphs* (lines that are not blank) are hashed to 64-bit digests.  A sketch has a fixed number of cells; each digest of the set is added to
-three of them, one in each third: a cell holds how many digests it got, their
-exclusive-or, and the exclusive-or of their check hashes.  Subtracting two sketches
+A text's *paragraphs* (lines that are not blank) are hashed to 64-bit digests.  A
+sketch has a fixed number of cells; each digest of the set is added to three of
+them, one in each third: a cell holds how many digests it got, their exclusive-or,
+and the exclusive-or of their check hashes.  Subtracting two sketches
 cell by cell cancels what the versions share; *peeling* then recovers the digests
 that differ, from cells that hold a single one.
 
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import materialise
+from spendlens.llm.common import let, materialise
 
 #: Cells of the sketch of a whole set: a text's fingerprint.
 CELLS = 12
@@ -32,11 +33,6 @@ STATE = f"struct<cells:{CELL},now:{ENTRY},out:{ENTRY}>"
 PARAGRAPH_END = r"\n"
 
 
-def let(value: Column, kind: str, use) -> Column:
-    """``use(value)`` of type ``kind``, with the value worked out once."""
-    return F.aggregate(F.array(value), F.lit(None).cast(kind), lambda _, v: use(v))
-
-
 def digests(text: Column) -> Column:
     """Distinct paragraph digests; blank paragraphs do not count; null: none."""
     parts = F.filter(F.split(F.coalesce(text, F.lit("")), PARAGRAPH_END),

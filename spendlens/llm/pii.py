@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import materialise
+from spendlens.llm.common import materialise, running
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -48,26 +48,19 @@ def match_spans(text: Column, pattern: Column, window: int = 0) -> Column:
     """Leftmost non-overlapping matches as (s, e, m): start, end (exclusive), in code
     points, and match.  With a ``window``, also ``l`` and ``r``: what stands before
     and after, up to ``window`` characters or the next match."""
-    parts = F.split(text, pattern, -1)
-    around = F.zip_with(parts, F.slice(parts, 2, 1 << 30), lambda p, q: F.struct(
-        F.char_length(p).alias("n"),
-        (F.right(p, F.lit(window)) if window else F.lit("")).alias("l"),
-        (F.left(q, F.lit(window)) if window else F.lit("")).alias("r")))
-    steps = F.zip_with(around, F.regexp_extract_all(text, pattern, F.lit(0)),
-                       lambda p, m: F.struct(p.alias("p"), m.alias("m")))
-    extra = ", l:string, r:string" if window else ""
-
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["pos"] + x["p"]["n"]
-        e = s + F.char_length(x["m"])
-        span = [s.alias("s"), e.alias("e"), x["m"].alias("m")]
-        span += [x["p"][c].alias(c) for c in "lr"] if window else []
-        return F.when(x["m"].isNull(), acc).otherwise(F.struct(
-            e.alias("pos"), F.concat(acc["out"], F.array(F.struct(*span))).alias("out")))
-
-    none = F.struct(F.lit(0).alias("pos"),
-                    F.array().cast(f"array<struct<s:int,e:int,m:string{extra}>>").alias("out"))
-    return F.aggregate(steps, none, step, lambda acc: acc["out"])
+    parts, found = F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
+    before = running(F.zip_with(parts, found, lambda p, m: F.char_length(p) + F.coalesce(
+        F.char_length(m), F.lit(0))), lambda a, n: a + n)
+    first = F.zip_with(before, parts, lambda b, p: F.struct(
+        (b + F.char_length(p)).alias("s"), p.alias("l")))
+    spans = F.zip_with(first, found, lambda x, m: F.struct(
+        x["s"].alias("s"), (x["s"] + F.char_length(m)).alias("e"), m.alias("m"),
+        *([F.right(x["l"], F.lit(window)).alias("l")] if window else [])))
+    if window:
+        spans = F.zip_with(spans, F.slice(parts, 2, 1 << 30), lambda x, q: F.struct(
+            x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), x["l"].alias("l"),
+            F.left(q, F.lit(window)).alias("r")))
+    return F.filter(spans, lambda x: x["m"].isNotNull())  # nothing after the last part
 
 
 def _digits(m: Column) -> Column:
@@ -256,16 +249,12 @@ def sanitise(docs: DataFrame, text_col: str = "text", **thresholds) -> DataFrame
 
     spans = F.array_sort(F.concat(*map(masks, (*KINDS, "generalise", "remove"))))
 
-    def step(acc: Column, x: Column) -> Column:
-        inside = x["s"] < acc["pos"]  # overlaps what is masked: extends it
-        return F.struct(
-            F.greatest(acc["pos"], -x["to"]).alias("pos"),
-            F.when(inside, acc["out"]).otherwise(F.concat(
-                acc["out"], F.substr(text, acc["pos"] + 1, x["s"] - acc["pos"]), x["by"])).alias("out"))
-
-    start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
-    done = F.aggregate("_spans", start, step, lambda acc: F.concat(
-        acc["out"], F.substr(text, acc["pos"] + 1, F.char_length(text))))
+    # what stands before each span since the last masked end, then its mask
+    ends = running(F.transform("_spans", lambda x: -x["to"]), lambda a, n: F.greatest(a, n))
+    parts = F.zip_with("_spans", ends, lambda x, end: F.when(x["s"] >= end, F.concat(
+        F.substr(text, end + 1, x["s"] - end), x["by"])).otherwise(""))
+    tail = F.substr(text, F.array_max(F.transform("_spans", lambda x: -x["to"])) + 1, F.char_length(text))
     return (found.withColumn("_spans", spans)
-            .withColumn("_done", F.when(F.size("_spans") > 0, done).otherwise(text))
+            .withColumn("_done", F.when(F.size("_spans") > 0, F.concat(F.concat_ws("", parts), tail))
+                        .otherwise(text))
             .withColumn(text_col, F.col("_done")).select(*docs.columns))

@@ -50,7 +50,7 @@ def test_base_spans_fuzz(spark):
     texts |= {9000: "a" * 300_000, 9001: "a@b" + ".c" * 20_000, 9002: "1" * 200_000,
               9003: "+1" + " " * 50_000, 9004: "1 " * 50_000, 9005: None, 9006: "",
               9007: "é😀 " * 5000 + "a@b.c " * 3000, 9008: "a.b%" * 50_000 + "@", 9009: "0.0.0." * 9000}
-    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(8)
     got = report(df).collect()
     assert len(got) == len(texts)
     check(got, texts)
