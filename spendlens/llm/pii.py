@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import materialise, running
+from spendlens.llm.common import let, materialise, running
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -44,22 +44,15 @@ WORD_SPLIT = r"[^\p{L}\p{N}]+"
 SPAN = "array<struct<s:int,e:int,m:string>>"
 
 
-def match_spans(text: Column, pattern: Column, window: int = 0) -> Column:
+def match_spans(text: Column, pattern: Column) -> Column:
     """Leftmost non-overlapping matches as (s, e, m): start, end (exclusive), in code
-    points, and match.  With a ``window``, also ``l`` and ``r``: what stands before
-    and after, up to ``window`` characters or the next match."""
+    points, and match."""
     parts, found = F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
     before = running(F.zip_with(parts, found, lambda p, m: F.char_length(p) + F.coalesce(
         F.char_length(m), F.lit(0))), lambda a, n: a + n)
-    first = F.zip_with(before, parts, lambda b, p: F.struct(
-        (b + F.char_length(p)).alias("s"), p.alias("l")))
-    spans = F.zip_with(first, found, lambda x, m: F.struct(
-        x["s"].alias("s"), (x["s"] + F.char_length(m)).alias("e"), m.alias("m"),
-        *([F.right(x["l"], F.lit(window)).alias("l")] if window else [])))
-    if window:
-        spans = F.zip_with(spans, F.slice(parts, 2, 1 << 30), lambda x, q: F.struct(
-            x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), x["l"].alias("l"),
-            F.left(q, F.lit(window)).alias("r")))
+    first = F.zip_with(before, parts, lambda b, p: b + F.char_length(p))
+    spans = F.zip_with(first, found, lambda s, m: F.struct(
+        s.alias("s"), (s + F.char_length(m)).alias("e"), m.alias("m")))
     return F.filter(spans, lambda x: x["m"].isNotNull())  # nothing after the last part
 
 
@@ -85,19 +78,18 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def base_spans(text: Column, kind: str, window: int = 0) -> Column:
+def base_spans(text: Column, kind: str) -> Column:
     """Valid spans of a kind (see ``match_spans``); an empty array for a null text."""
     pattern = PATTERNS[kind]
     there = F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else text.rlike(pattern)
-    found = F.filter(match_spans(text, F.lit(pattern), window), lambda x: _valid(kind, x["m"]))
-    none = F.filter(match_spans(F.lit(""), F.lit(pattern), window), lambda x: F.lit(False))
-    return F.when(there, found).otherwise(none)
+    found = F.filter(match_spans(text, F.lit(pattern)), lambda x: _valid(kind, x["m"]))
+    return F.when(there, found).otherwise(F.array().cast(SPAN))
 
 
-def with_base_spans(docs: DataFrame, text_col: str = "text", window: int = 0) -> DataFrame:
+def with_base_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds ``_email``, ``_ip``, ``_card``, ``_phone``: arrays of spans."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.withColumns({f"_{k}": base_spans(text, k, window) for k in KINDS})
+    return docs.withColumns({f"_{k}": base_spans(text, k) for k in KINDS})
 
 
 def _entity(kind: str, m: Column) -> Column:
@@ -108,7 +100,31 @@ def _entity(kind: str, m: Column) -> Column:
 
 def _entities(kind: str) -> Column:
     return F.transform(f"_{kind}", lambda x: F.struct(
-        _entity(kind, x["m"]).alias("entity"), x["l"].alias("l"), x["r"].alias("r")))
+        _entity(kind, x["m"]).alias("entity"), x["s"].alias("s"), x["e"].alias("e")))
+
+
+def _in_context(text: Column, spans: Column, window: int) -> Column:
+    """Spans (entity, s, e) with ``l`` and ``r``: the ``window`` characters of the text
+    before and after, whatever other spans lie there.
+
+    The text is cut into blocks of ``window`` characters once, so that a context is
+    part of two blocks and many spans do not walk a long text again and again."""
+    kind = "array<struct<entity:string,s:int,e:int,l:string,r:string>>"
+
+    def part(blocks: Column, start: Column, length: Column) -> Column:
+        k = F.floor(start / window).cast("int")
+        two = F.concat(*[F.coalesce(F.get(blocks, k + i), F.lit("")) for i in (0, 1)])
+        return F.substr(two, start % window + 1, length)
+
+    def around(found: Column, blocks: Column) -> Column:
+        return F.transform(found, lambda x: F.struct(
+            x["entity"].alias("entity"), x["s"].alias("s"), x["e"].alias("e"),
+            part(blocks, F.greatest(x["s"] - window, F.lit(0)), F.least(x["s"], F.lit(window))).alias("l"),
+            part(blocks, x["e"], F.lit(window)).alias("r")))
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{window}}}"), F.lit(0))
+    return let(spans, kind, lambda found: F.when(F.size(found) > 0, let(
+        blocks, kind, lambda b: around(found, b))).otherwise(F.array().cast(kind)))
 
 
 def _key(text: Column) -> list[Column]:
@@ -121,10 +137,10 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", window: int = 80,
     """``(flags, mentions)``: terms per entity, (entity, term, share, action), and the
     entities of each text, (k1, k2, entity), keyed by a 128-bit hash of the text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    found = (with_base_spans(docs.select(text.alias("t")), "t", window)
-             .withColumn("x", F.concat(*map(_entities, KINDS)))
-             .select(*_key(F.col("t")), F.xxhash64(F.substring("t", 1, 40)).alias("opening"),
-                     F.explode("x").alias("x"))
+    keyed = docs.select(text.alias("t")).select("t", *_key(F.col("t")))
+    found = (with_base_spans(keyed, "t")
+             .select("k1", "k2", F.xxhash64(F.substring("t", 1, 40)).alias("opening"),
+                     F.explode(_in_context(F.col("t"), F.concat(*map(_entities, KINDS)), window)).alias("x"))
              .select("k1", "k2", "opening", "x.*"))
     # whole words only: a word that the window cuts is left out
     left, right = (F.when(F.char_length(c) == window, F.regexp_replace(c, cut, "")).otherwise(F.col(c))

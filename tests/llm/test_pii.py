@@ -5,7 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from spendlens.llm.pii import disclosing_terms, find_spans, report, sanitise
+from spendlens.llm.pii import (_entities, _in_context, disclosing_terms, find_spans, report,
+                                sanitise, with_base_spans)
 
 RES = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
        "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -117,3 +118,34 @@ def test_no_python_in_the_plan(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = find_spans(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def flagged(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    return {(r.entity, r.term): (r.share, r.action) for r in disclosing_terms(df)[0].collect()}
+
+
+def test_context_reaches_over_other_matches(spark):
+    r = random.Random(3)
+    words = ["".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(300)]
+    say = lambda n: " ".join(r.choice(words) for _ in range(n))
+    texts = [say(60) for _ in range(80)]
+    texts += [f"{say(40)} Zorblax 42 paid 4111 1111 1111 1111 in 2024 to Plimf \u00e9\U0001f600 {say(20)}"
+              for _ in range(6)]
+    got = flagged(spark, texts)
+    for term in ("zorblax", "paid", "plimf", "42", "2024"):
+        assert got["card:4111111111111111", term] == (pytest.approx(1.0), "remove")
+
+
+def test_contexts_by_their_definition(spark):
+    r = random.Random(5)
+    texts = ["".join(r.choice(["a@b.cd", "+1 (017) 555-7713", "10.0.0.25", "x\u00e9", "\U0001f600 ", " ", "7 ", "\n"])
+                     for _ in range(r.randrange(120))) for _ in range(60)]
+    df = with_base_spans(spark.createDataFrame([(t,) for t in texts], "t string"), "t")
+    for window in (3, 80):
+        got = df.select("t", _in_context(F.col("t"), F.concat(*map(_entities, ("email", "ip", "card", "phone"))),
+                                         window).alias("x")).collect()
+        assert sum(len(row.x) for row in got) > 100
+        for row in got:
+            for x in row.x:
+                assert x.l == row.t[max(0, x.s - window):x.s] and x.r == row.t[x.e:x.e + window]
