@@ -14,8 +14,8 @@ information c carries is IC(c) = log2(N / n(c)), and their ratio is the share of
 c's information that t discloses: 1 when t stands nowhere else.  Terms beyond a
 threshold are generalised (to a class by their shape), beyond a higher one
 removed, in every document that holds c.  Copies of one document are one
-witness, not many: the pair must come from ``contexts`` different documents in
-effect, measured as the perplexity of the openings of the documents it is in.
+witness, not many: all counts are over distinct texts, and a pair counts if it
+stands in at least ``contexts`` of them.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ NEEDS = {"email": "@", "phone": "+"}
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 IP_CHECK = rf"^{_PART}\.{_PART}\.{_PART}\.{_PART}$"
 
-WORD_SPLIT = r"[^\p{L}\p{N}]+"
+WORD, WORD_SPLIT = r"[\p{L}\p{N}]+", r"[^\p{L}\p{N}]+"
 SPAN = "array<struct<s:int,e:int,m:string>>"
 
 
@@ -133,33 +133,40 @@ def _key(text: Column) -> list[Column]:
 
 def disclosing_terms(docs: DataFrame, text_col: str = "text", window: int = 80,
                      generalise: float = 0.8, remove: float = 0.95,
-                     contexts: float = 4.0) -> tuple[DataFrame, DataFrame]:
+                     contexts: int = 4) -> tuple[DataFrame, DataFrame]:
     """``(flags, mentions)``: terms per entity, (entity, term, share, action), and the
     entities of each text, (k1, k2, entity), keyed by a 128-bit hash of the text."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(text.alias("t")).select("t", *_key(F.col("t")))
+    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    keyed = texts.withColumns(dict(zip(("k1", "k2"), _key(F.col("t")))))
     found = (with_base_spans(keyed, "t")
-             .select("k1", "k2", F.xxhash64(F.substring("t", 1, 40)).alias("opening"),
-                     F.explode(_in_context(F.col("t"), F.concat(*map(_entities, KINDS)), window)).alias("x"))
-             .select("k1", "k2", "opening", "x.*"))
-    # whole words only: a word that the window cuts is left out
-    left, right = (F.when(F.char_length(c) == window, F.regexp_replace(c, cut, "")).otherwise(F.col(c))
-                   for c, cut in (("l", r"^[\p{L}\p{N}]+"), ("r", r"[\p{L}\p{N}]+$")))
+             .select("k1", "k2", F.explode(_in_context(
+                 F.col("t"), F.concat(*map(_entities, KINDS)), window)).alias("x"))
+             .select("k1", "k2", "x.*").dropDuplicates(["k1", "k2", "entity", "s"]))
+
+    def words(side: str, start: Column, cut: Column) -> Column:
+        """Words with their places in the text; one that the window cuts is left out."""
+        full = F.char_length(side) == window
+        spans = match_spans(F.lower(side), F.lit(WORD))
+        return F.transform(F.filter(spans, lambda w: ~(full & cut(w))), lambda w: F.struct(
+            (start + w["s"]).alias("at"), w["m"].alias("term")))
+
     near = materialise(
-        found.select("k1", "k2", "opening", "entity", F.array_remove(
-            F.split(F.lower(F.concat(left, F.lit("\n"), right)), WORD_SPLIT), "").alias("words")),
+        found.select("k1", "k2", "entity", F.concat(
+            words("l", F.col("s") - F.char_length(F.lower("l")), lambda w: w["s"] == 0),
+            words("r", F.col("e"), lambda w: w["e"] == F.char_length(F.lower("r")))).alias("words")),
         "pii-near")
     mentions = near.select("k1", "k2", "entity").distinct()
-    pairs = (near.select("entity", "opening", F.explode("words").alias("term"))
-             .groupBy("entity", "term", "opening").agg(F.count("*").alias("n")))
-    pairs = pairs.groupBy("entity", "term").agg(
-        F.sum("n").alias("n_ct"), F.sum(F.col("n") * F.log2("n")).alias("nlogn"))
-    perplexity = F.pow(F.lit(2.0), F.log2("n_ct") - F.col("nlogn") / F.col("n_ct"))
-    pairs = materialise(pairs.where(perplexity >= contexts)
-                        .withColumn("h", F.xxhash64("term")), "pii-pairs")
-    mass = near.groupBy("entity").agg(F.sum(F.size("words")).alias("n_c"))
+    # a word near two mentions counts once, and so does a text, however many copies it has
+    pairs = materialise(
+        near.select("k1", "k2", "entity", F.explode("words").alias("w"))
+        .select("k1", "k2", "entity", "w.*").distinct()
+        .groupBy("entity", "term", "k1", "k2").agg(F.count("*").alias("n"))
+        .groupBy("entity", "term").agg(F.sum("n").alias("n_ct"), F.count("*").alias("texts"))
+        .withColumn("h", F.xxhash64("term")), "pii-pairs")
+    mass = pairs.groupBy("entity").agg(F.sum("n_ct").alias("n_c"))
     # the vocabulary goes by hash, and is counted map-side before it is shuffled
-    counts = (docs.select(F.explode(F.split(F.lower(text), WORD_SPLIT)).alias("term"))
+    counts = (keyed.dropDuplicates(["k1", "k2"])
+              .select(F.explode(F.split(F.lower("t"), WORD_SPLIT)).alias("term"))
               .where("term != ''").groupBy(F.xxhash64("term").alias("h"))
               .agg(F.count("*").alias("n_t")))
     counts = materialise(counts, "pii-terms")
@@ -167,7 +174,7 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", window: int = 80,
     share = (F.log2(F.col("n_ct") * F.lit(float(total)) / (F.col("n_c") * F.col("n_t")))
              / F.log2(F.lit(float(total)) / F.col("n_c")))
     flags = materialise(
-        pairs.join(mass, "entity").join(counts, "h")
+        pairs.where(F.col("texts") >= contexts).join(mass, "entity").join(counts, "h")
         .where(F.col("n_c") < total)
         .select("entity", "term", share.alias("share"))
         .where(F.col("share") >= generalise)

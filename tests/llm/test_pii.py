@@ -125,6 +125,21 @@ def flagged(spark, texts):
     return {(r.entity, r.term): (r.share, r.action) for r in disclosing_terms(df)[0].collect()}
 
 
+def test_witnesses_are_whole_texts(spark):
+    r = random.Random(2)
+    words = ["".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(300)]
+    say = lambda n: " ".join(r.choice(words) for _ in range(n))
+    other = [say(60) for _ in range(80)]
+    form = "Dear customer, this letter is about your account with us. "
+    got = flagged(spark, other + [f"{form}{say(20)} Zorblax zor@x.example.com {say(20)}" for _ in range(8)])
+    assert got["email:zor@x.example.com", "zorblax"] == (pytest.approx(1.0), "remove")
+    # copies neither count nor hide what different texts say
+    many = [f"{say(20)} Quuxly qux@y.example.com {say(20)}" for _ in range(20)]
+    once = flagged(spark, other + many)
+    assert once["email:qux@y.example.com", "quuxly"][1] == "remove"
+    assert flagged(spark, other + many + many[:1] * 1999) == once
+
+
 def test_context_reaches_over_other_matches(spark):
     r = random.Random(3)
     words = ["".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(300)]
