@@ -1,7 +1,8 @@
 """Document fingerprints as invertible Bloom lookup sketches.  DataFrame functions only.
 
-A text's *paragraphs* (lines that are not blank) are hashed to 64-bit digests.  A
-sketch has a fixed number of cells; each digest of the set is added to three of
+A text's *paragraphs* (sentences, and pieces of long runs without an end of sentence;
+blank ones do not count) are hashed to 64-bit digests, so that an edit changes few of
+them, even in a text of one line.  A sketch has a fixed number of cells; each digest of the set is added to three of
 them, one in each third: a cell holds how many digests it got, their exclusive-or,
 and the exclusive-or of their check hashes.  Subtracting two sketches
 cell by cell cancels what the versions share; *peeling* then recovers the digests
@@ -30,14 +31,38 @@ ROUNDS = 16  # of peeling, at most; a stall ends it
 CELL = "array<struct<n:int,id:bigint,ck:bigint>>"
 ENTRY = "array<struct<id:bigint,sign:int>>"
 STATE = f"struct<cells:{CELL},now:{ENTRY},out:{ENTRY}>"
-PARAGRAPH_END = r"\n"
+#: Characters, two of which in a row are rare enough to cut long runs at, in ASCII and in
+#: other scripts, and such as end words: where they stand depends on the text alone.
+_ASCII = "gkqwyzGKQWYZ0479/+="
+_LAST = _ASCII + "dfmrt"
+_OTHER = (r"\u0431-\u0435\u043c\u043d\u05d0-\u05d4\u0627-\u062b\u0915-\u091b\u0e01-\u0e0a"
+          r"\u3044-\u304b\u30a4-\u30ab\u4e00-\u50ff\u5f00-\u61ff\u7000-\u72ff\u8100-\u83ff"
+          r"\uac00-\uaeff\ub800-\ubaff\uc400-\uc6ff\ud000-\ud2ff")
+_QUOTES = "[\"')\\]\u201d\u2019]"
+#: No end of a sentence in so many code points.  The last of all in the class makes Java
+#: count code points here, not halves of pairs.
+RUN = 120
+_END = f"[.!?]{_QUOTES}? "
+_RUN = f"(?<=(?:(?!{_END})[^\n。！？\U0010ffff]){{{RUN}}})"
+#: A line's end; a blank after an end of sentence; a full stop of scripts without blanks;
+#: in a long run without these, a blank after one of the characters above, or two of them.
+PARAGRAPH_END = (
+    rf"\n| (?:(?<=[.!?] )|(?<=[.!?]{_QUOTES} )|(?<=[{_LAST}] ){_RUN})"
+    rf"|(?<=[{_ASCII}]{{2}}){_RUN}"
+    rf"|(?<=[\u0400-\uffff])(?:(?<=[。！？])|(?<=[{_OTHER}]{{2}}){_RUN})")
+#: What is longer even so (uniform text) is cut every so many code points.
+LONGEST = 8192
 
 
 def digests(text: Column) -> Column:
     """Distinct paragraph digests; blank paragraphs do not count; null: none."""
     parts = F.filter(F.split(F.coalesce(text, F.lit("")), PARAGRAPH_END),
                      lambda p: F.trim(p) != "")
-    return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
+    hashes = F.transform(parts, lambda p: F.when(F.char_length(p) <= LONGEST, F.array(F.xxhash64(p)))
+                         .otherwise(F.transform(
+                             F.regexp_extract_all(p, F.lit(f"(?s).{{1,{LONGEST}}}"), F.lit(0)),
+                             lambda q: F.xxhash64(q))))
+    return F.array_distinct(F.flatten(hashes))
 
 
 def _check(d: Column) -> Column:

@@ -118,3 +118,28 @@ def test_odd_rows(spark):
     assert fingerprint_edits(df.limit(0)).count() == 0
     one = spark.createDataFrame([(1, "abcdefgh")], "doc_id bigint, text string")
     assert actual(fingerprint_edits(one)) == expected([(1, "abcdefgh")])
+
+
+def test_an_edit_of_one_line_keeps_its_likeness(spark):
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefghiklmnoprstuvwy") for _ in range(r.randrange(2, 9)))
+    say = lambda n: " ".join(word() for _ in range(n))
+    lines = [" ".join(f"{say(8)}." for _ in range(40)), say(600),
+             "".join(r.choice("0123456789abcdef") for _ in range(6000)),
+             "".join(chr(r.randrange(0x4e00, 0x9fff)) for _ in range(4000)), "ab" * 20_000,
+             "".join(r.choice("\U0001f600\u00e9gkqw") for _ in range(3000))]
+    rows = [(t, t[:len(t) // 2] + "@#" + t[len(t) // 2 + 2:]) for t in lines]
+    got = compare_texts(spark.createDataFrame(rows, "o string, n string"), "o", "n").collect()
+    like = {lines.index(x.o): x.likeness for x in got}
+    assert all(like[i] > 0.8 for i in (0, 1, 2, 3, 5)) and like[4] >= 0.25, like
+    assert all(len(x.removed) <= 4 and len(x.added) <= 4 for x in got)
+
+
+def test_paragraphs_are_the_same_in_java_and_python(spark):
+    r = random.Random(7)
+    pools = ["abgyqz 0123 ", "gkq. !?\"')", "\u65e5\u672c\u3002\uff01\u4e00\u4e01", "\u00e9\U0001f600gk", "abc\n g."]
+    texts = ["".join(r.choice(r.choice(pools[k % 5:k % 5 + 1] * 3 + pools[:1])) for _ in range(r.randrange(900)))
+             for k in range(200)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for x in df.select("t", F.size(digests(F.col("t"))).alias("n")).collect():
+        assert x.n == len({p for p in re.split(iblt.PARAGRAPH_END, x.t) if p.strip(" ")})
