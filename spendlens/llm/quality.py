@@ -38,6 +38,13 @@ META_FEATURES = 3 + SLOTS
 HELD_OUT = 5  # one labelled row in so many, by hash, is kept for calibration
 
 
+def _compressed(b: bytes, piece: int = 1 << 20) -> int:
+    """Length of all of ``b`` compressed as one stream, piece by piece: only the output
+    of one piece is held at a time."""
+    z, view = zlib.compressobj(1), memoryview(b)
+    return sum(len(z.compress(view[i:i + piece])) for i in range(0, len(b), piece)) + len(z.flush())
+
+
 def text_features(text: str | None) -> list[float]:
     """Shares and means over the whole text; all zero but the first for an empty one."""
     b = (text or "").encode("utf-8", "surrogatepass")
@@ -55,7 +62,7 @@ def text_features(text: str | None) -> list[float]:
     bare = sum(1 for w in words if not w.strip(_MARK))
     marked = sum(1 for w in words if w[-1] in _MARK)
     pairs = len(set(zip(words, words[1:])))
-    packed = len(zlib.compress(b[:1 << 20], 1)) / min(n, 1 << 20) if n > 64 else 0.6
+    packed = _compressed(b) / n if n > 64 else 0.6
     return [0.0, share(_UPPER), share(_LOWER), share(_DIGIT), share(_SPACE), share(_END),
             share(_PAUSE), share(_MARK), float(lengths.mean()) / 10, float(lengths.std()) / 10,
             float(lengths.max() > 60), distinct / k, pairs / max(1, k - 1),

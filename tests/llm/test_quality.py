@@ -81,3 +81,12 @@ def test_feature_sizes():
         assert len(text_features(t)) == TEXT_FEATURES and np.isfinite(text_features(t)).all()
     assert len(meta_features(None, None, float("nan"))) == META_FEATURES
     assert isinstance(CoTrained(np.zeros(3), np.zeros(3), np.zeros(3)).threshold, float)
+
+
+def test_compression_sees_the_whole_text():
+    """Junk behind the first MiB counts: it does not compress as the start does."""
+    r = random.Random(4)
+    start = "the same words again and again " * 40_000
+    junk = "".join(r.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(1 << 20))
+    clean, mixed = (text_features(t)[-1] for t in (start, start[:1 << 20] + junk))
+    assert clean < 0.05 and 0.25 < mixed < 0.5
