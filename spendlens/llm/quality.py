@@ -3,7 +3,8 @@
 The *text view* sees what is written (shape statistics of the whole text), the
 *metadata view* only the row's other columns (language, source, length).  Each
 is a logistic regression.  In every round each view's confident verdicts on
-unlabelled documents become training labels for the *other* view.  At the end a
+unlabelled documents become training labels for the *other* view; what is confident
+goes by the view's own scores too, so that a weak view teaches as well.  At the end a
 small logistic regression on held-out labels calibrates and combines the views'
 logits, and all documents are scored.
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,9 @@ TEXT_FEATURES = 18
 SLOTS = 32
 META_FEATURES = 3 + SLOTS
 HELD_OUT = 5  # one labelled row in so many, by hash, is kept for calibration
+#: Steps of a view's logit in -LOGITS..LOGITS in the histogram of its verdicts.
+LOGITS, PER_LOGIT = 16, 256
+LOGIT_BINS = 2 * LOGITS * PER_LOGIT
 
 
 def _compressed(b: bytes, piece: int = 1 << 20) -> int:
@@ -109,6 +113,8 @@ class CoTrained:
     meta: np.ndarray
     combine: np.ndarray  # bias, text logit, metadata logit
     threshold: float = 0.5
+    #: Pseudo-labels given: (round, view, good, bad), view by view.
+    given: list[tuple[int, str, int, int]] = field(default_factory=list)
 
     def logits(self, ft: np.ndarray, fm: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return ft @ self.text[1:] + self.text[0], fm @ self.meta[1:] + self.meta[0]
@@ -161,16 +167,42 @@ def _solve(sums: np.ndarray, w: np.ndarray, ridge: float) -> np.ndarray:
     return w + step * min(1.0, 5.0 / max(1e-9, float(np.abs(step).max())))
 
 
+def _bin(z: np.ndarray) -> np.ndarray:
+    return np.clip((z + LOGITS) * PER_LOGIT, 0, LOGIT_BINS - 1).astype(int)
+
+
+def _cuts(counts: np.ndarray, good: float, extreme: float, confident: float) -> tuple[int, ...]:
+    """Bins of a view's logits that bound its confident verdicts: (low, high, surely bad,
+    surely good).  ``counts`` has all unlabelled rows; ``low`` and ``high`` enclose what
+    is not among the ``extreme`` share of them, of which ``good`` is to be good.  Rows of
+    one bin go together; scores too much alike for both ends give no low and high."""
+    total, sure = counts.sum(), int(_bin(np.log(confident / (1 - confident))))
+    low = int(np.searchsorted(np.cumsum(counts), max(1.0, extreme * total * (1 - good))))
+    high = LOGIT_BINS - 1 - int(np.searchsorted(np.cumsum(counts[::-1]), max(1.0, extreme * total * good)))
+    if low >= high:
+        low, high = -1, LOGIT_BINS
+    return low, high, LOGIT_BINS - 1 - sure, sure
+
+
+def _verdicts(at: np.ndarray, cuts: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows are confidently good, and which bad."""
+    low, high, bad, good = cuts
+    return (at >= high) | ((at >= good) & (at > low)), (at <= low) | ((at <= bad) & (at < high))
+
+
 def co_train(feats: DataFrame, labels: DataFrame, rounds: int = 3, steps: int = 4,
              confident: float = 0.97, pseudo_weight: float = 0.5, keep_good: float = 0.995,
+             extreme: float = 0.05,
              ridge: float = 1.0, id_col: str = "doc_id", label_col: str = "quality") -> CoTrained:
     """Fits both views on ``labels`` (1 good, 0 bad; one label per document: the
     lowest of repeated ones; nulls ignored), exchanging pseudo-labels in ``rounds``.
 
     A view's verdict on an unlabelled document is confident when its probability is
-    ``confident`` or more, for either class; all pseudo-labels of a view together
-    weigh ``pseudo_weight`` times the true ones at most.  Without labels, or with
-    one class only, the model scores everything alike and rejects nothing.
+    ``confident`` or more, for either class, or its score is among the view's most
+    extreme: a share ``extreme`` of all unlabelled documents, dealt to the classes as
+    the labels are.  The pseudo-labels of a view weigh, class by class,
+    ``pseudo_weight`` times the true ones at most.  Without labels, or with one class
+    only, the model scores everything alike and rejects nothing.
     """
     label = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).cast("bigint").alias("_id"))
@@ -185,40 +217,50 @@ def co_train(feats: DataFrame, labels: DataFrame, rounds: int = 3, steps: int =
     if len(seen) < 2:
         return CoTrained(model.text, model.meta, np.zeros(3), threshold=0.0)
 
+    given = []
     for r in range(rounds + 1):
-        teacher = CoTrained(model.text, model.meta, model.combine)
-        exchange = r > 0
-
-        def verdicts(b: pd.DataFrame, teacher=teacher, exchange=exchange):
-            """Labels and which rows are true or pseudo, for the text and the metadata view."""
+        teacher, cuts = CoTrained(model.text, model.meta, model.combine), None
+        scale = np.zeros((2, 2))  # of the pseudo-labels for each view: good, bad
+        if r > 0:
+            def count(b: pd.DataFrame, teacher=teacher) -> np.ndarray:
+                y = b["y"].to_numpy(np.float64)
+                mine = y[~b["held"].to_numpy(bool)]
+                return np.concatenate([[(mine > 0).sum(), (mine <= 0).sum()], *[
+                    np.bincount(_bin(z[np.isnan(y)]), minlength=LOGIT_BINS)
+                    for z in teacher.logits(*_arrays(b))]]).astype(float)
+
+            sums = _sum_arrays(rows, count, 2 + 2 * LOGIT_BINS)
+            true, counts = sums[:2], sums[2:].reshape(2, LOGIT_BINS)
+            cuts = [_cuts(c, true[0] / max(1.0, true.sum()), extreme, confident) for c in counts]
+            gave = np.array([[c[v].sum() for v in _verdicts(np.arange(LOGIT_BINS), k)]
+                             for c, k in zip(counts, cuts)])
+            given += [(r, view, int(g), int(b)) for view, (g, b) in zip(("text", "meta"), gave)]
+            scale = np.minimum(1.0, pseudo_weight * true / np.maximum(1.0, gave[::-1]))
+
+        def weighted(b: pd.DataFrame, teacher=teacher, cuts=cuts, scale=scale):
+            """Labels and weights, true or pseudo, for the text and the metadata view."""
             ft, fm = _arrays(b)
             y = b["y"].to_numpy(np.float64)
             true = ~np.isnan(y) & ~b["held"].to_numpy(bool)
-            out = []
-            for z in reversed(teacher.logits(ft, fm)):  # the other view's logit
-                p = _sigmoid(z)
-                sure = np.isnan(y) & (np.maximum(p, 1 - p) >= confident) & exchange
-                out.append((np.where(true, np.nan_to_num(y), p >= 0.5), true, sure))
+            out = [(np.nan_to_num(y), true.astype(float)) for _ in range(2)]
+            if cuts:
+                out = []
+                # the other view's verdicts
+                for z, c, s in zip(reversed(teacher.logits(ft, fm)), reversed(cuts), scale):
+                    good, bad = (v & np.isnan(y) for v in _verdicts(_bin(z), c))
+                    out.append((np.where(true, np.nan_to_num(y), good),
+                                np.where(true, 1.0, s[0] * good + s[1] * bad)))
             return ft, fm, out
 
-        scale = np.zeros(2)
-        if exchange:
-            def count(b: pd.DataFrame) -> np.ndarray:
-                _, _, (a, c) = verdicts(b)
-                return np.array([a[1].sum(), a[2].sum(), c[2].sum()], float)
-
-            n, pt, pm = _sum_arrays(rows, count, 3)
-            scale = np.minimum(1.0, pseudo_weight * n / np.maximum(1.0, [pt, pm]))
         for _ in range(steps + 2 * (r == 0)):
             wt, wm = model.text, model.meta
 
-            def gradient(b: pd.DataFrame, wt=wt, wm=wm, scale=scale) -> np.ndarray:
-                ft, fm, views = verdicts(b)
+            def gradient(b: pd.DataFrame, wt=wt, wm=wm, weighted=weighted) -> np.ndarray:
+                ft, fm, views = weighted(b)
                 out = []
-                for x, w, s, (y, true, sure) in zip((ft, fm), (wt, wm), scale, views):
-                    use = true | (sure & (s > 0))
-                    out.append(_newton(x[use], y[use].astype(float),
-                                       np.where(true, 1.0, s)[use], w))
+                for x, w, (y, weight) in zip((ft, fm), (wt, wm), views):
+                    use = weight > 0
+                    out.append(_newton(x[use], y[use].astype(float), weight[use], w))
                 return np.concatenate(out)
 
             sums = _sum_arrays(rows, gradient, nt + nm)
@@ -233,7 +275,7 @@ def co_train(feats: DataFrame, labels: DataFrame, rounds: int = 3, steps: int =
             return _newton(np.column_stack([zt, zm]), b["y"].to_numpy(float), np.ones(len(b)), combine)
 
         combine = _solve(_sum_arrays(held, calibrate, 3 + 9), combine, 0.1)
-    model = CoTrained(model.text, model.meta, combine)
+    model = CoTrained(model.text, model.meta, combine, given=given)
 
     # the threshold: where the most bad held-out rows go while ``keep_good`` of the good stay
     bins = 1000

@@ -3,8 +3,9 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from spendlens.llm.quality import (CoTrained, META_FEATURES, TEXT_FEATURES, co_train, features,
-                                   keep_good, meta_features, score_documents, text_features)
+from spendlens.llm.quality import (CoTrained, LOGIT_BINS, META_FEATURES, TEXT_FEATURES, _cuts,
+                                   _verdicts, co_train, features, keep_good, meta_features,
+                                   score_documents, text_features)
 
 SF = "/root/testdata/sf0.01"
 
@@ -90,3 +91,25 @@ def test_compression_sees_the_whole_text():
     junk = "".join(r.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(1 << 20))
     clean, mixed = (text_features(t)[-1] for t in (start, start[:1 << 20] + junk))
     assert clean < 0.05 and 0.25 < mixed < 0.5
+
+
+def test_both_views_teach_with_production_parameters(spark):
+    """Given tables, parameters as in the query: each view gives labels of both classes
+    in every round, and the text view ends elsewhere than without them."""
+    docs, labels = load(spark)
+    feats = features(docs)
+    both = co_train(feats, labels)
+    assert [g[:2] for g in both.given] == [(r, v) for r in (1, 2, 3) for v in ("text", "meta")]
+    assert all(good > 0 and bad > 0 for _, _, good, bad in both.given)
+    alone = co_train(feats, labels, rounds=0, steps=16)
+    assert np.abs(both.text - alone.text).max() > 0.01 and alone.given == []
+
+
+def test_equal_scores_give_no_verdict():
+    counts = np.zeros(LOGIT_BINS)
+    counts[4200] = 100
+    good, bad = _verdicts(np.arange(LOGIT_BINS), _cuts(counts, 0.9, 0.05, 0.97))
+    assert not good[4200] and not bad[4200]
+    counts[4190] = counts[4210] = 10
+    good, bad = _verdicts(np.arange(LOGIT_BINS), _cuts(counts, 0.5, 0.05, 0.97))
+    assert good[4210] and bad[4190] and not (good & bad).any() and not good[4200] and not bad[4200]
