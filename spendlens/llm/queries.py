@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlens.llm import pieces, pii, quality
+from spendlens.llm.alignment import align_and_score
 from spendlens.llm.common import shared_folder, table
 from spendlens.llm.embeddings import near_vectors
 from spendlens.llm.iblt import fingerprint_edits
@@ -81,3 +82,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return pieces.summary(pieces.encode(table(spark, sf_dir, "documents"), model, bpe=True), model)
+
+
+@register("op11_cross_tokenizer_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_and_score(table(spark, sf_dir, "documents"),
+                           public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
