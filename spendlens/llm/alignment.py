@@ -36,9 +36,9 @@ from spendlens.llm.common import materialise
 from spendlens.llm.tokens import TIKTOKEN_CHARS, _byte_of_char, byte_bpe
 
 #: Texts are aligned in groups of about so many characters; bounds a task's memory.
-CHARS = 1 << 21
+CHARS = 1 << 22
 #: A tokens of a lane, and how many more are searched for a common end to part a long one.
-LANE, WINDOW = 1024, 64
+LANE, WINDOW = 512, 32
 #: Pairs in a block of the corpus counts, in the mean, and pairs of documents in a tile.
 BLOCK, TILE = 1 << 18, 1 << 21
 #: More than any tokenizer has ids.
@@ -91,6 +91,13 @@ class Side:
                     raise
         return self.plain.encode(text, add_special_tokens=False).ids
 
+    def gives_back(self, ids, text: bytes) -> bool:
+        """Whether the ids' bytes are the text."""
+        if self.sp is None and byte_bpe(self.path) is not None:
+            # merges of the text's own bytes: they can be too few, but not other ones
+            return int(self.lengths[ids].sum()) == len(text)
+        return b"".join(map(self.bytes.__getitem__, ids)) == text
+
     @functools.cached_property
     def lengths(self) -> np.ndarray:
         return np.array([len(b) for b in self.bytes], np.int64)
@@ -145,19 +152,18 @@ def merge(ends_a: np.ndarray, ends_b: np.ndarray, off_a: np.ndarray, off_b: np.n
     n_a = ends_a.size
     ends = np.concatenate([ends_a, ends_b])
     state = np.stack([start_a, start_b + n_a])
-    links, cuts = [state[:, :0]], [state[:, :0]]
+    links, cut = [state[:, :0]], [np.empty(0, bool)]
     while stop.size:
-        end = ends[state]
-        low = end.min(axis=0)
+        end_a, end_b = ends[state]
+        moves = np.stack([end_a <= end_b, end_b <= end_a])
         links.append(state)
-        moves = end == low
-        both = moves.all(axis=0)
-        cuts.append(state[:, both])
+        cut.append(end_a == end_b)
         state = state + moves
         alive = state[0] < stop
         if not alive.all():
             state, stop = state[:, alive], stop[alive]
-    links, cuts = np.concatenate(links, axis=1), np.concatenate(cuts, axis=1)
+    links = np.concatenate(links, axis=1)
+    cuts = links[:, np.concatenate(cut)]
     return links[0], links[1] - n_a, cuts[0], cuts[1] - n_a
 
 
@@ -171,11 +177,9 @@ class Aligned:
         self.docs, kept = [], []
         for i, (x, y) in zip(some, ids):
             want = b" " + texts[i].encode("utf-8", "surrogatepass")
-            x = np.asarray(x, np.int64)
-            if (b"".join(map(a.bytes.__getitem__, x.tolist())) == want
-                    and b"".join(map(b.bytes.__getitem__, y)) == want):
+            if a.gives_back(x, want) and b.gives_back(y, want):
                 self.docs.append(i)
-                kept.append((x, np.asarray(y, np.int64)))
+                kept.append((np.asarray(x, np.int64), np.asarray(y, np.int64)))
         sizes = np.array([[x.size, y.size] for x, y in kept], np.int64).reshape(-1, 2)
         self.off_a, self.off_b = (np.concatenate([[0], np.cumsum(s)]) for s in sizes.T)
         none = [np.empty(0, np.int64)]
@@ -184,14 +188,14 @@ class Aligned:
             np.cumsum(a.lengths[self.ids_a]), np.cumsum(b.lengths[self.ids_b]),
             self.off_a, self.off_b, lane)
         self.cut_a, self.cut_b = np.sort(cut_a), np.sort(cut_b)
+        self.doc = np.repeat(np.arange(len(self.docs)), np.diff(self.off_a))[self.link_a]
 
     def counts(self) -> list[np.ndarray]:
         """n_a, n_b, n_groups and n_links of every text."""
         out = []
         for each in (np.diff(self.off_a), np.diff(self.off_b),
                      np.diff(np.searchsorted(self.cut_a, self.off_a)),
-                     np.bincount(np.searchsorted(self.off_a, self.link_a, "right") - 1,
-                                 minlength=len(self.docs))):
+                     np.bincount(self.doc, minlength=len(self.docs))):
             full = np.zeros(self.n, np.int64)
             full[self.docs] = each
             out.append(full)
@@ -217,9 +221,8 @@ class Aligned:
     def pairs(self) -> list[bytes | None]:
         """Every text's distinct linked id pairs and how often it links them, packed."""
         wide = len(self.b.bytes)
-        doc = np.searchsorted(self.off_a, self.link_a, "right") - 1
         space = len(self.a.bytes) * wide
-        codes, times = np.unique(doc * space + self.ids_a[self.link_a] * wide
+        codes, times = np.unique(self.doc * space + self.ids_a[self.link_a] * wide
                                  + self.ids_b[self.link_b], return_counts=True)
         ends = np.searchsorted(codes, np.arange(len(self.docs) + 1) * space).tolist()
         codes %= space
@@ -238,7 +241,7 @@ def pack(docs, codes: np.ndarray, times: np.ndarray, wide: int) -> bytes:
     head = np.array([codes.size, *(k.itemsize for k in kinds)], "<i8").tobytes()
     body = b"".join(p.astype(k).view(np.uint8).reshape(-1, k.itemsize).T.tobytes()
                     for p, k in zip(parts, kinds))
-    return zstandard.ZstdCompressor(level=3).compress(head + body)
+    return zstandard.ZstdCompressor(level=1).compress(head + body)
 
 
 def unpack(data: bytes, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
