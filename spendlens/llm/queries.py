@@ -15,6 +15,7 @@ from spendlens.llm.iblt import fingerprint_edits
 from spendlens.llm.packing import pack_documents
 from spendlens.llm.registry import register
 from spendlens.llm.simhash import simhash_components
+from spendlens.llm.spelling import count_words, variant_groups
 from spendlens.llm.token_counts import count_tokens
 from spendlens.llm.url_sql import URL_SQL
 from spendlens.llm.urls import Rule, judge_urls
@@ -90,3 +91,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
                            public_tokenizers.path("byte_bpe_50k.json"),
                            public_tokenizers.path("piece_bpe_32k.model")).select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@register("op12_spelling_variants")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variant_groups(count_words(table(spark, sf_dir, "documents")))
