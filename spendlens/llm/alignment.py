@@ -36,7 +36,7 @@ from spendlens.llm.common import materialise
 from spendlens.llm.tokens import TIKTOKEN_CHARS, _byte_of_char, byte_bpe
 
 #: Texts are aligned in groups of about so many characters; bounds a task's memory.
-CHARS = 1 << 22
+CHARS = 1 << 20
 #: A tokens of a lane, and how many more are searched for a common end to part a long one.
 LANE, WINDOW = 512, 32
 #: Pairs in a block of the corpus counts, in the mean, and pairs of documents in a tile.
