@@ -16,6 +16,7 @@ from spendlens.llm.packing import pack_documents
 from spendlens.llm.registry import register
 from spendlens.llm.simhash import simhash_components
 from spendlens.llm.spelling import count_words, variant_groups
+from spendlens.llm.templates import main_text
 from spendlens.llm.token_counts import count_tokens
 from spendlens.llm.url_sql import URL_SQL
 from spendlens.llm.urls import Rule, judge_urls
@@ -96,3 +97,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op12_spelling_variants")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variant_groups(count_words(table(spark, sf_dir, "documents")))
+
+
+@register("op13_html_extraction")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
