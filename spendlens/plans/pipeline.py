@@ -70,29 +70,36 @@ class SourceFailed(RuntimeError):
         super().__init__("; ".join(f"{s}: {e}" for s, e in failed.items()))
 
 
-def _read_clean(spark: SparkSession, source: str, paths: list[str], run_ts,
-                multiline: bool = False):
-    """Parse and type the changed files of a source: (good, quarantine)."""
+CSV_SOURCES = {
+    "meta_ads": (SRC.META_COLUMNS, BR.clean_meta),
+    "store_visits": (SRC.VISITS_COLUMNS, BR.clean_store_visits),
+    "campaign_metadata": (SRC.METADATA_COLUMNS, BR.clean_campaign_metadata),
+}
+
+
+def type_rows(source: str, raw: DataFrame, run_ts) -> tuple[DataFrame, DataFrame]:
+    """Type a source's raw rows: (good, quarantine)."""
     if source == "google_ads":
-        raw = SRC.flatten_google(SRC.read_json_lines(spark, paths))
         good, bad = BR.clean_google(raw, run_ts)
         return BR.dedup_google(good), bad
-    columns, clean = {
-        "meta_ads": (SRC.META_COLUMNS, BR.clean_meta),
-        "store_visits": (SRC.VISITS_COLUMNS, BR.clean_store_visits),
-        "campaign_metadata": (SRC.METADATA_COLUMNS, BR.clean_campaign_metadata)}[source]
-    return clean(SRC.read_csv_strings(spark, paths, columns, multiline), run_ts)
+    return CSV_SOURCES[source][1](raw, run_ts)
 
 
-def _load_source(spark, store, source, table, keys, todo: DataFrame, run_ts, result,
-                 mode: str = "ignore", multiline: bool = False) -> DataFrame:
-    """Type, quarantine and insert-or-ignore the changed files of one source; returns its
-    ingestion-log rows, one per file.
+def _read_clean(spark: SparkSession, source: str, paths: list[str], run_ts,
+                multiline: bool = False):
+    """Parse and type the changed files of a source: (good, quarantine)."""
+    raw = (SRC.flatten_google(SRC.read_json_lines(spark, paths)) if source == "google_ads" else
+           SRC.read_csv_strings(spark, paths, CSV_SOURCES[source][0], multiline))
+    return type_rows(source, raw, run_ts)
+
+
+def store_rows(store: TableStore, source: str, table: str, keys, good: DataFrame, bad: DataFrame,
+               todo: DataFrame, run_ts, result, mode: str = "ignore") -> DataFrame:
+    """Quarantine and insert-or-ignore the typed rows of the files in ``todo`` (path,
+    file_size_bytes, file_modified_time); returns their ingestion-log rows, one per file.
 
     ``mode='replace'`` lets a changed file's rows replace the stored ones of the same
     keys (D8); the default keeps the first values."""
-    paths = [r["path"] for r in todo.select("path").collect()]  # of this run's changed files
-    good, bad = _read_clean(spark, source, paths, run_ts, multiline)
     dated = "date" in keys
     if dated:
         good = _with_month(good)
@@ -100,21 +107,25 @@ def _load_source(spark, store, source, table, keys, todo: DataFrame, run_ts, res
     staged = good.checkpoint(eager=True)
     existing = store.read(table)
     per_file = staged.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n"))
+    # only the months this batch touches can hold its keys; filtering the partition column
+    # on them prunes the scans of the stored table to those directories
+    months = touched_values(staged, MONTH) if dated else []
     if mode == "replace":
         store.upsert(table, staged, keys, ["_load_timestamp", *SRC.ORDER_COLS],
                      MONTH if dated else None)
         stored = per_file.withColumnRenamed("n", "new")
     else:
         if dated and existing is not None:
-            # only the months this batch touches can hold its keys; filtering
-            # the partition column on them prunes the scan to those directories
-            existing = existing.filter(F.col(MONTH).isin(touched_values(staged, MONTH)))
+            existing = existing.filter(F.col(MONTH).isin(months))
         store.append(table, insert_ignore(existing, staged, keys, ordinal=SRC.ORDER_COLS),
                      partition_by=[MONTH] if dated else ())
         written = store.read(table).filter(F.col("_load_timestamp") == D.ntz_lit(run_ts))
+        if dated:
+            written = written.filter(F.col(MONTH).isin(months))
         stored = written.groupBy("_source_file").agg(F.count(F.lit(1)).alias("new"))
     # after the load, and in place of what these files had there before
-    store.replace_files(QUARANTINE, bad.withColumn("_load_timestamp", D.ntz_lit(run_ts)), paths)
+    store.replace_files(QUARANTINE, bad.withColumn("_load_timestamp", D.ntz_lit(run_ts)),
+                        todo.select("path"), source)
     n = F.coalesce("n", F.lit(0)).cast("bigint")
     new = F.coalesce("new", F.lit(0)).cast("bigint")
     per_file, stored = (x.withColumn("path", SRC.listed_path(F.col("_source_file")))
@@ -131,6 +142,14 @@ def _load_source(spark, store, source, table, keys, todo: DataFrame, run_ts, res
     return counts
 
 
+def _load_source(spark, store, source, table, keys, todo: DataFrame, run_ts, result,
+                 mode: str = "ignore", multiline: bool = False) -> DataFrame:
+    """Type and store the changed files of one source; returns its ingestion-log rows."""
+    paths = [r["path"] for r in todo.select("path").collect()]  # of this run's changed files
+    good, bad = _read_clean(spark, source, paths, run_ts, multiline)
+    return store_rows(store, source, table, keys, good, bad, todo, run_ts, result, mode)
+
+
 def load_bronze(spark: SparkSession, store: TableStore, raw_dir: str, run_ts,
                 result: RunResult, mode: str = "ignore", multiline: tuple[str, ...] = ()) -> None:
     """Extract + transform + keyed load of the landing files that changed.

@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+import csv
 import re
 
 from pyspark.errors import AnalysisException
@@ -50,7 +51,6 @@ GOOGLE_SCHEMA = T.StructType([
 # meta_ads_2026-01-05.csv, meta_ads_3.csv/part-0.csv.  Others are reported, not loaded.
 SOURCE_SUFFIX = {"meta_ads": "csv", "google_ads": "json", "store_visits": "csv",
                  "campaign_metadata": "csv"}
-SOURCE_PREFIXES = {s: s for s in SOURCE_SUFFIX}
 
 
 def source_pattern(source: str) -> str:
@@ -85,46 +85,103 @@ def listed_path(source_file: Column) -> Column:
     return F.url_decode(F.replace(source_file, F.lit("+"), F.lit("%2B")))
 
 
-def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV file, or of the first file of a folder."""
-    names = (spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"')
-             .csv(path).columns)
-    return [n.lstrip("\ufeff").strip() for n in names]
+def csv_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Lines of CSV files as text, with their input position."""
+    return with_input_order(spark.read.option("encoding", "UTF-8").text(paths))
+
+
+def _values(line: Column, width: int) -> Column:
+    """The values of a CSV line as an array of strings; quotes inside quotes are doubled."""
+    slots = ", ".join(f"c{i} string" for i in range(width))
+    return F.array(*[F.from_csv(line, slots, {"escape": '"'})[f"c{i}"] for i in range(width)])
+
+
+def file_headers(lines: DataFrame) -> DataFrame:
+    """``(_source_file, _header_row, _header)``: the first line of every file and its row.
+
+    One scan for all files, however many: a file's first line is that of the least row of
+    its first split, found with partial aggregation."""
+    return (lines.where("_block = 0").groupBy("_source_file")
+            .agg(F.min(F.struct("_row", "value")).alias("_first"))
+            .select("_source_file", F.col("_first._row").alias("_header_row"),
+                    F.regexp_replace("_first.value", "^\ufeff", "").alias("_header")))
+
+
+def _place(column: str) -> Column:
+    """Index of a column in ``_names``, NULL if it is not there."""
+    return F.array_min(F.transform("_names", lambda n, i: F.when(n == column, i)))
+
+
+def bind_by_name(lines: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of CSV files bound to ``columns`` by each file's own header.
+
+    ``lines``: ``value`` and the input position; further columns stay.  Every line is cut
+    into as many values as the widest header has names (the one figure that reaches the
+    driver), and takes those at its header's places, so that files with differing headers,
+    in one folder or not, are read in one pass.  Columns a file lacks are NULL, columns not
+    asked for are ignored, order does not matter; of a repeated name the first counts."""
+    headers = file_headers(lines)
+    names = F.split("_header", ",")
+    width = headers.agg(F.max(F.size(names))).first()[0] or 1
+    head = F.transform(_values(F.col("_header"), width), lambda n: F.trim(n))
+    # the places of the columns; NULL where the file has none
+    at = headers.select("_source_file", "_header_row", "_header", head.alias("_names")).select(
+        F.col("_source_file").alias("_of"), "_header_row", "_header",
+        F.array(*map(_place, columns)).alias("_at"))
+    rows = (lines.join(at, F.col("_source_file") == F.col("_of"))
+            .where(~((F.col("_block") == 0) & (F.col("_row") == F.col("_header_row"))))
+            .where(F.trim("value") != ""))
+    extra = [c for c in lines.columns if c not in ("value", *ORDER_COLS)]
+    # cut once: what stands behind inline() is not worked out again for each column
+    slots = [f"_v{i}" for i in range(width)]
+    cut = rows.select(F.inline(F.array(F.from_csv(
+        "value", ", ".join(f"{v} string" for v in slots), {"escape": '"'}))), "_at", *ORDER_COLS, *extra)
+    values = F.array(*slots)
+    return cut.select(*[F.get(values, F.col("_at")[i]).alias(c)
+                        for i, c in enumerate(columns)], *ORDER_COLS, *extra)
 
 
 def read_csv_strings(spark: SparkSession, path: str | list[str], columns: list[str],
                      multiline: bool = False) -> DataFrame:
-    """SRC-1/4/5: header CSV, UTF-8, every value a string, bound by header name.
+    """SRC-1/4/5: header CSV, UTF-8, every value a string, bound by header name (see
+    ``bind_by_name``), each file by its own header.
 
     Quotes inside quoted values are doubled (``""``).  ``multiline``: values may hold
-    line ends; each file is then read by one task.  Columns the file lacks are NULL,
-    columns that are not asked for are ignored, order does not matter.  The files of
-    one folder share a header; a file whose header differs fails the read instead of
-    shifting its columns."""
+    line ends; each file is then read by one task, files of one header together."""
     paths = [path] if isinstance(path, str) else sorted(set(path))
-    # files of one landing folder share a header: one look per folder of part files
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    known: dict[str, tuple[str, ...]] = {}
-    for p in paths:
-        folder = p.rsplit("/", 1)[0]
-        key = folder if re.search(r"\.[A-Za-z]+$", folder.rsplit("/", 1)[-1]) else p
-        if key not in known:
-            known[key] = tuple(header_of(spark, p))
-        by_header.setdefault(known[key], []).append(p)
-    parts = []
-    for names, group in by_header.items():
-        df = (spark.read.schema(string_schema(list(names))).option("header", True)
-              .option("encoding", "UTF-8").option("mode", "PERMISSIVE").option("escape", '"')
-              .option("enforceSchema", False).option("multiLine", multiline).csv(group))
-        parts.append(with_input_order(df).select(
-            *[(F.col(f"`{c}`") if c in names else F.lit(None).cast("string")).alias(c)
-              for c in columns], *ORDER_COLS))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    lines = csv_lines(spark, paths)
+    if not multiline:
+        return bind_by_name(lines, columns)
+    # one row per file: the readers below take their paths from the driver
+    by_header: dict[str, list[str]] = {}
+    for r in file_headers(lines).select(listed_path(F.col("_source_file")).alias("p"), "_header").collect():
+        by_header.setdefault(r["_header"], []).append(r["p"])
+    out = None
+    for header, group in by_header.items():
+        names = [n.strip() for n in next(csv.reader([header]))]
+        df = (spark.read.schema(string_schema([f"c{i}" for i in range(len(names))]))
+              .option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
+              .option("escape", '"').option("multiLine", True).csv(group))
+        part = with_input_order(df).select(
+            *[(F.col(f"c{names.index(c)}") if c in names else F.lit(None).cast("string")).alias(c)
+              for c in columns], *ORDER_COLS)
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        return spark.createDataFrame([], string_schema(columns)).select(
+            *columns, F.lit("").alias("_source_file"), F.lit(0).cast("bigint").alias("_block"),
+            F.lit(0).cast("bigint").alias("_row"))
     return out
 
 
+def parse_json_lines(lines: DataFrame, schema: T.StructType = GOOGLE_SCHEMA) -> DataFrame:
+    """Lines of newline JSON (``value`` and the input position; further columns stay) with a
+    corrupt-record column; blank lines are ignored, as the JSON reader does."""
+    rest = [c for c in lines.columns if c != "value"]
+    rec = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    return (lines.where(F.trim("value") != "")
+            .select(F.inline(F.array(F.struct(rec.alias("_j")))), *rest).select("_j.*", *rest))
+
+
 def read_json_lines(spark: SparkSession, path: str | list[str],
                     schema: T.StructType = GOOGLE_SCHEMA) -> DataFrame:
     """SRC-2: newline JSON with a corrupt-record column (not DROPMALFORMED,

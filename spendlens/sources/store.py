@@ -110,6 +110,7 @@ class TableStore:
             self.path(name), self._aside(name, "staged"), self._aside(name, "replaced")))
         fs.delete(old, True)
         fs.mkdirs(old.getParent())
+        fs.mkdirs(here.getParent())
         if fs.exists(here):
             fs.rename(here, old)
         fs.rename(staged, here)
@@ -155,16 +156,19 @@ class TableStore:
             w = w.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
         w.parquet(self.path(name))
 
-    def replace_files(self, name: str, df: DataFrame, files: list[str]) -> None:
-        """Rows of ``name`` that came from ``files`` (listed paths) give way to ``df``; those
-        of other files stay.  Writing the same again changes nothing."""
-        current = self.read(name)
+    def replace_files(self, name: str, df: DataFrame, files: DataFrame, source: str) -> None:
+        """Rows of ``source`` in ``name`` that came from ``files`` (column ``path``, as
+        listed) give way to ``df``; those of other files, and of other sources, stay.  Each
+        source is a partition of its own, so others are neither read nor written.  Writing
+        the same again changes nothing."""
+        part = f"{name}/source={source}"
+        df = df.drop("source")
+        current = self.read(part)
         if current is not None:
-            gone = self.spark.createDataFrame([(f,) for f in files], "_gone string")
-            keep = current.join(gone, listed_path(F.col("_source_file")) == F.col("_gone"),
-                                "left_anti")
+            keep = current.join(files.select(F.col("path").alias("_gone")),
+                                listed_path(F.col("_source_file")) == F.col("_gone"), "left_anti")
             df = keep.select(*df.columns).unionByName(df)
-        self.overwrite(name, df)
+        self.overwrite(part, df)
 
     # ------------------------------------------------------------------ watermarks
     def write_watermarks(self, values: dict) -> None:

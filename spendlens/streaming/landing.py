@@ -4,9 +4,13 @@ A file-source stream over the landing folder with ``trigger(availableNow=True)``
 processes every file that arrived since the last run and then stops; the
 stream checkpoint (kept in the table store, i.e. shared storage) records
 which files were consumed, so a restarted job neither skips nor repeats a
-file.  Each micro-batch is typed, quarantined and inserted with
-insert-or-ignore semantics inside ``foreachBatch``; a replayed micro-batch
-after a failure inserts nothing twice because the write is keyed.
+file.  The stream carries lines of text; a micro-batch is bound by each file's
+own header, typed, quarantined, inserted and logged by the code of the batch
+path, so that both read the same files in the same way.
+
+Every micro-batch that was written is kept in ``_stream_epochs`` by query and
+epoch id: one that is replayed after a failure is refused.  If the failure came
+between the write and that note, the keyed write adds nothing twice.
 
 The file source treats a file name as consumed once; files rewritten in place
 under the same name are the batch path's job (``pipeline.load_bronze`` with
@@ -17,75 +21,74 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from spendlens.functions import dates as D
 from pyspark.sql.streaming import StreamingQuery
 
-from spendlens.operators.merge import insert_ignore
-from spendlens.plans import bronze as BR
+from spendlens.plans import pipeline
 from spendlens.sources import files as SRC
-from spendlens.sources.store import QUARANTINE, TableStore, now_utc, touched_values
+from spendlens.sources import reference as REF
+from spendlens.sources.store import INGESTION_LOG, TableStore, now_utc
 
-# Each stream watches the landing folder for files named with its source's
-# prefix (flat files, e.g. meta_ads_2026-06-01.csv).
-_CLEANERS = {
-    "meta_ads": (SRC.META_COLUMNS, BR.clean_meta, "raw_meta_ads", BR.META_KEY,
-                 SRC.SOURCE_PREFIXES["meta_ads"] + "*"),
-    "store_visits": (SRC.VISITS_COLUMNS, BR.clean_store_visits, "raw_store_visits",
-                     BR.VISITS_KEY, SRC.SOURCE_PREFIXES["store_visits"] + "*"),
-    "campaign_metadata": (SRC.METADATA_COLUMNS, BR.clean_campaign_metadata,
-                          "raw_campaign_metadata", BR.METADATA_KEY,
-                          SRC.SOURCE_PREFIXES["campaign_metadata"] + "*"),
-}
+EPOCHS = "_stream_epochs"
+_FILE = ["_size", "_modified"]
 
 
 def _stream(spark: SparkSession, landing_dir: str, source: str) -> DataFrame:
-    if source == "google_ads":
-        df = (spark.readStream.schema(SRC.GOOGLE_SCHEMA).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", "_corrupt")
-              .option("pathGlobFilter", SRC.SOURCE_PREFIXES["google_ads"] + "*")
-              .json(landing_dir))
-    else:
-        cols, _, _, _, glob = _CLEANERS[source]
-        df = (spark.readStream.schema(SRC.string_schema(cols)).option("header", True)
-              .option("pathGlobFilter", glob).csv(landing_dir))
-    # input order: file name and split start here; the row inside the split
-    # is numbered per micro-batch (not allowed on the streaming plan itself)
-    return df.select("*", F.col("_metadata.file_path").alias("_source_file"),
-                     F.col("_metadata.file_block_start").alias("_block"))
-
-
-def _batch_writer(store: TableStore, source: str):
+    """Lines of the source's files, and of the part files of its folders, with the file's
+    place, size and modification time."""
+    files = f"{landing_dir.rstrip('/')}/{source}*.{SRC.SOURCE_SUFFIX[source]}"
+    entry = F.regexp_extract("_source_file", f"/({source}[^/]*)(?:/[^/]*)?$", 1)
+    lines = spark.readStream.option("encoding", "UTF-8").text(files)
+    return (lines.select("value", F.col("_metadata.file_path").alias("_source_file"),
+                         F.col("_metadata.file_block_start").alias("_block"),
+                         F.col("_metadata.file_size").alias("_size"),
+                         F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("_modified"))
+            .where(entry.rlike(SRC.source_pattern(source))))
+
+
+def _seen(store: TableStore, query: str, epoch: int) -> bool:
+    done = store.read(EPOCHS)
+    return done is not None and not done.where(
+        (F.col("query") == query) & (F.col("epoch") == epoch)).isEmpty()
+
+
+def _batch_writer(store: TableStore, source: str, mode: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        if _seen(store, query, epoch_id):
+            return
         run_ts = now_utc()
-        batch = batch.withColumn("_row", F.monotonically_increasing_id().bitwiseAND(
+        # the row inside the split: not allowed on the streaming plan itself
+        lines = batch.withColumn("_row", F.monotonically_increasing_id().bitwiseAND(
             F.lit((1 << 33) - 1)))
-        if source == "google_ads":
-            good, bad = BR.clean_google(SRC.flatten_google(batch), run_ts)
-            good, table, keys = BR.dedup_google(good), "raw_google_ads", BR.GOOGLE_KEY
-        else:
-            _, clean, table, keys, _ = _CLEANERS[source]
-            good, bad = clean(batch, run_ts)
-        existing = store.read(table)
-        dated = "date" in keys
-        if dated:
-            good = good.withColumn("_month", F.date_trunc("month", "date").cast("date"))
-            if existing is not None:
-                existing = existing.filter(F.col("_month").isin(touched_values(good, "_month")))
-        new = insert_ignore(existing, good, keys, ordinal=SRC.ORDER_COLS).checkpoint(eager=True)
-        store.append(table, new, partition_by=["_month"] if dated else ())
-        # by position: a replayed micro-batch adds nothing
-        store.upsert(QUARANTINE, bad.withColumn("_load_timestamp", D.ntz_lit(run_ts)),
-                     ["source", *SRC.ORDER_COLS], ["_load_timestamp"])
+        todo = (batch.groupBy("_source_file", *_FILE).agg(F.count("*").alias("_n"))
+                .select(SRC.listed_path(F.col("_source_file")).alias("path"),
+                        F.col("_size").alias("file_size_bytes"),
+                        F.col("_modified").alias("file_modified_time"))).checkpoint(eager=True)
+        table, keys = pipeline.BRONZE[source]
+        good, bad = pipeline.type_rows(source, _raw(source, lines), run_ts)
+        result = pipeline.RunResult(run_ts)
+        log = pipeline.store_rows(store, source, table, keys, good, bad, todo, run_ts, result, mode)
+        store.append(INGESTION_LOG, log)
+        done = store.spark.createDataFrame(
+            [(query, epoch_id, source, run_ts)],
+            "query string, epoch bigint, source string, loaded_at timestamp_ntz")
+        store.append(EPOCHS, done)
     return write
 
 
+def _raw(source: str, lines: DataFrame) -> DataFrame:
+    position = ["value", *SRC.ORDER_COLS]
+    if source == "google_ads":
+        return SRC.flatten_google(SRC.parse_json_lines(lines.select(*position)))
+    return SRC.bind_by_name(lines.select(*position), pipeline.CSV_SOURCES[source][0])
+
+
 def ingest_available(spark: SparkSession, landing_dir: str, store: TableStore,
-                     source: str) -> StreamingQuery:
+                     source: str, mode: str = "ignore") -> StreamingQuery:
     """Start the stream for one source, process what is available, stop.
     Returns the finished query (``lastProgress`` has the counts)."""
     q = (_stream(spark, landing_dir, source).writeStream
-         .foreachBatch(_batch_writer(store, source))
+         .foreachBatch(_batch_writer(store, source, mode))
          .option("checkpointLocation", store.path(f"_checkpoints/{source}"))
          .trigger(availableNow=True)
          .start())
@@ -93,19 +96,19 @@ def ingest_available(spark: SparkSession, landing_dir: str, store: TableStore,
     return q
 
 
-def ingest_and_build(spark: SparkSession, landing_dir: str, table_dir: str) -> dict:
+def ingest_and_build(spark: SparkSession, landing_dir: str, table_dir: str, *, mode: str = "ignore",
+                     calendar=(REF.CALENDAR_START, REF.CALENDAR_END)) -> dict:
     """Streaming counterpart of ``pipeline.run``: each source's new landing
     files are ingested by its stream (availableNow), then the silver and gold
-    tables are advanced from their watermarks exactly as in the batch run."""
-    from spendlens.plans import pipeline
-
+    tables are advanced from their watermarks exactly as in the batch run
+    (``mode`` and ``calendar`` as there)."""
     store = TableStore(spark, table_dir)
     progress = {}
-    for source in ("meta_ads", "google_ads", "store_visits", "campaign_metadata"):
-        q = ingest_available(spark, landing_dir, store, source)
+    for source in SRC.SOURCE_SUFFIX:
+        q = ingest_available(spark, landing_dir, store, source, mode)
         progress[source] = (q.lastProgress or {}).get("numInputRows", 0)
     run_ts = now_utc()
     wm = pipeline.Watermarks(store)
-    pipeline.build_silver(spark, store, run_ts, wm)
+    pipeline.build_silver(spark, store, run_ts, wm, calendar)
     pipeline.build_gold(spark, store, run_ts, wm)
     return progress

@@ -161,13 +161,37 @@ def test_interrupted_replacement_is_mended(spark, tmp_path):
         store.append("dim", spark.createDataFrame([("x",)], "a string"))
 
 
-def test_changed_header_fails_instead_of_shifting(spark, tmp_path):
+def test_files_with_differing_headers_load_in_one_pass(spark, tmp_path):
     folder = tmp_path / "store_visits.csv"
     os.makedirs(folder)
     write(str(folder / "part-0.csv"), VISITS_HEADER, VISITS_ROWS[:2])
     write(str(folder / "part-1.csv"), VISITS_HEADER[::-1], [r[::-1] for r in VISITS_ROWS[:2]])
-    paths = [str(folder / f"part-{i}.csv") for i in (0, 1)]
-    with pytest.raises(Exception, match="CSV header"):
-        SRC.read_csv_strings(spark, paths, SRC.VISITS_COLUMNS).collect()
-    two = [SRC.read_csv_strings(spark, p, SRC.VISITS_COLUMNS).drop(*SRC.ORDER_COLS).collect() for p in paths]
-    assert two[0] == two[1]
+    write(str(folder / "part-2.csv"), ["x", *VISITS_HEADER[:3]], [["x", *r[:3]] for r in VISITS_ROWS[:2]])
+    with open(folder / "part-3.csv", "w", encoding="utf-8-sig", newline="") as f:
+        f.write(" date ,dma_code\r\n\r\n2026-01-01,\"5\"\"0,1\"\r\n2026-01-02\r\n")
+    open(folder / "part-4.csv", "w").close()
+    paths = [str(folder / f"part-{i}.csv") for i in range(5)]
+    df = SRC.read_csv_strings(spark, paths, SRC.VISITS_COLUMNS)
+    got = sorted(map(tuple, df.drop(*SRC.ORDER_COLS).collect()), key=str)
+    rows = [tuple(r) for r in VISITS_ROWS[:2]]
+    want = rows * 2 + [(*r[:3], None, None) for r in rows]
+    want += [("2026-01-01", '5"0,1', None, None, None), ("2026-01-02", None, None, None, None)]
+    assert got == sorted(want, key=str)
+
+
+def test_jobs_of_a_read_do_not_grow_with_the_files(spark, tmp_path):
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(n):
+        folder = tmp_path / f"f{n}"
+        os.makedirs(folder)
+        paths = []
+        for i in range(n):
+            paths.append(str(folder / f"store_visits_{i}.csv"))
+            write(paths[-1], VISITS_HEADER, VISITS_ROWS)
+        spark.sparkContext.setJobGroup(f"files-{n}", "")
+        assert SRC.read_csv_strings(spark, paths, SRC.VISITS_COLUMNS).count() == n * len(VISITS_ROWS)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(f"files-{n}"))
+
+    assert jobs(20) <= jobs(2) + 1
