@@ -37,6 +37,18 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` has not got, in whatever case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        name = f"_{name}"
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def let(value: Column, kind: str, use) -> Column:
     """``use(value)`` of type ``kind``, with the value worked out once."""
     return F.aggregate(F.array(value), F.lit(None).cast(kind), lambda _, v: use(v))

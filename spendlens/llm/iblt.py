@@ -2,16 +2,20 @@
 
 A text's *paragraphs* (sentences, and pieces of long runs without an end of sentence;
 blank ones do not count) are hashed to 64-bit digests, so that an edit changes few of
-them, even in a text of one line.  A sketch has a fixed number of cells; each digest of the set is added to three of
-them, one in each third: a cell holds how many digests it got, their exclusive-or,
-and the exclusive-or of their check hashes.  Subtracting two sketches
-cell by cell cancels what the versions share; *peeling* then recovers the digests
-that differ, from cells that hold a single one.
-
-A sketch of few cells can only yield few differences.  If peeling stalls, both sides
-are sketched again, larger and with other hashes: the sets are dealt by digest into
-blocks of about ``BLOCK`` digests, each with a sketch of its own, and a block that
-fails is tried with three times the cells.
+them, even in a text of one line.  Each digest of the set is added to three cells of a
+sketch, one in each third: a cell holds how many digests it got, their exclusive-or,
+and the exclusive-or of their check hashes.  Subtracting two sketches cell by cell
+cancels what the versions share; *peeling* then recovers the digests that differ, from
+cells that hold a single one.
+
+A text's fingerprint is its sketch of ``CELLS`` cells, written out; two stored
+fingerprints can be subtracted.  A sketch of few cells can only yield few differences.
+If peeling stalls, both sides are sketched again, as large as the difference that the
+sets' smallest digests let expect asks for, then twice and four times as large.
+
+Cells are kept as the array of those that are not empty, in order of place.  Entries
+are gathered into cells by sorting them, so that all steps take n log n, and a text of
+many paragraphs costs in proportion to its length.
 """
 
 from __future__ import annotations
@@ -19,16 +23,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import let, materialise
+from spendlens.llm.common import let, materialise, unused
 
-#: Cells of the sketch of a whole set: a text's fingerprint.
+#: Cells of a text's fingerprint, a multiple of three.
 CELLS = 12
-#: Where it yields too little: cells for each block of about ``BLOCK`` digests, retry by retry.
-RETRIES = (24, 72, 216, 648)
-BLOCK = 4
-ROUNDS = 16  # of peeling, at most; a stall ends it
+#: Cells for each difference that is to be expected, retry by retry, and the fewest.
+RETRIES, FEWEST = (2, 4, 8), 24
+#: Digests of each set, the smallest, by which the size of a difference is foreseen.
+SAMPLE = 16
+ROUNDS = 60  # of peeling, at most; a stall ends it
 
-CELL = "array<struct<n:int,id:bigint,ck:bigint>>"
+CELL = "array<struct<p:int,n:int,id:bigint,ck:bigint>>"
 ENTRY = "array<struct<id:bigint,sign:int>>"
 STATE = f"struct<cells:{CELL},now:{ENTRY},out:{ENTRY}>"
 #: Characters, two of which in a row are rare enough to cut long runs at, in ASCII and in
@@ -69,99 +74,114 @@ def _check(d: Column) -> Column:
     return F.xxhash64(F.lit(-1), d)
 
 
-def _placed(d: Column, cells: int, *more: Column) -> Column:
-    """A digest with its check hash and its cell in each third."""
-    return F.struct(d.alias("id"), _check(d).alias("ck"), *more, *[
-        F.pmod(F.xxhash64(F.lit(cells + t), d), F.lit(cells // 3)).cast("int").alias(f"p{t}")
-        for t in range(3)])
+def _entries(found: Column, cells: Column) -> Column:
+    """Three entries for each (id, sign), one in each third of the cells."""
+    third = F.floor(cells / 3).cast("int")
+    return F.flatten(F.transform(found, lambda e: F.array(*[F.struct(
+        (F.pmod(F.xxhash64(F.lit(t), e["id"]), third).cast("int") + third * t).alias("p"),
+        e["sign"].alias("n"), e["id"].alias("id"), _check(e["id"]).alias("ck")) for t in range(3)])))
 
 
-def sketch(items: Column, cells: int) -> Column:
-    """The sketch of a digest set: ``cells`` cells (n, id, ck)."""
+def _gathered(entries: Column) -> Column:
+    """Entries and cells, any number for a place, as cells in order of place: counts added,
+    exclusive-ors combined, empty cells left out."""
     zero = F.lit(0).cast("bigint")
+    start = F.struct(F.lit(0).alias("n"), zero.alias("id"), zero.alias("ck"))
 
-    def third(p: Column, t: int) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.lit(cells // 3 - 1)), lambda c: F.aggregate(
-            F.filter(p, lambda x: x[f"p{t}"] == c),
-            F.struct(F.lit(0).alias("n"), zero.alias("id"), zero.alias("ck")),
-            lambda a, x: F.struct((a["n"] + 1).alias("n"), a["id"].bitwiseXOR(x["id"]).alias("id"),
-                                  a["ck"].bitwiseXOR(x["ck"]).alias("ck"))))
+    def runs(s: Column) -> Column:
+        firsts = F.filter(F.sequence(F.lit(0), F.size(s) - 1),
+                          lambda i: (i == 0) | (F.get(s, i)["p"] != F.get(s, i - 1)["p"]))
+        # each run with its end, then summed up
+        return let(firsts, CELL, lambda f: F.filter(F.transform(f, lambda i, k: F.aggregate(
+            F.slice(s, i + 1, F.coalesce(F.get(f, k + 1), F.size(s)) - i), start,
+            lambda a, x: F.struct((a["n"] + x["n"]).alias("n"), a["id"].bitwiseXOR(x["id"]).alias("id"),
+                                  a["ck"].bitwiseXOR(x["ck"]).alias("ck")),
+            lambda a: F.struct(F.get(s, i)["p"].alias("p"), a["n"].alias("n"), a["id"].alias("id"),
+                               a["ck"].alias("ck")))),
+            lambda c: (c["n"] != 0) | (c["id"] != 0) | (c["ck"] != 0)))
 
-    # the placed digests are bound once, then each cell gathers its own
-    return let(F.transform(items, lambda d: _placed(d, cells)), CELL,
-               lambda p: F.concat(*[third(p, t) for t in range(3)]))
+    return let(F.sort_array(entries), CELL, lambda s: F.when(F.size(s) > 0, runs(s)).otherwise(
+        F.array().cast(CELL)))
+
+
+def _signed(ids: Column, sign: int) -> Column:
+    return F.transform(ids, lambda d: F.struct(d.alias("id"), F.lit(sign).alias("sign")))
+
+
+def sketch(items: Column, cells) -> Column:
+    """The sketch of a digest set: its cells (p, n, id, ck) that are not empty.  ``cells``: a
+    number or a column, at least three; of ``3 k + 1`` and ``3 k + 2`` only ``3 k`` are used."""
+    return _gathered(_entries(_signed(items, 1), cells if isinstance(cells, Column) else F.lit(cells)))
 
 
 def subtract(a: Column, b: Column) -> Column:
     """Cell by cell: counts subtract, exclusive-ors cancel."""
-    return F.zip_with(a, b, lambda x, y: F.struct(
-        (x["n"] - y["n"]).alias("n"), x["id"].bitwiseXOR(y["id"]).alias("id"),
-        x["ck"].bitwiseXOR(y["ck"]).alias("ck")))
+    return _gathered(F.concat(a, F.transform(b, lambda c: F.struct(
+        c["p"].alias("p"), (-c["n"]).alias("n"), c["id"].alias("id"), c["ck"].alias("ck")))))
 
 
-def peel(cells_diff: Column, cells: int) -> Column:
+def peel(cells_diff: Column, cells) -> Column:
     """The digests of a sketch difference as an array of (id, sign), sign 1 for the
     first set's; null if it can't be peeled."""
-    none = F.array().cast(ENTRY)
-
-    def pure(state: Column) -> Column:
-        single = F.filter(state, lambda c: (F.abs(c["n"]) == 1) & (_check(c["id"]) == c["ck"]))
-        return F.array_distinct(F.transform(single, lambda c: F.struct(
-            c["id"].alias("id"), c["n"].alias("sign"))))
-
-    def without(state: Column, found: Column) -> Column:
-        def third(p: Column, t: int) -> Column:
-            return F.transform(F.slice(state, t * (cells // 3) + 1, cells // 3), lambda c, j: F.aggregate(
-                F.filter(p, lambda x: x[f"p{t}"] == j), c,
-                lambda a, x: F.struct((a["n"] - x["sign"]).alias("n"),
-                                      a["id"].bitwiseXOR(x["id"]).alias("id"),
-                                      a["ck"].bitwiseXOR(x["ck"]).alias("ck"))))
+    cells = cells if isinstance(cells, Column) else F.lit(cells)
 
-        placed = F.transform(found, lambda e: _placed(e["id"], cells, e["sign"].alias("sign")))
-        return let(placed, CELL, lambda p: F.concat(*[third(p, t) for t in range(3)]))
+    def pure(left: Column) -> Column:
+        single = F.filter(left, lambda c: (F.abs(c["n"]) == 1) & (_check(c["id"]) == c["ck"]))
+        # one of each, from its neighbours: array_distinct compares all pairs of structs
+        return let(F.sort_array(F.transform(single, lambda c: F.struct(
+            c["id"].alias("id"), c["n"].alias("sign")))), ENTRY, lambda s: F.filter(
+                s, lambda e, i: (i == 0) | (F.get(s, i - 1)["id"] != e["id"])))
 
     def state(left: Column, out: Column) -> Column:
         return let(left, STATE, lambda c: F.struct(
             c.alias("cells"), pure(c).alias("now"), out.alias("out")))
 
     def step(acc: Column, _: Column) -> Column:
+        gone = F.transform(acc["now"], lambda e: F.struct(e["id"].alias("id"), (-e["sign"]).alias("sign")))
         return F.when(F.size(acc["now"]) == 0, acc).otherwise(
-            state(without(acc["cells"], acc["now"]), F.concat(acc["out"], acc["now"])))
+            state(_gathered(F.concat(acc["cells"], _entries(gone, cells))),
+                  F.concat(acc["out"], acc["now"])))
 
     return F.aggregate(
-        F.sequence(F.lit(1), F.lit(ROUNDS)), state(cells_diff, none), step,
-        lambda s: F.when(F.forall(s["cells"], lambda c: (c["n"] == 0) & (c["id"] == 0)
-                                  & (c["ck"] == 0)), s["out"]))
+        F.sequence(F.lit(1), F.lit(ROUNDS)), state(cells_diff, F.array().cast(ENTRY)), step,
+        lambda s: F.when(F.size(s["cells"]) == 0, s["out"]))
 
 
-def difference(a: Column, b: Column, cells: int = CELLS, retries: tuple[int, ...] = RETRIES,
-               block: int = BLOCK) -> Column:
-    """Digests in one set only, as (id, sign); sign 1: in ``a`` only.
-
-    First the sets' fixed sketches of ``cells`` cells; if their difference can't be
-    peeled, blocks of the sets with as many cells as each of ``retries`` in turn.  A
-    block that no retry can peel is compared as a set (about never)."""
-    blocks = F.ceil(F.greatest(F.size(a), F.size(b)) / F.lit(block)).cast("int")
-
-    def tried(x: Column, y: Column, cells: int) -> Column:
-        return peel(subtract(sketch(x, cells), sketch(y, cells)), cells)
+def expected_difference(a: Column, b: Column) -> Column:
+    """About how many digests stand in one set only: from the share of the two sets' smallest
+    ``SAMPLE`` digests together that both have.  A guess; a retry mends a low one."""
+    def least(x: Column) -> Column:
+        return F.slice(F.sort_array(x), 1, SAMPLE)
 
-    def signed(ids: Column, sign: int) -> Column:
-        return F.transform(ids, lambda d: F.struct(d.alias("id"), F.lit(sign).alias("sign")))
+    kind = "array<bigint>"
+    union = let(least(F.array_union(least(a), least(b))), kind, lambda u: u)
+    both = F.size(F.array_intersect(F.array_intersect(union, least(a)), least(b)))
+    share = both / F.greatest(F.size(union), F.lit(1))
+    return (F.size(a) + F.size(b)) * (1 - share) / (1 + share)
 
-    def one(x: Column, y: Column) -> Column:
-        return F.coalesce(*[tried(x, y, c) for c in retries], F.concat(
-            signed(F.array_except(x, y), 1), signed(F.array_except(y, x), -1)))
 
-    def part(items: Column, k: Column) -> Column:
-        # other bits than the cells' positions use
-        return F.filter(items, lambda d: F.pmod(F.shiftrightunsigned(d, 17), blocks) == k)
+def difference(a: Column, b: Column, small_a: Column | None = None, small_b: Column | None = None,
+               cells: int = CELLS, retries: tuple[int, ...] = RETRIES) -> Column:
+    """Digests in one set only, as (id, sign); sign 1: in ``a`` only.
 
-    dealt = F.flatten(F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: let(
-        F.struct(part(a, k).alias("x"), part(b, k).alias("y")), ENTRY,
-        lambda s: one(s["x"], s["y"]))))
+    First the sets' fixed sketches of ``cells`` cells (given, if they are there already);
+    if their difference can't be peeled, sketches of the expected size of the difference
+    times each of ``retries``, and at last of as many cells for all digests of both.
+    Sets that none can peel are compared as sets (about never)."""
+    small_a = sketch(a, cells) if small_a is None else small_a
+    small_b = sketch(b, cells) if small_b is None else small_b
+    all_of = (F.size(a) + F.size(b)).cast("double")
+
+    def tried(size: Column) -> Column:
+        return let(F.greatest(size.cast("int"), F.lit(FEWEST)), "struct<found:" + ENTRY + ">",
+                   lambda n: F.struct(peel(_gathered(F.concat(
+                       _entries(_signed(a, 1), n), _entries(_signed(b, -1), n))), n).alias("found")))["found"]
+
+    guess = expected_difference(a, b)
+    sizes = [F.least(guess, all_of) * r for r in retries] + [all_of * max(retries)]
+    sets = F.concat(_signed(F.array_except(a, b), 1), _signed(F.array_except(b, a), -1))
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.array().cast(ENTRY)).otherwise(
-        F.coalesce(tried(a, b, cells), dealt))
+        F.coalesce(peel(subtract(small_a, small_b), cells), *map(tried, sizes), sets))
 
 
 def likeness(n_a: Column, n_b: Column, diff: Column) -> Column:
@@ -173,23 +193,32 @@ def likeness(n_a: Column, n_b: Column, diff: Column) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise((n_a - only_a) / union).cast("double")
 
 
-def fingerprint(items: Column, cells: int = CELLS) -> Column:
-    """Digest of the whole set's smallest sketch and its size, 32 hex digits."""
-    return F.md5(F.concat_ws(",", F.size(items).cast("string"), F.transform(
-        sketch(items, cells), lambda c: F.concat_ws(":", c["n"].cast("string"), F.hex(c["id"]),
-                                                    F.hex(c["ck"])))))
+def fingerprint(cells: Column) -> Column:
+    """A sketch as text: ``place:count:digests:checks`` of its cells, comma-joined."""
+    return F.concat_ws(",", F.transform(cells, lambda c: F.concat_ws(
+        ":", *[c[k].cast("string") for k in ("p", "n", "id", "ck")])))
+
+
+def cells_of(written: Column) -> Column:
+    """The sketch that a fingerprint is the text of."""
+    parts = F.filter(F.split(written, ","), lambda c: c != "")
+    return F.transform(F.transform(parts, lambda c: F.split(c, ":")), lambda v: F.struct(*[
+        F.get(v, F.lit(i)).cast(kind).alias(k) for i, (k, kind) in enumerate(
+            (("p", "int"), ("n", "int"), ("id", "bigint"), ("ck", "bigint")))]))
 
 
 def compare_texts(rows: DataFrame, old: str, new: str) -> DataFrame:
     """``rows`` with ``removed`` and ``added`` (digests of paragraphs in one text only) and
-    ``likeness``; null texts count as empty."""
-    return (rows.withColumn("_a", digests(F.col(old))).withColumn("_b", digests(F.col(new)))
-            .withColumn("_d", difference(F.col("_a"), F.col("_b")))
+    ``likeness``, in place of columns of these names; null texts count as empty; all other
+    columns stay."""
+    a, b, d = unused(rows, "a", "b", "d")
+    return (rows.withColumns({a: digests(F.col(old)), b: digests(F.col(new))})
+            .withColumn(d, difference(F.col(a), F.col(b)))
             .withColumns({
-                "removed": F.transform(F.filter("_d", lambda e: e["sign"] == 1), lambda e: e["id"]),
-                "added": F.transform(F.filter("_d", lambda e: e["sign"] == -1), lambda e: e["id"]),
-                "likeness": likeness(F.size("_a"), F.size("_b"), F.col("_d"))})
-            .drop("_a", "_b", "_d"))
+                "removed": F.transform(F.filter(d, lambda e: e["sign"] == 1), lambda e: e["id"]),
+                "added": F.transform(F.filter(d, lambda e: e["sign"] == -1), lambda e: e["id"]),
+                "likeness": likeness(F.size(a), F.size(b), F.col(d))})
+            .drop(a, b, d))
 
 
 def with_next(docs: DataFrame, id_col: str, text_col: str, rows_in_range: int = 2000,
@@ -258,9 +287,12 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                        digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"),
                        digests(F.col("next")).alias("b"))
     a, e, b = F.col("a"), F.col("e"), F.col("b")
-    rows = rows.withColumns({"to_edited": difference(a, e), "to_next": difference(a, b)})
+    rows = rows.withColumns({"sa": sketch(a, CELLS), "se": sketch(e, CELLS), "sb": sketch(b, CELLS)})
+    rows = rows.withColumns({"to_edited": difference(a, e, F.col("sa"), F.col("se")),
+                             "to_next": difference(a, b, F.col("sa"), F.col("sb"))})
     return rows.select(
-        "doc_id", F.col("n").alias("n_chars"), "edited_sha256", fingerprint(a).alias("fingerprint"),
-        fingerprint(e).alias("edited_fingerprint"),
+        "doc_id", F.col("n").alias("n_chars"), "edited_sha256",
+        fingerprint(F.col("sa")).alias("fingerprint"),
+        fingerprint(F.col("se")).alias("edited_fingerprint"),
         likeness(F.size(a), F.size(e), F.col("to_edited")).alias("near_edited"),
         likeness(F.size(a), F.size(b), F.col("to_next")).alias("near_next"))
