@@ -146,8 +146,9 @@ def _sum_arrays(df: DataFrame, step, size: int) -> np.ndarray:
         yield pd.DataFrame({"v": [total]})
 
     parts = df.mapInPandas(run, "v array<double>")
-    # partial sums are folded in tasks, so few vectors reach the driver
-    rows = parts.coalesce(16).mapInPandas(fold, "v array<double>").collect()
+    # partial sums, a row a task, are folded in tasks, so few vectors reach the driver; they
+    # are shuffled for it, as a narrow step would leave the sums themselves to 16 tasks
+    rows = parts.repartition(16).mapInPandas(fold, "v array<double>").collect()
     return np.sum([np.array(r.v) for r in rows] or [np.zeros(size)], axis=0)
 
 

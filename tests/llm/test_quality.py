@@ -113,3 +113,17 @@ def test_equal_scores_give_no_verdict():
     counts[4190] = counts[4210] = 10
     good, bad = _verdicts(np.arange(LOGIT_BINS), _cuts(counts, 0.5, 0.05, 0.97))
     assert good[4210] and bad[4190] and not (good & bad).any() and not good[4200] and not bad[4200]
+
+
+def test_sums_run_in_all_partitions(spark):
+    from pyspark import TaskContext
+
+    from spendlens.llm.quality import _sum_arrays
+
+    def seen(b):
+        out = np.zeros(64)
+        out[TaskContext.get().partitionId()] = len(b)
+        return out
+
+    sums = _sum_arrays(spark.range(6400).repartition(64), seen, 64)
+    assert sums.sum() == 6400 and (sums > 0).all()
