@@ -54,12 +54,44 @@ def let(value: Column, kind: str, use) -> Column:
     return F.aggregate(F.array(value), F.lit(None).cast(kind), lambda _, v: use(v))
 
 
-def running(values: Column, op) -> Column:
-    """Exclusive running totals of an int array under ``op`` (a sum or a maximum of
-    numbers that are not negative): what the elements before each one come to.
+#: Elements whose running totals are worked out in one go, with copies of what is there.
+RUN = 256
+
 
-    The accumulator is copied at each step, so it holds nothing but numbers."""
+def _running(values: Column, op) -> Column:
+    """Exclusive running totals of a short int array: the accumulator is copied at each step."""
     start = F.struct(F.lit(0).alias("now"), F.array().cast("array<int>").alias("out"))
     return F.aggregate(values, start, lambda a, x: F.struct(
         op(a["now"], x).alias("now"), F.concat(a["out"], F.array(a["now"])).alias("out")),
         lambda a: a["out"])
+
+
+def running(values: Column, op) -> Column:
+    """Exclusive running totals of an int array under ``op`` (a sum or a maximum of
+    numbers that are not negative): what the elements before each one come to.
+
+    Long arrays go in two levels, blocks of ``RUN`` and the blocks' totals, so that a
+    million elements cost no million copies of a million."""
+    kind = "array<int>"
+
+    def blocked(v: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / RUN).cast("int")),
+                            lambda k: F.slice(v, k * RUN + 1, RUN))
+        return let(parts, kind, lambda p: F.flatten(F.zip_with(
+            p, _running(F.transform(p, lambda b: F.aggregate(b, F.lit(0), op)), op),
+            lambda b, base: F.transform(_running(b, op), lambda x: op(base, x)))))
+
+    return let(values, kind, lambda v: F.when(F.size(v) <= RUN, _running(v, op)).otherwise(blocked(v)))
+
+
+def cut_text(text: Column, kind: str, use, block: int = 256) -> Column:
+    """``use(part)`` of type ``kind``, where ``part(start, end)`` is a part of the text in code
+    points.  The text is cut into blocks once, so that many parts of a long text do not walk
+    it from its start again and again."""
+    def part(blocks: Column, start: Column, end: Column) -> Column:
+        k = F.floor(start / block).cast("int")
+        n = F.floor((F.greatest(end, start + 1) - 1) / block).cast("int") - k + 1
+        return F.substr(F.array_join(F.slice(blocks, k + 1, n), ""), start % block + 1, end - start)
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{block}}}"), F.lit(0))
+    return let(blocks, kind, lambda b: use(lambda start, end: part(b, start, end)))

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import let, materialise, running
+from spendlens.llm.common import cut_text, let, materialise, running
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -194,9 +194,10 @@ def find_spans(docs: DataFrame, text_col: str = "text", **thresholds) -> DataFra
     ``_generalise``, ``_remove`` for terms that disclose an entity of the same
     document (those that lie in a base span are left out).
 
-    All rows and columns stay; a null text has no spans; equal texts have equal
+    All rows and columns stay, but for columns of these names; a null text has no spans; equal texts have equal
     spans, whatever their ids; an empty table stays empty.
     """
+    names = [f"_{k}" for k in (*KINDS, "generalise", "remove")]
     flags, mentions = disclosing_terms(docs, text_col, **thresholds)
     # one row for each text that holds an entity with a disclosing term
     terms = materialise(
@@ -205,8 +206,11 @@ def find_spans(docs: DataFrame, text_col: str = "text", **thresholds) -> DataFra
              .alias("_r"),
              F.sort_array(F.collect_set(F.when(F.col("action") == "generalise", F.col("term"))))
              .alias("_g")), "pii-documents").withColumnsRenamed({"k1": "_k1", "k2": "_k2"})
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    found = with_base_spans(docs, text_col)
+    # the caller's columns go as one, so that no name of theirs meets one of these
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    text = F.col("_text")
+    found = with_base_spans(rows, "_text")
     k1, k2 = _key(text)
     found = found.withColumn("_any", F.concat(*[F.col(f"_{k}") for k in KINDS]))
     # the size of `terms` is known, so Spark broadcasts it where that is small
@@ -221,8 +225,9 @@ def find_spans(docs: DataFrame, text_col: str = "text", **thresholds) -> DataFra
 
     # a term that one entity removes is not also generalised for another
     found = found.withColumn("_g", F.array_except("_g", "_r"))
-    return (found.withColumns({"_generalise": spans("_g"), "_remove": spans("_r")})
-            .drop("_any", "_h1", "_h2", "_k1", "_k2", "_g", "_r"))
+    found = found.withColumns({"_generalise": spans("_g"), "_remove": spans("_r")})
+    kept = [F.col(f"_row.`{c}`") for c in docs.columns if c not in names]
+    return found.select(*kept, *names)
 
 
 def _listed(kind: str) -> Column:
@@ -261,8 +266,9 @@ def sanitise(docs: DataFrame, text_col: str = "text", **thresholds) -> DataFrame
     that overlap, the one that starts first (then the longer) is masked with
     whatever the others cover beyond it.  Texts without spans, and null texts,
     are returned as they are; all other columns stay."""
-    found = find_spans(docs, text_col, **thresholds)
-    text = F.col(text_col)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col(text_col).alias("text"))
+    found = find_spans(rows, "text", **thresholds)
 
     def masks(kind: str) -> Column:
         return F.transform(f"_{kind}", lambda x: F.struct(
@@ -271,13 +277,17 @@ def sanitise(docs: DataFrame, text_col: str = "text", **thresholds) -> DataFrame
              else F.lit(f"[{kind.upper()}]")).alias("by")))
 
     spans = F.array_sort(F.concat(*map(masks, (*KINDS, "generalise", "remove"))))
-
     # what stands before each span since the last masked end, then its mask
-    ends = running(F.transform("_spans", lambda x: -x["to"]), lambda a, n: F.greatest(a, n))
-    parts = F.zip_with("_spans", ends, lambda x, end: F.when(x["s"] >= end, F.concat(
-        F.substr(text, end + 1, x["s"] - end), x["by"])).otherwise(""))
-    tail = F.substr(text, F.array_max(F.transform("_spans", lambda x: -x["to"])) + 1, F.char_length(text))
-    return (found.withColumn("_spans", spans)
-            .withColumn("_done", F.when(F.size("_spans") > 0, F.concat(F.concat_ws("", parts), tail))
-                        .otherwise(text))
-            .withColumn(text_col, F.col("_done")).select(*docs.columns))
+    ends = running(F.transform("spans", lambda x: -x["to"]), lambda a, n: F.greatest(a, n))
+
+    def masked(part) -> Column:
+        last = F.array_max(F.transform("spans", lambda x: -x["to"]))
+        return F.concat(F.concat_ws("", F.zip_with("spans", F.col("ends"), lambda x, end: F.when(
+            x["s"] >= end, F.concat(F.when(x["s"] > end, part(end, x["s"])).otherwise(""), x["by"]))
+            .otherwise(""))), F.when(last < F.char_length("text"), part(last, F.char_length("text")))
+            .otherwise(""))
+
+    done = F.when(F.size("spans") > 0, cut_text(F.col("text"), "string", masked)).otherwise(F.col("text"))
+    found = found.withColumn("spans", spans).withColumn("ends", ends).withColumn("done", done)
+    return found.select(*[F.col("done").alias(c) if c == text_col else F.col(f"row.`{c}`")
+                          for c in docs.columns])

@@ -104,8 +104,12 @@ def test_sanitise_odd_rows(spark):
             (4, "+4111111111111111 x"), (5, "no data"), (5, "a@b.cd,c@d.ef")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn(
         "_g", F.lit(1)).withColumn("k1", F.lit("z")).withColumn("term", F.lit(None).cast("string"))
-    df = df.drop("_g")
+    inner = ["_email", "_ip", "_card", "_phone", "_generalise", "_remove", "_any", "_r", "_h1", "_h2", "_k1",
+             "_k2", "_spans", "_done", "_row", "_text", "row", "spans", "ends", "done", "t", "entity", "m.n"]
+    df = df.select("*", *[F.lit(c).alias(c) for c in inner])
     out = sanitise(df)
+    assert all(r[c] == c for r in out.collect() for c in inner)
+    assert {c for c in find_spans(df).columns} == set(df.columns)
     assert out.columns == df.columns
     got = sorted(((r.doc_id or 0, r.text) for r in out.collect()), key=repr)
     assert got == sorted([(1, None), (2, ""), (2, ""), (0, "mail [EMAIL] now"),
@@ -164,3 +168,28 @@ def test_contexts_by_their_definition(spark):
         for row in got:
             for x in row.x:
                 assert x.l == row.t[max(0, x.s - window):x.s] and x.r == row.t[x.e:x.e + window]
+
+
+def test_running_totals_in_blocks(spark):
+    from spendlens.llm.common import running
+
+    r = random.Random(1)
+    rows = [([r.randrange(9) for _ in range(n)],) for n in (0, 1, 255, 256, 257, 1000, 5120)]
+    df = spark.createDataFrame(rows, "v array<int>")
+    for x in df.select("v", running(F.col("v"), lambda a, n: a + n).alias("s"),
+                       running(F.col("v"), lambda a, n: F.greatest(a, n)).alias("m")).collect():
+        assert x.s == [sum(x.v[:i]) for i in range(len(x.v))]
+        assert x.m == [max(x.v[:i], default=0) for i in range(len(x.v))]
+
+
+def test_a_million_matches(spark):
+    import time
+
+    text = "12, 4111111111111111, " * 500_000
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    began = time.time()
+    row = with_base_spans(df).select(F.size("_card").alias("n"), F.element_at("_card", -1).alias("x")).first()
+    assert row.n == 500_000 and row.x.e == len(text) - 2 and time.time() - began < 90
+    small = spark.createDataFrame([(1, text[:2_200_000] + "é😀 end")], "doc_id bigint, text string")
+    assert sanitise(small).first().text == "12, [CARD], " * 100_000 + "é😀 end"
+    assert time.time() - began < 180
