@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import materialise
+from spendlens.llm.common import materialise, unused
 from spendlens.llm.tokens import encode_ids
 
 #: Bins open at a time in one bucket.
@@ -99,13 +99,16 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
             .mapInArrow(run, schema))
 
 
-def _pack_buckets(rows: DataFrame, capacity: int, open_bins: int) -> DataFrame:
-    """Adds ``_bin``, ``_offset``; rows have ``_bucket``, ``_order`` and ``length``."""
+def _pack_buckets(rows: DataFrame, inner: list[str], capacity: int, open_bins: int) -> DataFrame:
+    """Adds a bin and an offset to rows with a bucket, an order and ``length``; ``inner``:
+    the names of these four."""
+    bin_, offset, bucket_, order = inner
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, fit = None, None
         for batch in batches:
             bins, offsets = [], []
-            for b, n in zip(batch.column("_bucket").to_pylist(), batch.column("length").to_pylist()):
+            for b, n in zip(batch.column(bucket_).to_pylist(), batch.column("length").to_pylist()):
                 if b != bucket:
                     bucket, fit = b, BestFit(capacity, open_bins)
                 k, at = fit.place(n)
@@ -113,44 +116,49 @@ def _pack_buckets(rows: DataFrame, capacity: int, open_bins: int) -> DataFrame:
                 offsets.append(at)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(bins, pa.int64()), pa.array(offsets, pa.int64())],
-                names=[*batch.schema.names, "_bin", "_offset"])
+                names=[*batch.schema.names, bin_, offset])
 
-    spread = (rows.repartition("_bucket")
-              .sortWithinPartitions("_bucket", "_order", *[c for c in rows.columns if c[0] != "_"
-                                                           and c != "ids"]))
+    ties = [f"`{c}`" for c in rows.columns if c not in inner and c != "ids"]
+    spread = rows.repartition(bucket_).sortWithinPartitions(bucket_, order, *ties)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return spread.mapInArrow(run, schema + ", _bin bigint, _offset bigint")
+    return spread.mapInArrow(run, f"{schema}, `{bin_}` bigint, `{offset}` bigint")
 
 
 def pack(parts: DataFrame, capacity: int = 2048, open_bins: int = OPEN_BINS,
          bucket_rows: int = BUCKET_ROWS, key: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
-    """Adds ``sequence_id`` and ``offset`` to rows that have a ``length`` of
-    1..capacity: each sequence is filled without gaps from offset 0.
-
-    Every row is placed; ties and repeated rows get places of their own; lengths
-    out of range are the caller's error and raise.  An empty table stays empty.
-    Sequence ids are unique, not consecutive.
+    """Adds ``sequence_id`` and ``offset`` to rows of a stored table that have a ``length``
+    of 1..capacity: each sequence is filled without gaps from offset 0.
+
+    Every row is placed; ties and repeated rows get places of their own, null and repeated
+    keys are spread like any other (a row's number in the table goes into its bucket);
+    lengths out of range are the caller's error and raise; columns named ``sequence_id`` or
+    ``offset`` are replaced, all others stay.  An empty table stays empty.  Sequence ids
+    are unique, not consecutive.
     """
-    parts = parts.withColumn("length", F.when(F.col("length").between(1, capacity), F.col("length"))
-                             .otherwise(F.raise_error(F.lit("piece length out of range"))))
+    parts = parts.drop("sequence_id", "offset").withColumn(
+        "length", F.when(F.col("length").between(1, capacity), F.col("length"))
+        .otherwise(F.raise_error(F.lit("piece length out of range"))))
+    bin_, offset, bucket, order, from_, to, base = unused(
+        parts, "bin", "offset", "bucket", "order", "from", "to", "base")
+    inner = [bin_, offset, bucket, order]
     buckets = max(1, -(-parts.count() // bucket_rows))
+    row = F.monotonically_increasing_id()
+    spread = F.xxhash64(F.lit(7), *key, row)
     first = materialise(_pack_buckets(
-        parts.withColumn("_order", F.xxhash64(*key))
-        .withColumn("_bucket", F.pmod(F.xxhash64(F.lit(7), *key), F.lit(buckets))),
-        capacity, open_bins).drop("_order", "_bucket"), "pack-first")
-    left = materialise(first.groupBy("_bin").agg(F.sum("length").alias("length"))
-                       .where(F.col("length") < capacity), "pack-left")
+        parts.withColumn(order, F.xxhash64(*key, row)).withColumn(bucket, F.pmod(spread, F.lit(buckets))),
+        inner, capacity, open_bins).drop(order, bucket), "pack-first")
+    left = materialise(first.groupBy(bin_).agg(F.sum("length").alias("length"))
+                       .where(F.col("length") < capacity).withColumnRenamed(bin_, from_), "pack-left")
     buckets = max(1, -(-left.count() // bucket_rows))
     again = materialise(_pack_buckets(
-        left.withColumn("_order", F.xxhash64("_bin"))
-        .withColumn("_bucket", F.pmod(F.xxhash64(F.lit(7), "_bin"), F.lit(buckets)))
-        .withColumnRenamed("_bin", "_from"), capacity, open_bins)
-        .select("_from", (-1 - F.col("_bin")).alias("_to"), F.col("_offset").alias("_base")),
-        "pack-again")
-    return (first.join(again, F.col("_bin") == F.col("_from"), "left")
-            .withColumn("sequence_id", F.coalesce("_to", "_bin"))
-            .withColumn("offset", F.col("_offset") + F.coalesce("_base", F.lit(0)))
-            .drop("_bin", "_offset", "_from", "_to", "_base"))
+        left.withColumn(order, F.xxhash64(from_))
+        .withColumn(bucket, F.pmod(F.xxhash64(F.lit(7), from_), F.lit(buckets))),
+        inner, capacity, open_bins)
+        .select(from_, (-1 - F.col(bin_)).alias(to), F.col(offset).alias(base)), "pack-again")
+    return (first.join(again, F.col(bin_) == F.col(from_), "left")
+            .withColumn("sequence_id", F.coalesce(to, bin_))
+            .withColumn("offset", F.col(offset) + F.coalesce(base, F.lit(0)))
+            .drop(bin_, offset, from_, to, base))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0,

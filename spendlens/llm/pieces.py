@@ -366,7 +366,10 @@ def encode(docs: DataFrame, model: str, bpe: bool = True, giant: int = GIANT, ch
 
 
 def decode(rows: DataFrame, model: str, ids_col: str = "ids", out_col: str = "text") -> DataFrame:
-    """``rows`` with the text of ``ids_col`` in ``out_col``; null ids give a null text."""
+    """``rows`` with the text of ``ids_col`` in ``out_col``, in place of a column of that
+    name; null ids give a null text."""
+    if out_col != ids_col:
+        rows = rows.drop(out_col)
     at = rows.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

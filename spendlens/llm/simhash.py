@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import materialise
+from spendlens.llm.common import materialise, unused
 from spendlens.llm.components import EDGE_SCHEMA, connected_components, spanning_forest
 
 SEED = 42
@@ -169,7 +169,8 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """Rows of ``docs`` whose id is their component's smallest; all columns kept.
     Of rows that repeat an id, all or none stay; rows with a null id stay."""
     found = simhash_components(docs, id_col, **options)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return (docs.join(kept, F.col(id_col) == F.col("_kept"), "left")
-            .where(F.col("_kept").isNotNull() | F.col(id_col).isNull())
-            .drop("_kept"))
+    (mark,) = unused(docs, "kept")
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(mark)).distinct()
+    return (docs.join(kept, F.col(id_col) == F.col(mark), "left")
+            .where(F.col(mark).isNotNull() | F.col(id_col).isNull())
+            .drop(mark))

@@ -112,3 +112,28 @@ def test_odd_rows(spark):
     check_layout(got, 2048)
     assert pieces(docs.limit(0), PATH).count() == 0
     assert pack_documents(docs.limit(0), PATH).count() == 0
+
+
+def test_clashing_columns_and_one_id_for_all(spark):
+    from pyspark.sql import functions as F
+
+    from spendlens.llm.packing import pack
+
+    df = spark.range(0, 5000, 1, 8).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(0).alias("piece"),
+                                           (F.col("id") % 97 + 1).alias("length"))
+    for c in ("_bin", "_offset", "_bucket", "_order", "_from", "_to", "_base", "offset"):
+        df = df.withColumn(c, F.lit(c))
+    got = pack(df, capacity=256, bucket_rows=500)
+    assert set(got.columns) == set(df.columns) | {"sequence_id"}
+    rows = got.collect()
+    assert len(rows) == 5000 and all(r["_bin"] == "_bin" and r["_base"] == "_base" for r in rows)
+    by = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in by.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 256
+    assert len(by) <= 1.05 * sum(r.length for r in rows) / 256

@@ -104,3 +104,13 @@ def test_simhash_odd_rows(spark):
     assert simhash_components(docs.limit(0)).count() == 0
     extra = docs.withColumn("component_id", F.lit("c")).withColumn("first", F.lit(1))
     assert simhash_components(extra).count() == 7
+
+
+def test_keep_first_with_a_clashing_column(spark):
+    rows = [(1, "a b c d e f", "x"), (2, "a b c d e f", "y"), (3, "quite another text here", "z"), (None, "a", "n")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, _kept string").withColumn("_KEPT_", F.lit(1))
+    from spendlens.llm.simhash import keep_first
+
+    got = keep_first(df)
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r["_kept"]) for r in got.collect()), key=str) == [(1, "x"), (3, "z"), (None, "n")]
