@@ -36,15 +36,30 @@ def missing_to_empty(c) -> Column:
     return F.coalesce(strip_all(c), F.lit(""))
 
 
+def long_of(s: Column) -> Column:
+    """Integer of a stripped text (see :func:`to_long`)."""
+    s = F.nullif(s, F.lit(""))
+    return F.coalesce(s.try_cast("bigint"), s.try_cast("decimal(38,6)").try_cast("bigint"))
+
+
+def double_of(s: Column) -> Column:
+    """Number of a stripped text."""
+    return F.nullif(s, F.lit("")).try_cast("double")
+
+
+def unparsed(s: Column, parsed: Column) -> Column:
+    """True where a stripped text is present but did not parse."""
+    return F.coalesce(s != "", F.lit(False)) & parsed.isNull()
+
+
 def to_long(c) -> Column:
     """Integer text -> bigint. ``'6.0'`` is accepted and truncated like
     ``int(float(x))``; anything else that is non-empty gives NULL."""
-    s = empty_to_null(c)
-    return F.coalesce(s.try_cast("bigint"), s.try_cast("decimal(38,6)").try_cast("bigint"))
+    return long_of(strip_all(c))
 
 
 def to_double(c) -> Column:
-    return empty_to_null(c).try_cast("double")
+    return double_of(strip_all(c))
 
 
 def to_double_or_zero(c) -> Column:
@@ -53,7 +68,7 @@ def to_double_or_zero(c) -> Column:
 
 def bad_number(raw, parsed) -> Column:
     """True where the raw text is present but did not parse."""
-    return empty_to_null(raw).isNotNull() & _col(parsed).isNull()
+    return unparsed(strip_all(raw), _col(parsed))
 
 
 def upper_or_null(c) -> Column:

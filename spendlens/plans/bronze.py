@@ -26,51 +26,70 @@ METADATA_KEY = ["campaign_id"]
 QUARANTINE_COLS = ["source", "reason", *ORDER_COLS, "record"]
 
 
-def _date(c) -> Column:
-    return T.strip_all(c).try_cast("date")
-
-
-def _split(df: DataFrame, checks: list[tuple[str, Column]], source: str,
-           raw_cols: list[str]) -> tuple[DataFrame, DataFrame]:
-    """checks: (reason, column that is True when the row is bad)."""
+def _once(df: DataFrame, values: dict[str, Column], *keep: str) -> DataFrame:
+    """``values`` and the columns ``keep``.  The values stand behind ``inline``: no filter
+    or projection above is pushed below it, so each is worked out once a row, however
+    often it is used."""
+    row = F.struct(*[v.alias(k) for k, v in values.items()])
+    return df.select(F.inline(F.array(row)), *keep)
+
+
+def _stripped(raw: DataFrame, columns: list[str], as_read: list[str]) -> DataFrame:
+    """Columns stripped once, those of ``as_read`` also as they came (``_raw_``)."""
+    return _once(raw, {c: T.strip_all(c) for c in columns} | {f"_raw_{c}": F.col(c) for c in as_read},
+                 *ORDER_COLS)
+
+
+def _split(rows: DataFrame, values: dict[str, Column], checks: list[tuple[str, Column]], source: str,
+           record: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(good, quarantine) of the typed ``values``.  checks: (reason, column over the typed
+    values that is True when the row is bad); ``record``: raw columns for the quarantine."""
+    raw = [c for c in rows.columns if c.startswith("_raw_")]
+    typed = _once(rows, values, *raw, *ORDER_COLS)
     reason = F.lit(None).cast("string")
     for name, bad in reversed(checks):
         reason = F.when(bad, F.lit(name)).otherwise(reason)
-    tagged = df.withColumn("_reason", reason)
-    good = tagged.filter(F.col("_reason").isNull()).drop("_reason")
+    tagged = typed.withColumn("_reason", reason)
+    extra = [c for c in values if c.startswith("_bad_")]
+    good = tagged.filter(F.col("_reason").isNull()).drop("_reason", *raw, *extra)
     bad = tagged.filter(F.col("_reason").isNotNull()).select(
         F.lit(source).alias("source"), F.col("_reason").alias("reason"), *ORDER_COLS,
-        F.to_json(F.struct(*[F.col(c) for c in raw_cols])).alias("record"))
+        F.to_json(F.struct(*[F.col(c) for c in record])).alias("record"))
     return good, bad
 
 
 def clean_meta(raw: DataFrame, load_ts: _dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
     """TAB-1 typing: strip text, +8 h timestamp, currency flag, numbers."""
-    cur = T.upper_or_null("currency")
-    typed = raw.select(
-        _date("date").alias("date"),
-        T.strip_all("timestamp_pst").alias("timestamp_pst"),
-        D.shift_fixed_hours(T.strip_all("timestamp_pst")).alias("timestamp_utc"),
-        T.strip_all("campaign_id").alias("campaign_id"),
-        T.missing_to_empty("campaign_name").alias("campaign_name"),
-        T.missing_to_empty("adset_id").alias("adset_id"),
-        T.missing_to_empty("ad_id").alias("ad_id"),
-        T.missing_to_empty("objective").alias("objective"),
-        T.missing_to_empty("placement").alias("placement"),
-        T.to_long("impressions").alias("impressions"),
-        T.to_long("clicks").alias("clicks"),
-        T.to_double("spend_usd").alias("spend_amount"),
-        cur.alias("original_currency"),
-        cur.isNull().cast("int").alias("currency_missing"),
-        T.to_double_or_zero("conversions").alias("conversions"),
-        T.to_double_or_zero("conversion_value_usd").alias("conversion_value_amount"),
-        F.lit("meta").alias("platform"),
-        D.ntz_lit(load_ts).alias("_load_timestamp"),
-        # raw values kept for the checks and the quarantine record
-        *[F.col(c).alias(f"_raw_{c}") for c in ("date", "impressions", "clicks", "spend_usd",
-                                                "conversions", "conversion_value_usd",
-                                                "campaign_id")],
-        *ORDER_COLS)
+    columns = ["date", "timestamp_pst", "campaign_id", "campaign_name", "adset_id", "ad_id", "objective",
+               "placement", "impressions", "clicks", "spend_usd", "currency", "conversions",
+               "conversion_value_usd"]
+    as_read = ["date", "impressions", "clicks", "spend_usd", "conversions", "conversion_value_usd",
+               "campaign_id"]
+    s = {c: F.col(c) for c in columns}
+    text = {c: F.coalesce(s[c], F.lit("")) for c in columns}
+    currency = F.upper(F.nullif(s["currency"], F.lit("")))
+    values = {
+        "date": s["date"].try_cast("date"),
+        "timestamp_pst": s["timestamp_pst"],
+        "timestamp_utc": D.shift_fixed_hours(s["timestamp_pst"]),
+        "campaign_id": s["campaign_id"],
+        "campaign_name": text["campaign_name"],
+        "adset_id": text["adset_id"],
+        "ad_id": text["ad_id"],
+        "objective": text["objective"],
+        "placement": text["placement"],
+        "impressions": T.long_of(s["impressions"]),
+        "clicks": T.long_of(s["clicks"]),
+        "spend_amount": T.double_of(s["spend_usd"]),
+        "original_currency": currency,
+        "currency_missing": currency.isNull().cast("int"),
+        "conversions": F.coalesce(T.double_of(s["conversions"]), F.lit(0.0)),
+        "conversion_value_amount": F.coalesce(T.double_of(s["conversion_value_usd"]), F.lit(0.0)),
+        "platform": F.lit("meta"),
+        "_load_timestamp": D.ntz_lit(load_ts),
+        "_bad_conversions": T.unparsed(s["conversions"], T.double_of(s["conversions"])),
+        "_bad_value": T.unparsed(s["conversion_value_usd"], T.double_of(s["conversion_value_usd"])),
+    }
     checks = [
         ("bad date", F.col("date").isNull()),
         ("missing campaign_id", F.col("campaign_id").isNull() | (F.col("campaign_id") == "")),
@@ -79,35 +98,28 @@ def clean_meta(raw: DataFrame, load_ts: _dt.datetime | None = None) -> tuple[Dat
         ("bad spend", F.col("spend_amount").isNull()),
         ("number out of range", T.out_of_range("spend_amount") | T.out_of_range("conversions")
          | T.out_of_range("conversion_value_amount")),
-        ("bad conversions", T.bad_number("_raw_conversions", T.to_double("_raw_conversions"))),
-        ("bad conversion value", T.bad_number("_raw_conversion_value_usd",
-                                              T.to_double("_raw_conversion_value_usd"))),
+        ("bad conversions", F.col("_bad_conversions")),
+        ("bad conversion value", F.col("_bad_value")),
     ]
-    raw_names = [c for c in typed.columns if c.startswith("_raw_")]
-    good, bad = _split(typed, checks, "meta_ads", raw_names)
-    return good.drop(*raw_names), bad
+    return _split(_stripped(raw, columns, as_read), values, checks, "meta_ads",
+                  [f"_raw_{c}" for c in as_read])
 
 
 def clean_google(raw: DataFrame, load_ts: _dt.datetime | None = None
                  ) -> tuple[DataFrame, DataFrame]:
     """TAB-2 typing of the flattened JSON; corrupt lines are quarantined."""
-    typed = raw.select(
-        _date("date").alias("date"),
-        T.missing_to_empty("timestamp_utc").alias("timestamp_utc"),
-        T.strip_all("campaign_id").alias("campaign_id"),
-        T.missing_to_empty("campaign_name").alias("campaign_name"),
-        T.missing_to_empty("advertising_channel_type").alias("advertising_channel_type"),
-        T.to_long("impressions").alias("impressions"),
-        T.to_long("clicks").alias("clicks"),
-        T.to_long("cost_micros").alias("cost_micros"),
-        T.to_double("conversions").alias("conversions"),
-        T.to_long("conversions_value_micros").alias("conversions_value_micros"),
-        F.lit("google").alias("platform"),
-        D.ntz_lit(load_ts).alias("_load_timestamp"),
-        F.col("_corrupt"), F.col("date").alias("_raw_date"),
-        *ORDER_COLS)
+    columns = ["date", "timestamp_utc", "campaign_id", "campaign_name", "advertising_channel_type",
+               "impressions", "clicks", "cost_micros", "conversions", "conversions_value_micros"]
+    s = {c: F.col(c) for c in columns}
+    values = {
+        "date": s["date"].try_cast("date"),
+        **{c: F.coalesce(s[c], F.lit("")) if c != "campaign_id" else s[c] for c in columns[1:5]},
+        **{c: T.double_of(s[c]) if c == "conversions" else T.long_of(s[c]) for c in columns[5:]},
+        "platform": F.lit("google"),
+        "_load_timestamp": D.ntz_lit(load_ts),
+    }
     checks = [
-        ("unparseable json", F.col("_corrupt").isNotNull()),
+        ("unparseable json", F.col("_raw__corrupt").isNotNull()),
         ("bad date", F.col("date").isNull()),
         ("missing campaign", F.col("campaign_id").isNull()),
         ("bad metrics", F.col("impressions").isNull() | F.col("clicks").isNull()
@@ -115,8 +127,8 @@ def clean_google(raw: DataFrame, load_ts: _dt.datetime | None = None
          | F.col("conversions_value_micros").isNull()),
         ("number out of range", T.out_of_range("conversions")),
     ]
-    good, bad = _split(typed, checks, "google_ads", ["_corrupt", "_raw_date", "campaign_id"])
-    return good.drop("_corrupt", "_raw_date"), bad
+    return _split(_stripped(raw, columns, ["_corrupt", "date"]), values, checks, "google_ads",
+                  ["_raw__corrupt", "_raw_date", "campaign_id"])
 
 
 def dedup_google(clean: DataFrame) -> DataFrame:
@@ -130,41 +142,39 @@ def dedup_google(clean: DataFrame) -> DataFrame:
 def clean_store_visits(raw: DataFrame, load_ts: _dt.datetime | None = None
                        ) -> tuple[DataFrame, DataFrame]:
     """TAB-3 typing."""
-    typed = raw.select(
-        _date("date").alias("date"),
-        T.strip_all("dma_code").alias("dma_code"),
-        T.strip_all("dma_name").alias("dma_name"),
-        T.to_long("attributed_visits").alias("attributed_visits"),
-        T.to_long("attribution_window_days").alias("attribution_window_days"),
-        D.ntz_lit(load_ts).alias("_load_timestamp"),
-        F.col("date").alias("_raw_date"), F.col("attributed_visits").alias("_raw_visits"),
-        *ORDER_COLS)
+    columns = ["date", "dma_code", "dma_name", "attributed_visits", "attribution_window_days"]
+    values = {
+        "date": F.col("date").try_cast("date"),
+        "dma_code": F.col("dma_code"),
+        "dma_name": F.col("dma_name"),
+        "attributed_visits": T.long_of(F.col("attributed_visits")),
+        "attribution_window_days": T.long_of(F.col("attribution_window_days")),
+        "_load_timestamp": D.ntz_lit(load_ts),
+    }
     checks = [("bad date", F.col("date").isNull()),
               ("missing dma_code", F.col("dma_code").isNull() | (F.col("dma_code") == "")),
               ("bad visits", F.col("attributed_visits").isNull()),
               ("bad window", F.col("attribution_window_days").isNull())]
-    good, bad = _split(typed, checks, "store_visits", ["_raw_date", "dma_code", "_raw_visits"])
-    return good.drop("_raw_date", "_raw_visits"), bad
+    return _split(_stripped(raw, columns, ["date", "attributed_visits"]), values, checks, "store_visits",
+                  ["_raw_date", "dma_code", "_raw_attributed_visits"])
 
 
 def clean_campaign_metadata(raw: DataFrame, load_ts: _dt.datetime | None = None
                             ) -> tuple[DataFrame, DataFrame]:
     """TAB-4 typing: budget may be missing (flagged), not malformed."""
-    budget = T.to_double("budget_usd")
-    typed = raw.select(
-        T.strip_all("campaign_id").alias("campaign_id"),
-        T.strip_all("brand").alias("brand"),
-        T.strip_all("product_line").alias("product_line"),
-        T.strip_all("region").alias("region"),
-        _date("campaign_start_date").alias("campaign_start_date"),
-        _date("campaign_end_date").alias("campaign_end_date"),
-        budget.alias("budget_usd"),
-        budget.isNotNull().cast("int").alias("budget_available"),
-        D.ntz_lit(load_ts).alias("_load_timestamp"),
-        F.col("budget_usd").alias("_raw_budget"),
-        *ORDER_COLS)
+    columns = ["campaign_id", "brand", "product_line", "region", "campaign_start_date",
+               "campaign_end_date", "budget_usd"]
+    budget = T.double_of(F.col("budget_usd"))
+    values = {
+        **{c: F.col(c) for c in columns[:4]},
+        **{c: F.col(c).try_cast("date") for c in columns[4:6]},
+        "budget_usd": budget,
+        "budget_available": budget.isNotNull().cast("int"),
+        "_load_timestamp": D.ntz_lit(load_ts),
+        "_bad_budget": T.unparsed(F.col("budget_usd"), budget),
+    }
     checks = [("missing campaign_id", F.col("campaign_id").isNull() | (F.col("campaign_id") == "")),
-              ("bad budget", T.bad_number("_raw_budget", F.col("budget_usd"))),
+              ("bad budget", F.col("_bad_budget")),
               ("number out of range", T.out_of_range("budget_usd"))]
-    good, bad = _split(typed, checks, "campaign_metadata", ["campaign_id", "_raw_budget"])
-    return good.drop("_raw_budget"), bad
+    return _split(_stripped(raw, columns, ["budget_usd"]), values, checks, "campaign_metadata",
+                  ["campaign_id", "_raw_budget_usd"])
