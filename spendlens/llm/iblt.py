@@ -44,30 +44,33 @@ _OTHER = (r"\u0431-\u0435\u043c\u043d\u05d0-\u05d4\u0627-\u062b\u0915-\u091b\u0e
           r"\u3044-\u304b\u30a4-\u30ab\u4e00-\u50ff\u5f00-\u61ff\u7000-\u72ff\u8100-\u83ff"
           r"\uac00-\uaeff\ub800-\ubaff\uc400-\uc6ff\ud000-\ud2ff")
 _QUOTES = "[\"')\\]\u201d\u2019]"
-#: No end of a sentence in so many code points.  The last of all in the class makes Java
-#: count code points here, not halves of pairs.
+#: Pieces of up to so many code points are not cut further.
 RUN = 120
-_END = f"[.!?]{_QUOTES}? "
-_RUN = f"(?<=(?:(?!{_END})[^\n。！？\U0010ffff]){{{RUN}}})"
-#: A line's end; a blank after an end of sentence; a full stop of scripts without blanks;
-#: in a long run without these, a blank after one of the characters above, or two of them.
-PARAGRAPH_END = (
-    rf"\n| (?:(?<=[.!?] )|(?<=[.!?]{_QUOTES} )|(?<=[{_LAST}] ){_RUN})"
-    rf"|(?<=[{_ASCII}]{{2}}){_RUN}"
-    rf"|(?<=[\u0400-\uffff])(?:(?<=[。！？])|(?<=[{_OTHER}]{{2}}){_RUN})")
+#: A line's end; a blank after an end of sentence; after a full stop of scripts without blanks.
+PARAGRAPH_END = rf"\n| (?:(?<=[.!?] )|(?<=[.!?]{_QUOTES} ))|(?<=[。！？])"
+#: Beyond ``RUN``: a blank after one of the characters above, or two of them.
+RUN_END = (rf" (?<=[{_LAST}] )|(?<=[{_ASCII}]{{2}})"
+           rf"|(?<=[\u0400-\uffff])(?<=[{_OTHER}]{{2}})")
 #: What is longer even so (uniform text) is cut every so many code points.
 LONGEST = 8192
 
 
 def digests(text: Column) -> Column:
     """Distinct paragraph digests; blank paragraphs do not count; null: none."""
-    parts = F.filter(F.split(F.coalesce(text, F.lit("")), PARAGRAPH_END),
-                     lambda p: F.trim(p) != "")
-    hashes = F.transform(parts, lambda p: F.when(F.char_length(p) <= LONGEST, F.array(F.xxhash64(p)))
-                         .otherwise(F.transform(
-                             F.regexp_extract_all(p, F.lit(f"(?s).{{1,{LONGEST}}}"), F.lit(0)),
-                             lambda q: F.xxhash64(q))))
-    return F.array_distinct(F.flatten(hashes))
+    def long_run(p: Column) -> Column:
+        """Cut at the first places beyond ``RUN`` code points that allow it."""
+        rest = F.split(F.substr(p, F.lit(RUN + 1), F.char_length(p)), RUN_END)
+        first = F.concat(F.substr(p, F.lit(1), F.lit(RUN)), F.get(rest, F.lit(0)))
+        parts = F.concat(F.array(first), F.slice(rest, 2, F.size(rest)))
+        return F.flatten(F.transform(parts, lambda q: F.when(
+            F.char_length(q) <= LONGEST, F.array(q)).otherwise(
+            F.regexp_extract_all(q, F.lit(f"(?s).{{1,{LONGEST}}}"), F.lit(0)))))
+
+    parts = F.split(F.coalesce(text, F.lit("")), PARAGRAPH_END)
+    hashes = F.transform(parts, lambda p: F.when(F.char_length(p) <= RUN, F.array(p))
+                         .otherwise(long_run(p)))
+    said = F.filter(F.flatten(hashes), lambda p: F.trim(p) != "")
+    return F.array_distinct(F.transform(said, lambda p: F.xxhash64(p)))
 
 
 def _check(d: Column) -> Column:
@@ -84,24 +87,38 @@ def _entries(found: Column, cells: Column) -> Column:
 
 def _gathered(entries: Column) -> Column:
     """Entries and cells, any number for a place, as cells in order of place: counts added,
-    exclusive-ors combined, empty cells left out."""
-    zero = F.lit(0).cast("bigint")
+    exclusive-ors combined, empty cells left out.
+
+    What is sorted are numbers, place and index in one, and not the entries."""
+    zero, low = F.lit(0).cast("bigint"), F.lit((1 << 32) - 1)
     start = F.struct(F.lit(0).alias("n"), zero.alias("id"), zero.alias("ck"))
 
-    def runs(s: Column) -> Column:
+    def runs(x: Column, s: Column) -> Column:
+        def item(key: Column) -> Column:
+            return F.get(x, key.bitwiseAND(low).cast("int"))
+
+        def place(i: Column) -> Column:
+            return F.shiftright(F.get(s, i), 32)
+
+        def summed(i: Column, end: Column) -> Column:
+            return F.aggregate(
+                F.slice(s, i + 1, end - i), start,
+                lambda a, k: let(item(k), "struct<n:int,id:bigint,ck:bigint>", lambda e: F.struct(
+                    (a["n"] + e["n"]).alias("n"), a["id"].bitwiseXOR(e["id"]).alias("id"),
+                    a["ck"].bitwiseXOR(e["ck"]).alias("ck"))),
+                lambda a: F.struct(place(i).cast("int").alias("p"), a["n"].alias("n"), a["id"].alias("id"),
+                                   a["ck"].alias("ck")))
+
         firsts = F.filter(F.sequence(F.lit(0), F.size(s) - 1),
-                          lambda i: (i == 0) | (F.get(s, i)["p"] != F.get(s, i - 1)["p"]))
-        # each run with its end, then summed up
-        return let(firsts, CELL, lambda f: F.filter(F.transform(f, lambda i, k: F.aggregate(
-            F.slice(s, i + 1, F.coalesce(F.get(f, k + 1), F.size(s)) - i), start,
-            lambda a, x: F.struct((a["n"] + x["n"]).alias("n"), a["id"].bitwiseXOR(x["id"]).alias("id"),
-                                  a["ck"].bitwiseXOR(x["ck"]).alias("ck")),
-            lambda a: F.struct(F.get(s, i)["p"].alias("p"), a["n"].alias("n"), a["id"].alias("id"),
-                               a["ck"].alias("ck")))),
+                          lambda i: (i == 0) | (place(i) != place(i - 1)))
+        return let(firsts, CELL, lambda f: F.filter(F.transform(f, lambda i, k: F.when(
+            F.coalesce(F.get(f, k + 1), F.size(s)) == i + 1, item(F.get(s, i))).otherwise(
+            summed(i, F.coalesce(F.get(f, k + 1), F.size(s))))),
             lambda c: (c["n"] != 0) | (c["id"] != 0) | (c["ck"] != 0)))
 
-    return let(F.sort_array(entries), CELL, lambda s: F.when(F.size(s) > 0, runs(s)).otherwise(
-        F.array().cast(CELL)))
+    return let(entries, CELL, lambda x: let(F.sort_array(F.transform(x, lambda e, i: F.shiftleft(
+        e["p"].cast("bigint"), 32) + i)), CELL, lambda s: F.when(F.size(s) > 0, runs(x, s)).otherwise(
+            F.array().cast(CELL))))
 
 
 def _signed(ids: Column, sign: int) -> Column:
@@ -275,17 +292,20 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     texts; null ids come first; other columns are not looked at; an empty table stays
     empty.
     """
-    rows = with_next(docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
-                                 F.coalesce(F.col(text_col), F.lit("")).alias("text")),
-                     "doc_id", "text")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    # a text travels with its digests: they are its own and the row's before it
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.struct(
+        text.alias("text"), digests(text).alias("set")).alias("it"))
+    rows = with_next(rows, "doc_id", "it").select(
+        "doc_id", F.col("it.text").alias("text"), F.col("it.set").alias("a"),
+        F.col("next.text").alias("next"), F.col("next.set").alias("b"))
     n = F.char_length("text")
     taken = F.floor(n / 4).cast("int")
     rows = rows.withColumn("n", n.cast("bigint")).withColumn(
         "edited", F.concat(F.substr(F.col("text"), F.lit(1), n - taken),
                            F.substr(F.col("next"), F.lit(1), taken)))
-    rows = rows.select("doc_id", "n", F.sha2("edited", 256).alias("edited_sha256"),
-                       digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"),
-                       digests(F.col("next")).alias("b"))
+    rows = rows.select("doc_id", "n", F.sha2("edited", 256).alias("edited_sha256"), "a",
+                       digests(F.col("edited")).alias("e"), "b")
     a, e, b = F.col("a"), F.col("e"), F.col("b")
     rows = rows.withColumns({"sa": sketch(a, CELLS), "se": sketch(e, CELLS), "sb": sketch(b, CELLS)})
     rows = rows.withColumns({"to_edited": difference(a, e, F.col("sa"), F.col("se")),

@@ -10,8 +10,20 @@ from spendlens.llm.iblt import (compare_texts, difference, digests, fingerprint,
                                 peel, sketch, subtract, with_next)
 
 
+def paragraphs(text):
+    out = set()
+    for p in re.split(iblt.PARAGRAPH_END, text or ""):
+        if len(p) > iblt.RUN:
+            first, *rest = re.split(iblt.RUN_END, p[iblt.RUN:])
+            for q in [p[:iblt.RUN] + first, *rest]:
+                out |= {q[k:k + iblt.LONGEST] for k in range(0, len(q), iblt.LONGEST)}
+        else:
+            out.add(p)
+    return {p for p in out if p.strip(" ")}
+
+
 def plain_likeness(a, b):
-    a, b = ({p for p in re.split(iblt.PARAGRAPH_END, t or "") if p.strip(" ")} for t in (a, b))
+    a, b = paragraphs(a), paragraphs(b)
     return len(a & b) / len(a | b) if a | b else 1.0
 
 
@@ -176,4 +188,4 @@ def test_paragraphs_are_the_same_in_java_and_python(spark):
              for k in range(200)]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     for x in df.select("t", F.size(digests(F.col("t"))).alias("n")).collect():
-        assert x.n == len({p for p in re.split(iblt.PARAGRAPH_END, x.t) if p.strip(" ")})
+        assert x.n == len(paragraphs(x.t))
