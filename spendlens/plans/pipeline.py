@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from spendlens.functions import dates as D
 
 from spendlens.operators import watermark as WM
+from spendlens.operators.fill import grid_state, zero_fill_delta
 from spendlens.operators.merge import insert_ignore
 from spendlens.operators.names import name_log_from_months, name_month_summary
 from spendlens.plans import bronze as BR
@@ -247,6 +248,22 @@ def _refresh_name_log(store: TableStore, batch: DataFrame) -> None:
                     name_log_from_months(store.read("log_name_months")))
 
 
+def _refresh_visit_grid(store: TableStore, batch: DataFrame, run_ts) -> None:
+    """TAB-13: the staged grid of visits.  Its state (a row per DMA) is kept, so that a batch
+    writes the days, DMAs and gaps it changes, and only their months are rewritten."""
+    raw = store.read("raw_store_visits").drop(*SRC.ORDER_COLS)
+    state = store.read("_visit_grid")
+    if state is None:
+        store.overwrite("stg_store_visits", _with_month(S.build_stg_store_visits(raw, run_ts)), [MONTH])
+        store.overwrite("_visit_grid", grid_state(raw))
+        return
+    rows, new_state = zero_fill_delta(state, batch, raw, carry=("_load_timestamp",), run_ts=run_ts)
+    rows = _with_month(rows.withColumn("_staged_timestamp", D.ntz_lit(run_ts)))
+    store.upsert("stg_store_visits", rows, S.VISITS_KEY, ["_load_timestamp"], MONTH)
+    # last: a run that dies before works the same rows out again
+    store.overwrite("_visit_grid", new_state)
+
+
 def _write_once(store: TableStore, name: str, df: DataFrame) -> None:
     """Fixed reference tables are written when absent."""
     if store.read(name) is None:
@@ -290,10 +307,7 @@ def build_silver(spark: SparkSession, store: TableStore, run_ts, wm: Watermarks,
     step = _batch(store, wm, "raw_store_visits", "ref_dma_list", inclusive=False)
     if step:
         batch, hi = step
-        # the grid depends on the whole date range: full refresh of the
-        # staged visits, only when new raw rows arrived
-        raw_visits = store.read("raw_store_visits").drop(*SRC.ORDER_COLS)
-        store.overwrite("stg_store_visits", S.build_stg_store_visits(raw_visits, run_ts))
+        _refresh_visit_grid(store, batch.drop(*SRC.ORDER_COLS), run_ts)
         store.upsert("ref_dma_list", S.build_ref_dma_list(batch), ["dma_code"])
         wm.advance("ref_dma_list", hi)
 

@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendlens.operators.fill import grid_state, zero_fill, zero_fill_delta
+from spendlens.operators.merge import upsert
 from spendlens.plans import bindings as B
 from spendlens.plans import bronze as BR
 from spendlens.plans.catalog import register
@@ -233,3 +235,35 @@ def q_landing_two_drops(spark, d):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@register("zero_fill_two_batches", """
+WITH v AS (
+  SELECT CAST(o_orderdate AS DATE) AS date, c_nationkey AS nation, COUNT(*) AS n
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
+named AS (
+  SELECT nation, MAX('N' || nation || if(nation % 5 = 1 AND day(date) % 3 = 0, 'x', '')) AS name
+  FROM v GROUP BY nation),
+days AS (SELECT CAST(d AS DATE) AS date FROM generate_series(
+  (SELECT MIN(date) FROM v), (SELECT MAX(date) FROM v), INTERVAL 1 DAY) AS s(d))
+SELECT days.date, CAST(named.nation AS VARCHAR) AS dma_code, name AS dma_name,
+       CAST(COALESCE(n, 0) AS BIGINT) AS attributed_visits,
+       CAST(if(n IS NULL, 0, 7) AS BIGINT) AS attribution_window_days, CAST(n IS NULL AS INTEGER) AS is_zero_filled
+FROM days CROSS JOIN named LEFT JOIN v ON v.date = days.date AND v.nation = named.nation""")
+def q_zero_fill_two_batches(spark, d):
+    """TAB-13, FIL-3, PRJ-16: a filled grid, then a batch with days beyond its range, new
+    nations, gaps that close and changed names: only the rows it changes are worked out."""
+    day = F.col("o_orderdate").cast("date")
+    second = (F.dayofmonth(day) % 3 == 0) | (F.year(day) >= 1997) | (F.col("c_nationkey") % 7 == 3)
+    visits = (B.table(spark, d, "orders").join(B.table(spark, d, "customer"),
+                                               F.col("o_custkey") == F.col("c_custkey"))
+              .groupBy(day.alias("date"), "c_nationkey", second.alias("second"))
+              .agg(F.count("*").alias("attributed_visits"))
+              .select("date", F.col("c_nationkey").cast("string").alias("dma_code"),
+                      F.concat(F.lit("N"), F.col("c_nationkey"), F.when(
+                          (F.col("c_nationkey") % 5 == 1) & (F.dayofmonth("date") % 3 == 0), "x")
+                          .otherwise("")).alias("dma_name"),
+                      "attributed_visits", F.lit(7).cast("bigint").alias("attribution_window_days"), "second"))
+    first, batch = (visits.where(c).drop("second") for c in ("not second", "second"))
+    rows, _ = zero_fill_delta(grid_state(first), batch, visits.drop("second"))
+    return upsert(zero_fill(first), rows, ["date", "dma_code"])

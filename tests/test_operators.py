@@ -119,3 +119,30 @@ def test_name_log_from_monthly_summaries_equals_full(spark):
     a = name_log_from_months(name_month_summary(perf)).select(*cols).collect()
     b = name_change_log(perf).select(*cols).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_zero_fill_delta_equals_the_full_grid(spark):
+    import datetime as dt
+    import random
+
+    from spendlens.operators.fill import grid_state, zero_fill, zero_fill_delta
+    from spendlens.operators.merge import upsert
+
+    r = random.Random(4)
+    schema = "date date, dma_code string, dma_name string, attributed_visits long, attribution_window_days long"
+    for span in (3, 20, 0):
+        cells = {(dt.date(2026, 1, 1) + dt.timedelta(r.randrange(40)), r.choice("abcdef")) for _ in range(60)}
+        rows = [(d, k, k + r.choice("xy"), r.randrange(9), 7) for d, k in sorted(cells)]
+        old = [x for x in rows if dt.date(2026, 1, 10) <= x[0] < dt.date(2026, 1, 11 + span) and x[1] != "f"]
+        old = old or rows[:1]
+        first = spark.createDataFrame(old, schema)
+        batch = spark.createDataFrame([x for x in rows if x not in old], schema)
+        both = spark.createDataFrame(rows, schema)
+        delta, state = zero_fill_delta(grid_state(first), batch, both)
+        whole = zero_fill(both)
+        got = upsert(zero_fill(first), delta.select(*whole.columns), ["date", "dma_code"])
+        assert sorted(map(tuple, got.select(*whole.columns).collect())) == sorted(map(tuple, whole.collect()))
+        assert sorted(map(tuple, state.collect())) == sorted(map(tuple, grid_state(both).collect()))
+    # a batch inside the range that renames nothing changes its own days only
+    batch = both.where("dma_code = 'a'").limit(1)
+    assert zero_fill_delta(grid_state(both), batch, both)[0].count() == 1
