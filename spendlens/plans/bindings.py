@@ -182,7 +182,7 @@ stg_store_visits AS (
 def fact_store_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spendlens.plans.gold import build_fact_store_visits
     return build_fact_store_visits(stg_store_visits(spark, sf_dir),
-                                   dma_region_map(spark, sf_dir), broadcast_map=True)
+                                   dma_region_map(spark, sf_dir))
 
 
 FACT_STORE_VISITS_SQL = STG_STORE_VISITS_SQL + ",\n" + DMA_REGION_MAP_SQL + """,

@@ -11,14 +11,12 @@ FACT_PERF_COLS = FACT_PERF_KEY + ["impressions", "clicks", "spend_usd", "convers
 FACT_VISITS_KEY = ["date", "dma_code"]
 
 
-def build_fact_store_visits(stg_visits: DataFrame, region_map: DataFrame,
-                            broadcast_map: bool = True) -> DataFrame:
+def build_fact_store_visits(stg_visits: DataFrame, region_map: DataFrame) -> DataFrame:
     """TAB-18: staged visits joined to the DMA -> region map.  DMAs missing
     from the map drop out here (inner join); the quality rule
-    ``unmapped_keys`` reports them.  The map is a fixed-size reference table,
-    so it is broadcast."""
+    ``unmapped_keys`` reports them.  The map is the caller's: Spark broadcasts it
+    where its size allows."""
     m = region_map.select("dma_code", F.col("dma_name").alias("_map_name"), "mapped_region")
-    m = F.broadcast(m) if broadcast_map else m
     j = stg_visits.join(m, "dma_code")
     return j.select("date", "dma_code", F.col("_map_name").alias("dma_name"), "mapped_region",
                     "attributed_visits", "attribution_window_days", "is_zero_filled")

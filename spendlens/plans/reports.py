@@ -19,8 +19,8 @@ period instead of the raw fact rows.  Partial aggregation runs map-side, so a
 campaign holding a large share of the rows does not concentrate raw rows in
 one task.  Dimensions derived from data are not force-broadcast: Spark's
 size-based broadcast threshold (checked again at run time by AQE) decides, and
-falls back to a shuffle join beyond it.  Only calendars, whose size is the
-number of days, are broadcast explicitly.
+falls back to a shuffle join beyond it.
+
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ def _with_calendar(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """The fact with the calendar's year, month and month name in place of its own."""
     names = ("year", "month", "month_name")
     cal = dim_date.select("date", *names)
-    return fact.drop(*names).join(F.broadcast(cal), "date")
+    return fact.drop(*names).join(cal, "date")
 
 
 # ---------------------------------------------------------------- QRY-1

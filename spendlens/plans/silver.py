@@ -46,14 +46,14 @@ def convert_currency(df: DataFrame, rates: DataFrame, *, amount_cols: dict[str,
 
     The calendar join of the source only supplies year and month, so it is
     replaced by deriving them from the date; dates outside the calendar get no
-    rate (factor 1.0), as the source's left join gives.  The rate table is a
-    fixed-size reference table and is broadcast."""
+    rate (factor 1.0), as the source's left join gives.  The rate table is the
+    caller's: Spark broadcasts it where its size allows."""
     in_cal = F.col("date").between(F.lit(calendar[0]), F.lit(calendar[1])) if calendar else F.lit(True)
     cur = F.coalesce(F.col(currency), F.lit("USD"))
     keyed = (df.withColumn("_y", F.when(in_cal, F.year("date")))
              .withColumn("_m", F.when(in_cal, F.month("date")))
              .withColumn("_cur", cur))
-    r = F.broadcast(usd_rates(rates))
+    r = usd_rates(rates)
     j = keyed.join(r, (F.col("_y") == F.col("_fx_year")) & (F.col("_m") == F.col("_fx_month"))
                    & (F.col("_cur") == F.col("_fx_cur")), "left")
     out = j

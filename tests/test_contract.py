@@ -31,9 +31,11 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert len(q) >= 60
+    from spendlens.plans import catalog
+
+    q, o = catalog.queries(), catalog.oracles()
+    assert set(o) == set(q) and len(q) >= 74
+    assert set(q) <= set(E.queries()) and set(o) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
