@@ -59,7 +59,7 @@ def with_ctes(*ctes: str) -> str:
 def _load_all() -> None:
     # importing the modules registers their queries
     from spendlens.plans import queries_landing, queries_media, queries_ops  # noqa: F401
-    from spendlens.plans import queries_quality, queries_reports  # noqa: F401
+    from spendlens.plans import queries_quality, queries_reports, queries_rollup  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
