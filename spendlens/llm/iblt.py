@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import let, materialise, unused
+from spendlens.llm.common import let, materialise, shuffle_width, unused
 
 #: Cells of a text's fingerprint, a multiple of three.
 CELLS = 12
@@ -282,7 +282,94 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, rows_in_range: int =
             .drop("_range", "_end"))
 
 
-def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _entry_rows(rows: DataFrame, keys: list[str], ids: Column, sign: Column, cells: Column) -> DataFrame:
+    """``rows`` as sketch entries, keys, p, n, id and ck: three for each digest."""
+    third = F.floor(F.col("_m") / 3).cast("int")
+    return (rows.select(*keys, cells.cast("int").alias("_m"), sign.alias("n"), F.explode(ids).alias("id"))
+            .select("*", F.explode(F.array(*[F.lit(t) for t in range(3)])).alias("_t"))
+            .select(*keys, "_m", (F.pmod(F.xxhash64("_t", "id"), third).cast("int") + third * F.col("_t")).alias("p"),
+                    "n", "id", _check(F.col("id")).alias("ck")))
+
+
+def _cell_rows(entries: DataFrame, keys: list[str]) -> DataFrame:
+    """Entry rows as cell rows, empty cells left out."""
+    return entries.groupBy(*keys, "p").agg(
+        F.sum("n").cast("int").alias("n"), F.bit_xor("id").alias("id"), F.bit_xor("ck").alias("ck")).where(
+        "n != 0 or id != 0 or ck != 0")
+
+
+def peel_rows(cells: DataFrame, keys: list[str], rounds: int) -> DataFrame:
+    """Sketch differences as rows, keys, _m (cells in all), p, n, id and ck, peeled: keys, only_a,
+    only_b (how many digests were recovered with sign 1, -1) and left (cells not peeled), of
+    each difference that is not empty.  Nothing is shuffled if ``cells`` are dealt by the keys.
+
+    A round drops the cells that hold a single digest, one row each way a digest was found,
+    and takes the digests found out of the cells that stay.  Found ones are only counted on,
+    in a row of place -1.
+    """
+    zero, third = F.lit(0).cast("bigint"), F.floor(F.col("_m") / 3).cast("int")
+    keys = [*keys, "_m"]
+    state = cells.select(*keys, "p", "n", "id", "ck", zero.alias("a"), zero.alias("b"))
+    for _ in range(rounds):
+        pure = (F.col("p") >= 0) & (F.abs("n") == 1) & (_check(F.col("id")) == F.col("ck"))
+        # one row for a digest, in however many cells it is alone: place -2; others are as they were
+        once = state.withColumn("p", F.when(pure, -2).otherwise(F.col("p"))).groupBy(*keys, "p", "id").agg(
+            *[F.max(c).alias(c) for c in ("n", "ck", "a", "b")])
+        found = F.col("p") == -2
+        at = F.col("_t")
+        moved = once.select("*", F.explode(F.when(found, F.array(*[F.lit(t) for t in range(-1, 3)])).otherwise(
+            F.array(F.lit(-2)))).alias("_t")).select(
+            *keys,
+            F.when(at == -2, F.col("p")).when(at == -1, F.lit(-1)).otherwise(
+                F.pmod(F.xxhash64(at, F.col("id")), third).cast("int") + third * at).alias("p"),
+            F.when(at == -2, F.col("n")).when(at == -1, F.lit(0)).otherwise(-F.col("n")).alias("n"),
+            F.when(at == -1, zero).otherwise(F.col("id")).alias("id"),
+            F.when(at == -1, zero).otherwise(F.col("ck")).alias("ck"),
+            F.when(at == -1, (F.col("n") == 1).cast("bigint")).otherwise(F.col("a")).alias("a"),
+            F.when(at == -1, (F.col("n") == -1).cast("bigint")).otherwise(F.col("b")).alias("b"),
+            (at < 0).alias("stays"))
+        # what falls on a cell that was dropped is what it held
+        state = moved.groupBy(*keys, "p").agg(
+            F.sum("n").cast("int").alias("n"), F.bit_xor("id").alias("id"), F.bit_xor("ck").alias("ck"),
+            F.sum("a").alias("a"), F.sum("b").alias("b"), F.max("stays").alias("stays")).where(
+            "stays and (p = -1 or n != 0 or id != 0 or ck != 0)").drop("stays")
+    return state.groupBy(*keys[:-1]).agg(F.sum("a").alias("only_a"), F.sum("b").alias("only_b"),
+                                         F.count(F.when(F.col("p") >= 0, 1)).alias("left"))
+
+
+def differences(rows: DataFrame, pairs: list[tuple[str, str]], factor: int, rounds: int = 8) -> DataFrame:
+    """For each row, by its unique ``r``, and each pair ``c`` of digest set columns: r, c,
+    only_a, only_b, left as of ``peel_rows``, from sketches of ``factor`` cells for each
+    digest of the expected difference.  Pairs without a difference have no row."""
+    keys = ["r", "c"]
+    # a row for each pair and each of its sides
+    sides = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.lit(s).alias("s"))
+                                for c in range(len(pairs)) for s in (1, -1)]))
+
+    def chosen(of, default: Column) -> Column:
+        out = default
+        for c, (x, y) in enumerate(pairs):
+            for s, name in ((1, x), (-1, y)):
+                out = F.when((F.col("k.c") == c) & (F.col("k.s") == s), of(c, name)).otherwise(out)
+        return out
+
+    def size(x: str, y: str) -> Column:
+        a, b = F.col(x), F.col(y)
+        return F.greatest(F.least(expected_difference(a, b), (F.size(a) + F.size(b)).cast("double")).cast("int")
+                          * factor, F.lit(FEWEST))
+
+    sized = rows.select("r", *{n for p in pairs for n in p}, *[size(x, y).alias(f"m{c}")
+                                                               for c, (x, y) in enumerate(pairs)])
+    dealt = sized.select("*", sides.alias("k")).select(
+        "r", F.col("k.c").alias("c"), F.col("k.s").alias("s"),
+        chosen(lambda c, _: F.col(f"m{c}"), F.lit(None)).alias("m"),
+        chosen(lambda _, n: F.col(n), F.lit(None)).alias("set"))
+    entries = _entry_rows(dealt, keys, F.col("set"), F.col("s"), F.col("m"))
+    return peel_rows(_cell_rows(entries, [*keys, "_m"]), keys, rounds)
+
+
+def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      chars_in_task: int = 8 << 20) -> DataFrame:
     """Each text against an edited version and against the next document.
 
     Edited: the last quarter (rounded down, in code points) replaced by as many of the
@@ -291,6 +378,11 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     counts as empty; a single row is its own next; repeated ids are in order of their
     texts; null ids come first; other columns are not looked at; an empty table stays
     empty.
+
+    Sketches are made and peeled as rows, one for a cell, by aggregations that stay in
+    the task a text is dealt to; about ``chars_in_task`` characters' sketches go to one.
+    Likenesses come from the fingerprints where their difference can be peeled, else
+    from larger sketches, retried twice and four times as large where those stall.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     # a text travels with its digests: they are its own and the row's before it
@@ -304,15 +396,63 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = rows.withColumn("n", n.cast("bigint")).withColumn(
         "edited", F.concat(F.substr(F.col("text"), F.lit(1), n - taken),
                            F.substr(F.col("next"), F.lit(1), taken)))
-    rows = rows.select("doc_id", "n", F.sha2("edited", 256).alias("edited_sha256"), "a",
-                       digests(F.col("edited")).alias("e"), "b")
-    a, e, b = F.col("a"), F.col("e"), F.col("b")
-    rows = rows.withColumns({"sa": sketch(a, CELLS), "se": sketch(e, CELLS), "sb": sketch(b, CELLS)})
-    rows = rows.withColumns({"to_edited": difference(a, e, F.col("sa"), F.col("se")),
-                             "to_next": difference(a, b, F.col("sa"), F.col("sb"))})
-    return rows.select(
+    rows = materialise(rows.select(
+        F.monotonically_increasing_id().alias("r"), "doc_id", "n", F.sha2("edited", 256).alias("edited_sha256"),
+        "a", digests(F.col("edited")).alias("e"), "b"), "iblt-sets")
+    chars = rows.agg(F.sum("n")).first()[0] or 0
+    tasks = max(shuffle_width(docs.sparkSession), -(-chars // chars_in_task))
+    sets = rows.select("r", "a", "e", "b").repartition(tasks, "r")
+    pairs = [("a", "e"), ("a", "b")]
+
+    # the fixed sketches, which are the fingerprints, and their differences
+    sides = sets.select("r", F.explode(F.array(*[F.lit(k) for k in range(3)])).alias("side"), "a", "e", "b")
+    chosen = F.when(F.col("side") == 0, F.col("a")).when(F.col("side") == 1, F.col("e")).otherwise(F.col("b"))
+    cells = _cell_rows(_entry_rows(sides, ["r", "side"], chosen, F.lit(1), F.lit(CELLS)), ["r", "side"])
+    fixed = cells.groupBy("r").agg(F.sort_array(F.collect_list(F.struct("side", "p", "n", "id", "ck"))).alias("all"))
+    fixed = fixed.select("r", *[F.transform(F.filter("all", lambda c: c["side"] == k), lambda c: F.struct(
+        *[c[f].alias(f) for f in ("p", "n", "id", "ck")])).alias(f"s{k}") for k in range(3)])
+
+    def counted(c: int) -> Column:
+        return F.transform(F.array(peel(subtract(F.col("s0"), F.col(f"s{c + 1}")), CELLS)), lambda d: F.when(
+            d.isNotNull(), F.struct(F.size(F.filter(d, lambda e: e["sign"] == 1)).cast("bigint").alias("only_a"),
+                                    F.size(F.filter(d, lambda e: e["sign"] == -1)).cast("bigint").alias("only_b"))))[0]
+
+    fixed = fixed.select("r", fingerprint(F.col("s0")).alias("fingerprint"),
+                         fingerprint(F.col("s1")).alias("edited_fingerprint"),
+                         *[counted(c).alias(f"d{c}") for c in range(2)])
+
+    # larger sketches, and again where one stalled
+    larger = materialise(differences(sets, pairs, RETRIES[-1]), "iblt-differences")
+    done, stalled = larger.where("left = 0").drop("left"), larger.where("left > 0").select("r", "c")
+    for times in (2, 4):
+        if stalled.isEmpty():
+            break
+        again = rows.select("r", "a", "e", "b").join(stalled.select("r").distinct(), "r", "left_semi")
+        more = materialise(differences(again.repartition(tasks, "r"), pairs, RETRIES[-1] * times)
+                           .join(stalled, ["r", "c"], "left_semi"), "iblt-again")
+        done = done.unionByName(more.where("left = 0").drop("left"))
+        stalled = more.where("left > 0").select("r", "c")
+    else:
+        # what none can peel is compared as sets (about never)
+        for c, (x, y) in enumerate(pairs):
+            done = done.unionByName(rows.join(stalled.where(F.col("c") == c), "r", "left_semi").select(
+                "r", F.lit(c).alias("c"), F.size(F.array_except(x, y)).cast("bigint").alias("only_a"),
+                F.size(F.array_except(y, x)).cast("bigint").alias("only_b")))
+    found = done.groupBy("r").agg(*[F.first(F.when(F.col("c") == c, F.struct("only_a", "only_b")), True).alias(
+        f"l{c}") for c in range(2)])
+
+    out = (rows.select("r", "doc_id", "n", "edited_sha256", *[F.size(x).cast("bigint").alias(f"n_{x}") for x in "aeb"])
+           .join(fixed, "r", "left").join(found, "r", "left"))
+
+    def near(c: int, size: str) -> Column:
+        # no row of a larger sketch: nothing differs
+        none = F.struct(F.lit(0).cast("bigint").alias("only_a"), F.lit(0).cast("bigint").alias("only_b"))
+        d = F.coalesce(F.col(f"d{c}"), F.col(f"l{c}"), none)
+        union = F.col("n_a") + d["only_b"]
+        return F.when(union == 0, F.lit(1.0)).otherwise((F.col("n_a") - d["only_a"]) / union).cast("double")
+
+    return out.select(
         "doc_id", F.col("n").alias("n_chars"), "edited_sha256",
-        fingerprint(F.col("sa")).alias("fingerprint"),
-        fingerprint(F.col("se")).alias("edited_fingerprint"),
-        likeness(F.size(a), F.size(e), F.col("to_edited")).alias("near_edited"),
-        likeness(F.size(a), F.size(b), F.col("to_next")).alias("near_next"))
+        F.coalesce("fingerprint", F.lit("")).alias("fingerprint"),
+        F.coalesce("edited_fingerprint", F.lit("")).alias("edited_fingerprint"),
+        near(0, "e").alias("near_edited"), near(1, "b").alias("near_next"))
