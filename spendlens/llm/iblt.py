@@ -48,6 +48,8 @@ _QUOTES = "[\"')\\]\u201d\u2019]"
 RUN = 120
 #: A line's end; a blank after an end of sentence; after a full stop of scripts without blanks.
 PARAGRAPH_END = rf"\n| (?:(?<=[.!?] )|(?<=[.!?]{_QUOTES} ))|(?<=[。！？])"
+#: The same where a line's end stands after each of those full stops: it looks behind at blanks only.
+_END = rf"[\n ](?:(?<=\n)|(?<=[.!?] )|(?<=[.!?]{_QUOTES} ))"
 #: Beyond ``RUN``: a blank after one of the characters above, or two of them.
 RUN_END = (rf" (?<=[{_LAST}] )|(?<=[{_ASCII}]{{2}})"
            rf"|(?<=[\u0400-\uffff])(?<=[{_OTHER}]{{2}})")
@@ -66,7 +68,10 @@ def digests(text: Column) -> Column:
             F.char_length(q) <= LONGEST, F.array(q)).otherwise(
             F.regexp_extract_all(q, F.lit(f"(?s).{{1,{LONGEST}}}"), F.lit(0)))))
 
-    parts = F.split(F.coalesce(text, F.lit("")), PARAGRAPH_END)
+    lines = F.coalesce(text, F.lit(""))
+    for stop in "。！？":
+        lines = F.replace(lines, F.lit(stop), F.lit(stop + "\n"))
+    parts = F.split(lines, _END)
     hashes = F.transform(parts, lambda p: F.when(F.char_length(p) <= RUN, F.array(p))
                          .otherwise(long_run(p)))
     said = F.filter(F.flatten(hashes), lambda p: F.trim(p) != "")
@@ -239,9 +244,10 @@ def compare_texts(rows: DataFrame, old: str, new: str) -> DataFrame:
 
 
 def with_next(docs: DataFrame, id_col: str, text_col: str, rows_in_range: int = 2000,
-              cuts: int = 64) -> DataFrame:
+              cuts: int = 64, carry=lambda text: text) -> DataFrame:
     """Adds ``next``: the text of the next row in ascending order of id (nulls first, ties by
-    text), after the last that of the first.
+    text), after the last that of the first.  ``carry``: what of a text is to travel, ordered
+    as the texts are; it stands in place of the text and in ``next``, and is worked out once.
 
     Rows are dealt into ranges of ids: between ``cuts`` quantiles, equal steps.  A range
     is one window; its last row takes the first text of the next range that has rows,
@@ -250,6 +256,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, rows_in_range: int =
     count = docs.count()
     order = [F.col(id_col).asc_nulls_first(), F.col(text_col)]
     if count <= rows_in_range:
+        docs = docs.withColumn(text_col, carry(F.col(text_col)))
         w = Window.partitionBy(F.lit(0)).orderBy(*order)
         first = F.first(text_col).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return docs.withColumn("next", F.coalesce(F.lead(text_col).over(w), first))
@@ -274,9 +281,9 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, rows_in_range: int =
                         .select(F.col("_key").alias("_match"), F.col("next").alias("_after")),
                         "iblt-next")
     # it stands as an extra row at the end of the range, so that no join moves the texts again
-    ends = after.select(F.col("_match").alias("_range"), F.col("_after").alias(text_col),
+    ends = after.select(F.col("_match").alias("_range"), carry(F.col("_after")).alias(text_col),
                         F.lit(1).alias("_end"))
-    rows = ranged.withColumn("_end", F.lit(0)).unionByName(ends, allowMissingColumns=True)
+    rows = ranged.withColumn(text_col, carry(F.col(text_col))).withColumn("_end", F.lit(0)).unionByName(ends, allowMissingColumns=True)
     w = Window.partitionBy("_range").orderBy("_end", *order)
     return (rows.withColumn("next", F.lead(text_col).over(w)).where("_end = 0")
             .drop("_range", "_end"))
@@ -337,7 +344,7 @@ def peel_rows(cells: DataFrame, keys: list[str], rounds: int) -> DataFrame:
                                          F.count(F.when(F.col("p") >= 0, 1)).alias("left"))
 
 
-def differences(rows: DataFrame, pairs: list[tuple[str, str]], factor: int, rounds: int = 8) -> DataFrame:
+def differences(rows: DataFrame, pairs: list[tuple[str, str]], factor: int, rounds: int = 5) -> DataFrame:
     """For each row, by its unique ``r``, and each pair ``c`` of digest set columns: r, c,
     only_a, only_b, left as of ``peel_rows``, from sketches of ``factor`` cells for each
     digest of the expected difference.  Pairs without a difference have no row."""
@@ -369,7 +376,7 @@ def differences(rows: DataFrame, pairs: list[tuple[str, str]], factor: int, roun
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      chars_in_task: int = 8 << 20) -> DataFrame:
+                      chars_in_task: int = 2 << 20) -> DataFrame:
     """Each text against an edited version and against the next document.
 
     Edited: the last quarter (rounded down, in code points) replaced by as many of the
@@ -386,9 +393,9 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     # a text travels with its digests: they are its own and the row's before it
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.struct(
-        text.alias("text"), digests(text).alias("set")).alias("it"))
-    rows = with_next(rows, "doc_id", "it").select(
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("it"))
+    rows = with_next(rows, "doc_id", "it", carry=lambda t: F.struct(
+        t.alias("text"), digests(t).alias("set"))).select(
         "doc_id", F.col("it.text").alias("text"), F.col("it.set").alias("a"),
         F.col("next.text").alias("next"), F.col("next.set").alias("b"))
     n = F.char_length("text")
