@@ -61,9 +61,9 @@ def digests(text: Column) -> Column:
     """Distinct paragraph digests; blank paragraphs do not count; null: none."""
     def long_run(p: Column) -> Column:
         """Cut at the first places beyond ``RUN`` code points that allow it."""
-        rest = F.split(F.substr(p, F.lit(RUN + 1), F.char_length(p)), RUN_END)
-        first = F.concat(F.substr(p, F.lit(1), F.lit(RUN)), F.get(rest, F.lit(0)))
-        parts = F.concat(F.array(first), F.slice(rest, 2, F.size(rest)))
+        start, rest = F.substr(p, F.lit(1), F.lit(RUN)), F.substr(p, F.lit(RUN + 1), F.char_length(p))
+        parts = let(F.split(rest, RUN_END), "array<string>", lambda x: F.concat(
+            F.array(F.concat(start, F.get(x, F.lit(0)))), F.slice(x, 2, F.size(x))))
         return F.flatten(F.transform(parts, lambda q: F.when(
             F.char_length(q) <= LONGEST, F.array(q)).otherwise(
             F.regexp_extract_all(q, F.lit(f"(?s).{{1,{LONGEST}}}"), F.lit(0)))))
@@ -310,41 +310,38 @@ def peel_rows(cells: DataFrame, keys: list[str], rounds: int) -> DataFrame:
     only_b (how many digests were recovered with sign 1, -1) and left (cells not peeled), of
     each difference that is not empty.  Nothing is shuffled if ``cells`` are dealt by the keys.
 
-    A round drops the cells that hold a single digest, one row each way a digest was found,
-    and takes the digests found out of the cells that stay.  Found ones are only counted on,
-    in a row of place -1.
+    A round peels one third of the cells, the thirds in turn: there a digest has one cell, so
+    that none is found twice and a round is one aggregation.  Cells that hold a single digest
+    are dropped, and it is taken out of its cells in the other thirds.  Found digests are only
+    counted on, in a row of place -1.
     """
     zero, third = F.lit(0).cast("bigint"), F.floor(F.col("_m") / 3).cast("int")
     keys = [*keys, "_m"]
     state = cells.select(*keys, "p", "n", "id", "ck", zero.alias("a"), zero.alias("b"))
-    for _ in range(rounds):
-        pure = (F.col("p") >= 0) & (F.abs("n") == 1) & (_check(F.col("id")) == F.col("ck"))
-        # one row for a digest, in however many cells it is alone: place -2; others are as they were
-        once = state.withColumn("p", F.when(pure, -2).otherwise(F.col("p"))).groupBy(*keys, "p", "id").agg(
-            *[F.max(c).alias(c) for c in ("n", "ck", "a", "b")])
-        found = F.col("p") == -2
-        at = F.col("_t")
-        moved = once.select("*", F.explode(F.when(found, F.array(*[F.lit(t) for t in range(-1, 3)])).otherwise(
+    at = F.col("_t")
+    for k in range(rounds):
+        mine = k % 3
+        found = ((F.col("p") >= third * mine) & (F.col("p") < third * (mine + 1)) & (F.abs("n") == 1)
+                 & (_check(F.col("id")) == F.col("ck")))
+        others = [F.lit(t) for t in range(3) if t != mine]
+        # what becomes of a row: -2 it stays, -1 its digest is counted, else it leaves that third
+        moved = state.select("*", F.explode(F.when(found, F.array(F.lit(-1), *others)).otherwise(
             F.array(F.lit(-2)))).alias("_t")).select(
             *keys,
             F.when(at == -2, F.col("p")).when(at == -1, F.lit(-1)).otherwise(
                 F.pmod(F.xxhash64(at, F.col("id")), third).cast("int") + third * at).alias("p"),
             F.when(at == -2, F.col("n")).when(at == -1, F.lit(0)).otherwise(-F.col("n")).alias("n"),
-            F.when(at == -1, zero).otherwise(F.col("id")).alias("id"),
-            F.when(at == -1, zero).otherwise(F.col("ck")).alias("ck"),
-            F.when(at == -1, (F.col("n") == 1).cast("bigint")).otherwise(F.col("a")).alias("a"),
-            F.when(at == -1, (F.col("n") == -1).cast("bigint")).otherwise(F.col("b")).alias("b"),
-            (at < 0).alias("stays"))
-        # what falls on a cell that was dropped is what it held
+            *[F.when(at == -1, zero).otherwise(F.col(c)).alias(c) for c in ("id", "ck")],
+            *[F.when(at == -1, (F.col("n") == sign).cast("bigint")).when(at == -2, F.col(c)).otherwise(zero).alias(c)
+              for c, sign in (("a", 1), ("b", -1))])
         state = moved.groupBy(*keys, "p").agg(
             F.sum("n").cast("int").alias("n"), F.bit_xor("id").alias("id"), F.bit_xor("ck").alias("ck"),
-            F.sum("a").alias("a"), F.sum("b").alias("b"), F.max("stays").alias("stays")).where(
-            "stays and (p = -1 or n != 0 or id != 0 or ck != 0)").drop("stays")
+            F.sum("a").alias("a"), F.sum("b").alias("b")).where("p = -1 or n != 0 or id != 0 or ck != 0")
     return state.groupBy(*keys[:-1]).agg(F.sum("a").alias("only_a"), F.sum("b").alias("only_b"),
                                          F.count(F.when(F.col("p") >= 0, 1)).alias("left"))
 
 
-def differences(rows: DataFrame, pairs: list[tuple[str, str]], factor: int, rounds: int = 5) -> DataFrame:
+def differences(rows: DataFrame, pairs: list[tuple[str, str]], factor: int, rounds: int = 6) -> DataFrame:
     """For each row, by its unique ``r``, and each pair ``c`` of digest set columns: r, c,
     only_a, only_b, left as of ``peel_rows``, from sketches of ``factor`` cells for each
     digest of the expected difference.  Pairs without a difference have no row."""
