@@ -118,7 +118,7 @@ def store_rows(store: TableStore, source: str, table: str, keys, good: DataFrame
     else:
         if dated and existing is not None:
             existing = existing.filter(F.col(MONTH).isin(months))
-        store.append(table, insert_ignore(existing, staged, keys, ordinal=SRC.ORDER_COLS),
+        store.append(table, insert_ignore(existing, staged, keys, SRC.ORDER_COLS, prefilter=True),
                      partition_by=[MONTH] if dated else ())
         written = store.read(table).filter(F.col("_load_timestamp") == D.ntz_lit(run_ts))
         if dated:

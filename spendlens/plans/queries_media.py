@@ -144,6 +144,22 @@ def q_insert_ignore_null_keys(spark, d):
                          ordinal="position").select("customer", "priority", "position")
 
 
+@register("insert_ignore_bloom", """
+WITH o AS (
+  SELECT if(o_custkey % 5 = 0, NULL, o_custkey) AS customer,
+         NULLIF(o_orderpriority, '1-URGENT') AS priority,
+         CAST(o_orderdate AS DATE) AS day, o_orderkey AS position FROM orders)
+SELECT customer, priority, MIN(position) AS position FROM o GROUP BY customer, priority
+HAVING MIN(day) >= DATE '1998-01-01'""")
+def q_insert_ignore_bloom(spark, d):
+    """SNK-1 of a small batch into a large table: stored keys pass a Bloom filter of the
+    batch's keys before they are shuffled."""
+    o = _keyed_orders(spark, d)
+    old = F.col("day") < F.lit("1998-01-01").cast("date")
+    return insert_ignore(o.filter(old), o.filter(~old), ["customer", "priority"],
+                         ordinal="position", prefilter=True).select("customer", "priority", "position")
+
+
 @register("name_log_two_batches", """
 WITH e AS (
   SELECT CAST(ts AS DATE) AS date, user_id AS campaign_id, event_type AS campaign_name,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from spendlens.operators.dedup import best_record, first_per_key, last_per_key
 from spendlens.operators.fill import zero_fill
-from spendlens.operators.merge import insert_ignore, upsert
+from spendlens.operators.merge import insert_ignore, key_filter, might_hold, upsert
 from spendlens.operators.names import multi_name_campaigns, name_change_log
 from spendlens.operators.regional import match_regions
 from spendlens.operators import watermark as WM
@@ -53,6 +53,55 @@ def test_first_last_insert_upsert(spark):
     assert up == {1: "a", 2: "B", 3: "x"}
 
 
+def _key_rows(n, seed):
+    rnd = random.Random(seed)
+    return [(rnd.choice([None, *range(300)]), rnd.choice([None, "", "a", "b", "é"]), i) for i in range(n)]
+
+
+def test_bloom_filter_of_a_batch(spark):
+    schema, keys = "k int, s string, o int", ["k", "s"]
+    stored, batch = _key_rows(1200, 1), _key_rows(40, 2)
+    cur, new = (spark.createDataFrame(r, schema) for r in (stored, batch))
+    wanted = {r[:2] for r in batch}
+    kept = [tuple(r)[:2] for r in might_hold(cur, keys, key_filter(new, keys)).collect()]
+    true = [r[:2] for r in stored if r[:2] in wanted]
+    assert sorted(map(str, (r for r in kept if r in wanted))) == sorted(map(str, true))
+    assert len(kept) - len(true) < 0.02 * len(stored)
+    with_, without = (sorted(map(str, insert_ignore(cur, new, keys, ordinal="o", prefilter=p).collect()))
+                      for p in (True, False))
+    assert with_ == without and with_
+    # one block, all bits crowded: it only lets more through
+    small = might_hold(cur, keys, key_filter(new, keys, blocks=1), blocks=1).collect()
+    assert len(small) >= len(true)
+
+
+def test_bloom_filter_of_empty_and_of_other_types(spark):
+    schema = "k int, s string, o int"
+    cur = spark.createDataFrame(_key_rows(50, 3), schema)
+    none = spark.createDataFrame([], schema)
+    assert insert_ignore(cur, none, ["k", "s"], "o", prefilter=True).collect() == []
+    assert insert_ignore(none, cur, ["k"], "o", prefilter=True).count() == cur.select("k").distinct().count()
+    wide = cur.withColumn("k", F.col("k").cast("bigint"))
+    assert insert_ignore(wide, cur, ["k", "s"], "o", prefilter=True).collect() == []
+
+
+def test_bloom_filter_stands_below_the_exchange(spark):
+    df = spark.range(1000).select((F.col("id") % 100).alias("k"), "id")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = insert_ignore(df, df.filter("k < 3"), ["k"], ordinal="id", prefilter=True)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.splitlines()
+    # the stored side's exchange, and under it the filter's join
+    at = next(i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x and "_known_k" in x)
+    depth = lines[at].index("Exchange")
+    below = itertools.takewhile(lambda x: len(x) - len(x.lstrip(" :+-")) > depth, lines[at + 1:])
+    assert any("BroadcastHashJoin" in x and "_block" in x for x in below), plan
+
+
 def test_zero_fill(spark):
     d = dt.date
     v = spark.createDataFrame([(d(2026, 1, 1), "501", "NY", 5, 7), (d(2026, 1, 3), "803", "LA", 3, 7)],
