@@ -431,8 +431,11 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     for times in (2, 4):
         if stalled.isEmpty():
             break
-        again = rows.select("r", "a", "e", "b").join(stalled.select("r").distinct(), "r", "left_semi")
-        more = materialise(differences(again.repartition(tasks, "r"), pairs, RETRIES[-1] * times)
+        again = rows.select("r", "n", "a", "e", "b").join(stalled.select("r").distinct(), "r", "left_semi")
+        # as many characters' sketches in a task as above, of fewer texts
+        left = again.agg(F.sum("n")).first()[0] or 0
+        width = max(shuffle_width(docs.sparkSession), -(-left * times // chars_in_task))
+        more = materialise(differences(again.drop("n").repartition(width, "r"), pairs, RETRIES[-1] * times)
                            .join(stalled, ["r", "c"], "left_semi"), "iblt-again")
         done = done.unionByName(more.where("left = 0").drop("left"))
         stalled = more.where("left > 0").select("r", "c")
