@@ -43,6 +43,8 @@ LANE, WINDOW = 512, 32
 BLOCK, TILE = 1 << 18, 1 << 21
 #: More than any tokenizer has ids.
 IDS = 1 << 24
+#: A row's number is its task's, then so many bits of its place in the task.
+ROW_BITS = 40
 
 SCHEMA = ("row bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint,"
           " groups string, pairs binary")
@@ -282,7 +284,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id",
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = side(a_path), side(b_path)
-        row = TaskContext.get().partitionId() << 40
+        row = TaskContext.get().partitionId() << ROW_BITS
         for batch in batches:
             sizes = [len(t.as_py() or "") for t in batch.column("text")]
             for s, e in _portions(sizes, chars):
@@ -300,12 +302,19 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id",
 
 
 def _unpacked(batch: pa.RecordBatch, wide: int) -> Iterator[tuple]:
-    """(row numbers of pairs, codes, times) of a batch's documents, some at a time."""
-    rows, packed = batch.column("row").to_pylist(), batch.column("pairs").to_pylist()
-    for s, e in _portions([len(p) for p in packed], TILE):
-        each = [unpack(p, wide)[1:] for p in packed[s:e]]
-        yield (np.repeat(np.array(rows[s:e], np.int64), [c.size for c, _ in each]),
-               np.concatenate([c for c, _ in each]), np.concatenate([t for _, t in each]))
+    """(row numbers of pairs, codes, times) of a batch's documents, some at a time.
+
+    A batch can span the files of several tasks, whose row numbers lie far apart; a portion
+    has ascending rows of one task only, as ``pack`` needs it."""
+    rows, packed = batch.column("row").to_numpy(), batch.column("pairs").to_pylist()
+    sizes = [len(p) for p in packed]
+    breaks = np.flatnonzero((np.diff(rows) <= 0) | (np.diff(rows >> ROW_BITS) != 0)) + 1
+    runs = [0, *breaks.tolist(), len(packed)]
+    for low, high in zip(runs, runs[1:]):
+        for s, e in _portions(sizes[low:high], TILE):
+            each = [unpack(p, wide)[1:] for p in packed[low + s:low + e]]
+            yield (np.repeat(rows[low + s:low + e], [c.size for c, _ in each]),
+                   np.concatenate([c for c, _ in each]), np.concatenate([t for _, t in each]))
 
 
 def pair_counts(aligned: DataFrame, wide: int) -> DataFrame:

@@ -101,6 +101,13 @@ def test_equals_the_plain_version(spark):
     assert rows_of(align_and_score(df.repartition(5), A, B)) == sorted(plain(rows), key=key)
 
 
+def test_batches_that_span_files_of_several_tasks(spark):
+    rows = list(enumerate(texts()))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    # more small files than cores: a task of the scoring reads several of them
+    assert rows_of(align_and_score(df.repartition(40), A, B)) == sorted(plain(rows), key=key)
+
+
 def test_small_lanes_portions_and_blocks_give_the_same(spark, monkeypatch):
     rows = [(i, t) for i, t in enumerate(texts()) if i % 3 == 0]
     df = spark.createDataFrame(rows, "doc_id long, text string")
