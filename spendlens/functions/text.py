@@ -36,10 +36,20 @@ def missing_to_empty(c) -> Column:
     return F.coalesce(strip_all(c), F.lit(""))
 
 
+# Each failing try_cast raises and drops an exception, far dearer than the cast: texts
+# that can't be numbers are told apart first.  Casts to bigint and decimal take digits,
+# signs, a point, an exponent, and white space around them, nothing else.
+_NO_NUMBER = r"[^\p{Nd}+\-.eE\s\p{Cntrl}]"
+
+
 def long_of(s: Column) -> Column:
     """Integer of a stripped text (see :func:`to_long`)."""
     s = F.nullif(s, F.lit(""))
-    return F.coalesce(s.try_cast("bigint"), s.try_cast("decimal(38,6)").try_cast("bigint"))
+    plain = s.rlike(r"^[+-]?[0-9]{1,18}(\.[0-9]*)?$") | ~s.rlike(_NO_NUMBER)
+    return F.when(plain, F.coalesce(
+        # no integer has a point
+        F.when(~F.contains(s, F.lit(".")), s.try_cast("bigint")),
+        s.try_cast("decimal(38,6)").try_cast("bigint")))
 
 
 def double_of(s: Column) -> Column:

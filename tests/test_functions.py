@@ -45,6 +45,20 @@ def test_text_parsing(spark):
     assert [r["z"] for r in out] == [0.0, 0.0, 6.0, 0.0, 0.0, 0.0, 42.0]
 
 
+def test_long_of_equals_the_casts_and_tries_none_that_must_fail(spark):
+    odd = ["", "1", "+1", "1.", ".5", "-.5", ".", "1e3", "1E-3", "1e400", "99999999999999999999", "0.9999999",
+           "9223372036854775807", "-9223372036854775808", "9223372036854775807.9", "1٢.5", "1 2", "\x011\x02",
+           "1.0d", "1L", "NaN", "n/a", "12.34.5", "-0", "1\u0085", "\u200b1", "1\n", "½", None, "1,000"]
+    df = spark.createDataFrame([(x,) for x in odd], "s string")
+    s = F.nullif(F.col("s"), F.lit(""))
+    want = F.coalesce(s.try_cast("bigint"), s.try_cast("decimal(38,6)").try_cast("bigint"))
+    out = df.select("s", T.long_of(F.col("s")).alias("n"), want.alias("w"))
+    assert [r["s"] for r in out.collect() if r["n"] != r["w"]] == []
+    # failing casts raise: one to bigint stands behind a test for a point
+    plan = out.select("n")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(" in plan and "RLIKE" in plan
+
+
 def test_timestamps(spark):
     df = spark.createDataFrame([("2026-01-05 10:00:00",), ("2026-06-01 12:00:00",),
                                 ("2026-02-03T00:00:00Z",), ("bad",), ("",)], "s string")
