@@ -27,15 +27,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
-def _payload(df: DataFrame, keys: Sequence[str]) -> Column:
+def _payload(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> Column:
     """Non-key columns as one struct (keys come back from the grouping
-    columns, which lets Catalyst push filters on keys below the aggregate)."""
-    return F.struct(*[F.col(c) for c in df.columns if c not in set(keys)])
+    columns, which lets Catalyst push filters on keys below the aggregate).  ``order``:
+    columns that stand before it already; they come back from there."""
+    gone = {*keys, *order}
+    return F.struct(*[F.col(c) for c in df.columns if c not in gone] or [F.lit(0).alias("_none")])
 
 
-def _out(df: DataFrame, keys: Sequence[str], struct_col: str, cols: Sequence[str]):
+def _out(df: DataFrame, keys: Sequence[str], struct_col: str, cols: Sequence[str],
+         order: dict[str, Column] | None = None):
+    """``cols`` from the grouping columns, from ``order`` and from the row in ``struct_col``."""
     keyset = set(keys)
-    return [F.col(c) if c in keyset else F.col(struct_col)[c].alias(c) for c in cols]
+    return [F.col(c) if c in keyset else order[c].alias(c) if c in (order or {})
+            else F.col(struct_col)["_row"][c].alias(c) for c in cols]
 
 
 _PRINTABLE = "".join(map(chr, range(0x20, 0x7f)))
@@ -47,14 +52,32 @@ def _inverted(c: Column) -> Column:
     return F.concat(F.translate(c, _PRINTABLE, _PRINTABLE[::-1]), F.lit("\x7f"))
 
 
+def _as_it_was(c: Column) -> Column:
+    """The string that ``_inverted`` made ``c`` of."""
+    return F.translate(F.substr(c, F.lit(1), F.char_length(c) - 1), _PRINTABLE, _PRINTABLE[::-1])
+
+
+def _names(c: str | Sequence[str] | None) -> list[str]:
+    return [c] if isinstance(c, str) else list(c or ())
+
+
+def _texts(df: DataFrame) -> set[str]:
+    return {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+
+
 def _neg(df: DataFrame, c: str | Sequence[str] | None) -> list[Column]:
     """Order-inverted ordinal column(s): maximising them picks the earliest."""
-    if not c:
-        return []
-    cols = [c] if isinstance(c, str) else list(c)
-    text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    text = _texts(df)
     return [(_inverted(F.col(x)) if x in text else -F.col(x)).alias(f"_neg_{i}")
-            for i, x in enumerate(cols)]
+            for i, x in enumerate(_names(c))]
+
+
+def _ordinals(df: DataFrame, c: str | Sequence[str] | None, struct_col: str) -> dict[str, Column]:
+    """The ordinal column(s) from their inverted form in ``struct_col``: they travel once."""
+    text = _texts(df)
+    at = F.col(struct_col)
+    return {x: _as_it_was(at[f"_neg_{i}"]) if x in text else -at[f"_neg_{i}"]
+            for i, x in enumerate(_names(c))}
 
 
 def _drop(df: DataFrame, ordinal, drop: bool) -> list[str]:
@@ -83,7 +106,7 @@ def best_record(df: DataFrame, keys: Sequence[str], ts: str, size: str,
     Adds ``duplicate_combined`` (1 when the group had > 1 row) and
     ``duplicate_count``.
     """
-    row = _payload(df, keys)
+    row = _payload(df, keys, _names(ordinal))
     ts_key = _lowest(df, ts)
     # max over one struct (ordering fields first, then the row as the final
     # tie-break): the winning row travels once, not as value + ordering
@@ -93,11 +116,12 @@ def best_record(df: DataFrame, keys: Sequence[str], ts: str, size: str,
         F.count(F.lit(1)).alias("_n"),
         F.min(ts_key).alias("_ts_lo"), F.max(ts_key).alias("_ts_hi"),
         by_ts.alias("_by_ts"), by_size.alias("_by_size"))
-    best = F.when(F.col("_ts_lo") != F.col("_ts_hi"), F.col("_by_ts._row")) \
-        .otherwise(F.col("_by_size._row"))
+    parts = [f"_neg_{i}" for i in range(len(_names(ordinal)))] + ["_row"]
+    best = F.when(F.col("_ts_lo") != F.col("_ts_hi"), F.struct(*[F.col("_by_ts")[p].alias(p) for p in parts])) \
+        .otherwise(F.struct(*[F.col("_by_size")[p].alias(p) for p in parts]))
     out_cols = _drop(df, ordinal, drop_ordinal)
     return g.select(*keys, best.alias("_best"), "_n").select(
-        *_out(df, keys, "_best", out_cols),
+        *_out(df, keys, "_best", out_cols, _ordinals(df, ordinal, "_best")),
         (F.col("_n") > 1).cast("int").alias("duplicate_combined"),
         F.col("_n").cast("int").alias("duplicate_count"))
 
@@ -106,20 +130,20 @@ def first_per_key(df: DataFrame, keys: Sequence[str],
                   ordinal: str | Sequence[str] | None = None,
                   drop_ordinal: bool = False) -> DataFrame:
     """Earliest row per key (insert-or-ignore inside one batch)."""
-    row = _payload(df, keys)
+    row = _payload(df, keys, _names(ordinal)).alias("_row")
     # with an ordinal the earliest row wins; without one the smallest row
-    pick = (F.max(F.struct(*_neg(df, ordinal), row.alias("_row")))["_row"] if ordinal
-            else F.min(row))
+    pick = F.max(F.struct(*_neg(df, ordinal), row)) if ordinal else F.min(F.struct(row))
     g = df.groupBy(*keys).agg(pick.alias("_r"))
     out_cols = _drop(df, ordinal, drop_ordinal)
-    return g.select(*_out(df, keys, "_r", out_cols))
+    return g.select(*_out(df, keys, "_r", out_cols, _ordinals(df, ordinal, "_r")))
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Latest row per key by the ``order`` columns (last write wins); the
     whole row breaks remaining ties."""
-    row = _payload(df, keys)
+    row = _payload(df, keys, order)
     last = F.max(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-                          row.alias("_row")))["_row"]
+                          row.alias("_row")))
     g = df.groupBy(*keys).agg(last.alias("_r"))
-    return g.select(*_out(df, keys, "_r", df.columns))
+    return g.select(*_out(df, keys, "_r", df.columns,
+                          {c: F.col("_r")[f"_o{i}"] for i, c in enumerate(order)}))

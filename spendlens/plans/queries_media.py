@@ -101,7 +101,8 @@ def q_unified_from_landing(spark, d):
 
     order = ["_load_timestamp", *SRC.ORDER_COLS]
     meta, _ = BR.clean_meta(parsed_meta(spark, d), LOADED)
-    meta = insert_ignore(None, meta, BR.META_KEY, ordinal=SRC.ORDER_COLS)
+    # columns that no later step reads, and that the key fixes, are left behind before a shuffle
+    meta = insert_ignore(None, meta.drop("timestamp_pst"), BR.META_KEY, ordinal=SRC.ORDER_COLS)
     lines = google_export_lines(spark, d)
     rec = F.struct(F.from_json("line", SRC.GOOGLE_SCHEMA).alias("j"), F.col("_row"))
     rows = _positions(lines.select(F.inline(F.array(rec))).select("j.*", "_row"), "google",
@@ -110,8 +111,9 @@ def q_unified_from_landing(spark, d):
     google = insert_ignore(None, BR.dedup_google(google), BR.GOOGLE_KEY, ordinal=SRC.ORDER_COLS)
     stg_meta = S.build_stg_meta(meta, REF.exchange_rates(spark), LOADED, extra=SRC.ORDER_COLS)
     stg_google = S.build_stg_google(google, LOADED, extra=SRC.ORDER_COLS)
-    perf = upsert(None, _unified_batch(stg_meta, stg_google, LOADED), S.PERF_KEY,
-                  ["_platform_order", *order])
+    batch = _unified_batch(stg_meta, stg_google, LOADED).drop("currency_used", "currency_conversion_note",
+                                                              "_staged_timestamp")
+    perf = upsert(None, batch, S.PERF_KEY, ["_platform_order", *order])
     times = perf.select("platform", "campaign_id", "placement", "timestamp_utc", *[
         c for c in S.PERF_KEY if c not in ("platform", "campaign_id", "placement")])
     fact = G.build_fact_daily_performance(perf).join(times, S.PERF_KEY)

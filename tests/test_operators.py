@@ -53,6 +53,23 @@ def test_first_last_insert_upsert(spark):
     assert up == {1: "a", 2: "B", 3: "x"}
 
 
+def test_order_columns_travel_once(spark):
+    rows = [(1, "b", 2, 7, "x", "5"), (1, "a~", 9, 8, "y", "6"), (1, "a", 9, 9, None, "6"),
+            (2, None, None, 1, "z", "1"), (2, "é/ü", -3, 2, "w", "1"), (None, "q", 0, 3, "v", None)]
+    df = spark.createDataFrame(rows, "k int, file string, place long, size int, v string, ts string")
+    order = ["file", "place"]
+    outs = [best_record(df, ["k"], "ts", "size", order, drop_ordinal=False), first_per_key(df, ["k"], order),
+            last_per_key(df, ["k"], order)]
+    for out in outs:
+        assert {tuple(r)[:6] for r in out.select(*df.columns).collect()} <= set(rows) and out.count() == 3
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "place, place#" not in plan and "file, file#" not in plan
+    assert {(r["k"], r["file"]) for r in outs[1].collect()} == {(1, "a"), (2, "é/ü"), (None, "q")}
+    assert {(r["k"], r["file"]) for r in outs[2].collect()} == {(1, "b"), (2, "é/ü"), (None, "q")}
+    only = df.select("k", "place")
+    assert {tuple(r) for r in first_per_key(only, ["k"], "place").collect()} == {(1, 2), (2, -3), (None, 0)}
+
+
 def _key_rows(n, seed):
     rnd = random.Random(seed)
     return [(rnd.choice([None, *range(300)]), rnd.choice([None, "", "a", "b", "é"]), i) for i in range(n)]
