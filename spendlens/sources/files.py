@@ -14,12 +14,15 @@ from __future__ import annotations
 
 import csv
 import re
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendlens.session import checkpoint_dir
+
 META_COLUMNS = ["date", "timestamp_pst", "campaign_id", "campaign_name", "adset_id", "ad_id",
                 "objective", "placement", "impressions", "clicks", "spend_usd", "currency",
                 "conversions", "conversion_value_usd"]
@@ -66,6 +69,8 @@ SOURCE_FILES = {
 }
 
 ORDER_COLS = ["_source_file", "_block", "_row"]
+#: Numbers of names of headers by which lines are cut separately.
+WIDTHS = 8
 
 
 def string_schema(columns: list[str]) -> T.StructType:
@@ -107,6 +112,15 @@ def file_headers(lines: DataFrame) -> DataFrame:
                     F.regexp_replace("_first.value", "^\ufeff", "").alias("_header")))
 
 
+def _stored(headers: DataFrame) -> DataFrame:
+    """Headers as a table in the shared folder: the files are read for them once, and Spark
+    knows that they are few before it plans the join, so that the lines are not shuffled."""
+    spark = headers.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/spendlens-headers/{uuid.uuid4().hex}"
+    headers.write.parquet(path)
+    return spark.read.schema(headers.schema).parquet(path)
+
+
 def _place(column: str) -> Column:
     """Index of a column in ``_names``, NULL if it is not there."""
     return F.array_min(F.transform("_names", lambda n, i: F.when(n == column, i)))
@@ -116,27 +130,33 @@ def bind_by_name(lines: DataFrame, columns: list[str]) -> DataFrame:
     """Rows of CSV files bound to ``columns`` by each file's own header.
 
     ``lines``: ``value`` and the input position; further columns stay.  Every line is cut
-    into as many values as the widest header has names (the one figure that reaches the
-    driver), and takes those at its header's places, so that files with differing headers,
-    in one folder or not, are read in one pass.  Columns a file lacks are NULL, columns not
-    asked for are ignored, order does not matter; of a repeated name the first counts."""
-    headers = file_headers(lines)
+    into as many values as its file's header has names (the numbers of names are all that
+    reaches the driver; beyond ``WIDTHS`` of them, as many as the widest has), and takes
+    those at its header's places, so that files with differing headers, in one folder or
+    not, are read in one pass.  Columns a file lacks are NULL, columns not asked for are
+    ignored, order does not matter; of a repeated name the first counts."""
+    headers = _stored(file_headers(lines))
     names = F.split("_header", ",")
-    width = headers.agg(F.max(F.size(names))).first()[0] or 1
+    widths = sorted(headers.agg(F.collect_set(F.size(names))).first()[0] or [1])[-WIDTHS:]
+    width = widths[-1]
     head = F.transform(_values(F.col("_header"), width), lambda n: F.trim(n))
     # the places of the columns; NULL where the file has none
     at = headers.select("_source_file", "_header_row", "_header", head.alias("_names")).select(
         F.col("_source_file").alias("_of"), "_header_row", "_header",
+        F.when(F.size(names).isin(widths), F.size(names)).otherwise(width).alias("_width"),
         F.array(*map(_place, columns)).alias("_at"))
     rows = (lines.join(at, F.col("_source_file") == F.col("_of"))
             .where(~((F.col("_block") == 0) & (F.col("_row") == F.col("_header_row"))))
             .where(F.trim("value") != ""))
     extra = [c for c in lines.columns if c not in ("value", *ORDER_COLS)]
     # cut once: what stands behind inline() is not worked out again for each column
-    slots = [f"_v{i}" for i in range(width)]
-    cut = rows.select(F.inline(F.array(F.from_csv(
-        "value", ", ".join(f"{v} string" for v in slots), {"escape": '"'}))), "_at", *ORDER_COLS, *extra)
-    values = F.array(*slots)
+    # a line of fewer values than asked for costs a raised and dropped exception
+    cut = rows.select(F.inline(F.array(F.struct(*[F.when(F.col("_width") == w, F.from_csv(
+        "value", ", ".join(f"c{i} string" for i in range(w)), {"escape": '"'})).alias(f"_v{w}")
+        for w in widths]))), "_width", "_at", *ORDER_COLS, *extra)
+    values = F.lit(None).cast("array<string>")
+    for w in widths:
+        values = F.when(F.col("_width") == w, F.array(*[F.col(f"_v{w}.c{i}") for i in range(w)])).otherwise(values)
     return cut.select(*[F.get(values, F.col("_at")[i]).alias(c)
                         for i, c in enumerate(columns)], *ORDER_COLS, *extra)
 

@@ -179,6 +179,36 @@ def test_files_with_differing_headers_load_in_one_pass(spark, tmp_path):
     assert got == sorted(want, key=str)
 
 
+def test_lines_are_cut_by_their_own_header_and_not_shuffled(spark, tmp_path):
+    for n in range(1, 12):  # more widths than are cut separately
+        names = [f"x{i}" for i in range(n - 1)] + ["dma_code"]
+        lines = [",".join(names), ",".join(str(i) for i in range(n)), ",".join(map(str, range(n + 3))),
+                 '"a,b"' + "," * (n - 1) + f'"c""{n}', "short"]
+        (tmp_path / f"store_visits_{n}.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    paths = [str(p) for p in tmp_path.iterdir()]
+    df = SRC.read_csv_strings(spark, paths, ["dma_code", "x0"])
+    got = {}
+    for r in df.orderBy("_source_file", "_row").collect():
+        n = int(r["_source_file"].split("_")[-1].split(".")[0])
+        got.setdefault(n, []).append((r["dma_code"], r["x0"]))
+    for n, rows in got.items():
+        none = n == 1
+        assert rows[:2] == [(str(n - 1), None if none else "0")] * 2, n
+        assert rows[3] == (("short", None) if none else (None, "short")), n
+        if n > 1:
+            assert rows[2][1] == "a,b", n
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert len(got) == 11 and "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_the_unified_write_leaves_unread_columns_behind(spark):
+    from spendlens.plans.queries_media import q_unified_from_landing
+
+    df = q_unified_from_landing(spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "timestamp_pst, timestamp_pst#" not in plan.split("Generate")[0]
+
+
 def test_jobs_of_a_read_do_not_grow_with_the_files(spark, tmp_path):
     tracker = spark.sparkContext.statusTracker()
 
